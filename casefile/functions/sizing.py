@@ -1,0 +1,26 @@
+"""Broadcast only what has a proven size bound.
+
+`broadcast_bounded` counts at most `max_rows + 1` rows of a side (a cheap,
+limit-pushed action) and adds the broadcast hint only when the side is within
+the bound; otherwise the join is left to AQE, which broadcasts at runtime only
+below `spark.sql.adaptive.autoBroadcastJoinThreshold` and else plans a shuffle
+join.  Literal reference tables built from Python lists are bounded by
+construction and use `broadcast_literal`.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 100_000
+
+
+def broadcast_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def broadcast_literal(df: DataFrame) -> DataFrame:
+    """For DataFrames made from in-driver literals (a handful of rows)."""
+    return F.broadcast(df)
