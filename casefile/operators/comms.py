@@ -85,7 +85,7 @@ def zscore_fixed_baseline(series: DataFrame, value: str = "vol", key: str = "wee
                   .select("*", raw_z.alias("_z"))
                   .withColumn("zscore", F.round("_z", 2))
                   .withColumn("flagged", (F.col("_z") >= z) & (F.col(key) >= F.lit(flag_from).cast("date")))
-                  .drop("_z"))
+                  .drop("_z", "mu", "sigma"))
 
 
 def nearest_event_days(df: DataFrame, date_col: str, events: DataFrame,

@@ -134,6 +134,156 @@ WHERE r.addr NOT ILIKE '%@corp.example' AND r.addr LIKE '%@%'
 """, "leak_hits", "recipients", "events_ref")
 
 
+_cte("message_edges", """
+SELECT e.id AS email_id, e.sender, e.sent_at, r.addr AS recipient
+FROM emails e JOIN recipients r ON r.email_id = e.id
+""", "emails", "recipients")
+
+_cte("group_lookup", """
+SELECT addr, bool_or(dept IN ('AFRICA', 'AMERICA')) AS in_a, bool_or(dept IN ('ASIA')) AS in_b
+FROM registry WHERE dept IN ('AFRICA', 'AMERICA', 'ASIA') GROUP BY addr
+""", "registry")
+
+_cte("baseline", """
+SELECT avg(vol) AS mu, stddev_samp(vol) AS sigma FROM xgroup_series
+WHERE week BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'
+""", "xgroup_series")
+
+# co-mention lexicon (fixed values for TESTDATA)
+_cte("web_mentions", r"""
+SELECT id, unnest(list_distinct(regexp_extract_all(
+         lower(coalesce(subject, '') || ' ' || coalesce(body, '')),
+         '\b(the|and|that|for|this|with|que|der|die|und|elle|pour|con|para)\b'))) AS entity
+FROM emails
+""", "emails")
+
+_cte("web_known", """
+SELECT entity FROM (VALUES ('the'), ('for')) t(entity)
+UNION ALL SELECT unnest(['que'])
+""")
+
+_cte("web_edges", """
+SELECT a.entity AS entity_a, b.entity AS entity_b, CAST(count(*) AS BIGINT) AS co_mentions
+FROM web_mentions a JOIN web_mentions b ON a.id = b.id AND a.entity < b.entity
+GROUP BY 1, 2
+""", "web_mentions")
+
+_cte("web", """
+SELECT e.*, e.entity_a IN (SELECT entity FROM web_known) AS a_known,
+       e.entity_b IN (SELECT entity FROM web_known) AS b_known
+FROM web_edges e
+""", "web_edges", "web_known")
+
+_cte("shadow", """
+SELECT candidate, CAST(sum(co_mentions) AS BIGINT) AS total FROM (
+  SELECT CASE WHEN a_known THEN entity_b ELSE entity_a END AS candidate, co_mentions
+  FROM web WHERE a_known != b_known) c
+GROUP BY 1 HAVING sum(co_mentions) >= 20
+""", "web")
+
+_cte("surge_series", """
+SELECT user_id, CAST(ts AS DATE) AS day, CAST(count(*) AS BIGINT) AS vol,
+       min(event_type) AS sample_event_type
+FROM events GROUP BY 1, 2
+""")
+
+_cte("surge_stats", """
+SELECT user_id, CAST(count(*) AS BIGINT) AS n_buckets, avg(vol) AS mu, stddev_samp(vol) AS sigma
+FROM surge_series GROUP BY 1 HAVING count(*) >= 12 AND stddev_samp(vol) > 0
+""", "surge_series")
+
+_cte("decoy", """
+SELECT s.user_id, s.day, s.vol, round((s.vol - t.mu) / t.sigma, 2) AS zscore, s.sample_event_type
+FROM surge_series s JOIN surge_stats t ON s.user_id = t.user_id
+WHERE (s.vol - t.mu) / t.sigma >= 2.5
+""", "surge_series", "surge_stats")
+
+# catalog adapters
+_DS = "CASE WHEN {k} % 50 = 0 THEN concat('analytics.x', {k}) ELSE concat('part.p', {k}) END"
+
+_cte("cat_datasets", f"""
+SELECT {_DS.format(k='p_partkey')} AS dataset, 'parquet' AS platform,
+       concat('part ', p_name) AS description, lower(p_type) AS domain
+FROM part
+""")
+
+_cte("cat_tags", f"SELECT {_DS.format(k='p_partkey')} AS dataset, 'certified' AS value FROM part WHERE p_size >= 25")
+
+_cte("cat_terms", f"""
+SELECT {_DS.format(k='p_partkey')} AS dataset, 'Material' AS value FROM part
+WHERE p_type IN ('PROMO', 'LARGE')
+""")
+
+_cte("cat_owners", f"""
+SELECT DISTINCT {_DS.format(k='l_partkey')} AS dataset, concat('s', l_suppkey) AS value
+FROM lineitem WHERE l_linenumber = 1 AND l_quantity > 45
+""")
+
+_cte("cat_users", """
+SELECT concat('s', suppkey) AS username, name AS display_name, title,
+       (s.s_acctbal >= 2000) AS active, addr AS email
+FROM supplier_addr sa JOIN supplier s ON s.s_suppkey = sa.suppkey
+""", "supplier_addr")
+
+_cte("cat_job_io", f"""
+SELECT concat('o', l.l_orderkey) AS job, 'out' AS direction, {_DS.format(k='l.l_partkey')} AS dataset
+FROM lineitem l WHERE l.l_linenumber = 1
+  AND l.l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')
+UNION ALL
+SELECT concat('o', l.l_orderkey), 'in', {_DS.format(k='l.l_partkey')}
+FROM lineitem l WHERE l.l_linenumber <> 1
+""")
+
+_cte("estate", """
+SELECT d.dataset,
+       coalesce(d.dataset IN (SELECT dataset FROM cat_terms WHERE value = 'Material'), false)
+         AS financially_material,
+       coalesce(d.dataset IN (SELECT dataset FROM cat_tags WHERE value = 'certified'), false)
+         AS certified
+FROM (SELECT DISTINCT dataset FROM cat_datasets) d
+WHERE d.dataset NOT LIKE 'analytics.%'
+""", "cat_datasets", "cat_terms", "cat_tags")
+
+_cte("ownership", """
+SELECT e.dataset, o.value AS owner, u.title AS owner_title, u.active AS owner_active,
+       e.financially_material, e.certified
+FROM estate e
+LEFT JOIN (SELECT DISTINCT dataset, value FROM cat_owners) o ON o.dataset = e.dataset
+LEFT JOIN cat_users u ON u.username = o.value
+""", "estate", "cat_owners", "cat_users")
+
+_cte("orphaned", """
+SELECT dataset, owner, owner_title, owner_active, implicated, financially_material, certified,
+       flagged,
+       CASE WHEN owner IS NULL THEN 'NO OWNER on record'
+            WHEN flagged THEN concat_ws('; ',
+                CASE WHEN implicated THEN 'owner implicated (public record)' END,
+                CASE WHEN owner_active = false THEN 'owner departed' END,
+                CASE WHEN financially_material THEN 'financially material' END,
+                'not certified') END AS reason
+FROM (
+  SELECT dataset, owner, owner_title, owner_active,
+         coalesce(owner IN ('s1', 's3'), false) AS implicated,
+         CASE WHEN owner IS NULL THEN false ELSE financially_material END AS financially_material,
+         certified,
+         CASE WHEN owner IS NULL THEN true
+              ELSE (owner IN ('s1', 's3') OR coalesce(owner_active = false, false)) AND NOT certified
+         END AS flagged
+  FROM ownership) x
+""", "ownership")
+
+_cte("outputs", "SELECT DISTINCT dataset FROM cat_job_io WHERE direction = 'out'", "cat_job_io")
+
+_cte("provenance", """
+SELECT e.dataset, e.financially_material, e.certified,
+       e.dataset IN (SELECT dataset FROM outputs) AS has_documented_lineage,
+       e.financially_material AND NOT (e.dataset IN (SELECT dataset FROM outputs)) AS flagged,
+       CASE WHEN e.financially_material AND NOT (e.dataset IN (SELECT dataset FROM outputs))
+            THEN 'financially material with NO documented lineage path to any source' END AS reason
+FROM estate e
+""", "estate", "outputs")
+
+
 def with_ctes(body: str, *names: str) -> str:
     order: list[str] = []
 

@@ -45,3 +45,356 @@ def spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("hunt_comm_spikes")
 def q_hunt_comm_spikes(spark, d):
     return spikes(spark, d)
+
+
+# ------------------------------------------------------------------ staging (S*, T*, F*, J1, G1)
+from casefile.functions.text import (address_domain, address_user, message_excerpt,  # noqa: E402
+                                     search_text, week_bucket)
+from casefile.operators import governance as gov  # noqa: E402
+from casefile.operators import lexicon as lex  # noqa: E402
+from casefile.operators import surge  # noqa: E402
+from casefile.sources.reference import glossary_table, web_entities  # noqa: E402
+
+
+@query("stage_messages")
+def q_stage_messages(spark, d):
+    return staging.stage_messages(wh(spark, d).raw_messages())
+
+
+@query("explode_recipients")
+def q_explode_recipients(spark, d):
+    return staging.explode_recipients(wh(spark, d).raw_messages())
+
+
+@query("reference_tables")
+def q_reference_tables(spark, d):
+    return td.registry(spark, d)
+
+
+@query("search_text")
+def q_search_text(spark, d):
+    e = wh(spark, d).emails()
+    return e.select("id", search_text("subject", "body").alias("txt"))
+
+
+@query("message_excerpt")
+def q_message_excerpt(spark, d):
+    e = wh(spark, d).emails().filter(F.col("body").isNotNull())
+    return e.select("id", message_excerpt("body", 500).alias("excerpt"))
+
+
+@query("address_domain")
+def q_address_domain(spark, d):
+    r = wh(spark, d).recipients()
+    return r.select("email_id", "addr", address_domain("addr").alias("domain"),
+                    address_user("addr").alias("username"))
+
+
+@query("week_bucket")
+def q_week_bucket(spark, d):
+    e = wh(spark, d).emails()
+    return e.select("id", "sent_at", week_bucket("sent_at").alias("week"))
+
+
+@query("direction_label")
+def q_direction_label(spark, d):
+    w = wh(spark, d)
+    x = comms.cross_group_filter(w.message_edges(), w.registry(), P.group_a, P.group_b)
+    return x.select("email_id", "sender", "recipient",
+                    comms.direction_label(F.col("sender_in_a"), P.direction_labels).alias("direction"))
+
+
+@query("date_window_filter")
+def q_date_window_filter(spark, d):
+    e = wh(spark, d).emails().select("id", "sent_at")
+    return staging.date_window_filter(e, "sent_at", *P.leak_window)
+
+
+@query("keyword_prefilter")
+def q_keyword_prefilter(spark, d):
+    e = wh(spark, d).emails()
+    return staging.keyword_prefilter(e, P.web_lexicon).select("id")
+
+
+@query("external_recipients")
+def q_external_recipients(spark, d):
+    return staging.external_recipients(wh(spark, d).recipients(), P.internal_suffix)
+
+
+@query("exclude_evidence_datasets")
+def q_exclude_evidence_datasets(spark, d):
+    return staging.exclude_evidence_datasets(td.catalog_datasets(spark, d).select("dataset"))
+
+
+@query("message_recipient_join")
+def q_message_recipient_join(spark, d):
+    w = wh(spark, d)
+    e = w.emails().select("id", "msg_id", "sender", "sent_at")
+    return staging.message_recipient_join(e, w.recipients())
+
+
+@query("weekly_edges")
+def q_weekly_edges(spark, d):
+    w = wh(spark, d)
+    return staging.weekly_edges(w.emails(), w.recipients())
+
+
+# ------------------------------------------------------------------ comms (J2, G2, G3, J5, A1, J6, J7, H1x, S5)
+
+def xseries(spark, d):
+    w = wh(spark, d)
+    return comms.cross_group_volume(w.comm_edges(), w.registry(), P.group_a, P.group_b)
+
+
+@query("cross_group_edges")
+def q_cross_group_edges(spark, d):
+    w = wh(spark, d)
+    return comms.cross_group_edges(w.comm_edges(), w.registry(), P.group_a, P.group_b)
+
+
+@query("cross_group_volume")
+def q_cross_group_volume(spark, d):
+    return xseries(spark, d)
+
+
+@query("baseline_stats")
+def q_baseline_stats(spark, d):
+    s = comms.baseline_stats(xseries(spark, d), "vol", "week", *P.baseline)
+    return s.select(F.round("mu", 6).alias("mu"), F.round("sigma", 6).alias("sigma"))
+
+
+@query("baseline_cross_join")
+def q_baseline_cross_join(spark, d):
+    s = xseries(spark, d)
+    b = comms.baseline_stats(s, "vol", "week", *P.baseline)
+    return s.crossJoin(F.broadcast(b)).select("week", "vol", F.round("mu", 6).alias("mu"),
+                                              F.round("sigma", 6).alias("sigma"))
+
+
+@query("zscore_fixed_baseline")
+def q_zscore_fixed_baseline(spark, d):
+    z = comms.zscore_fixed_baseline(xseries(spark, d), "vol", "week", baseline=P.baseline,
+                                    flag_from=P.flag_from, z=P.spike_z)
+    return z.select("week", "vol", "zscore", "flagged")
+
+
+@query("nearest_event_days")
+def q_nearest_event_days(spark, d):
+    s = xseries(spark, d).select("week")
+    return comms.nearest_event_days(s, "week", events_table(spark))
+
+
+@query("first_event_scalar")
+def q_first_event_scalar(spark, d):
+    e = wh(spark, d).emails().filter(F.col("sent_at").isNotNull()).select("id", "sent_at")
+    return comms.first_event_scalar(e, "sent_at", events_table(spark))
+
+
+def exhibits(spark, d):
+    w = wh(spark, d)
+    flagged = spikes(spark, d).filter(F.col("flagged")).select("week")
+    return comms.hunt_exhibits(w.emails(), w.recipients(), w.registry(), group_a=P.group_a,
+                               group_b=P.group_b, weeks=flagged, labels=P.direction_labels)
+
+
+@query("hunt_exhibits")
+def q_hunt_exhibits(spark, d):
+    return exhibits(spark, d)
+
+
+# ------------------------------------------------------------------ lexicon (X*, J3, J4, U1, G5-G7, H2, H3, P5, P6)
+
+def web(spark, d):
+    return lex.hunt_entity_web(wh(spark, d).emails(), web_entities(spark), P.web_lexicon,
+                               aliases=P.web_aliases)
+
+
+def leakage(spark, d):
+    w = wh(spark, d)
+    return lex.hunt_external_leakage(w.emails(), w.recipients(), events_table(spark),
+                                     P.leak_lexicon, window=P.leak_window, suffix=P.internal_suffix)
+
+
+@query("lexicon_mentions")
+def q_lexicon_mentions(spark, d):
+    return lex.lexicon_mentions(wh(spark, d).emails(), P.web_lexicon)
+
+
+@query("co_mention_edges")
+def q_co_mention_edges(spark, d):
+    return lex.co_mention_edges(wh(spark, d).emails(), P.web_lexicon)
+
+
+@query("co_mention_self_join")
+def q_co_mention_self_join(spark, d):
+    return lex.co_mention_self_join(lex.lexicon_mentions(wh(spark, d).emails(), P.web_lexicon))
+
+
+@query("known_entities")
+def q_known_entities(spark, d):
+    return lex.known_entities(web_entities(spark), P.web_aliases)
+
+
+@query("known_flag_existence")
+def q_known_flag_existence(spark, d):
+    edges = lex.co_mention_edges(wh(spark, d).emails(), P.web_lexicon)
+    return lex.known_flag_existence(edges, lex.known_entities(web_entities(spark), P.web_aliases))
+
+
+@query("hunt_entity_web")
+def q_hunt_entity_web(spark, d):
+    return web(spark, d)
+
+
+@query("shadow_candidates")
+def q_shadow_candidates(spark, d):
+    return lex.shadow_candidates(web(spark, d), P.web_threshold)
+
+
+@query("classification_proposals")
+def q_classification_proposals(spark, d):
+    return lex.classification_proposals(web(spark, d), glossary_table(spark), P.web_threshold)
+
+
+@query("unknown_right_side")
+def q_unknown_right_side(spark, d):
+    return lex.unknown_right_side(web(spark, d), 10)
+
+
+@query("hunt_external_leakage")
+def q_hunt_external_leakage(spark, d):
+    return leakage(spark, d)
+
+
+@query("leak_distinct_counts")
+def q_leak_distinct_counts(spark, d):
+    return lex.leak_distinct_counts(leakage(spark, d))
+
+
+@query("leak_domains")
+def q_leak_domains(spark, d):
+    return lex.leak_domains(leakage(spark, d), 6)
+
+
+@query("leak_domain_rows")
+def q_leak_domain_rows(spark, d):
+    return lex.leak_domain_rows(leakage(spark, d), 12)
+
+
+# ------------------------------------------------------------------ surge
+
+def _events(spark, d):
+    return td.read(spark, d, "events").select("user_id", "ts", "event_type")
+
+
+def _day(c="ts"):
+    return F.to_date(F.col(c))
+
+
+@query("sample_attribute_join")
+def q_sample_attribute_join(spark, d):
+    return surge.sample_attribute_join(_events(spark, d), "user_id", _day(), "event_type",
+                                       "day", "sample_event_type")
+
+
+@query("sender_stats_having")
+def q_sender_stats_having(spark, d):
+    s = surge.sample_attribute_join(_events(spark, d), "user_id", _day(), "event_type", "day")
+    st = surge.sender_stats_having(s, "user_id", P.surge_min_buckets)
+    return st.select("user_id", "n_buckets", F.round("mu", 6).alias("mu"),
+                     F.round("sigma", 6).alias("sigma"))
+
+
+@query("stats_join")
+def q_stats_join(spark, d):
+    s = surge.sample_attribute_join(_events(spark, d), "user_id", _day(), "event_type", "day")
+    st = surge.sender_stats_having(s, "user_id", P.surge_min_buckets)
+    return surge.stats_join(s.select("user_id", "day", "vol"), st, "user_id").select(
+        "user_id", "day", "vol", F.round("mu", 6).alias("mu"), F.round("sigma", 6).alias("sigma"))
+
+
+@query("zscore_per_key")
+def q_zscore_per_key(spark, d):
+    hour = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
+    return surge.zscore_per_key(_events(spark, d), "user_id", hour, sample_col="event_type",
+                                min_buckets=P.surge_min_buckets, z=P.surge_z,
+                                bucket_name="hour", sample_name="sample_event_type")
+
+
+def decoy(spark, d):
+    return surge.zscore_per_key(_events(spark, d), "user_id", _day(), sample_col="event_type",
+                                min_buckets=P.surge_min_buckets, z=P.surge_z,
+                                bucket_name="day", sample_name="sample_event_type")
+
+
+@query("hunt_volume_decoy")
+def q_hunt_volume_decoy(spark, d):
+    return decoy(spark, d)
+
+
+@query("top_surge")
+def q_top_surge(spark, d):
+    return surge.top_surge(decoy(spark, d), "user_id", "day")
+
+
+# ------------------------------------------------------------------ governance
+
+def catalog(spark, d):
+    return wh(spark, d).catalog()
+
+
+def orphaned(spark, d):
+    c = catalog(spark, d)
+    return gov.hunt_orphaned_ownership(c["datasets"], c["owners"], c["users"], c["tags"], c["terms"],
+                                       implicated=P.implicated, material_term=P.material_term,
+                                       cert_tag=P.cert_tag)
+
+
+def provenance(spark, d):
+    c = catalog(spark, d)
+    return gov.hunt_provenance_gaps(c["datasets"], c["job_io"], c["tags"], c["terms"],
+                                    material_term=P.material_term, cert_tag=P.cert_tag)
+
+
+@query("ownership_join")
+def q_ownership_join(spark, d):
+    c = catalog(spark, d)
+    return gov.ownership_join(c["datasets"], c["owners"], c["users"], c["tags"], c["terms"],
+                              P.material_term, P.cert_tag)
+
+
+@query("hunt_orphaned_ownership")
+def q_hunt_orphaned_ownership(spark, d):
+    return orphaned(spark, d)
+
+
+@query("documented_outputs")
+def q_documented_outputs(spark, d):
+    return gov.documented_outputs(catalog(spark, d)["job_io"])
+
+
+@query("producer_existence")
+def q_producer_existence(spark, d):
+    c = catalog(spark, d)
+    return gov.producer_existence(c["datasets"].select("dataset"), c["job_io"])
+
+
+@query("hunt_provenance_gaps")
+def q_hunt_provenance_gaps(spark, d):
+    return provenance(spark, d)
+
+
+@query("catalog_bootstrap")
+def q_catalog_bootstrap(spark, d):
+    return gov.catalog_bootstrap(catalog(spark, d))
+
+
+@query("catalog_completeness")
+def q_catalog_completeness(spark, d):
+    return gov.catalog_completeness(catalog(spark, d))
+
+
+@query("material_assets")
+def q_material_assets(spark, d):
+    c = catalog(spark, d)
+    return gov.material_assets(c["terms"], c["owners"], P.material_term)

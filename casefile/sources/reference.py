@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 # surge: key user_id, bucket = day of ts, z >= 2.5, at least 12 buckets
 # certified tag: certified; material term: Material; implicated owners: s1, s3
 # review tags: confirmed, risk-flagged, rejected, pending-review
+# known aliases: que; glossary terms: Material, PII, Para
 # transcript marker words: the, und, que
 # repeat limit 3; budget turn 22; write tools: materialize_evidence,
 #   record_finding_tool; trace cut 600
@@ -48,6 +49,8 @@ class Params:
     web_lexicon: tuple[str, ...] = ("the", "and", "that", "for", "this", "with", "que", "der",
                                     "die", "und", "elle", "pour", "con", "para")
     web_known: tuple[str, ...] = ("the", "for", "que")
+    web_aliases: tuple[str, ...] = ("que",)
+    glossary: tuple[str, ...] = ("Material", "PII", "Para")
     web_threshold: int = 20
     surge_z: float = 2.5
     surge_min_buckets: int = 12
@@ -85,6 +88,17 @@ def lexicon_table(spark: SparkSession, words, known=(), disclosed=()) -> DataFra
     return spark.createDataFrame(rows, schema)
 
 
+def web_entities(spark: SparkSession, params: Params = TESTDATA) -> DataFrame:
+    """Co-mention lexicon; `known` marks the entities classified in the table
+    itself (the aliases are added separately by `known_entities`)."""
+    table_known = [w for w in params.web_known if w not in params.web_aliases]
+    return lexicon_table(spark, params.web_lexicon, known=table_known)
+
+
+def glossary_table(spark: SparkSession, terms=TESTDATA.glossary) -> DataFrame:
+    return spark.createDataFrame([(t,) for t in terms], "name string")
+
+
 def group_table(spark: SparkSession, group_a=TESTDATA.group_a, group_b=TESTDATA.group_b) -> DataFrame:
     rows = [(d, "A") for d in group_a] + [(d, "B") for d in group_b]
     return spark.createDataFrame(rows, "dept string, grp string")
@@ -95,6 +109,6 @@ def reference_tables(spark: SparkSession, params: Params = TESTDATA) -> dict[str
     return {
         "events": events_table(spark, params.event_dates),
         "leak_entities": lexicon_table(spark, params.leak_lexicon, disclosed=()),
-        "web_entities": lexicon_table(spark, params.web_lexicon, known=params.web_known),
+        "web_entities": web_entities(spark, params),
         "groups": group_table(spark, params.group_a, params.group_b),
     }
