@@ -105,13 +105,18 @@ def term_name(urn: str | Column) -> Column:
     return F.element_at(F.split(short_name(urn), r"\."), -1)
 
 
+def ascii_trim(c: str | Column) -> Column:
+    """Strip ASCII whitespace (blank, tab, newlines, form feed) at both ends."""
+    return F.regexp_replace(col(c), f"^{WS_CLASS}+|{WS_CLASS}+$", "")
+
+
 def safe_evidence_table(name: str | Column, schema: str = "analytics") -> Column:
     """Forgiving table name -> `<schema>.<safe>`; NULL when nothing is left."""
     quotes = r"[`\"\[\]]"
-    t = F.regexp_replace(F.trim(F.coalesce(col(name), F.lit(""))), f"^{quotes}+|{quotes}+$", "")
-    t = F.trim(t)
+    t = F.regexp_replace(ascii_trim(F.coalesce(col(name), F.lit(""))), f"^{quotes}+|{quotes}+$", "")
+    t = ascii_trim(t)
     last = F.element_at(F.split(t, r"\."), -1)
-    last = F.regexp_replace(F.trim(last), f"^{quotes}+|{quotes}+$", "")
+    last = F.regexp_replace(ascii_trim(last), f"^{quotes}+|{quotes}+$", "")
     safe = F.regexp_replace(F.regexp_replace(last, "[^A-Za-z0-9_]", "_"), "^_+|_+$", "")
     return F.when(safe != "", F.concat(F.lit(schema + "."), safe))
 
@@ -121,12 +126,12 @@ _CREATE_AS = r"(?is)^\s*create\s+(?:or\s+replace\s+)?(?:table|view)\b.*?\bas\b\s
 
 def strip_create_wrapper(sql: str | Column) -> Column:
     """Unwrap `CREATE [OR REPLACE] TABLE|VIEW x AS <q>` to <q>, drop trailing `;`."""
-    s = F.regexp_replace(F.trim(F.coalesce(col(sql), F.lit(""))), r"[;\s]+$", "")
+    s = F.regexp_replace(ascii_trim(F.coalesce(col(sql), F.lit(""))), r"[;\t\n\f\r ]+$", "")
     inner = F.regexp_extract(s, _CREATE_AS, 1)
-    inner = F.regexp_replace(F.trim(inner), r"[;\s]+$", "")
+    inner = F.regexp_replace(ascii_trim(inner), r"[;\t\n\f\r ]+$", "")
     return F.when(s.rlike(_CREATE_AS), inner).otherwise(s)
 
 
 def is_create_wrapped(sql: str | Column) -> Column:
-    s = F.regexp_replace(F.trim(F.coalesce(col(sql), F.lit(""))), r"[;\s]+$", "")
+    s = F.regexp_replace(ascii_trim(F.coalesce(col(sql), F.lit(""))), r"[;\t\n\f\r ]+$", "")
     return s.rlike(_CREATE_AS)

@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from casefile.functions.stats import (is_integral, mean_from_sums, moment_sums, round_half_up,
+                                      stddev_from_sums)
 from casefile.functions.text import message_excerpt, week_bucket
 
 
@@ -58,9 +60,14 @@ def cross_group_volume(edges: DataFrame, registry: DataFrame, group_a: Sequence[
 
 
 def baseline_stats(series: DataFrame, value: str, key: str, lo: str, hi: str) -> DataFrame:
-    """Global mean and sample stddev over the baseline window; always one row."""
+    """Global mean and sample stddev over the baseline window; always one row.
+
+    Integer volumes use exact integer moments (merge-order independent)."""
     k = F.col(key)
     b = series.filter((k >= F.lit(lo).cast("date")) & (k <= F.lit(hi).cast("date")))
+    if is_integral(series.schema[value].dataType):
+        return b.agg(*moment_sums(value)).select(mean_from_sums().alias("mu"),
+                                                 stddev_from_sums().alias("sigma"))
     return b.agg(F.avg(value).alias("mu"), F.stddev_samp(value).alias("sigma"))
 
 
@@ -83,7 +90,7 @@ def zscore_fixed_baseline(series: DataFrame, value: str = "vol", key: str = "wee
     # one-row stats: a fixed bound, broadcast nested-loop join
     return (series.crossJoin(F.broadcast(stats))
                   .select("*", raw_z.alias("_z"))
-                  .withColumn("zscore", F.round("_z", 2))
+                  .withColumn("zscore", round_half_up(F.col("_z"), 2))
                   .withColumn("flagged", (F.col("_z") >= z) & (F.col(key) >= F.lit(flag_from).cast("date")))
                   .drop("_z", "mu", "sigma"))
 

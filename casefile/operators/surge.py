@@ -12,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from casefile.functions.stats import (mean_from_sums, moment_sums, round_half_up, stddev_from_sums,
+                                      variance_numerator)
+
 
 def sample_attribute_join(df: DataFrame, key: str, bucket: Column, sample_col: str,
                           bucket_name: str = "bucket", sample_name: str = "sample") -> DataFrame:
@@ -21,11 +24,12 @@ def sample_attribute_join(df: DataFrame, key: str, bucket: Column, sample_col: s
 
 
 def sender_stats_having(series: DataFrame, key: str, min_buckets: int = 12) -> DataFrame:
-    """Per-key mean / sample stddev of vol, HAVING count >= n AND stddev > 0."""
-    return (series.groupBy(key)
-                  .agg(F.count(F.lit(1)).alias("n_buckets"), F.avg("vol").alias("mu"),
-                       F.stddev_samp("vol").alias("sigma"))
-                  .filter((F.col("n_buckets") >= min_buckets) & (F.col("sigma") > 0)))
+    """Per-key mean / sample stddev of vol, HAVING count >= n AND stddev > 0
+    (exact integer moments of the counts)."""
+    return (series.groupBy(key).agg(*moment_sums("vol"))
+                  .filter((F.col("_n") >= min_buckets) & (variance_numerator() > 0))
+                  .select(key, F.col("_n").cast("long").alias("n_buckets"), mean_from_sums().alias("mu"),
+                          stddev_from_sums().alias("sigma")))
 
 
 def stats_join(series: DataFrame, stats: DataFrame, key: str) -> DataFrame:
@@ -53,7 +57,7 @@ def zscore_per_key(df: DataFrame, key: str, bucket: Column, *, sample_col: str,
         cond = cond & (b >= F.lit(lo).cast("date"))
     if hi is not None:
         cond = cond & (b <= F.lit(hi).cast("date"))
-    return j.filter(cond).select(key, bucket_name, "vol", F.round(raw_z, 2).alias("zscore"), sample_name)
+    return j.filter(cond).select(key, bucket_name, "vol", round_half_up(raw_z, 2).alias("zscore"), sample_name)
 
 
 def top_surge(surge: DataFrame, key: str, bucket_name: str = "bucket") -> DataFrame:

@@ -398,3 +398,405 @@ def q_catalog_completeness(spark, d):
 def q_material_assets(spark, d):
     c = catalog(spark, d)
     return gov.material_assets(c["terms"], c["owners"], P.material_term)
+
+
+# ------------------------------------------------------------------ profiles and reports (P*, K*, G8-G10, J10)
+import uuid  # noqa: E402
+
+from casefile.operators import gate as gt  # noqa: E402
+from casefile.operators import ledger as lg  # noqa: E402
+from casefile.operators import profile as pf  # noqa: E402
+from casefile.operators import review as rv  # noqa: E402
+from casefile.operators import transcripts as tr  # noqa: E402
+from casefile.plans.expectations import expectations_for  # noqa: E402
+from casefile.session import work_path  # noqa: E402
+from casefile.streaming import alerts as al  # noqa: E402
+
+PLAUSIBLE = ("1995-01-01", "2001-12-31")
+
+
+def evidence(spark, d) -> dict[str, DataFrame]:
+    """The six evidence sets under their evidence-table names."""
+    return {
+        "analytics.hunt1_comm_spikes": spikes(spark, d),
+        "analytics.hunt2_external_leakage": leakage(spark, d),
+        "analytics.hunt3_spe_web": web(spark, d),
+        "analytics.hunt4_orphaned_ownership": orphaned(spark, d),
+        "analytics.hunt5_provenance_gaps": provenance(spark, d),
+        "analytics.hunt6_decoy_volume": decoy(spark, d),
+    }
+
+
+@query("date_range_profile")
+def q_date_range_profile(spark, d):
+    return pf.date_range_profile(wh(spark, d).emails(), *PLAUSIBLE)
+
+
+@query("bad_date_senders")
+def q_bad_date_senders(spark, d):
+    return pf.bad_date_senders(wh(spark, d).emails(), *PLAUSIBLE)
+
+
+@query("registry_distribution")
+def q_registry_distribution(spark, d):
+    return pf.registry_distribution(wh(spark, d).registry())
+
+
+@query("unregistered_senders")
+def q_unregistered_senders(spark, d):
+    w = wh(spark, d)
+    return pf.unregistered_senders(w.emails(), w.recipients(), w.registry())
+
+
+@query("top_senders")
+def q_top_senders(spark, d):
+    w = wh(spark, d)
+    return pf.top_senders(w.emails(), "sender", 10).unionByName(
+        pf.top_senders(w.recipients(), "addr", 10, role="recipient"))
+
+
+@query("table_row_counts")
+def q_table_row_counts(spark, d):
+    w = wh(spark, d)
+    tables = {"staging.emails": w.emails(), "staging.recipients": w.recipients(),
+              "staging.registry": w.registry(), "curated.comm_edges": w.comm_edges()}
+    tables.update({f"catalog.{k}": v for k, v in w.catalog().items()})
+    return pf.table_row_counts(tables)
+
+
+@query("exhibit_counts")
+def q_exhibit_counts(spark, d):
+    return pf.exhibit_counts(exhibits(spark, d))
+
+
+@query("exhibit_members")
+def q_exhibit_members(spark, d):
+    return pf.exhibit_members(exhibits(spark, d))
+
+
+@query("message_dossier")
+def q_message_dossier(spark, d):
+    return pf.message_dossier(exhibits(spark, d))
+
+
+@query("flagged_peaks")
+def q_flagged_peaks(spark, d):
+    return pf.flagged_peaks(spikes(spark, d))
+
+
+@query("spike_series")
+def q_spike_series(spark, d):
+    return pf.spike_series(spikes(spark, d))
+
+
+@query("flag_totals")
+def q_flag_totals(spark, d):
+    return pf.flag_totals({"analytics.hunt4_orphaned_ownership": orphaned(spark, d),
+                           "analytics.hunt5_provenance_gaps": provenance(spark, d)})
+
+
+@query("headline_stats")
+def q_headline_stats(spark, d):
+    return pf.headline_stats(spikes(spark, d), exhibits(spark, d), P.flag_from)
+
+
+@query("board_summary")
+def q_board_summary(spark, d):
+    ev = pf.evidence_row_counts(evidence(spark, d))
+    return pf.board_summary(ev, rv.review_states(wh(spark, d).review_events()))
+
+
+# ------------------------------------------------------------------ ledger
+
+_TITLES = {
+    "hunt1_restatement_spikes": ("analytics.hunt1_comm_spikes", "Cross-group weekly communication surge", "medium"),
+    "hunt2_material_leakage": ("analytics.hunt2_external_leakage", "External transmission of restricted terms", "medium"),
+    "hunt3_spe_web": ("analytics.hunt3_spe_web", "Unclassified entities in the co-mention web", "high"),
+    "hunt4_orphaned_ownership": ("analytics.hunt4_orphaned_ownership", "Datasets with departed or implicated owners", "high"),
+    "hunt5_provenance_gaps": ("analytics.hunt5_provenance_gaps", "Material datasets with no documented provenance", "high"),
+    "hunt6_decoy_volume": ("analytics.hunt6_decoy_volume", "Per-key volume surge (control)", "low"),
+}
+_INPUTS = {
+    "hunt1_restatement_spikes": ["curated.comm_edges", "staging.registry", "reference.events"],
+    "hunt2_material_leakage": ["staging.emails", "staging.recipients", "reference.events"],
+    "hunt3_spe_web": ["staging.emails", "reference.web_entities"],
+    "hunt4_orphaned_ownership": ["catalog.datasets", "catalog.owners", "catalog.users"],
+    "hunt5_provenance_gaps": ["catalog.datasets", "catalog.job_io"],
+    "hunt6_decoy_volume": ["raw.events"],
+}
+RUN_ID = "run-1"
+
+
+def ledger_records(spark, d) -> dict[str, DataFrame]:
+    ev = evidence(spark, d)
+    recs = []
+    for hunt, (table, title, conf) in _TITLES.items():
+        recs.append(lg.record_finding(
+            ev[table], hunt_id=hunt, run_id=RUN_ID, title=title, narrative=f"{title}.",
+            sql=f"casefile:{hunt}", evidence_table=table, input_tables=_INPUTS[hunt],
+            terms=["Material"] if hunt in ("hunt4_orphaned_ownership", "hunt5_provenance_gaps") else [],
+            confidence=conf))
+    recs.append(lg.record_exhibits(
+        exhibits(spark, d), hunt_id="hunt1_restatement_spikes", run_id=RUN_ID,
+        finding_table="analytics.hunt1_comm_spikes", exhibits_table="analytics.hunt1_exhibits",
+        title="Hunt-1 exhibits", description="The messages behind the flagged weeks.",
+        sql="casefile:hunt_exhibits", input_tables=["staging.emails", "staging.recipients"]))
+    return lg.merge_records(recs)
+
+
+@query("materialize_evidence")
+def q_materialize_evidence(spark, d):
+    return lg.materialize_evidence(spikes(spark, d), "hunt1_comm_spikes",
+                                   work_path(spark, "evidence", uuid.uuid4().hex))
+
+
+@query("record_finding")
+def q_record_finding(spark, d):
+    return ledger_records(spark, d)["findings"].filter(F.col("exhibit_of").isNull())
+
+
+@query("record_exhibits")
+def q_record_exhibits(spark, d):
+    return ledger_records(spark, d)["findings"].filter(F.col("exhibit_of").isNotNull())
+
+
+@query("lineage_edges")
+def q_lineage_edges(spark, d):
+    return lg.lineage_edges(catalog(spark, d)["job_io"])
+
+
+@query("lineage_walk")
+def q_lineage_walk(spark, d):
+    edges = lg.lineage_edges(catalog(spark, d)["job_io"])
+    return lg.lineage_walk(edges, P.lineage_start, "up", P.lineage_depth)
+
+
+@query("verify_trails")
+def q_verify_trails(spark, d):
+    r = ledger_records(spark, d)
+    return lg.verify_trails(r["findings"], r["fields"], r["tags"], r["job_io"])
+
+
+@query("prior_findings")
+def q_prior_findings(spark, d):
+    r = ledger_records(spark, d)
+    return lg.prior_findings(r["findings"], r["tags"], tag="confidence-high").select(
+        "hunt_id", "evidence_table", "evidence_rows")
+
+
+@query("export_ledger")
+def q_export_ledger(spark, d):
+    r = ledger_records(spark, d)
+    states = rv.review_states(wh(spark, d).review_events())
+    return lg.export_ledger(r["findings"], states, work_path(spark, "export", uuid.uuid4().hex))
+
+
+@query("catalog_names")
+def q_catalog_names(spark, d):
+    ev = wh(spark, d).review_events().select("event_id", "entity", "modifier")
+    return lg.catalog_names(ev)
+
+
+# ------------------------------------------------------------------ review
+
+def review_log(spark, d):
+    return wh(spark, d).review_events()
+
+
+@query("review_states")
+def q_review_states(spark, d):
+    return rv.review_states(review_log(spark, d))
+
+
+@query("apply_verdict")
+def q_apply_verdict(spark, d):
+    return rv.apply_verdict(review_log(spark, d))
+
+
+@query("reopen_finding")
+def q_reopen_finding(spark, d):
+    return rv.reopen_finding(review_log(spark, d))
+
+
+@query("resolve_finding_keys")
+def q_resolve_finding_keys(spark, d):
+    ev = review_log(spark, d)
+    keys = (td.read(spark, d, "events").filter(F.col("event_type") == "signup")
+              .select(F.concat(F.lit("x"), F.col("user_id").cast("string")).alias("key")))
+    sets = ev.select("entity").unionByName(
+        staging.evidence_datasets(td.catalog_datasets(spark, d)).select(F.col("dataset").alias("entity")))
+    return rv.resolve_finding_keys(keys, sets)
+
+
+@query("implicated_assets")
+def q_implicated_assets(spark, d):
+    parts = [rv.implicated_assets(df, name) for name, df in evidence(spark, d).items()]
+    return pf.union_all(parts)
+
+
+@query("raise_incidents")
+def q_raise_incidents(spark, d):
+    return rv.raise_incidents(review_log(spark, d)).select(
+        "dataset", "title", F.col("at").cast("timestamp_ntz").alias("at"), "event_id")
+
+
+@query("resolve_incidents")
+def q_resolve_incidents(spark, d):
+    return rv.resolve_incidents(review_log(spark, d)).select(
+        "dataset", "title", F.col("at").cast("timestamp_ntz").alias("at"), "event_id")
+
+
+@query("active_incidents")
+def q_active_incidents(spark, d):
+    a = rv.active_incidents(rv.incident_actions(review_log(spark, d)))
+    return a.withColumn("raised_at", F.col("raised_at").cast("timestamp_ntz"))
+
+
+# ------------------------------------------------------------------ gate
+
+MUST_INCLUDE = ("nation_1.example", "nation_2.example", "nation_3.example")
+
+
+def checks(spark, d):
+    return gt.gate_checks(spikes(spark, d), exhibits(spark, d), leakage(spark, d), web(spark, d),
+                          orphaned(spark, d), provenance(spark, d), threshold=P.web_threshold,
+                          must_include_domains=MUST_INCLUDE)
+
+
+def gate_results(spark, d):
+    return gt.value_gate(checks(spark, d), gt.expectations_table(spark, expectations_for(d)))
+
+
+@query("value_gate")
+def q_value_gate(spark, d):
+    return gate_results(spark, d)
+
+
+@query("gate_assertions")
+def q_gate_assertions(spark, d):
+    return gt.gate_assertions(gate_results(spark, d))
+
+
+def slice_tables(spark, d):
+    w = wh(spark, d)
+    return gt.extract_slice(w.comm_edges(), w.registry(), P.group_a, P.group_b,
+                            work_path(spark, "slice", uuid.uuid4().hex))
+
+
+@query("extract_slice")
+def q_extract_slice(spark, d):
+    return slice_tables(spark, d)["comm_edges"]
+
+
+@query("recompute_check")
+def q_recompute_check(spark, d):
+    return gt.recompute_check(slice_tables(spark, d), events_table(spark), spikes(spark, d),
+                              group_a=P.group_a, group_b=P.group_b, baseline=P.baseline,
+                              flag_from=P.flag_from, z=P.spike_z)
+
+
+@query("set_compare")
+def q_set_compare(spark, d):
+    want = spark.createDataFrame([(w,) for w in expectations_for(d, "shadow_list")], "value string")
+    got = lex.shadow_candidates(web(spark, d), P.web_threshold).select(F.col("candidate").alias("value"))
+    return gt.set_compare(got, want)
+
+
+# ------------------------------------------------------------------ streaming alerts
+
+def _alert_run(spark, d, dedup: bool = False, redeliver: bool = False):
+    """Write the review events as the event folder, run the alert stream with
+    availableNow into a JSON log, and return the log folder."""
+    root = work_path(spark, "alerts", uuid.uuid4().hex)
+    ev = review_log(spark, d)
+    if redeliver:
+        ev = ev.unionByName(ev.filter(F.col("event_id") % 3 == 0))  # every third event sent twice
+    ev.write.parquet(f"{root}/events")
+    alerts = al.review_alerts_stream(spark, f"{root}/events", P.review_tags)
+    if dedup:
+        alerts = al.alert_dedup_stream(alerts)
+    al.alert_log_append(alerts, f"{root}/log", f"{root}/checkpoint")
+    return f"{root}/log"
+
+
+def _payload(df):
+    return df.select("event_id", F.col("at").cast("timestamp_ntz").alias("at"), "entityUrn",
+                     "category", "operation", "modifier")
+
+
+@query("review_alerts_stream")
+def q_review_alerts_stream(spark, d):
+    return _payload(al.load_alert_log(spark, _alert_run(spark, d)))
+
+
+@query("alert_log_append")
+def q_alert_log_append(spark, d):
+    log = al.load_alert_log(spark, _alert_run(spark, d))
+    return log.select("event_id", "entityUrn", F.col("received_at").isNotNull().alias("stamped"))
+
+
+@query("alert_feed")
+def q_alert_feed(spark, d):
+    return al.alert_feed(al.load_alert_log(spark, _alert_run(spark, d)))
+
+
+@query("alert_dedup_stream")
+def q_alert_dedup_stream(spark, d):
+    return _payload(al.load_alert_log(spark, _alert_run(spark, d, dedup=True, redeliver=True)))
+
+
+@query("load_alert_log")
+def q_load_alert_log(spark, d):
+    log = _alert_run(spark, d)
+    # a torn write and a blank line appended to the log: both must be skipped
+    torn = spark.createDataFrame([('{"event_id": 1, "entityUrn": ',), ("",)], "value string")
+    torn.coalesce(1).write.mode("append").text(log)
+    return _payload(al.load_alert_log(spark, log))
+
+
+# ------------------------------------------------------------------ transcripts
+
+def msgs(spark, d):
+    return wh(spark, d).transcripts()
+
+
+def markers(spark, d):
+    return tr.transcript_markers(msgs(spark, d), P.marker_words)
+
+
+@query("transcript_markers")
+def q_transcript_markers(spark, d):
+    return markers(spark, d)
+
+
+@query("run_reliability")
+def q_run_reliability(spark, d):
+    return tr.run_reliability(markers(spark, d), msgs(spark, d), "und")
+
+
+@query("repeated_calls")
+def q_repeated_calls(spark, d):
+    return tr.repeated_calls(tr.call_signatures(msgs(spark, d)), limit=P.repeat_limit,
+                             budget_turn=P.budget_turn, write_tools=("system",))
+
+
+@query("budget_breaches")
+def q_budget_breaches(spark, d):
+    return tr.budget_breaches(msgs(spark, d), turn=P.budget_turn, write_tools=("system",))
+
+
+@query("artifact_manifest")
+def q_artifact_manifest(spark, d):
+    return tr.artifact_manifest(markers(spark, d))
+
+
+@query("transcript_trace")
+def q_transcript_trace(spark, d):
+    return tr.transcript_trace(msgs(spark, d), P.trace_cut)
+
+
+@query("normalized_tool_calls")
+def q_normalized_tool_calls(spark, d):
+    m = msgs(spark, d).select("run_id", "turn", F.split_part("text", F.lit(" "), F.lit(1)).alias("table_arg"),
+                              F.col("text").alias("sql_arg"))
+    return tr.normalized_tool_calls(m)
