@@ -33,12 +33,21 @@ def _hit_arrays(emails: DataFrame, words: Sequence[str], *, prefilter: bool,
     return e.select(*keep, lexicon_hits("_txt", words).alias("_hits"))
 
 
-def lexicon_mentions(emails: DataFrame, words: Sequence[str], *, prefilter: bool = True,
+def lexicon_mentions(emails: DataFrame, words: Sequence[str], *, prefilter: bool = False,
                      window: tuple[str | None, str | None] | None = None,
                      keep: Sequence[str] = ("id",)) -> DataFrame:
-    """One row per (message, distinct whole-word hit): keep columns + entity."""
+    """One row per (message, distinct whole-word hit): keep columns + entity.
+
+    The regex pass is itself the filter: messages without a hit explode to
+    nothing.  `explode_outer` + a NOT NULL filter keeps Catalyst from
+    inferring a `size(hits) > 0` pre-filter that would run the regex twice.
+    The substring prefilter (F2) is optional: it never changes the result, and
+    on Spark each of its terms lower-cases the text again, so it is off by
+    default.
+    """
     h = _hit_arrays(emails, words, prefilter=prefilter, window=window, keep=keep)
-    return h.select(*keep, F.explode("_hits").alias("entity"))
+    return (h.select(*keep, F.explode_outer("_hits").alias("entity"))
+             .filter(F.col("entity").isNotNull()))
 
 
 def _pairs(arr):
@@ -49,21 +58,25 @@ def _pairs(arr):
             lambda y: F.struct(x.alias("entity_a"), y.alias("entity_b")))))
 
 
-def co_mention_edges(emails: DataFrame, words: Sequence[str], *, prefilter: bool = True,
+def co_mention_edges(emails: DataFrame, words: Sequence[str], *, prefilter: bool = False,
                      window: tuple[str | None, str | None] | None = None) -> DataFrame:
     """(entity_a < entity_b, co_mentions) over messages mentioning both."""
     h = _hit_arrays(emails, words, prefilter=prefilter, window=window, keep=("id",))
-    p = h.select(F.explode(_pairs(F.array_sort("_hits"))).alias("_p"))
+    p = (h.select(F.explode_outer(_pairs(F.array_sort("_hits"))).alias("_p"))
+          .filter(F.col("_p").isNotNull()))
     return (p.groupBy(F.col("_p.entity_a").alias("entity_a"), F.col("_p.entity_b").alias("entity_b"))
              .agg(F.count(F.lit(1)).alias("co_mentions")))
 
 
 def co_mention_self_join(mentions: DataFrame) -> DataFrame:
-    """The SQL shape — self equi-join on the message id with a < b."""
-    a = mentions.select(F.col("id").alias("_id"), F.col("entity").alias("entity_a"))
-    b = mentions.select(F.col("id").alias("_id2"), F.col("entity").alias("entity_b"))
-    j = a.join(b, (F.col("_id") == F.col("_id2")) & (F.col("entity_a") < F.col("entity_b")))
-    return j.groupBy("entity_a", "entity_b").agg(F.count(F.lit(1)).alias("co_mentions"))
+    """The SQL shape — self equi-join on the message id with a < b.
+
+    Both sides are the same DataFrame, so the shuffle of `mentions` is planned
+    once and reused (ReusedExchange) rather than computed twice."""
+    a, b = mentions.alias("a"), mentions.alias("b")
+    j = a.join(b, (F.col("a.id") == F.col("b.id")) & (F.col("a.entity") < F.col("b.entity")))
+    return (j.groupBy(F.col("a.entity").alias("entity_a"), F.col("b.entity").alias("entity_b"))
+             .agg(F.count(F.lit(1)).alias("co_mentions")))
 
 
 def known_entities(entities: DataFrame, aliases: Sequence[str] = ()) -> DataFrame:
@@ -89,7 +102,7 @@ def known_flag_existence(edges: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def hunt_entity_web(emails: DataFrame, entities: DataFrame, words: Sequence[str], *,
-                    aliases: Sequence[str] = (), prefilter: bool = True,
+                    aliases: Sequence[str] = (), prefilter: bool = False,
                     window: tuple[str | None, str | None] | None = None) -> DataFrame:
     """H3: co-mention edges with known flags."""
     edges = co_mention_edges(emails, words, prefilter=prefilter, window=window)
@@ -124,7 +137,7 @@ def unknown_right_side(web: DataFrame, k: int = 10) -> DataFrame:
 
 def hunt_external_leakage(emails: DataFrame, recipients: DataFrame, events: DataFrame,
                           words: Sequence[str], *, window: tuple[str, str], suffix: str,
-                          prefilter: bool = True) -> DataFrame:
+                          prefilter: bool = False) -> DataFrame:
     """H2: messages naming lexicon entities sent outside the perimeter before
     the first event; one row per message x entity x external recipient."""
     hits = lexicon_mentions(emails, words, prefilter=prefilter, window=window,

@@ -192,7 +192,7 @@ def q_first_event_scalar(spark, d):
 
 def exhibits(spark, d):
     w = wh(spark, d)
-    flagged = spikes(spark, d).filter(F.col("flagged")).select("week")
+    flagged = ev(spark, d, "spikes").filter(F.col("flagged")).select("week")
     return comms.hunt_exhibits(w.emails(), w.recipients(), w.registry(), group_a=P.group_a,
                                group_b=P.group_b, weeks=flagged, labels=P.direction_labels)
 
@@ -248,17 +248,17 @@ def q_hunt_entity_web(spark, d):
 
 @query("shadow_candidates")
 def q_shadow_candidates(spark, d):
-    return lex.shadow_candidates(web(spark, d), P.web_threshold)
+    return lex.shadow_candidates(ev(spark, d, "web"), P.web_threshold)
 
 
 @query("classification_proposals")
 def q_classification_proposals(spark, d):
-    return lex.classification_proposals(web(spark, d), glossary_table(spark), P.web_threshold)
+    return lex.classification_proposals(ev(spark, d, "web"), glossary_table(spark), P.web_threshold)
 
 
 @query("unknown_right_side")
 def q_unknown_right_side(spark, d):
-    return lex.unknown_right_side(web(spark, d), 10)
+    return lex.unknown_right_side(ev(spark, d, "web"), 10)
 
 
 @query("hunt_external_leakage")
@@ -268,17 +268,17 @@ def q_hunt_external_leakage(spark, d):
 
 @query("leak_distinct_counts")
 def q_leak_distinct_counts(spark, d):
-    return lex.leak_distinct_counts(leakage(spark, d))
+    return lex.leak_distinct_counts(ev(spark, d, "leakage"))
 
 
 @query("leak_domains")
 def q_leak_domains(spark, d):
-    return lex.leak_domains(leakage(spark, d), 6)
+    return lex.leak_domains(ev(spark, d, "leakage"), 6)
 
 
 @query("leak_domain_rows")
 def q_leak_domain_rows(spark, d):
-    return lex.leak_domain_rows(leakage(spark, d), 12)
+    return lex.leak_domain_rows(ev(spark, d, "leakage"), 12)
 
 
 # ------------------------------------------------------------------ surge
@@ -327,6 +327,13 @@ def decoy(spark, d):
                                 bucket_name="day", sample_name="sample_event_type")
 
 
+def ev(spark, d, name: str) -> DataFrame:
+    """An investigation's evidence table (written once, then read)."""
+    builders = {"spikes": spikes, "leakage": leakage, "web": web, "orphaned": orphaned,
+                "provenance": provenance, "decoy": decoy, "exhibits": exhibits}
+    return wh(spark, d).evidence(name, lambda: builders[name](spark, d))
+
+
 @query("hunt_volume_decoy")
 def q_hunt_volume_decoy(spark, d):
     return decoy(spark, d)
@@ -334,7 +341,7 @@ def q_hunt_volume_decoy(spark, d):
 
 @query("top_surge")
 def q_top_surge(spark, d):
-    return surge.top_surge(decoy(spark, d), "user_id", "day")
+    return surge.top_surge(ev(spark, d, "decoy"), "user_id", "day")
 
 
 # ------------------------------------------------------------------ governance
@@ -418,12 +425,12 @@ PLAUSIBLE = ("1995-01-01", "2001-12-31")
 def evidence(spark, d) -> dict[str, DataFrame]:
     """The six evidence sets under their evidence-table names."""
     return {
-        "analytics.hunt1_comm_spikes": spikes(spark, d),
-        "analytics.hunt2_external_leakage": leakage(spark, d),
-        "analytics.hunt3_spe_web": web(spark, d),
-        "analytics.hunt4_orphaned_ownership": orphaned(spark, d),
-        "analytics.hunt5_provenance_gaps": provenance(spark, d),
-        "analytics.hunt6_decoy_volume": decoy(spark, d),
+        "analytics.hunt1_comm_spikes": ev(spark, d, "spikes"),
+        "analytics.hunt2_external_leakage": ev(spark, d, "leakage"),
+        "analytics.hunt3_spe_web": ev(spark, d, "web"),
+        "analytics.hunt4_orphaned_ownership": ev(spark, d, "orphaned"),
+        "analytics.hunt5_provenance_gaps": ev(spark, d, "provenance"),
+        "analytics.hunt6_decoy_volume": ev(spark, d, "decoy"),
     }
 
 
@@ -466,44 +473,44 @@ def q_table_row_counts(spark, d):
 
 @query("exhibit_counts")
 def q_exhibit_counts(spark, d):
-    return pf.exhibit_counts(exhibits(spark, d))
+    return pf.exhibit_counts(ev(spark, d, "exhibits"))
 
 
 @query("exhibit_members")
 def q_exhibit_members(spark, d):
-    return pf.exhibit_members(exhibits(spark, d))
+    return pf.exhibit_members(ev(spark, d, "exhibits"))
 
 
 @query("message_dossier")
 def q_message_dossier(spark, d):
-    return pf.message_dossier(exhibits(spark, d))
+    return pf.message_dossier(ev(spark, d, "exhibits"))
 
 
 @query("flagged_peaks")
 def q_flagged_peaks(spark, d):
-    return pf.flagged_peaks(spikes(spark, d))
+    return pf.flagged_peaks(ev(spark, d, "spikes"))
 
 
 @query("spike_series")
 def q_spike_series(spark, d):
-    return pf.spike_series(spikes(spark, d))
+    return pf.spike_series(ev(spark, d, "spikes"))
 
 
 @query("flag_totals")
 def q_flag_totals(spark, d):
-    return pf.flag_totals({"analytics.hunt4_orphaned_ownership": orphaned(spark, d),
-                           "analytics.hunt5_provenance_gaps": provenance(spark, d)})
+    return pf.flag_totals({"analytics.hunt4_orphaned_ownership": ev(spark, d, "orphaned"),
+                           "analytics.hunt5_provenance_gaps": ev(spark, d, "provenance")})
 
 
 @query("headline_stats")
 def q_headline_stats(spark, d):
-    return pf.headline_stats(spikes(spark, d), exhibits(spark, d), P.flag_from)
+    return pf.headline_stats(ev(spark, d, "spikes"), ev(spark, d, "exhibits"), P.flag_from)
 
 
 @query("board_summary")
 def q_board_summary(spark, d):
-    ev = pf.evidence_row_counts(evidence(spark, d))
-    return pf.board_summary(ev, rv.review_states(wh(spark, d).review_events()))
+    counts = pf.evidence_row_counts(evidence(spark, d))
+    return pf.board_summary(counts, rv.review_states(wh(spark, d).review_events()))
 
 
 # ------------------------------------------------------------------ ledger
@@ -528,16 +535,16 @@ RUN_ID = "run-1"
 
 
 def ledger_records(spark, d) -> dict[str, DataFrame]:
-    ev = evidence(spark, d)
+    tables = evidence(spark, d)
     recs = []
     for hunt, (table, title, conf) in _TITLES.items():
         recs.append(lg.record_finding(
-            ev[table], hunt_id=hunt, run_id=RUN_ID, title=title, narrative=f"{title}.",
+            tables[table], hunt_id=hunt, run_id=RUN_ID, title=title, narrative=f"{title}.",
             sql=f"casefile:{hunt}", evidence_table=table, input_tables=_INPUTS[hunt],
             terms=["Material"] if hunt in ("hunt4_orphaned_ownership", "hunt5_provenance_gaps") else [],
             confidence=conf))
     recs.append(lg.record_exhibits(
-        exhibits(spark, d), hunt_id="hunt1_restatement_spikes", run_id=RUN_ID,
+        ev(spark, d, "exhibits"), hunt_id="hunt1_restatement_spikes", run_id=RUN_ID,
         finding_table="analytics.hunt1_comm_spikes", exhibits_table="analytics.hunt1_exhibits",
         title="Hunt-1 exhibits", description="The messages behind the flagged weeks.",
         sql="casefile:hunt_exhibits", input_tables=["staging.emails", "staging.recipients"]))
@@ -593,8 +600,8 @@ def q_export_ledger(spark, d):
 
 @query("catalog_names")
 def q_catalog_names(spark, d):
-    ev = wh(spark, d).review_events().select("event_id", "entity", "modifier")
-    return lg.catalog_names(ev)
+    events = wh(spark, d).review_events().select("event_id", "entity", "modifier")
+    return lg.catalog_names(events)
 
 
 # ------------------------------------------------------------------ review
@@ -620,10 +627,10 @@ def q_reopen_finding(spark, d):
 
 @query("resolve_finding_keys")
 def q_resolve_finding_keys(spark, d):
-    ev = review_log(spark, d)
+    log = review_log(spark, d)
     keys = (td.read(spark, d, "events").filter(F.col("event_type") == "signup")
               .select(F.concat(F.lit("x"), F.col("user_id").cast("string")).alias("key")))
-    sets = ev.select("entity").unionByName(
+    sets = log.select("entity").unionByName(
         staging.evidence_datasets(td.catalog_datasets(spark, d)).select(F.col("dataset").alias("entity")))
     return rv.resolve_finding_keys(keys, sets)
 
@@ -658,8 +665,8 @@ MUST_INCLUDE = ("nation_1.example", "nation_2.example", "nation_3.example")
 
 
 def checks(spark, d):
-    return gt.gate_checks(spikes(spark, d), exhibits(spark, d), leakage(spark, d), web(spark, d),
-                          orphaned(spark, d), provenance(spark, d), threshold=P.web_threshold,
+    return gt.gate_checks(ev(spark, d, "spikes"), ev(spark, d, "exhibits"), ev(spark, d, "leakage"), ev(spark, d, "web"),
+                          ev(spark, d, "orphaned"), ev(spark, d, "provenance"), threshold=P.web_threshold,
                           must_include_domains=MUST_INCLUDE)
 
 
@@ -690,7 +697,7 @@ def q_extract_slice(spark, d):
 
 @query("recompute_check")
 def q_recompute_check(spark, d):
-    return gt.recompute_check(slice_tables(spark, d), events_table(spark), spikes(spark, d),
+    return gt.recompute_check(slice_tables(spark, d), events_table(spark), ev(spark, d, "spikes"),
                               group_a=P.group_a, group_b=P.group_b, baseline=P.baseline,
                               flag_from=P.flag_from, z=P.spike_z)
 
@@ -698,7 +705,7 @@ def q_recompute_check(spark, d):
 @query("set_compare")
 def q_set_compare(spark, d):
     want = spark.createDataFrame([(w,) for w in expectations_for(d, "shadow_list")], "value string")
-    got = lex.shadow_candidates(web(spark, d), P.web_threshold).select(F.col("candidate").alias("value"))
+    got = lex.shadow_candidates(ev(spark, d, "web"), P.web_threshold).select(F.col("candidate").alias("value"))
     return gt.set_compare(got, want)
 
 
@@ -708,10 +715,10 @@ def _alert_run(spark, d, dedup: bool = False, redeliver: bool = False):
     """Write the review events as the event folder, run the alert stream with
     availableNow into a JSON log, and return the log folder."""
     root = work_path(spark, "alerts", uuid.uuid4().hex)
-    ev = review_log(spark, d)
+    events = review_log(spark, d)
     if redeliver:
-        ev = ev.unionByName(ev.filter(F.col("event_id") % 3 == 0))  # every third event sent twice
-    ev.write.parquet(f"{root}/events")
+        events = events.unionByName(events.filter(F.col("event_id") % 3 == 0))  # every third sent twice
+    events.write.parquet(f"{root}/events")
     alerts = al.review_alerts_stream(spark, f"{root}/events", P.review_tags)
     if dedup:
         alerts = al.alert_dedup_stream(alerts)

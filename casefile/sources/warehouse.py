@@ -8,7 +8,14 @@ re-reads the written files instead of recomputing the adapters, and every
 investigation over the same directory reuses the same staged files.
 
 Emails are written sorted by `sent_at` within each file so the date windows
-of the hunts skip row groups through parquet min/max statistics.
+of the hunts skip row groups through parquet min/max statistics, and with a
+cap on rows per file: the text scans (lexicon regexes) are CPU-bound, and a
+split can only start at a file or row-group border, so bounded files keep
+every core busy (20k messages with bodies is on the order of 100 MB).
+
+The evidence layer (`evidence`) keeps each investigation's result the way the
+investigations do: written once, then read by the reports, the ledger and the
+gate instead of being recomputed by each of them.
 """
 
 from __future__ import annotations
@@ -50,26 +57,30 @@ class Warehouse:
         return td.raw_messages(self.spark, self.sf_dir)
 
     # staged ---------------------------------------------------------------
-    def _staged(self, name: str, build, sort_by: str | None = None) -> DataFrame:
+    def _staged(self, name: str, build, sort_by: str | None = None,
+                max_records: int = 1_000_000) -> DataFrame:
         if name in self._tables:
             return self._tables[name]
         df = build()
         if self.materialize:
             path = f"{self._root}/{name}"
             w = df.sortWithinPartitions(sort_by) if sort_by else df
-            w.write.mode("overwrite").parquet(path)
+            w.write.mode("overwrite").option("maxRecordsPerFile", max_records).parquet(path)
             df = self.spark.read.parquet(path)
         self._tables[name] = df
         return df
 
     def emails(self) -> DataFrame:
-        return self._staged("emails", lambda: stage_messages(self.raw_messages()), "sent_at")
+        return self._staged("emails", lambda: stage_messages(self.raw_messages()), "sent_at",
+                            max_records=20_000)
 
     def recipients(self) -> DataFrame:
-        return self._staged("recipients", lambda: explode_recipients(self.raw_messages()))
+        return self._staged("recipients", lambda: explode_recipients(self.raw_messages()),
+                            max_records=200_000)
 
     def message_edges(self) -> DataFrame:
-        return self._staged("message_edges", lambda: message_edges(self.raw_messages()), "sent_at")
+        return self._staged("message_edges", lambda: message_edges(self.raw_messages()), "sent_at",
+                            max_records=200_000)
 
     def comm_edges(self) -> DataFrame:
         return self._staged("comm_edges", lambda: weekly_edges_from_edges(self.message_edges()))
@@ -77,6 +88,10 @@ class Warehouse:
     def registry(self) -> DataFrame:
         return self._staged("registry", lambda: td.registry(self.spark, self.sf_dir))
 
+    def evidence(self, name: str, build) -> DataFrame:
+        """An investigation result, written once under evidence/<name>."""
+        return self._staged(f"evidence/{name}", build)
+
     # catalog / review / transcripts (cheap column maps over the raw tables) ----
     def catalog(self) -> dict[str, DataFrame]:
         s, d = self.spark, self.sf_dir
