@@ -164,7 +164,13 @@ def incident_actions(tag_events: DataFrame, assets: DataFrame | None = None) ->
     else:
         acts = acts.withColumn("dataset", F.col("entity"))
     acts = acts.withColumn("title", incident_title(F.col("entity")))
-    p = segmented_prev(acts, ["dataset", "title"], ["at", "event_id"], ["action"], F.to_date("at"))
+    return incident_effects(acts.select("dataset", "title", "action", "at", "event_id"))
+
+
+def incident_effects(actions: DataFrame) -> DataFrame:
+    """C17 over (dataset, title, action, at, event_id): a raise is effective
+    iff the previous action is absent or a resolve; a resolve iff it is a raise."""
+    p = segmented_prev(actions, ["dataset", "title"], ["at", "event_id"], ["action"], F.to_date("at"))
     eff = (F.when(F.col("action") == "raise",
                   F.col("prev_action").isNull() | (F.col("prev_action") == "resolve"))
             .otherwise(F.coalesce(F.col("prev_action") == "raise", F.lit(False))))

@@ -337,21 +337,45 @@ SELECT dataset, title, "at" AS raised_at FROM (
 # ------------------------------------------------------------------ gate (expectations for sf0.01)
 from casefile.plans.expectations import EXPECTATIONS, SHADOW_LISTS  # noqa: E402
 
-_WANT = ", ".join(f"('{k}', '{v}')" for k, v in sorted(EXPECTATIONS["sf0.01"].items()))
-_GATE = f"""
+
+
+def _gate_sql(scale: str) -> str:
+    want = ", ".join(f"('{k}', '{v}')" for k, v in sorted(EXPECTATIONS[scale].items()))
+    return f"""
 SELECT coalesce(c."check", w."check") AS "check", c.got, w.want, coalesce(c.got = w.want, false) AS ok,
        CASE WHEN coalesce(c.got = w.want, false) THEN '' WHEN c.got IS NULL THEN 'missing evidence'
             WHEN w.want IS NULL THEN 'no expectation' ELSE concat('got ', c.got, ' want ', w.want) END AS detail
-FROM gate_checks c FULL OUTER JOIN (VALUES {_WANT}) w("check", want) ON c."check" = w."check"
+FROM gate_checks c FULL OUTER JOIN (VALUES {want}) w("check", want) ON c."check" = w."check"
 """
-oracle("value_gate", _GATE, "gate_checks")
-oracle("gate_assertions", f"""
+
+
+def _assertions_sql(scale: str) -> str:
+    return f"""
 SELECT split_part("check", '.', 1) AS "group", bool_and(ok) AS passed, count(*) FILTER (WHERE ok) AS n_ok,
        count(*) AS n_all,
        string_agg(concat("check", '=', CASE WHEN ok THEN 'PASS' ELSE 'FAIL' END), '; '
                   ORDER BY concat("check", '=', CASE WHEN ok THEN 'PASS' ELSE 'FAIL' END)) AS results,
        concat('gate-', split_part("check", '.', 1)) AS assertion_id
-FROM ({_GATE}) g GROUP BY 1""", "gate_checks")
+FROM ({_gate_sql(scale)}) g GROUP BY 1"""
+
+
+def _set_compare_sql(scale: str) -> str:
+    want = ", ".join(f"('{w}')" for w in SHADOW_LISTS[scale])
+    return f"""
+SELECT coalesce(g.value, w.value) AS value, g.value IS NOT NULL AS in_got, w.value IS NOT NULL AS in_want
+FROM (SELECT candidate AS value FROM shadow) g
+FULL OUTER JOIN (VALUES {want}) w(value) ON g.value = w.value"""
+
+
+def scale_oracles(scale: str) -> dict[str, str]:
+    """The oracles whose checked-in expectations depend on the TESTDATA scale."""
+    return {"value_gate": with_ctes(_gate_sql(scale), "gate_checks"),
+            "gate_assertions": with_ctes(_assertions_sql(scale), "gate_checks"),
+            "set_compare": with_ctes(_set_compare_sql(scale), "shadow")}
+
+
+ORACLES.update(scale_oracles("sf0.01"))  # the driver's correctness scale
+
 oracle("extract_slice", """
 SELECT * FROM comm_edges
 WHERE (sender IN (SELECT addr FROM group_a) AND recipient IN (SELECT addr FROM group_b))
@@ -361,12 +385,6 @@ oracle("recompute_check", """
 SELECT f.flagged_weeks, true AS matches_full, p.week AS peak_week, p.vol AS peak_volume, p.zscore AS peak_zscore
 FROM (SELECT count(*) AS flagged_weeks FROM comm_spikes WHERE flagged) f LEFT JOIN peak p ON true""",
        "comm_spikes", "peak")
-_SHADOW_WANT = ", ".join(f"('{w}')" for w in SHADOW_LISTS["sf0.01"])
-oracle("set_compare", f"""
-SELECT coalesce(g.value, w.value) AS value, g.value IS NOT NULL AS in_got, w.value IS NOT NULL AS in_want
-FROM (SELECT candidate AS value FROM shadow) g
-FULL OUTER JOIN (VALUES {_SHADOW_WANT}) w(value) ON g.value = w.value""", "shadow")
-
 # ------------------------------------------------------------------ streaming alerts
 _ALERTS = """
 FROM review_events WHERE category = 'TAG'
