@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from casefile.operators.staging import (explode_recipients, message_edges, stage_messages,
                                         weekly_edges_from_edges)
@@ -54,7 +55,11 @@ class Warehouse:
         return td.read(self.spark, self.sf_dir, name)
 
     def raw_messages(self) -> DataFrame:
-        return td.raw_messages(self.spark, self.sf_dir)
+        """The raw message source (written once: the adapter join of orders,
+        documents and line-item suppliers runs a single time; every staged
+        table below is a narrow pass over it)."""
+        return self._staged("raw_messages", lambda: td.raw_messages(self.spark, self.sf_dir),
+                            max_records=20_000)
 
     # staged ---------------------------------------------------------------
     def _staged(self, name: str, build, sort_by: str | None = None,
@@ -75,8 +80,11 @@ class Warehouse:
                             max_records=20_000)
 
     def recipients(self) -> DataFrame:
-        return self._staged("recipients", lambda: explode_recipients(self.raw_messages()),
-                            max_records=200_000)
+        """staging.recipients (email_id, addr): a projection of the staged
+        message edges, which hold exactly the exploded recipient tokens."""
+        if not self.materialize:
+            return explode_recipients(self.raw_messages())
+        return self.message_edges().select("email_id", F.col("recipient").alias("addr"))
 
     def message_edges(self) -> DataFrame:
         return self._staged("message_edges", lambda: message_edges(self.raw_messages()), "sent_at",
