@@ -99,11 +99,13 @@ def nearest_event_days(df: DataFrame, date_col: str, events: DataFrame,
                        event_col: str = "event_date", name: str = "days_to_event") -> DataFrame:
     """Min |days| from `date_col` to any event.
 
-    The event table is collapsed to one row holding its dates (an aggregate,
-    not a driver collect) and joined as a broadcast one-row side; reference
-    event tables are literal lists.
+    The event table is collapsed to one row holding its distinct dates (an
+    aggregate, not a driver collect) and joined as a broadcast one-row side.
+    Distinct DATE values are bounded by the calendar (about 36.5k per
+    century), whatever the size of the event table.
     """
-    ev = events.agg(F.collect_list(F.col(event_col)).alias("_ev"))
+    ev = (events.select(F.col(event_col).cast("date").alias("_d")).distinct()
+                .agg(F.collect_list("_d").alias("_ev")))
     d = F.col(date_col)
     dist = F.array_min(F.transform("_ev", lambda e: F.abs(F.datediff(e, d))))
     return (df.crossJoin(F.broadcast(ev))
