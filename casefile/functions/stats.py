@@ -21,10 +21,14 @@ def is_integral(dtype: T.DataType) -> bool:
     return isinstance(dtype, _INTEGRAL)
 
 
-def moment_sums(c: str) -> list[Column]:
-    """Aggregates `_s`, `_ss`, `_n` over an integral column (exact)."""
+def moment_sums(c: str, where: Column | None = None) -> list[Column]:
+    """Aggregates `_s`, `_ss`, `_n` over an integral column (exact); with
+    `where`, only rows satisfying it count (a conditional aggregate, so the
+    input subtree stays identical to other consumers and can be reused)."""
     v = F.col(c).cast("decimal(38,0)")
-    return [F.sum(v).alias("_s"), F.sum(v * v).alias("_ss"), F.count(F.col(c)).cast("decimal(38,0)").alias("_n")]
+    if where is not None:
+        v = F.when(where, v)
+    return [F.sum(v).alias("_s"), F.sum(v * v).alias("_ss"), F.count(v).cast("decimal(38,0)").alias("_n")]
 
 
 def mean_from_sums() -> Column:

@@ -62,13 +62,18 @@ def cross_group_volume(edges: DataFrame, registry: DataFrame, group_a: Sequence[
 def baseline_stats(series: DataFrame, value: str, key: str, lo: str, hi: str) -> DataFrame:
     """Global mean and sample stddev over the baseline window; always one row.
 
-    Integer volumes use exact integer moments (merge-order independent)."""
+    Integer volumes use exact integer moments (merge-order independent).  The
+    window is a condition inside the aggregate rather than a filter below it:
+    the series subtree then stays identical to the one the z-scores read, and
+    AQE reuses its shuffle stage instead of recomputing the series join.
+    """
     k = F.col(key)
-    b = series.filter((k >= F.lit(lo).cast("date")) & (k <= F.lit(hi).cast("date")))
+    inside = (k >= F.lit(lo).cast("date")) & (k <= F.lit(hi).cast("date"))
     if is_integral(series.schema[value].dataType):
-        return b.agg(*moment_sums(value)).select(mean_from_sums().alias("mu"),
-                                                 stddev_from_sums().alias("sigma"))
-    return b.agg(F.avg(value).alias("mu"), F.stddev_samp(value).alias("sigma"))
+        return series.agg(*moment_sums(value, inside)).select(mean_from_sums().alias("mu"),
+                                                              stddev_from_sums().alias("sigma"))
+    v = F.when(inside, F.col(value))
+    return series.agg(F.avg(v).alias("mu"), F.stddev_samp(v).alias("sigma"))
 
 
 def zscore_fixed_baseline(series: DataFrame, value: str = "vol", key: str = "week", *,
