@@ -53,28 +53,43 @@ def with_previous(log: DataFrame) -> DataFrame:
     return segmented_prev(log, ["entity"], ["at", "event_id"], ["kind"], _day())
 
 
-def apply_verdict(tag_events: DataFrame) -> DataFrame:
-    """Every verdict with `effective` (legal only from pending)."""
-    p = with_previous(state_log(tag_events))
-    return (p.filter(F.col("kind").isin(*VERDICTS))
+def annotated_log(tag_events: DataFrame) -> DataFrame:
+    """State events with `prev_kind` and `after_first_pending` (some pending
+    event precedes this one): one pass that both the verdict and the reopen
+    views project from."""
+    log = state_log(tag_events)
+    first = (log.filter(F.col("kind") == PENDING)
+                .groupBy("entity").agg(F.min(_pos()).alias("_first_pending")))
+    p = with_previous(log).join(first, "entity", "left")
+    after = F.coalesce(_pos() > F.col("_first_pending"), F.lit(False))
+    return p.withColumn("after_first_pending", after).drop("_first_pending")
+
+
+def _verdicts(a: DataFrame) -> DataFrame:
+    return (a.filter(F.col("kind").isin(*VERDICTS))
              .select("event_id", "entity", F.col("at").cast("timestamp_ntz").alias("at"),
                      F.col("kind").alias("verdict"),
                      F.coalesce(F.col("prev_kind") == PENDING, F.lit(False)).alias("effective")))
 
 
+def _reopens(a: DataFrame) -> DataFrame:
+    # a verdict right before a pending event is the state iff some pending
+    # event came before it (the first verdict after a pending is effective)
+    return (a.filter((F.col("kind") == PENDING) & F.col("prev_kind").isin(*VERDICTS)
+                     & F.col("after_first_pending"))
+             .select("event_id", "entity", F.col("at").cast("timestamp_ntz").alias("at"),
+                     F.col("prev_kind").alias("from_state")))
+
+
+def apply_verdict(tag_events: DataFrame) -> DataFrame:
+    """Every verdict with `effective` (legal only from pending)."""
+    return _verdicts(annotated_log(tag_events))
+
+
 def reopen_finding(tag_events: DataFrame) -> DataFrame:
     """Pending events that reopen a reviewed finding (the state before
     them is a verdict); `from_state` is the verdict they undo."""
-    log = state_log(tag_events)
-    first = (log.filter(F.col("kind") == PENDING)
-                .groupBy("entity").agg(F.min(_pos()).alias("_first_pending")))
-    p = with_previous(log).filter(F.col("kind") == PENDING)
-    # a verdict right before us is the state iff some pending event came before it
-    # (the first verdict after a pending is always effective)
-    return (p.join(first, "entity")
-             .filter(F.col("prev_kind").isin(*VERDICTS) & (_pos() > F.col("_first_pending")))
-             .select("event_id", "entity", F.col("at").cast("timestamp_ntz").alias("at"),
-                     F.col("prev_kind").alias("from_state")))
+    return _reopens(annotated_log(tag_events))
 
 
 def review_states(tag_events: DataFrame, precedence: Sequence[str] = BOARD_PRECEDENCE) -> DataFrame:
@@ -152,10 +167,11 @@ def incident_actions(tag_events: DataFrame, assets: DataFrame | None = None) ->
     `assets(evidence_table, asset)` maps a finding to the assets its incident
     lands on; findings without a mapping land on themselves.
     """
-    v = apply_verdict(tag_events).filter(F.col("effective")).select(
+    a = annotated_log(tag_events)
+    v = _verdicts(a).filter(F.col("effective")).select(
         "entity", "event_id", "at",
         F.when(F.col("verdict") == CONFIRMED, F.lit("raise")).otherwise(F.lit("resolve")).alias("action"))
-    r = reopen_finding(tag_events).select("entity", "event_id", "at", F.lit("resolve").alias("action"))
+    r = _reopens(a).select("entity", "event_id", "at", F.lit("resolve").alias("action"))
     acts = v.unionByName(r)
     if assets is not None:
         acts = (acts.join(assets, acts.entity == assets.evidence_table, "left")

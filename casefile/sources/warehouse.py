@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from casefile.operators.staging import (explode_recipients, message_edges, stage_messages,
                                         weekly_edges_from_edges)
-from casefile.session import work_path
+from casefile.session import ensure_session_settings, work_path
 from casefile.sources import testdata as td
 
 _CACHE: dict[tuple[str, str], "Warehouse"] = {}
@@ -44,6 +44,7 @@ class Warehouse:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Warehouse":
+        ensure_session_settings(spark)  # UTC dates and AQE, whatever session calls us
         key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
         wh = _CACHE.get(key)
         if wh is None:

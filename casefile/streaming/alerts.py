@@ -89,6 +89,20 @@ def alert_log_append(alerts: DataFrame, log_dir: str, checkpoint: str,
     return started
 
 
+DELIVERY_SCHEMA = T.StructType([f for f in ALERT_SCHEMA.fields if f.name != "received_at"])
+
+
+def parse_deliveries(bodies: DataFrame, body_col: str = "value") -> DataFrame:
+    """Incoming request bodies (text) -> alert rows.  A body that is
+    not a JSON object is kept under `raw` instead of being dropped, so the
+    sink never loses a delivery.  Works on batch and streaming input."""
+    parsed = F.from_json(F.col(body_col), DELIVERY_SCHEMA, {"mode": "PERMISSIVE"})
+    ok = F.col(body_col).rlike(r"^\s*\{") & F.col("_p").isNotNull()
+    return (bodies.select(F.col(body_col), parsed.alias("_p"))
+                  .select(*[F.when(ok, F.col(f"_p.{f.name}")).alias(f.name) for f in DELIVERY_SCHEMA.fields],
+                          F.when(~ok, F.col(body_col)).alias("raw")))
+
+
 def load_alert_log(spark: SparkSession, path: str) -> DataFrame:
     """Read the JSON-lines log; blank and malformed lines are skipped."""
     return (spark.read.schema(ALERT_SCHEMA).option("mode", "DROPMALFORMED")

@@ -165,3 +165,30 @@ def test_segmented_helpers_equal_plain_windows(spark):
     b = segmented_row_number(df, ["k"], ["t"], seg, "rn").select("k", "t", "rn")
     got = a.join(b, ["k", "t"])
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_malformed_delivery_kept_raw(spark):
+    bodies = spark.createDataFrame([('{"event_id": 7, "entityUrn": "e", "category": "TAG"}',), ("not json",)],
+                                   "value string")
+    rows = {(r.event_id, r.raw) for r in alerts.parse_deliveries(bodies).collect()}
+    assert rows == {(7, None), (None, "not json")}
+
+
+def test_ledger_round_trip(spark, tmp_path):
+    ev = spark.createDataFrame([(D(2001, 1, 1), 3, True)], "week date, vol long, flagged boolean")
+    rec = ledger.record_finding(ev, hunt_id="h1", run_id="r1", title="t", narrative="n", sql="s",
+                                evidence_table="analytics.h1", input_tables=["staging.a"],
+                                terms=["Material"], confidence="high")
+    led = ledger.Ledger(spark, str(tmp_path / "ledger"))
+    led.append(rec, "r1")
+    for name, df in rec.items():
+        back = led.table(name).drop("run_id")
+        cols = [c for c in df.columns if c != "run_id"]
+        assert back.select(cols).exceptAll(df.select(cols)).count() == 0
+        assert df.select(cols).exceptAll(back.select(cols)).count() == 0
+    trails = ledger.verify_trails(led.table("findings"), led.table("fields"), led.table("tags"),
+                                  led.table("job_io")).first()
+    assert all([trails.has_rows, trails.has_sql, trails.has_lineage, trails.has_schema,
+                trails.has_review_state])
+    fields = [(r.field, r.logical_type) for r in led.table("fields").orderBy("ordinal").collect()]
+    assert fields == [("week", "date"), ("vol", "number"), ("flagged", "boolean")]
