@@ -72,9 +72,11 @@ def co_mention_edges(emails: DataFrame, words: Sequence[str], *, prefilter: bool
 def co_mention_self_join(mentions: DataFrame) -> DataFrame:
     """The SQL shape — self equi-join on the message id with a < b.
 
-    Both sides are the same DataFrame, so the shuffle of `mentions` is planned
-    once and reused (ReusedExchange) rather than computed twice."""
-    a, b = mentions.alias("a"), mentions.alias("b")
+    Both sides are the same DataFrame.  A sort-merge join puts both behind the
+    same hash exchange on the id, which is planned once and reused
+    (ReusedExchange), so the text scan runs once; a broadcast plan would scan
+    the text for each side."""
+    a, b = mentions.alias("a").hint("merge"), mentions.alias("b")
     j = a.join(b, (F.col("a.id") == F.col("b.id")) & (F.col("a.entity") < F.col("b.entity")))
     return (j.groupBy(F.col("a.entity").alias("entity_a"), F.col("b.entity").alias("entity_b"))
              .agg(F.count(F.lit(1)).alias("co_mentions")))
