@@ -25,8 +25,8 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casefile.operators.staging import (explode_recipients, message_edges, stage_messages,
-                                        weekly_edges_from_edges)
+from casefile.functions.text import safe_date
+from casefile.operators.staging import explode_recipients, stage_messages, weekly_edges_from_edges
 from casefile.session import ensure_session_settings, work_path
 from casefile.sources import testdata as td
 
@@ -56,11 +56,8 @@ class Warehouse:
         return td.read(self.spark, self.sf_dir, name)
 
     def raw_messages(self) -> DataFrame:
-        """The raw message source (written once: the adapter join of orders,
-        documents and line-item suppliers runs a single time; every staged
-        table below is a narrow pass over it)."""
-        return self._staged("raw_messages", lambda: td.raw_messages(self.spark, self.sf_dir),
-                            max_records=20_000)
+        """The raw message source format (with the comma recipient lists)."""
+        return td.raw_messages(self.spark, self.sf_dir)
 
     # staged ---------------------------------------------------------------
     def _staged(self, name: str, build, sort_by: str | None = None,
@@ -77,8 +74,9 @@ class Warehouse:
         return df
 
     def emails(self) -> DataFrame:
-        return self._staged("emails", lambda: stage_messages(self.raw_messages()), "sent_at",
-                            max_records=20_000)
+        """staging.emails from the message headers (no recipient lists needed)."""
+        build = lambda: stage_messages(td.message_headers(self.spark, self.sf_dir))
+        return self._staged("emails", build, "sent_at", max_records=20_000)
 
     def recipients(self) -> DataFrame:
         """staging.recipients (email_id, addr): a projection of the staged
@@ -88,8 +86,9 @@ class Warehouse:
         return self.message_edges().select("email_id", F.col("recipient").alias("addr"))
 
     def message_edges(self) -> DataFrame:
-        return self._staged("message_edges", lambda: message_edges(self.raw_messages()), "sent_at",
-                            max_records=200_000)
+        """(email_id, sender, sent_at, recipient) from the line items."""
+        build = lambda: td.message_lines(self.spark, self.sf_dir, safe_date)
+        return self._staged("message_edges", build, "sent_at", max_records=200_000)
 
     def comm_edges(self) -> DataFrame:
         return self._staged("comm_edges", lambda: weekly_edges_from_edges(self.message_edges()))
