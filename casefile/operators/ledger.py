@@ -157,6 +157,37 @@ def lineage_walk(edges: DataFrame, start: str, direction: str = "up", max_depth:
     return visited
 
 
+def lineage_walk_jobs(job_io: DataFrame, start: str, direction: str = "up", max_depth: int = 10,
+                      checkpoint: bool = True) -> DataFrame:
+    """L4 over the job graph itself: dataset -> producing job -> its inputs
+    (upstream), or dataset -> consuming job -> its outputs (downstream).
+
+    Equal to `lineage_walk(lineage_edges(job_io), ...)` but never builds the
+    input x output pairs of a job: each hop is two equi-joins on `job_io`
+    with the frontier reduced to distinct jobs in between, so the work per
+    round is proportional to the frontier's own associations.
+    """
+    spark = job_io.sparkSession
+    near, far = ("out", "in") if direction == "up" else ("in", "out")
+    hop_in = job_io.filter(F.col("direction") == near).select("job", F.col("dataset").alias("_from"))
+    hop_out = job_io.filter(F.col("direction") == far).select("job", F.col("dataset").alias("_to"))
+    visited = spark.createDataFrame([(start, 0)], "dataset string, depth int")
+    frontier = visited.select("dataset")
+    for d in range(1, max_depth + 1):
+        jobs = frontier.join(hop_in, frontier.dataset == hop_in._from).select("job").distinct()
+        nxt = (jobs.join(hop_out, "job").select(F.col("_to").alias("dataset")).distinct()
+                   .join(visited.select("dataset"), "dataset", "left_anti"))
+        if checkpoint:
+            nxt = nxt.checkpoint()
+        if nxt.isEmpty():
+            break
+        visited = visited.unionByName(nxt.withColumn("depth", F.lit(d)))
+        if checkpoint:
+            visited = visited.checkpoint()
+        frontier = nxt
+    return visited
+
+
 def verify_trails(findings: DataFrame, fields: DataFrame, tags: DataFrame, job_io: DataFrame,
                   states: Sequence[str] = ("pending-review", "confirmed", "rejected")) -> DataFrame:
     """Per finding — rows > 0, SQL present, lineage in -> out, schema

@@ -574,8 +574,7 @@ def q_lineage_edges(spark, d):
 
 @query("lineage_walk")
 def q_lineage_walk(spark, d):
-    edges = lg.lineage_edges(catalog(spark, d)["job_io"])
-    return lg.lineage_walk(edges, P.lineage_start, "up", P.lineage_depth)
+    return lg.lineage_walk_jobs(catalog(spark, d)["job_io"], P.lineage_start, "up", P.lineage_depth)
 
 
 @query("verify_trails")

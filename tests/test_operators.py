@@ -192,3 +192,14 @@ def test_ledger_round_trip(spark, tmp_path):
                 trails.has_review_state])
     fields = [(r.field, r.logical_type) for r in led.table("fields").orderBy("ordinal").collect()]
     assert fields == [("week", "date"), ("vol", "number"), ("flagged", "boolean")]
+
+
+def test_job_walk_equals_pair_walk(spark):
+    io = spark.createDataFrame([("j1", "in", "a"), ("j1", "in", "b"), ("j1", "out", "c"),
+                                ("j2", "in", "c"), ("j2", "out", "d"), ("j2", "out", "a"),
+                                ("j3", "in", "d"), ("j3", "out", "e")],
+                               "job string, direction string, dataset string")
+    for start, direction in (("e", "up"), ("a", "down"), ("c", "up")):
+        a = ledger.lineage_walk_jobs(io, start, direction, 10)
+        b = ledger.lineage_walk(ledger.lineage_edges(io), start, direction, 10)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
