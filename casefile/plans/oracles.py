@@ -135,6 +135,9 @@ oracle("top_surge", "SELECT * FROM decoy ORDER BY zscore DESC, user_id, day LIMI
 oracle("ownership_join", "SELECT * FROM ownership", "ownership")
 oracle("hunt_orphaned_ownership", "SELECT * FROM orphaned", "orphaned")
 oracle("documented_outputs", "SELECT * FROM outputs", "outputs")
+oracle("unmatched_implicated", """
+SELECT name FROM (VALUES ('s1'), ('s3'), ('s_3')) t(name)
+WHERE name NOT IN (SELECT username FROM cat_users)""", "cat_users")
 oracle("producer_existence", """
 SELECT dataset, dataset IN (SELECT dataset FROM outputs) AS has_documented_lineage FROM cat_datasets""",
        "cat_datasets", "outputs")

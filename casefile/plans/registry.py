@@ -375,6 +375,12 @@ def q_hunt_orphaned_ownership(spark, d):
     return orphaned(spark, d)
 
 
+@query("unmatched_implicated")
+def q_unmatched_implicated(spark, d):
+    # the list as given plus a misspelled entry, the way a renamed account goes unnoticed
+    return gov.unmatched_implicated(catalog(spark, d)["users"], P.implicated + ("s_3",))
+
+
 @query("documented_outputs")
 def q_documented_outputs(spark, d):
     return gov.documented_outputs(catalog(spark, d)["job_io"])

@@ -203,3 +203,16 @@ def test_job_walk_equals_pair_walk(spark):
         a = ledger.lineage_walk_jobs(io, start, direction, 10)
         b = ledger.lineage_walk(ledger.lineage_edges(io), start, direction, 10)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_null_bucket_is_part_of_history(spark):
+    # C11: the NULL-date bucket counts in the key's own mean / stddev
+    from casefile.operators import surge
+    rows = [("s", None)] * 9 + [("s", D(2001, 1, 1 + i)) for i in range(12)] + [("s", D(2001, 2, 1))] * 5
+    df = spark.createDataFrame(rows, "sender string, d date").withColumn("subject", F.lit("x"))
+    series = surge.sample_attribute_join(df, "sender", F.col("d"), "subject", "day")
+    stats = surge.sender_stats_having(series, "sender", 12).first()
+    assert stats.n_buckets == 14  # 12 single days + 2001-02-01 + the NULL bucket
+    out = surge.zscore_per_key(df, "sender", F.col("d"), sample_col="subject", min_buckets=12, z=1.0,
+                               bucket_name="day")
+    assert {r.day for r in out.collect()} == {None, D(2001, 2, 1)}
