@@ -216,3 +216,15 @@ def test_null_bucket_is_part_of_history(spark):
     out = surge.zscore_per_key(df, "sender", F.col("d"), sample_col="subject", min_buckets=12, z=1.0,
                                bucket_name="day")
     assert {r.day for r in out.collect()} == {None, D(2001, 2, 1)}
+
+
+def test_alert_stream_restart_appends_nothing_twice(spark, tmp_path):
+    src, log, ckpt = (str(tmp_path / n) for n in ("events", "log", "ckpt"))
+    events(spark, ["pending-review", "confirmed", "rejected"]).write.parquet(src)
+    for _ in range(2):  # the second run resumes from the checkpoint: no new files, no duplicates
+        alerts.alert_log_append(alerts.review_alerts_stream(spark, src, ["confirmed", "rejected",
+                                                                         "pending-review"]), log, ckpt)
+    assert alerts.load_alert_log(spark, log).count() == 3
+    events(spark, ["confirmed"], entity="analytics.f").write.mode("append").parquet(src)
+    alerts.alert_log_append(alerts.review_alerts_stream(spark, src, ["confirmed"]), log, ckpt)
+    assert alerts.load_alert_log(spark, log).count() == 4
