@@ -224,13 +224,18 @@ def prior_findings(findings: DataFrame, tags: DataFrame, tag: str | None = None,
 
 
 def dataset_urn(table: str | F.Column, platform: str = "parquet") -> F.Column:
+    """`urn:casefile:dataset:<platform>:<table>`."""
     t = F.lit(table) if isinstance(table, str) else table
-    return F.concat(F.lit(f"urn:li:dataset:(urn:li:dataPlatform:{platform},"), t, F.lit(",PROD)"))
+    return F.concat(F.lit(f"urn:casefile:dataset:{platform}:"), t)
+
+
+def job_urn(job: F.Column) -> F.Column:
+    return F.concat(F.lit("urn:casefile:job:"), job)
 
 
 def urn_table(urn: F.Column) -> F.Column:
-    """The table name inside a dataset urn."""
-    return F.element_at(F.split(urn, ","), 2)
+    """The table name inside a dataset urn (after the last ':')."""
+    return F.element_at(F.split(urn, ":"), -1)
 
 
 def catalog_names(df: DataFrame, entity_col: str = "entity", modifier_col: str = "modifier") -> DataFrame:
@@ -252,7 +257,7 @@ def export_ledger(findings: DataFrame, states: DataFrame, path: str) -> DataFram
                       "evidence_table", "left")
     out = j.select("hunt_id", F.col("title"), F.col("narrative"),
                    dataset_urn(F.col("evidence_table")).alias("evidence_dataset"),
-                   F.concat(F.lit("urn:li:dataJob:"), F.col("job")).alias("producing_task"),
+                   job_urn(F.col("job")).alias("producing_task"),
                    props.alias("evidence_properties"), "sql_text")
     out.write.mode("overwrite").partitionBy("hunt_id").json(path)
     back = out.sparkSession.read.json(path)

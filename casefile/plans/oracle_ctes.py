@@ -301,7 +301,7 @@ WHERE CAST(date_trunc('week', e.sent_at) AS DATE) IN (SELECT week FROM comm_spik
 _cte("review_events", """
 SELECT event_id, CAST(ts AS TIMESTAMP) AS "at", concat('analytics.x', user_id) AS entity,
        CASE WHEN event_type = 'signup' THEN 'OWNER' ELSE 'TAG' END AS category, 'ADD' AS operation,
-       CASE WHEN event_type = 'signup' THEN concat('urn:li:corpuser:u', user_id)
+       CASE WHEN event_type = 'signup' THEN concat('owner:u', user_id)
             ELSE concat('urn:li:tag:', CASE event_type WHEN 'purchase' THEN 'confirmed'
                  WHEN 'error' THEN 'rejected' WHEN 'view' THEN 'pending-review'
                  WHEN 'click' THEN 'risk-flagged' END) END AS modifier,

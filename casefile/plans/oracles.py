@@ -294,15 +294,15 @@ SELECT hunt_id, evidence_table, evidence_rows FROM ({_ALL_FINDINGS}) f WHERE con
        *_FINDING_CTES)
 oracle("export_ledger", f"""
 SELECT f.hunt_id, f.title,
-       concat('urn:li:dataset:(urn:li:dataPlatform:parquet,', f.evidence_table, ',PROD)') AS evidence_dataset,
-       concat('urn:li:dataJob:', f.job) AS producing_task,
+       concat('urn:casefile:dataset:parquet:', f.evidence_table) AS evidence_dataset,
+       concat('urn:casefile:job:', f.job) AS producing_task,
        coalesce(s.state, 'unknown') AS review_state, f.evidence_rows,
        CAST(length(f.sql_text) AS BIGINT) AS sql_chars
 FROM ({_ALL_FINDINGS}) f LEFT JOIN review_states s ON s.entity = f.evidence_table""",
        *_FINDING_CTES, "review_states")
 oracle("catalog_names", """
 SELECT event_id, entity, modifier,
-       concat('urn:li:dataset:(urn:li:dataPlatform:parquet,', entity, ',PROD)') AS dataset_urn,
+       concat('urn:casefile:dataset:parquet:', entity) AS dataset_urn,
        entity AS table_name, string_split(modifier, ':')[-1] AS short_name
 FROM review_events""", "review_events")
 

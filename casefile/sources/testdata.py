@@ -196,7 +196,7 @@ def review_tag_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("analytics.x"), F.col("user_id").cast("string")).alias("entity"),
         F.when(et == "signup", F.lit("OWNER")).otherwise(F.lit("TAG")).alias("category"),
         F.lit("ADD").alias("operation"),
-        F.when(et == "signup", F.concat(F.lit("urn:li:corpuser:u"), F.col("user_id").cast("string")))
+        F.when(et == "signup", F.concat(F.lit("owner:u"), F.col("user_id").cast("string")))
          .otherwise(F.concat(F.lit("urn:li:tag:"), tag)).alias("modifier"),
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("actor"),
         F.col("event_type").alias("note"),

@@ -57,7 +57,7 @@ def review_alerts(events: DataFrame, tags: Sequence[str], exact: bool = False) -
     """The alert payloads (works on a batch or a streaming DataFrame)."""
     return (events.filter(alert_condition(tags, exact))
                   .select("event_id", "at", F.lit("tag-events").alias("source"),
-                          F.lit("EntityChangeEvent_v1").alias("event_type"),
+                          F.lit("tag_change").alias("event_type"),
                           F.col("entity").alias("entityUrn"), "category", "operation", "modifier"))
 
 
