@@ -56,8 +56,10 @@ class Warehouse:
         return td.read(self.spark, self.sf_dir, name)
 
     def raw_messages(self) -> DataFrame:
-        """The raw message source format (with the comma recipient lists)."""
-        return td.raw_messages(self.spark, self.sf_dir)
+        """The raw message source (comma recipient lists included), written
+        once the way the source table exists once; S1 and T1 run over it."""
+        return self._staged("raw_messages", lambda: td.raw_messages(self.spark, self.sf_dir),
+                            max_records=20_000)
 
     # staged ---------------------------------------------------------------
     def _staged(self, name: str, build, sort_by: str | None = None,
@@ -74,9 +76,9 @@ class Warehouse:
         return df
 
     def emails(self) -> DataFrame:
-        """staging.emails from the message headers (no recipient lists needed)."""
-        build = lambda: stage_messages(td.message_headers(self.spark, self.sf_dir))
-        return self._staged("emails", build, "sent_at", max_records=20_000)
+        """staging.emails: a narrow pass over the raw source."""
+        return self._staged("emails", lambda: stage_messages(self.raw_messages()), "sent_at",
+                            max_records=20_000)
 
     def recipients(self) -> DataFrame:
         """staging.recipients (email_id, addr): a projection of the staged
