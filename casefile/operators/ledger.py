@@ -52,11 +52,52 @@ def schema_fields(spark: SparkSession, df: DataFrame, evidence_table: str) -> Da
                                        "native_type string, logical_type string")
 
 
-def _finding_row(spark: SparkSession, evidence: DataFrame, **meta) -> DataFrame:
-    schema = T.StructType([T.StructField(k, T.StringType()) for k in meta])
-    one = spark.createDataFrame([tuple(meta.values())], schema)
-    n = evidence.agg(F.count(F.lit(1)).alias("evidence_rows"))
-    return one.crossJoin(n)
+FINDING_META = ("hunt_id", "run_id", "title", "narrative", "confidence", "sql_text",
+                "evidence_table", "job", "exhibit_of")
+
+
+def finding_spec(evidence: DataFrame, *, hunt_id: str, run_id: str, title: str, narrative: str,
+                 sql: str, evidence_table: str, input_tables: Sequence[str],
+                 terms: Sequence[str] = (), confidence: str | None = "medium",
+                 tags: Sequence[str] | None = None, job: str | None = None,
+                 exhibit_of: str | None = None) -> dict:
+    """One finding to record (see `record_findings`)."""
+    if tags is None:
+        tags = ("risk-flagged", "pending-review", f"confidence-{confidence}")
+    return {"evidence": evidence, "hunt_id": hunt_id, "run_id": run_id, "title": title,
+            "narrative": narrative, "confidence": confidence, "sql_text": sql,
+            "evidence_table": evidence_table, "job": job or hunt_id, "exhibit_of": exhibit_of,
+            "input_tables": list(input_tables), "terms": list(terms), "tags": list(tags)}
+
+
+def record_findings(specs: Sequence[dict]) -> dict[str, DataFrame]:
+    """L1/L2 for a batch: one literal table per ledger table (metadata is a
+    handful of rows per finding), and the evidence row counts as one union of
+    aggregates over the evidence tables themselves."""
+    spark = specs[0]["evidence"].sparkSession
+    meta_schema = T.StructType([T.StructField(k, T.StringType()) for k in FINDING_META])
+    meta = spark.createDataFrame([tuple(sp[k] for k in FINDING_META) for sp in specs], meta_schema)
+    counts = [sp["evidence"].agg(F.count(F.lit(1)).alias("evidence_rows"))
+                .select(F.lit(sp["evidence_table"]).alias("_t"), "evidence_rows") for sp in specs]
+    n = counts[0]
+    for c in counts[1:]:
+        n = n.unionByName(c)
+    findings = meta.join(F.broadcast(n), meta.evidence_table == n._t).drop("_t")
+    fields = [(sp["evidence_table"], i, f.name, f.dataType.simpleString(),
+               LOGICAL.get(type(f.dataType).__name__, "string"))
+              for sp in specs for i, f in enumerate(sp["evidence"].schema.fields)]
+    assoc = "evidence_table string, value string"
+    return {
+        "findings": findings,
+        "fields": spark.createDataFrame(fields, "evidence_table string, ordinal int, field string, "
+                                                "native_type string, logical_type string"),
+        "tags": spark.createDataFrame([(sp["evidence_table"], t) for sp in specs for t in sp["tags"]], assoc),
+        "terms": spark.createDataFrame([(sp["evidence_table"], t) for sp in specs for t in sp["terms"]], assoc),
+        "job_io": spark.createDataFrame(
+            [(sp["job"], "in", t) for sp in specs for t in sp["input_tables"]]
+            + [(sp["job"], "out", sp["evidence_table"]) for sp in specs],
+            "job string, direction string, dataset string"),
+    }
 
 
 def record_finding(evidence: DataFrame, *, hunt_id: str, run_id: str, title: str, narrative: str,
@@ -64,38 +105,24 @@ def record_finding(evidence: DataFrame, *, hunt_id: str, run_id: str, title: str
                    terms: Sequence[str] = (), confidence: str = "medium") -> dict[str, DataFrame]:
     """L1: ledger rows for one finding (tags risk-flagged, pending-review,
     confidence-<c>; job = hunt id; lineage inputs -> evidence)."""
-    spark = evidence.sparkSession
-    job = hunt_id
-    f = _finding_row(spark, evidence, hunt_id=hunt_id, run_id=run_id, title=title,
-                     narrative=narrative, confidence=confidence, sql_text=sql,
-                     evidence_table=evidence_table, job=job, exhibit_of=None)
-    tags = spark.createDataFrame(
-        [(evidence_table, t) for t in ("risk-flagged", "pending-review", f"confidence-{confidence}")],
-        "evidence_table string, value string")
-    tms = spark.createDataFrame([(evidence_table, t) for t in terms], "evidence_table string, value string")
-    io = spark.createDataFrame([(job, "in", t) for t in input_tables] + [(job, "out", evidence_table)],
-                               "job string, direction string, dataset string")
-    return {"findings": f, "fields": schema_fields(spark, evidence, evidence_table),
-            "tags": tags, "terms": tms, "job_io": io}
-
-
-def record_exhibits(exhibits: DataFrame, *, hunt_id: str, run_id: str, finding_table: str,
-                    exhibits_table: str, title: str, description: str, sql: str,
-                    input_tables: Sequence[str], tags: Sequence[str] = ("evidence", "exhibit")
-                    ) -> dict[str, DataFrame]:
-    """L2: like L1 for the exhibit set; the finding is itself an input."""
-    spark = exhibits.sparkSession
-    job = f"{hunt_id}_exhibits"
-    f = _finding_row(spark, exhibits, hunt_id=hunt_id, run_id=run_id, title=title,
-                     narrative=description, confidence=None, sql_text=sql,
-                     evidence_table=exhibits_table, job=job, exhibit_of=finding_table)
-    tg = spark.createDataFrame([(exhibits_table, t) for t in tags], "evidence_table string, value string")
-    tms = spark.createDataFrame([], "evidence_table string, value string")
+    return record_findings([finding_spec(
+        evidence, hunt_id=hunt_id, run_id=run_id, title=title, narrative=narrative, sql=sql,
+        evidence_table=evidence_table, input_tables=input_tables, terms=terms, confidence=confidence)])
+
+
+def exhibit_spec(exhibits: DataFrame, *, hunt_id: str, run_id: str, finding_table: str,
+                 exhibits_table: str, title: str, description: str, sql: str,
+                 input_tables: Sequence[str], tags: Sequence[str] = ("evidence", "exhibit")) -> dict:
+    """L2: the exhibit set is recorded like a finding; the finding is itself an input."""
     ins = list(input_tables) if finding_table in input_tables else [*input_tables, finding_table]
-    io = spark.createDataFrame([(job, "in", t) for t in ins] + [(job, "out", exhibits_table)],
-                               "job string, direction string, dataset string")
-    return {"findings": f, "fields": schema_fields(spark, exhibits, exhibits_table),
-            "tags": tg, "terms": tms, "job_io": io}
+    return finding_spec(exhibits, hunt_id=hunt_id, run_id=run_id, title=title, narrative=description,
+                        sql=sql, evidence_table=exhibits_table, input_tables=ins, terms=(),
+                        confidence=None, tags=tags, job=f"{hunt_id}_exhibits", exhibit_of=finding_table)
+
+
+def record_exhibits(exhibits: DataFrame, **kw) -> dict[str, DataFrame]:
+    """L2: ledger rows for an exhibit set (see `exhibit_spec`)."""
+    return record_findings([exhibit_spec(exhibits, **kw)])
 
 
 def merge_records(records: Sequence[dict[str, DataFrame]]) -> dict[str, DataFrame]:

@@ -542,19 +542,17 @@ RUN_ID = "run-1"
 
 def ledger_records(spark, d) -> dict[str, DataFrame]:
     tables = evidence(spark, d)
-    recs = []
-    for hunt, (table, title, conf) in _TITLES.items():
-        recs.append(lg.record_finding(
-            tables[table], hunt_id=hunt, run_id=RUN_ID, title=title, narrative=f"{title}.",
-            sql=f"casefile:{hunt}", evidence_table=table, input_tables=_INPUTS[hunt],
-            terms=["Material"] if hunt in ("hunt4_orphaned_ownership", "hunt5_provenance_gaps") else [],
-            confidence=conf))
-    recs.append(lg.record_exhibits(
+    specs = [lg.finding_spec(
+        tables[table], hunt_id=hunt, run_id=RUN_ID, title=title, narrative=f"{title}.",
+        sql=f"casefile:{hunt}", evidence_table=table, input_tables=_INPUTS[hunt],
+        terms=["Material"] if hunt in ("hunt4_orphaned_ownership", "hunt5_provenance_gaps") else [],
+        confidence=conf) for hunt, (table, title, conf) in _TITLES.items()]
+    specs.append(lg.exhibit_spec(
         ev(spark, d, "exhibits"), hunt_id="hunt1_restatement_spikes", run_id=RUN_ID,
         finding_table="analytics.hunt1_comm_spikes", exhibits_table="analytics.hunt1_exhibits",
         title="Hunt-1 exhibits", description="The messages behind the flagged weeks.",
         sql="casefile:hunt_exhibits", input_tables=["staging.emails", "staging.recipients"]))
-    return lg.merge_records(recs)
+    return lg.record_findings(specs)
 
 
 @query("materialize_evidence")
@@ -599,7 +597,9 @@ def q_prior_findings(spark, d):
 @query("export_ledger")
 def q_export_ledger(spark, d):
     r = ledger_records(spark, d)
-    states = rv.review_states(wh(spark, d).review_events())
+    # states are needed only for the recorded evidence sets: semi-join the log first
+    sets = r["findings"].select(F.col("evidence_table").alias("entity"))
+    states = rv.review_states(wh(spark, d).review_events().join(sets, "entity", "left_semi"))
     return lg.export_ledger(r["findings"], states, work_path(spark, "export", uuid.uuid4().hex))
 
 
