@@ -4,10 +4,11 @@ bounded samples, written intermediate tables and blocks of texts for numpy."""
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,7 +69,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learns: Colu
             .limit(2 * rows_per_class).select("text", "y"))
 
 
-def blocks(texts: list[str | None], limit: int = BLOCK_CHARS) -> Iterator[tuple[int, int, list[str]]]:
+def strings(texts: pa.Array) -> Iterator[str | None]:
+    """A batch's texts as Python strings, few at a time."""
+    for at in range(0, len(texts), 256):
+        yield from texts.slice(at, 256).to_pylist()
+
+
+def blocks(texts: Iterable[str | None], limit: int = BLOCK_CHARS) -> Iterator[tuple[int, int, list[str]]]:
     """(first row, rows, pieces): runs of whole texts of about `limit` code
     points together.  A longer text comes alone, as several pieces cut behind
     a space (or, without one, at the limit); null counts as empty."""

@@ -30,11 +30,11 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casefile.llm.common import blocks, table
+from casefile.llm.common import blocks, strings, table
 
 MARK = "▁"
 #: Distinct marked words kept by a Python worker at a time.
-TABLE_WORDS = 600_000
+TABLE_WORDS = 300_000
 
 
 @lru_cache(maxsize=2)
@@ -112,7 +112,7 @@ def encode(spark: SparkSession, df: DataFrame, model_path: str, text: str = "tex
         last = np.array([sp.eos_id()] if end_id else [], np.int32)
         for texts in batches:
             flat, sizes = [], []
-            for _, rows, parts in blocks(texts.to_pylist(), 200_000):
+            for _, rows, parts in blocks(strings(texts), 200_000):
                 if rows < len(parts):
                     parts = ["".join(parts)]
                 words = [_words(t) for t in parts]
@@ -135,7 +135,10 @@ def decode(spark: SparkSession, df: DataFrame, model_path: str, ids: str = "ids"
         sp = _open(proto.value)
         surface = _surfaces(sp)
         for lists in batches:
-            yield pa.array([_decode(sp, surface, x) for x in lists.to_pylist()], pa.string())
+            edges, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+            # one row's ids at a time as Python numbers, not a whole batch's
+            yield pa.array((_decode(sp, surface, flat[a:b].tolist()) for a, b in zip(edges, edges[1:], strict=False)),
+                           pa.string())
 
     return df.withColumn(out, to_text.asNondeterministic()(F.col(ids)))
 
