@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from casefile.llm.lang_id import op9_language_id
 from casefile.llm.sentencepiece_codec import op6_sentencepiece
+from casefile.llm.simhash_dedup import op4_simhash
 
 QUERIES = {
+    "op4_simhash": op4_simhash,
     "op6_sentencepiece": op6_sentencepiece,
     "op9_language_id": op9_language_id,
 }
