@@ -5,10 +5,14 @@ from __future__ import annotations
 from casefile.llm.lang_id import op9_language_id
 from casefile.llm.sentencepiece_codec import op6_sentencepiece
 from casefile.llm.simhash_dedup import op4_simhash
+from casefile.llm.suffix_rules import OP5_SQL, op5_repetition
 
 QUERIES = {
     "op4_simhash": op4_simhash,
+    "op5_repetition": op5_repetition,
     "op6_sentencepiece": op6_sentencepiece,
     "op9_language_id": op9_language_id,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op5_repetition": OP5_SQL,
+}
