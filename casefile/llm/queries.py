@@ -6,12 +6,14 @@ from casefile.llm.lang_id import op9_language_id
 from casefile.llm.sentencepiece_codec import op6_sentencepiece
 from casefile.llm.simhash_dedup import op4_simhash
 from casefile.llm.suffix_rules import OP5_SQL, op5_repetition
+from casefile.llm.toxicity import op10_toxicity
 
 QUERIES = {
     "op4_simhash": op4_simhash,
     "op5_repetition": op5_repetition,
     "op6_sentencepiece": op6_sentencepiece,
     "op9_language_id": op9_language_id,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLES = {
     "op5_repetition": OP5_SQL,
