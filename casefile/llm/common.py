@@ -22,6 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to Python in batches of a few MB, whatever their lengths; an
+    executor may run many Python workers beside its heap."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+
+
 def id_remainder(col: Column, m: int, null: int) -> Column:
     """crc32 of the id's decimal text, mod m; `null` for a row without id."""
     return F.coalesce(F.crc32(col.cast("string").cast("binary")) % m, F.lit(null))

@@ -30,11 +30,11 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casefile.llm.common import blocks, strings, table
+from casefile.llm.common import blocks, small_batches, strings, table
 
 MARK = "▁"
 #: Distinct marked words kept by a Python worker at a time.
-TABLE_WORDS = 300_000
+TABLE_WORDS = 100_000
 
 
 @lru_cache(maxsize=2)
@@ -103,6 +103,7 @@ def _table(proto: bytes, limit: int) -> ChunkTable:
 def encode(spark: SparkSession, df: DataFrame, model_path: str, text: str = "text", out: str = "ids",
            end_id: bool = True, table_words: int = TABLE_WORDS) -> DataFrame:
     """`df` with the ids of `text` in the array column `out`."""
+    small_batches(spark)
     proto = spark.sparkContext.broadcast(_proto(model_path))  # one model file
 
     @F.arrow_udf("array<int>")
@@ -128,6 +129,7 @@ def encode(spark: SparkSession, df: DataFrame, model_path: str, text: str = "tex
 
 def decode(spark: SparkSession, df: DataFrame, model_path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """`df` with the text of the array column `ids` in `out`; null ids: empty."""
+    small_batches(spark)
     proto = spark.sparkContext.broadcast(_proto(model_path))
 
     @F.arrow_udf("string")
