@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from casefile.llm.lang_id import op9_language_id
+from casefile.llm.mil_quality import op1_quality
 from casefile.llm.sentencepiece_codec import op6_sentencepiece
 from casefile.llm.simhash_dedup import op4_simhash
 from casefile.llm.suffix_rules import OP5_SQL, op5_repetition
 from casefile.llm.toxicity import op10_toxicity
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op4_simhash": op4_simhash,
     "op5_repetition": op5_repetition,
     "op6_sentencepiece": op6_sentencepiece,

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casefile.llm.common import table, written
+from casefile.llm.common import small_batches, table, written
 from casefile.llm.components import components
 
 SHINGLE_WORDS, MAX_BITS = 3, 2
@@ -71,6 +71,7 @@ def fingerprints(df: DataFrame, text: str = "text", out: str = "fp", shingle_wor
             found = [fingerprint(t.as_py(), shingle_words) for t in texts]
             yield pa.array(np.array(found, np.uint64).view(np.int64))
 
+    small_batches(df.sparkSession)
     return df.withColumn(out, hashed.asNondeterministic()(F.col(text)))
 
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casefile.llm.common import strings, table
+from casefile.llm.common import small_batches, strings, table
 
 SPACE, SYMBOLS = " \t\n\x0b\x0c\r", "#*$%&|<>"
 #: Words in one numpy pass; a longer text is a pass of its own.
@@ -179,6 +179,7 @@ def repetition(df: DataFrame, text: str = "text", out: str = "repetition", rules
             rows = np.concatenate([none, *measures(strings(texts), rules)])
             yield pa.StructArray.from_arrays([pa.array(c) for c in rows.T.copy()], names=COLUMNS)
 
+    small_batches(df.sparkSession)
     m = F.col("_measures")
     failed = (m.n_words < rules.min_words) | (100 * m.n_repeat_words > rules.max_window_percent * m.n_words)
     good = (100 * m.n_covered <= rules.max_covered_percent * m.n_words) & (m.longest_repeat <= rules.max_repeat)

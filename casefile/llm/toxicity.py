@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casefile.llm.common import blocks, code_points, id_remainder, labelled_sample, letter_fold, strings, table
+from casefile.llm.common import blocks, code_points, id_remainder, labelled_sample, letter_fold, small_batches, strings, table
 
 
 @dataclass(frozen=True)
@@ -209,6 +209,7 @@ def toxicity(spark: SparkSession, df: DataFrame, model: Model | None, text: str
     """`df` with the score of `text` in the double column `out`."""
     if model is None:
         return df.withColumn(out, F.lit(0.0))
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # 2^bucket_bits floats: 1 MB
 
     @F.arrow_udf("double")
