@@ -41,17 +41,18 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def hash_sample(df: DataFrame, key: str, rows: int, count: int | None = None) -> DataFrame:
+def hash_sample(df: DataFrame, key: str | list[str], rows: int, count: int | None = None) -> DataFrame:
     """At most `rows` rows of `df`, those with the smallest hash of `key`.
 
     Only rows below a hash limit (about twice the wanted share) reach the
     final top-k, so the merge stays small however many partitions there are.
     """
     n = df.count() if count is None else count
-    h = F.pmod(F.xxhash64(key, F.lit(11)), F.lit(1 << 30))
+    key = [key] if isinstance(key, str) else key
+    h = F.pmod(F.xxhash64(*key, F.lit(11)), F.lit(1 << 30))
     if n > 2 * rows:
         df = df.filter(h < int((1 << 30) * min(1.0, 2.0 * rows / n)))
-    return df.orderBy(h, key).limit(rows)
+    return df.orderBy(h, *key).limit(rows)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learns: Column, rows_per_class: int,
