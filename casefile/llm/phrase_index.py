@@ -115,9 +115,10 @@ def phrase_matches(index: DataFrame, looked_up: DataFrame) -> DataFrame:
     moved = index.join(looked_up, "term").select(
         "phrase", "size", "n_lists", "rank", "doc_id", "h", (F.col("pos") - F.col("offset")).alias("start"),
         F.when(F.col("rank") == 0, F.struct("first", "around")).alias("near")).filter("start >= 0")
-    # one place in all lists of the phrase: each list gives it once
+    # one place in all lists of the phrase; repeated rows give it more than once
     met = (moved.groupBy("phrase", "size", "n_lists", "doc_id", "h", "start")
-           .agg(F.count("*").alias("lists"), F.max("near").alias("near")).filter("lists = n_lists"))
+           .agg(F.bit_or(F.expr("shiftleft(1, rank)")).alias("lists"), F.max("near").alias("near"))
+           .filter("lists = shiftleft(1, n_lists) - 1"))
     here = F.slice("near.around", F.greatest(F.col("start") - F.col("near.first") + 1, F.lit(1)), F.col("size"))
     return met.filter(F.array_join(here, " ") == F.col("phrase")).select("phrase", "size", "doc_id", "h", "start")
 
