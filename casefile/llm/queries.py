@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from casefile.llm.chat_format import OP2_SQL, op2_chat_format
 from casefile.llm.lang_id import op9_language_id
 from casefile.llm.mil_quality import op1_quality
 from casefile.llm.phrase_index import OP7_SQL, op7_decontamination
@@ -13,6 +14,7 @@ from casefile.llm.weak_pii import op8_pii
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_chat_format": op2_chat_format,
     "op4_simhash": op4_simhash,
     "op5_repetition": op5_repetition,
     "op6_sentencepiece": op6_sentencepiece,
@@ -22,6 +24,7 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
 }
 ORACLES = {
+    "op2_chat_format": OP2_SQL,
     "op5_repetition": OP5_SQL,
     "op7_decontamination": OP7_SQL,
 }
