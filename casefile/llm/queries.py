@@ -10,11 +10,13 @@ from casefile.llm.sentencepiece_codec import op6_sentencepiece
 from casefile.llm.simhash_dedup import op4_simhash
 from casefile.llm.suffix_rules import OP5_SQL, op5_repetition
 from casefile.llm.toxicity import op10_toxicity
+from casefile.llm.url_filter import op3_url_filter
 from casefile.llm.weak_pii import op8_pii
 
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_chat_format": op2_chat_format,
+    "op3_url_filter": op3_url_filter,
     "op4_simhash": op4_simhash,
     "op5_repetition": op5_repetition,
     "op6_sentencepiece": op6_sentencepiece,
