@@ -167,6 +167,14 @@ def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, window
             .select("doc_id", "h", "n_hit", F.size("item_list").cast("long").alias("n_items"), "item_list"))
 
 
+def clean(spark: SparkSession, docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of `docs` without a hit, as they are."""
+    dirty = contamination(spark, docs.select("doc_id", "text"), items, window).select(
+        F.col("doc_id").alias("_d_id"), F.col("h").alias("_d_h"))
+    same = F.col("doc_id").eqNullSafe(F.col("_d_id")) & (F.xxhash64("text") == F.col("_d_h"))
+    return docs.join(written(spark, dirty, "dirty"), same, "left_anti")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     dirty = contamination(spark, docs, table(spark, sf_dir, "benchmark"))

@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casefile.llm.common import small_batches, table, written
@@ -253,7 +253,8 @@ def shard_links(rows: DataFrame, max_bits: int) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
                     max_bits: int = MAX_BITS, shard_limit: int = SHARD_LIMIT) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every row of `docs`."""
+    """(doc_id, fingerprint, component_id, component_fp) of every row of `docs`;
+    component_fp names a component also where all its ids are null."""
     marked = written(spark, fingerprints(docs.select("doc_id", "text"), shingle_words=shingle_words)
                      .select("doc_id", "fp"), "fingerprints")
     fps = written(spark, marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
@@ -261,9 +262,37 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, shingle_words: int = S
     named = fps.join(found, fps.fp == found.node, "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
     named = written(spark, named, "labels")
     best = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    by_fp = written(spark, named.join(best, "label").select(F.col("fp").alias("f"), "component_id"), "components")
+    by_fp = written(spark, named.join(best, "label").select(F.col("fp").alias("f"), "component_id", "label"), "components")
     return marked.join(by_fp, F.col("fp") == F.col("f")).select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", _hex("fp").alias("fingerprint"), "component_id", _hex("label").alias("component_fp"))
+
+
+def _hex(fp: str) -> Column:
+    return F.lower(F.lpad(F.hex(fp), 16, "0"))
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of `docs` that name their component, one for each component.
+
+    Texts are not grouped: the ids to drop are joined away.  Rows whose id
+    occurs more than once, or that have none, are told apart by their
+    fingerprints; of equals the one whose text hashes least stays, and a row
+    without id stays only where no row of its component has one.
+    """
+    found = written(spark, near_duplicates(spark, docs, shingle_words, max_bits), "near-duplicates")
+    ids = found.filter(F.col("doc_id").isNotNull())
+    repeated = written(spark, ids.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"), "repeated")
+    gone = ids.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").unionAll(repeated).distinct()
+    plain = docs.filter(F.col("doc_id").isNotNull()).join(written(spark, gone, "dropped"), "doc_id", "left_anti")
+
+    odd = docs.filter(F.col("doc_id").isNull()).unionAll(docs.join(repeated, "doc_id", "left_semi").select(docs.columns))
+    odd = odd.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("_id"), "text")
+    odd = fingerprints(odd, shingle_words=shingle_words).select("row", "_id", "text", _hex("fp").alias("_fp"))
+    names = found.select("doc_id", "fingerprint", "component_id", "component_fp").distinct()
+    kept = (odd.join(names, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_fp") == F.col("fingerprint")))
+            .filter(F.col("_id").eqNullSafe(F.col("component_id")))
+            .groupBy("component_fp").agg(F.min_by("row", F.xxhash64("text")).alias("row")).select("row.*"))
+    return plain.select(docs.columns).unionAll(kept.select(docs.columns))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
