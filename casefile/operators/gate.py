@@ -4,7 +4,7 @@ Checks are rows (check, got) with `got` rendered as text; expectations are a
 checked-in table (check, want).  A full outer join makes a missing check a
 failure instead of a silent drop.  List-valued checks are compared as sets
 without collecting them: `got` is a fingerprint `n=<distinct count>;h=<sum of
-md5 prefixes>` computed by one aggregation, and `set_compare` lists the
+60 md5 bits>` computed by one aggregation, and `set_compare` lists the
 differences with anti-joins when the members themselves are needed.
 """
 
@@ -24,9 +24,9 @@ def _txt(c: Column) -> Column:
 
 
 def set_fingerprint(df: DataFrame, col: str) -> DataFrame:
-    """One row: `n=<distinct>;h=<sum of the first 32 md5 bits>` of a column."""
+    """One row: `n=<distinct>;h=<sum of the first 60 md5 bits>` of a column."""
     d = df.select(F.col(col).cast("string").alias("_v")).filter(F.col("_v").isNotNull()).distinct()
-    h = F.conv(F.substring(F.md5("_v"), 1, 8), 16, 10).cast("long")
+    h = F.conv(F.substring(F.md5("_v"), 1, 15), 16, 10).cast("decimal(38,0)")
     return d.agg(F.concat(F.lit("n="), F.count(F.lit(1)).cast("string"), F.lit(";h="),
                           F.coalesce(F.sum(h), F.lit(0)).cast("string")).alias("got"))
 

@@ -155,63 +155,52 @@ def lineage_edges(job_io: DataFrame) -> DataFrame:
     return ins.join(outs, "job").select("upstream", "downstream").distinct()
 
 
-def lineage_walk(edges: DataFrame, start: str, direction: str = "up", max_depth: int = 10,
-                 checkpoint: bool = True) -> DataFrame:
-    """L4: nodes reachable from `start` with their hop distance (start = 0).
-
-    Breadth-first: each round joins the frontier to the edges, removes the
-    visited nodes with an anti-join and stops at `max_depth` or an empty
-    frontier, so cycles terminate and each node appears once.  The visited set
-    is checkpointed each round (reliable checkpoint under spark.checkpoint.dir)
-    to keep the plan from growing with the depth.
-    """
-    spark = edges.sparkSession
+def lineage_walk(edges: DataFrame, start: str, direction: str = "up", max_depth: int | None = None) -> DataFrame:
+    """L4 over dataset edges: nodes reachable from `start` with their hop
+    distance (start = 0); see `lineage_walk_jobs`."""
     src, dst = ("downstream", "upstream") if direction == "up" else ("upstream", "downstream")
     e = edges.select(F.col(src).alias("_from"), F.col(dst).alias("_to")).distinct()
-    visited = spark.createDataFrame([(start, 0)], "dataset string, depth int")
-    frontier = visited.select("dataset")
-    for d in range(1, max_depth + 1):
-        nxt = (frontier.join(e, frontier.dataset == e._from).select(F.col("_to").alias("dataset"))
-                       .distinct().join(visited.select("dataset"), "dataset", "left_anti"))
-        if checkpoint:
-            nxt = nxt.checkpoint()
-        if nxt.isEmpty():
-            break
-        visited = visited.unionByName(nxt.withColumn("depth", F.lit(d)))
-        if checkpoint:
-            visited = visited.checkpoint()
-        frontier = nxt
-    return visited
+    hop = lambda frontier: (frontier.join(e, frontier.dataset == e._from)
+                            .select(F.col("_to").alias("dataset")).distinct())
+    return _walk(edges.sparkSession.createDataFrame([(start,)], "dataset string"), hop, max_depth)
 
 
-def lineage_walk_jobs(job_io: DataFrame, start: str, direction: str = "up", max_depth: int = 10,
-                      checkpoint: bool = True) -> DataFrame:
+def lineage_walk_jobs(job_io: DataFrame, start: str, direction: str = "up", max_depth: int | None = None) -> DataFrame:
     """L4 over the job graph itself: dataset -> producing job -> its inputs
-    (upstream), or dataset -> consuming job -> its outputs (downstream).
+    (upstream), or dataset -> consuming job -> its outputs (downstream), with
+    the least job that reached each dataset first.
 
-    Equal to `lineage_walk(lineage_edges(job_io), ...)` but never builds the
-    input x output pairs of a job: each hop is two equi-joins on `job_io`
-    with the frontier reduced to distinct jobs in between, so the work per
-    round is proportional to the frontier's own associations.
+    Reaches what `lineage_walk(lineage_edges(job_io), ...)` reaches but never
+    builds the input x output pairs of a job: each hop is two equi-joins on
+    `job_io` with the frontier reduced to distinct jobs in between, so the
+    work per round is proportional to the frontier's own associations.
     """
-    spark = job_io.sparkSession
     near, far = ("out", "in") if direction == "up" else ("in", "out")
     hop_in = job_io.filter(F.col("direction") == near).select("job", F.col("dataset").alias("_from"))
     hop_out = job_io.filter(F.col("direction") == far).select("job", F.col("dataset").alias("_to"))
-    visited = spark.createDataFrame([(start, 0)], "dataset string, depth int")
-    frontier = visited.select("dataset")
-    for d in range(1, max_depth + 1):
+
+    def hop(frontier: DataFrame) -> DataFrame:
         jobs = frontier.join(hop_in, frontier.dataset == hop_in._from).select("job").distinct()
-        nxt = (jobs.join(hop_out, "job").select(F.col("_to").alias("dataset")).distinct()
-                   .join(visited.select("dataset"), "dataset", "left_anti"))
-        if checkpoint:
-            nxt = nxt.checkpoint()
-        if nxt.isEmpty():
+        return jobs.join(hop_out, "job").groupBy(F.col("_to").alias("dataset")).agg(F.min("job").alias("job"))
+
+    first = job_io.sparkSession.createDataFrame([(start, None)], "dataset string, job string")
+    return _walk(first, hop, max_depth)
+
+
+def _walk(first: DataFrame, hop, max_depth: int | None) -> DataFrame:
+    """Breadth-first until the frontier is empty (or `max_depth` hops): each
+    round drops the visited nodes by an anti-join, so cycles end and a node
+    appears once.  Frontier and visited nodes are checkpointed each round
+    (reliable checkpoint under spark.checkpoint.dir)."""
+    visited = frontier = first.withColumn("depth", F.lit(0))
+    depth = 0
+    while max_depth is None or depth < max_depth:
+        depth += 1
+        frontier = (hop(frontier.select("dataset")).join(visited.select("dataset"), "dataset", "left_anti")
+                    .withColumn("depth", F.lit(depth)).select(first.columns + ["depth"]).checkpoint())
+        if frontier.isEmpty():
             break
-        visited = visited.unionByName(nxt.withColumn("depth", F.lit(d)))
-        if checkpoint:
-            visited = visited.checkpoint()
-        frontier = nxt
+        visited = visited.unionByName(frontier).checkpoint()
     return visited
 
 
@@ -220,20 +209,20 @@ def verify_trails(findings: DataFrame, fields: DataFrame, tags: DataFrame, job_i
     """Per finding — rows > 0, SQL present, lineage in -> out, schema
     present, review state present."""
     f = findings.select("evidence_table", "job", "evidence_rows", "sql_text")
-    io = (job_io.groupBy("job")
-                .agg(F.count_if(F.col("direction") == "in").alias("_n_in"),
-                     F.collect_set(F.when(F.col("direction") == "out", F.col("dataset"))).alias("_outs")))
+    io = job_io.groupBy("job").agg(F.count_if(F.col("direction") == "in").alias("_n_in"))
+    made = (job_io.filter(F.col("direction") == "out").select("job", F.col("dataset").alias("evidence_table"))
+                  .distinct().withColumn("_made", F.lit(True)))
     fl = fields.groupBy("evidence_table").agg(F.count(F.lit(1)).alias("_n_fields"))
     st = (tags.filter(F.col("value").isin(*states)).select("evidence_table").distinct()
               .withColumn("_state", F.lit(True)))
-    j = (f.join(io, "job", "left").join(fl, "evidence_table", "left")
+    j = (f.join(io, "job", "left").join(made, ["job", "evidence_table"], "left").join(fl, "evidence_table", "left")
           .join(st, "evidence_table", "left"))
     return j.select(
         "evidence_table",
         (F.col("evidence_rows") > 0).alias("has_rows"),
         (F.coalesce(F.length("sql_text"), F.lit(0)) > 0).alias("has_sql"),
         ((F.coalesce(F.col("_n_in"), F.lit(0)) > 0)
-         & F.coalesce(F.array_contains("_outs", F.col("evidence_table")), F.lit(False))).alias("has_lineage"),
+         & F.coalesce("_made", F.lit(False))).alias("has_lineage"),
         (F.coalesce(F.col("_n_fields"), F.lit(0)) > 0).alias("has_schema"),
         F.coalesce(F.col("_state"), F.lit(False)).alias("has_review_state"))
 

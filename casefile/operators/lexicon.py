@@ -17,7 +17,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casefile.functions.sizing import broadcast_bounded
 from casefile.functions.text import address_domain, any_substring, lexicon_hits, search_text
 from casefile.operators.comms import first_event_scalar
 from casefile.operators.staging import date_window_filter, is_internal
@@ -93,8 +92,8 @@ def known_entities(entities: DataFrame, aliases: Sequence[str] = ()) -> DataFram
 
 def known_flag_existence(edges: DataFrame, known: DataFrame) -> DataFrame:
     """`entity_x IN known` as booleans, via a left join to the distinct
-    known list (no fan-out); the list is broadcast only behind a row bound."""
-    k = broadcast_bounded(known.select("entity").distinct())
+    known list (no fan-out); AQE broadcasts the list by its real size."""
+    k = known.select("entity").distinct()
     ka = k.select(F.col("entity").alias("_ka"))
     kb = k.select(F.col("entity").alias("_kb"))
     return (edges.join(ka, F.col("entity_a") == F.col("_ka"), "left")
@@ -124,7 +123,7 @@ def shadow_candidates(web: DataFrame, threshold: int = 20) -> DataFrame:
 
 def classification_proposals(web: DataFrame, glossary: DataFrame, threshold: int = 20) -> DataFrame:
     """H3p: shadow candidates not yet in the glossary, as pending proposals."""
-    g = broadcast_bounded(glossary.select(F.lower("name").alias("_term")).distinct())
+    g = glossary.select(F.lower("name").alias("_term")).distinct()
     s = shadow_candidates(web, threshold)
     return (s.join(g, s.candidate == g._term, "left_anti")
              .select(F.col("candidate").alias("term"), F.col("total").alias("support"),

@@ -3,12 +3,15 @@
 
 Tag events: (event_id, at, entity, category, operation, modifier, actor, note).
 A finding is recorded or reopened -> `pending-review`; accept -> `confirmed`;
-reject -> `rejected`.  A verdict is legal only from pending (C16), so over the
-entity's state events ordered by (at, event_id) a verdict is effective iff the
-previous state event is a pending one: the previous event comes from
-`segmented_prev`, which sorts only within (entity, day) and carries the last
-event of each day forward through a per-day summary, so a hot entity is not
-one task.  Final states use aggregations only (last pending, first verdict
+reject -> `rejected`.  Only ADD events change the state: a REMOVE takes a tag
+away beside the ADD of another, and is no verdict.  A verdict is legal only
+from pending (C16), so over the entity's state events ordered by (at, event_id)
+a verdict is effective iff the previous state event is a pending one.  A
+pending event reopens iff the previous *legal* event (pending, or an effective
+verdict) is a verdict, which is then the state it leaves.  Previous events come
+from `segmented_prev`, which sorts only within (entity, day) and carries the
+last event of each day forward through a per-day summary, so a hot entity is
+not one task.  Final states use aggregations only (last pending, first verdict
 after it).
 
 Incidents (C17): an effective accept raises on each implicated asset, an
@@ -42,10 +45,11 @@ def _pos() -> Column:
 
 
 def state_log(tag_events: DataFrame) -> DataFrame:
-    """(entity, event_id, at, kind) for the state-changing tag events."""
+    """(entity, event_id, at, kind, actor, note) for the state-changing tag events."""
     tag = short_name("modifier")
-    return (tag_events.filter((F.col("category") == "TAG") & tag.isin(PENDING, *VERDICTS))
-                      .select("entity", "event_id", "at", tag.alias("kind")))
+    return (tag_events.filter((F.col("category") == "TAG") & (F.col("operation") == "ADD")
+                              & tag.isin(PENDING, *VERDICTS))
+                      .select("entity", "event_id", "at", tag.alias("kind"), "actor", "note"))
 
 
 def with_previous(log: DataFrame) -> DataFrame:
@@ -54,42 +58,46 @@ def with_previous(log: DataFrame) -> DataFrame:
 
 
 def annotated_log(tag_events: DataFrame) -> DataFrame:
-    """State events with `prev_kind` and `after_first_pending` (some pending
-    event precedes this one): one pass that both the verdict and the reopen
-    views project from."""
-    log = state_log(tag_events)
-    first = (log.filter(F.col("kind") == PENDING)
-                .groupBy("entity").agg(F.min(_pos()).alias("_first_pending")))
-    p = with_previous(log).join(first, "entity", "left")
-    after = F.coalesce(_pos() > F.col("_first_pending"), F.lit(False))
-    return p.withColumn("after_first_pending", after).drop("_first_pending")
+    """The state events, each with `effective` (a verdict right after a pending
+    event) and `from_state` (the verdict that a pending event reopens, else
+    null).  Verdict, reopen and incident views all project from it; write it
+    once where several of them are asked."""
+    p = with_previous(state_log(tag_events))
+    p = p.withColumn("effective", F.col("kind").isin(*VERDICTS)
+                     & F.coalesce(F.col("prev_kind") == PENDING, F.lit(False))).drop("prev_kind")
+    legal = with_previous(p.filter((F.col("kind") == PENDING) | F.col("effective")))
+    state = F.when((F.col("kind") == PENDING) & F.col("prev_kind").isin(*VERDICTS), F.col("prev_kind"))
+    cols = ["entity", "event_id", "at", "kind", "actor", "note", "effective"]
+    refused = p.filter((F.col("kind") != PENDING) & ~F.col("effective"))
+    return (legal.select(*cols, state.alias("from_state"))
+                 .unionByName(refused.select(*cols, F.lit(None).cast("string").alias("from_state"))))
+
+
+def verdicts(annotated: DataFrame) -> DataFrame:
+    """Every verdict with its reviewer, time and note, and `effective`."""
+    return (annotated.filter(F.col("kind").isin(*VERDICTS))
+                     .select("event_id", "entity", F.col("at").cast("timestamp_ntz").alias("at"),
+                             F.col("kind").alias("verdict"), F.col("actor").alias("reviewer"), "note", "effective"))
 
 
-def _verdicts(a: DataFrame) -> DataFrame:
-    return (a.filter(F.col("kind").isin(*VERDICTS))
-             .select("event_id", "entity", F.col("at").cast("timestamp_ntz").alias("at"),
-                     F.col("kind").alias("verdict"),
-                     F.coalesce(F.col("prev_kind") == PENDING, F.lit(False)).alias("effective")))
+def refused_verdicts(annotated: DataFrame) -> DataFrame:
+    """The verdicts that were not legal: nothing was pending."""
+    return verdicts(annotated).filter(~F.col("effective")).drop("effective")
 
 
-def _reopens(a: DataFrame) -> DataFrame:
-    # a verdict right before a pending event is the state iff some pending
-    # event came before it (the first verdict after a pending is effective)
-    return (a.filter((F.col("kind") == PENDING) & F.col("prev_kind").isin(*VERDICTS)
-                     & F.col("after_first_pending"))
-             .select("event_id", "entity", F.col("at").cast("timestamp_ntz").alias("at"),
-                     F.col("prev_kind").alias("from_state")))
+def reopens(annotated: DataFrame) -> DataFrame:
+    """Pending events that reopen a reviewed finding; `from_state` is the
+    effective verdict they undo."""
+    return (annotated.filter(F.col("from_state").isNotNull())
+                     .select("event_id", "entity", F.col("at").cast("timestamp_ntz").alias("at"), "from_state"))
 
 
 def apply_verdict(tag_events: DataFrame) -> DataFrame:
-    """Every verdict with `effective` (legal only from pending)."""
-    return _verdicts(annotated_log(tag_events))
+    return verdicts(annotated_log(tag_events))
 
 
 def reopen_finding(tag_events: DataFrame) -> DataFrame:
-    """Pending events that reopen a reviewed finding (the state before
-    them is a verdict); `from_state` is the verdict they undo."""
-    return _reopens(annotated_log(tag_events))
+    return reopens(annotated_log(tag_events))
 
 
 def review_states(tag_events: DataFrame, precedence: Sequence[str] = BOARD_PRECEDENCE) -> DataFrame:
@@ -130,11 +138,11 @@ def resolve_finding_keys(keys: DataFrame, evidence_sets: DataFrame, key_col: str
     starts = F.sequence(F.lit(1), n)
     subs = names.select("_name", F.explode(starts).alias("_i")).select(
         "_name", F.explode(F.sequence(F.lit(1), n - F.col("_i") + 1)).alias("_len"), "_i")
-    subs = subs.select("_name", F.substring(F.col("_name"), F.col("_i"), F.col("_len")).alias("_sub")
-                       ).distinct()
+    # one row per substring before it meets a key: a short key is in many names
+    subs = (subs.select("_name", F.substring(F.col("_name"), F.col("_i"), F.col("_len")).alias("_sub")).distinct()
+                .groupBy("_sub").agg(F.count("_name").alias("_n"), F.min("_name").alias("_any")))
     k = keys.select(F.col(key_col).alias("key")).distinct()
-    m = (k.join(subs, k.key == subs._sub, "left")
-          .groupBy("key").agg(F.count("_name").alias("n_matches"), F.min("_name").alias("_any")))
+    m = k.join(subs, k.key == subs._sub, "left").withColumn("n_matches", F.coalesce("_n", F.lit(0)))
     status = (F.when(F.col("n_matches") == 1, F.lit("resolved"))
                .when(F.col("n_matches") == 0, F.lit("unmatched")).otherwise(F.lit("ambiguous")))
     return m.select("key", "n_matches",
@@ -161,18 +169,21 @@ def incident_title(entity: Column) -> Column:
     return F.concat(F.lit("investigation: "), entity)
 
 
-def incident_actions(tag_events: DataFrame, assets: DataFrame | None = None) -> DataFrame:
-    """Raise / resolve actions with `effective` per (dataset, title).
+def incident_actions(tag_events: DataFrame, assets: DataFrame | None = None,
+                     annotated: DataFrame | None = None) -> DataFrame:
+    """Raise / resolve actions with `effective` and `message` per (dataset, title).
 
     `assets(evidence_table, asset)` maps a finding to the assets its incident
     lands on; findings without a mapping land on themselves.
     """
-    a = annotated_log(tag_events)
-    v = _verdicts(a).filter(F.col("effective")).select(
-        "entity", "event_id", "at",
-        F.when(F.col("verdict") == CONFIRMED, F.lit("raise")).otherwise(F.lit("resolve")).alias("action"))
-    r = _reopens(a).select("entity", "event_id", "at", F.lit("resolve").alias("action"))
-    acts = v.unionByName(r)
+    a = annotated_log(tag_events) if annotated is None else annotated
+    action = (F.when(F.col("from_state").isNotNull(), F.lit("resolve"))
+               .when(F.col("effective") & (F.col("kind") == CONFIRMED), F.lit("raise"))
+               .when(F.col("effective"), F.lit("resolve")))
+    message = (F.when(F.col("from_state").isNotNull(), F.lit("reopened"))
+                .otherwise(F.concat("kind", F.lit(" by "), "actor")))
+    acts = (a.select("entity", "event_id", F.col("at").cast("timestamp_ntz").alias("at"), action.alias("action"),
+                     message.alias("message")).filter(F.col("action").isNotNull()))
     if assets is not None:
         acts = (acts.join(assets, acts.entity == assets.evidence_table, "left")
                     .withColumn("dataset", F.coalesce("asset", "entity"))
@@ -180,7 +191,7 @@ def incident_actions(tag_events: DataFrame, assets: DataFrame | None = None) ->
     else:
         acts = acts.withColumn("dataset", F.col("entity"))
     acts = acts.withColumn("title", incident_title(F.col("entity")))
-    return incident_effects(acts.select("dataset", "title", "action", "at", "event_id"))
+    return incident_effects(acts.select("dataset", "title", "action", "at", "event_id", "message"))
 
 
 def incident_effects(actions: DataFrame) -> DataFrame:
@@ -190,19 +201,18 @@ def incident_effects(actions: DataFrame) -> DataFrame:
     eff = (F.when(F.col("action") == "raise",
                   F.col("prev_action").isNull() | (F.col("prev_action") == "resolve"))
             .otherwise(F.coalesce(F.col("prev_action") == "raise", F.lit(False))))
-    return p.select("dataset", "title", "action", "at", "event_id", eff.alias("effective"))
+    more = [c for c in ("message",) if c in actions.columns]
+    return p.select("dataset", "title", "action", "at", "event_id", *more, eff.alias("effective"))
 
 
-def raise_incidents(tag_events: DataFrame, assets: DataFrame | None = None) -> DataFrame:
+def raise_incidents(actions: DataFrame) -> DataFrame:
     """New incidents (no ACTIVE one with the same title on the asset)."""
-    a = incident_actions(tag_events, assets)
-    return a.filter((F.col("action") == "raise") & F.col("effective")).drop("action", "effective")
+    return actions.filter((F.col("action") == "raise") & F.col("effective")).drop("action", "effective")
 
 
-def resolve_incidents(tag_events: DataFrame, assets: DataFrame | None = None) -> DataFrame:
+def resolve_incidents(actions: DataFrame) -> DataFrame:
     """Resolutions that close an ACTIVE incident."""
-    a = incident_actions(tag_events, assets)
-    return a.filter((F.col("action") == "resolve") & F.col("effective")).drop("action", "effective")
+    return actions.filter((F.col("action") == "resolve") & F.col("effective")).drop("action", "effective")
 
 
 def active_incidents(actions: DataFrame) -> DataFrame:

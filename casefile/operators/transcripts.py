@@ -45,9 +45,9 @@ def run_reliability(markers: DataFrame, runs: DataFrame, finding_marker: str) ->
     return per.crossJoin(rate)
 
 
-def call_signatures(msgs: DataFrame) -> DataFrame:
-    """Calls with a signature: (tool, first character of the text)."""
-    return msgs.withColumn("signature", F.concat_ws("|", "tool", F.substring("text", 1, 1)))
+def call_signatures(calls: DataFrame, args: str = "args") -> DataFrame:
+    """Calls with a signature: the tool and its whole arguments."""
+    return calls.withColumn("signature", F.concat("tool", F.lit("|"), F.coalesce(args, F.lit(""))))
 
 
 def repeated_calls(calls: DataFrame, *, limit: int = 3, budget_turn: int = 22,

@@ -300,8 +300,13 @@ WHERE f.flagged
 """, "crossing", "emails", "comm_spikes")
 
 _cte("review_events", """
-SELECT event_id, CAST(ts AS TIMESTAMP) AS "at", concat('analytics.x', user_id) AS entity,
-       CASE WHEN event_type = 'signup' THEN 'OWNER' ELSE 'TAG' END AS category, 'ADD' AS operation,
+SELECT event_id, CAST(ts AS TIMESTAMP) AS "at",
+       CASE user_id WHEN 0 THEN 'analytics.hunt1_comm_spikes' WHEN 1 THEN 'analytics.hunt2_external_leakage'
+            WHEN 2 THEN 'analytics.hunt3_spe_web' WHEN 3 THEN 'analytics.hunt4_orphaned_ownership'
+            WHEN 4 THEN 'analytics.hunt5_provenance_gaps' WHEN 5 THEN 'analytics.hunt6_decoy_volume'
+            ELSE concat('analytics.x', user_id) END AS entity,
+       CASE WHEN event_type = 'signup' THEN 'OWNER' ELSE 'TAG' END AS category,
+       CASE WHEN event_id % 11 = 0 THEN 'REMOVE' ELSE 'ADD' END AS operation,
        CASE WHEN event_type = 'signup' THEN concat('owner:u', user_id)
             ELSE concat('urn:li:tag:', CASE event_type WHEN 'purchase' THEN 'confirmed'
                  WHEN 'error' THEN 'rejected' WHEN 'view' THEN 'pending-review'
@@ -310,66 +315,58 @@ SELECT event_id, CAST(ts AS TIMESTAMP) AS "at", concat('analytics.x', user_id) A
 FROM events
 """)
 
-_cte("state_log", """
-SELECT entity, event_id, "at",
-       CASE note WHEN 'view' THEN 'pending-review' WHEN 'purchase' THEN 'confirmed' ELSE 'rejected' END AS kind
-FROM review_events WHERE note IN ('view', 'purchase', 'error')
+# the state machine, one event of every entity at a time
+_cte("folded", """
+WITH RECURSIVE seq AS (
+  SELECT entity, event_id, "at", actor, note,
+         CASE note WHEN 'view' THEN 'pending-review' WHEN 'purchase' THEN 'confirmed' ELSE 'rejected' END AS kind,
+         row_number() OVER (PARTITION BY entity ORDER BY "at", event_id) AS i
+  FROM review_events WHERE operation = 'ADD' AND note IN ('view', 'purchase', 'error')),
+step(entity, i, event_id, "at", actor, note, kind, before, state, since) AS (
+  SELECT DISTINCT entity, 0::BIGINT, NULL::BIGINT, NULL::TIMESTAMP, NULL::VARCHAR, NULL::VARCHAR, NULL::VARCHAR,
+         NULL::VARCHAR, 'unknown', NULL::TIMESTAMP FROM seq
+  UNION ALL
+  SELECT s.entity, s.i, s.event_id, s."at", s.actor, s.note, s.kind, f.state,
+         CASE WHEN s.kind = 'pending-review' OR f.state = 'pending-review' THEN s.kind ELSE f.state END,
+         CASE WHEN s.kind = 'pending-review' OR f.state = 'pending-review' THEN s."at" ELSE f.since END
+  FROM step f JOIN seq s ON s.entity = f.entity AND s.i = f.i + 1)
+SELECT * FROM step WHERE i > 0
 """, "review_events")
 
-_cte("state_prev", """
-SELECT *, lag(kind) OVER (PARTITION BY entity ORDER BY "at", event_id) AS prev_kind FROM state_log
-""", "state_log")
-
 _cte("verdicts", """
-SELECT event_id, entity, "at", kind AS verdict, coalesce(prev_kind = 'pending-review', false) AS effective
-FROM state_prev WHERE kind IN ('confirmed', 'rejected')
-""", "state_prev")
+SELECT event_id, entity, "at", kind AS verdict, actor AS reviewer, note, before = 'pending-review' AS effective
+FROM folded WHERE kind <> 'pending-review'
+""", "folded")
 
 _cte("reopens", """
-SELECT p.event_id, p.entity, p."at", p.prev_kind AS from_state FROM state_prev p
-WHERE p.kind = 'pending-review' AND p.prev_kind IN ('confirmed', 'rejected')
-  AND EXISTS (SELECT 1 FROM state_log q WHERE q.entity = p.entity AND q.kind = 'pending-review'
-              AND (q."at" < p."at" OR (q."at" = p."at" AND q.event_id < p.event_id)))
-""", "state_prev", "state_log")
-
-_cte("last_pending", """
-SELECT entity, "at", event_id FROM (
-  SELECT *, row_number() OVER (PARTITION BY entity ORDER BY "at" DESC, event_id DESC) AS rn
-  FROM state_log WHERE kind = 'pending-review') x WHERE rn = 1
-""", "state_log")
+SELECT event_id, entity, "at", before AS from_state FROM folded
+WHERE kind = 'pending-review' AND before IN ('confirmed', 'rejected')
+""", "folded")
 
 _cte("review_states", """
-SELECT e.entity,
-       CASE WHEN v.kind IS NOT NULL THEN v.kind WHEN lp."at" IS NOT NULL THEN 'pending-review'
-            ELSE 'unknown' END AS state,
-       CASE WHEN v.kind IS NOT NULL THEN v."at" ELSE lp."at" END AS state_at,
-       e.state_events,
-       CASE (CASE WHEN v.kind IS NOT NULL THEN v.kind WHEN lp."at" IS NOT NULL THEN 'pending-review'
-                  ELSE 'unknown' END)
-            WHEN 'confirmed' THEN 0 WHEN 'rejected' THEN 1 WHEN 'pending-review' THEN 2 ELSE 3 END
-         AS state_rank
-FROM (SELECT entity, count(*) AS state_events FROM state_log GROUP BY 1) e
-LEFT JOIN last_pending lp ON lp.entity = e.entity
-LEFT JOIN (
-  SELECT entity, kind, "at" FROM (
-    SELECT s.*, row_number() OVER (PARTITION BY s.entity ORDER BY s."at", s.event_id) AS rn
-    FROM state_log s JOIN last_pending l ON l.entity = s.entity
-    WHERE s.kind IN ('confirmed', 'rejected')
-      AND (s."at" > l."at" OR (s."at" = l."at" AND s.event_id > l.event_id))) y WHERE rn = 1) v
-  ON v.entity = e.entity
-""", "state_log", "last_pending")
+SELECT entity, state, since AS state_at, state_events,
+       list_position(['confirmed', 'rejected', 'pending-review', 'unknown'], state) - 1 AS state_rank
+FROM (SELECT entity, arg_max(state, i) AS state, max(since) AS since, count(*) AS state_events FROM folded GROUP BY entity)
+""", "folded")
+
+_cte("implicated", """
+SELECT 'analytics.hunt4_orphaned_ownership' AS entity, dataset FROM orphaned WHERE flagged GROUP BY dataset
+UNION ALL SELECT 'analytics.hunt5_provenance_gaps', dataset FROM provenance WHERE flagged GROUP BY dataset
+""", "orphaned", "provenance")
 
+# an incident is open or not; each action of a finding reaches all its assets
 _cte("incident_actions", """
-SELECT dataset, title, action, "at", event_id,
-       CASE WHEN action = 'raise' THEN prev_action IS NULL OR prev_action = 'resolve'
-            ELSE coalesce(prev_action = 'raise', false) END AS effective
-FROM (
-  SELECT entity AS dataset, concat('investigation: ', entity) AS title, action, "at", event_id,
-         lag(action) OVER (PARTITION BY entity ORDER BY "at", event_id) AS prev_action
-  FROM (SELECT entity, event_id, "at", CASE WHEN verdict = 'confirmed' THEN 'raise' ELSE 'resolve' END AS action
-        FROM verdicts WHERE effective
-        UNION ALL SELECT entity, event_id, "at", 'resolve' FROM reopens) a) b
-""", "verdicts", "reopens")
+WITH acts AS (
+  SELECT entity, event_id, "at", if(verdict = 'confirmed', 'raise', 'resolve') AS action,
+         format('{} by {}', verdict, reviewer) AS message FROM verdicts WHERE effective
+  UNION ALL SELECT entity, event_id, "at", 'resolve', 'reopened' FROM reopens),
+landed AS (
+  SELECT coalesce(i.dataset, a.entity) AS dataset, concat('investigation: ', a.entity) AS title, a.*
+  FROM acts a LEFT JOIN implicated i ON i.entity = a.entity)
+SELECT dataset, title, action, "at", event_id, message,
+       coalesce(lag(action) OVER (PARTITION BY dataset, title ORDER BY "at", event_id), 'resolve') <> action AS effective
+FROM landed
+""", "verdicts", "reopens", "implicated")
 
 _cte("decoy_all", "SELECT * FROM decoy", "decoy")
 
@@ -389,7 +386,7 @@ SELECT week, vol, zscore, days_to_event FROM comm_spikes WHERE flagged ORDER BY
 
 def _fp(name: str, col: str, src: str) -> str:
     return (f"SELECT '{name}' AS \"check\", concat('n=', count(*), ';h=', "
-            f"coalesce(sum(CAST(('0x' || substr(md5(v), 1, 8)) AS BIGINT)), 0)) AS got "
+            f"coalesce(sum(CAST(('0x' || substr(md5(v), 1, 15)) AS BIGINT)), 0)) AS got "
             f"FROM (SELECT DISTINCT CAST({col} AS VARCHAR) AS v FROM {src} WHERE {col} IS NOT NULL) s")
 
 

@@ -259,19 +259,20 @@ SELECT DISTINCT i.dataset AS upstream, o.dataset AS downstream
 FROM cat_job_io i JOIN cat_job_io o ON i.job = o.job WHERE i.direction = 'in' AND o.direction = 'out'""",
        "cat_job_io")
 oracle("lineage_walk", """
-, edges AS (SELECT DISTINCT i.dataset AS upstream, o.dataset AS downstream
-            FROM cat_job_io i JOIN cat_job_io o ON i.job = o.job
-            WHERE i.direction = 'in' AND o.direction = 'out')
-SELECT dataset, CAST(min(depth) AS INTEGER) AS depth FROM (
-  WITH RECURSIVE walk(dataset, depth) AS (
-    SELECT 'part.p1', 0
-    UNION ALL
-    SELECT e.upstream, w.depth + 1 FROM walk w JOIN edges e ON e.downstream = w.dataset WHERE w.depth < 2)
-  SELECT * FROM walk) x
-GROUP BY dataset""", "cat_job_io")
+, hop AS (SELECT o.dataset AS made, i.dataset AS used, min(i.job) AS job
+          FROM cat_job_io i JOIN cat_job_io o ON i.job = o.job
+          WHERE i.direction = 'in' AND o.direction = 'out' GROUP BY ALL)
+SELECT * FROM (
+  WITH RECURSIVE walk(dataset, depth, job) USING KEY (dataset) AS (
+    SELECT 'part.p1', 0, NULL::VARCHAR
+    UNION
+    SELECT h.used, min(w.depth + 1), min(h.job)
+    FROM walk w JOIN hop h ON h.made = w.dataset
+    WHERE NOT EXISTS (SELECT 1 FROM recurring.walk seen WHERE seen.dataset = h.used) GROUP BY h.used)
+  SELECT dataset, depth, job FROM walk)""", "cat_job_io")
 oracle("verify_trails", f"""
-SELECT evidence_table, evidence_rows > 0 AS has_rows, true AS has_sql, true AS has_lineage,
-       true AS has_schema, evidence_table <> 'analytics.hunt1_exhibits' AS has_review_state
+SELECT evidence_table, evidence_rows > 0 AS has_rows, length(sql_text) > 0 AS has_sql,
+       len(string_split(job, '_')) > 1 AS has_lineage, evidence_rows IS NOT NULL AS has_schema, evidence_table <> 'analytics.hunt1_exhibits' AS has_review_state
 FROM ({_ALL_FINDINGS}) f""", *_FINDING_CTES)
 oracle("prior_findings", f"""
 SELECT hunt_id, evidence_table, evidence_rows FROM ({_ALL_FINDINGS}) f WHERE confidence = 'high'""",
@@ -293,6 +294,7 @@ FROM review_events""", "review_events")
 # ------------------------------------------------------------------ review
 oracle("review_states", "SELECT * FROM review_states", "review_states")
 oracle("apply_verdict", "SELECT * FROM verdicts", "verdicts")
+oracle("refused_verdicts", "SELECT * EXCLUDE (effective) FROM verdicts WHERE NOT effective", "verdicts")
 oracle("reopen_finding", "SELECT * FROM reopens", "reopens")
 oracle("resolve_finding_keys", """
 , keys AS (SELECT DISTINCT concat('x', user_id) AS key FROM events WHERE event_type = 'signup'),
@@ -311,10 +313,10 @@ UNION ALL SELECT DISTINCT 'analytics.hunt4_orphaned_ownership', dataset FROM orp
 UNION ALL SELECT DISTINCT 'analytics.hunt5_provenance_gaps', dataset FROM provenance
   WHERE flagged AND dataset IS NOT NULL""", "orphaned", "provenance")
 oracle("raise_incidents", """
-SELECT dataset, title, "at", event_id FROM incident_actions WHERE action = 'raise' AND effective""",
+SELECT dataset, title, "at", event_id, message FROM incident_actions WHERE action = 'raise' AND effective""",
        "incident_actions")
 oracle("resolve_incidents", """
-SELECT dataset, title, "at", event_id FROM incident_actions WHERE action = 'resolve' AND effective""",
+SELECT dataset, title, "at", event_id, message FROM incident_actions WHERE action = 'resolve' AND effective""",
        "incident_actions")
 oracle("active_incidents", """
 SELECT dataset, title, "at" AS raised_at FROM (
@@ -365,9 +367,11 @@ ORACLES.update(scale_oracles("sf0.01"))  # the driver's correctness scale
 
 oracle("extract_slice", _CROSS_EDGES, "crossing")
 oracle("recompute_check", """
-SELECT f.flagged_weeks, true AS matches_full, p.week AS peak_week, p.vol AS peak_volume, p.zscore AS peak_zscore
+SELECT f.flagged_weeks,
+       NOT EXISTS (SELECT week, sum(n) FROM (""" + _CROSS_EDGES + """) GROUP BY week
+                   EXCEPT SELECT week, vol FROM comm_spikes) AS matches_full, p.week AS peak_week, p.vol AS peak_volume, p.zscore AS peak_zscore
 FROM (SELECT count(*) AS flagged_weeks FROM comm_spikes WHERE flagged) f LEFT JOIN peak p ON true""",
-       "comm_spikes", "peak")
+       "comm_spikes", "peak", "crossing")
 # ------------------------------------------------------------------ streaming alerts
 _ALERTS = """
 FROM review_events WHERE category = 'TAG'
@@ -378,9 +382,11 @@ oracle("review_alerts_stream", _PAYLOAD, "review_events")
 oracle("alert_log_append", "SELECT event_id, entity AS entityUrn, true AS stamped" + _ALERTS, "review_events")
 oracle("alert_feed", """
 SELECT "at", event_id, concat_ws(' / ', category, operation) AS event, string_split(modifier, ':')[-1] AS tag,
-       entity AS asset""" + _ALERTS, "review_events")
+       entity AS asset, true AS received, count(*) OVER () AS total""" + _ALERTS, "review_events")
 oracle("alert_dedup_stream", _PAYLOAD, "review_events")
-oracle("load_alert_log", _PAYLOAD, "review_events")
+oracle("load_alert_log", f"""
+SELECT * FROM ({_PAYLOAD}) WHERE event_id % 100 <> 0
+UNION ALL SELECT NULL, * EXCLUDE (event_id) FROM ({_PAYLOAD}) WHERE event_id % 100 = 2""", "review_events")
 
 # ------------------------------------------------------------------ transcripts
 _MARK = r"'\b(the|und|que)[\t\n\f\r ]+([0-9A-Za-z_]+)'"
@@ -401,19 +407,19 @@ ORACLES["run_reliability"] = "WITH x0 AS (SELECT 1)" + _MARKERS + """
 SELECT per.*, (SELECT round(avg(CAST(passed AS DOUBLE)), 4) FROM per) AS pass_rate FROM per"""
 ORACLES["artifact_manifest"] = "WITH x0 AS (SELECT 1)" + _MARKERS + """
 SELECT marker, artifact, count(DISTINCT run_id) AS runs, count(*) AS mentions FROM markers GROUP BY 1, 2"""
-ORACLES["repeated_calls"] = """
-WITH c AS (
-  SELECT conv_id AS run_id, turn, role AS tool, concat_ws('|', role, substr(text, 1, 1)) AS signature
-  FROM conversations),
-n AS (SELECT *, row_number() OVER (PARTITION BY run_id, signature ORDER BY turn) AS occurrence FROM c)
-SELECT * FROM (
-  SELECT run_id, turn, tool, signature, occurrence,
-         CASE WHEN tool <> 'system' AND turn >= 22 THEN 'budget'
-              WHEN (CASE WHEN tool = 'system' THEN occurrence % 3 = 0 ELSE occurrence >= 3 END) THEN 'repeat'
-         END AS flagged_as
-  FROM n) x WHERE flagged_as IS NOT NULL"""
-ORACLES["budget_breaches"] = """
-SELECT conv_id AS run_id, turn, role AS tool FROM conversations WHERE role NOT IN ('system') AND turn >= 22"""
+_CALLS = """
+WITH calls AS (
+  SELECT user_id AS run_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS turn,
+         event_type AS tool, event_type IN ('view', 'click') AS writes, event_type || '|' || coalesce(props, '') AS signature
+  FROM events)"""
+ORACLES["repeated_calls"] = _CALLS + """
+SELECT run_id, turn, tool, signature, occurrence, flagged_as FROM (
+  SELECT *, count(*) OVER (PARTITION BY run_id, signature ORDER BY turn) AS occurrence,
+         CASE WHEN NOT writes AND turn >= 22 THEN 'budget'
+              WHEN writes AND occurrence % 3 = 0 OR NOT writes AND occurrence >= 3 THEN 'repeat' END AS flagged_as
+  FROM calls)
+WHERE flagged_as IS NOT NULL"""
+ORACLES["budget_breaches"] = _CALLS + " SELECT run_id, turn, tool FROM calls WHERE turn >= 22 AND NOT writes"
 ORACLES["transcript_trace"] = """
 SELECT conv_id AS run_id, turn, role AS kind, role AS tool, substr(text, 1, 600) AS content FROM conversations"""
 _WS = r"[\t\n\f\r ]"
@@ -440,7 +446,9 @@ _WRAPPED = (f"string_split_regex({_TAIL}, '\\s+')[1] = 'create' AND "
             f"coalesce(regexp_extract(string_split_regex({_TAIL}, '\\s+')[2], '^[a-z0-9_]*') IN ('table', 'view'), false) "
             r"AND regexp_matches(s, '(?is)\bas\s')")
 ORACLES["normalized_tool_calls"] = f"""
-WITH c AS (SELECT conv_id AS run_id, turn, split_part(text, ' ', 1) AS table_arg, text AS sql_arg
+WITH c AS (SELECT conv_id AS run_id, turn, split_part(text, ' ', 1) AS table_arg,
+                  CASE WHEN turn % 2 = 1 THEN 'Create or Replace VIEW v AS' || chr(10) || ' ' || text || ' ;' || chr(10)
+                       ELSE text END AS sql_arg
            FROM conversations),
 n AS (SELECT run_id, turn, {_SAFE} AS safe, {_S} AS s FROM c)
 SELECT run_id, turn, CASE WHEN safe <> '' THEN concat('analytics.', safe) END AS safe_table,

@@ -578,7 +578,7 @@ def q_lineage_edges(spark, d):
 
 @query("lineage_walk")
 def q_lineage_walk(spark, d):
-    return lg.lineage_walk_jobs(catalog(spark, d)["job_io"], P.lineage_start, "up", P.lineage_depth)
+    return lg.lineage_walk_jobs(wh(spark, d).job_io(), P.lineage_start, "up")
 
 
 @query("verify_trails")
@@ -620,14 +620,23 @@ def q_review_states(spark, d):
     return rv.review_states(review_log(spark, d))
 
 
+def annotated(spark, d):
+    return wh(spark, d).evidence("review_annotated", lambda: rv.annotated_log(review_log(spark, d)))
+
+
 @query("apply_verdict")
 def q_apply_verdict(spark, d):
-    return rv.apply_verdict(review_log(spark, d))
+    return rv.verdicts(annotated(spark, d))
+
+
+@query("refused_verdicts")
+def q_refused_verdicts(spark, d):
+    return rv.refused_verdicts(annotated(spark, d))
 
 
 @query("reopen_finding")
 def q_reopen_finding(spark, d):
-    return rv.reopen_finding(review_log(spark, d))
+    return rv.reopens(annotated(spark, d))
 
 
 @query("resolve_finding_keys")
@@ -646,22 +655,25 @@ def q_implicated_assets(spark, d):
     return pf.union_all(parts)
 
 
+def incident_actions(spark, d):
+    """Incidents land on the assets that the reviewed evidence set implicates."""
+    return wh(spark, d).evidence("incident_actions", lambda: rv.incident_actions(
+        review_log(spark, d), q_implicated_assets(spark, d), annotated(spark, d)))
+
+
 @query("raise_incidents")
 def q_raise_incidents(spark, d):
-    return rv.raise_incidents(review_log(spark, d)).select(
-        "dataset", "title", F.col("at").cast("timestamp_ntz").alias("at"), "event_id")
+    return rv.raise_incidents(incident_actions(spark, d))
 
 
 @query("resolve_incidents")
 def q_resolve_incidents(spark, d):
-    return rv.resolve_incidents(review_log(spark, d)).select(
-        "dataset", "title", F.col("at").cast("timestamp_ntz").alias("at"), "event_id")
+    return rv.resolve_incidents(incident_actions(spark, d))
 
 
 @query("active_incidents")
 def q_active_incidents(spark, d):
-    a = rv.active_incidents(rv.incident_actions(review_log(spark, d)))
-    return a.withColumn("raised_at", F.col("raised_at").cast("timestamp_ntz"))
+    return rv.active_incidents(incident_actions(spark, d))
 
 
 # ------------------------------------------------------------------ gate
@@ -759,15 +771,26 @@ def q_alert_dedup_stream(spark, d):
 
 @query("load_alert_log")
 def q_load_alert_log(spark, d):
-    log = _alert_run(spark, d)
-    # a torn write and a blank line appended to the log: both must be skipped
-    torn = spark.createDataFrame([('{"event_id": 1, "entityUrn": ',), ("",)], "value string")
-    torn.coalesce(1).write.mode("append").text(log)
-    return _payload(al.load_alert_log(spark, log))
+    # The log's lines as another writer leaves them: the first of each day's
+    # alerts is torn in the middle, a blank line behind it, and a line without
+    # an id is whole.  The folder has no sink metadata, so every line is read.
+    lines = spark.read.text(_alert_run(spark, d))
+    path = work_path(spark, "alerts", uuid.uuid4().hex, "lines")
+    event_id = F.get_json_object("value", "$.event_id").cast("long")
+    torn = F.when(event_id % 100 == 0, F.substring("value", 1, 40))
+    blank = F.when(event_id % 100 == 1, F.lit(""))
+    nameless = F.when(event_id % 100 == 2, F.regexp_replace("value", '"event_id":[0-9]+,', ""))
+    kept = F.when(event_id % 100 != 0, F.col("value"))
+    lines.select(F.explode(F.array_compact(F.array(torn, blank, kept, nameless))).alias("value")).write.text(path)
+    return _payload(al.load_alert_log(spark, path))
 
 
 # ------------------------------------------------------------------ transcripts
 
+#: Event types that stand for the tools that write.
+WRITE_TOOLS = ("view", "click")
+
+
 def msgs(spark, d):
     return wh(spark, d).transcripts()
 
@@ -788,13 +811,13 @@ def q_run_reliability(spark, d):
 
 @query("repeated_calls")
 def q_repeated_calls(spark, d):
-    return tr.repeated_calls(tr.call_signatures(msgs(spark, d)), limit=P.repeat_limit,
-                             budget_turn=P.budget_turn, write_tools=("system",))
+    return tr.repeated_calls(tr.call_signatures(td.tool_calls(spark, d)), limit=P.repeat_limit,
+                             budget_turn=P.budget_turn, write_tools=WRITE_TOOLS)
 
 
 @query("budget_breaches")
 def q_budget_breaches(spark, d):
-    return tr.budget_breaches(msgs(spark, d), turn=P.budget_turn, write_tools=("system",))
+    return tr.budget_breaches(td.tool_calls(spark, d), turn=P.budget_turn, write_tools=WRITE_TOOLS)
 
 
 @query("artifact_manifest")
@@ -809,6 +832,9 @@ def q_transcript_trace(spark, d):
 
 @query("normalized_tool_calls")
 def q_normalized_tool_calls(spark, d):
+    # the adapter's rule: a text's first word is the table name; texts of odd turns come as CREATE statements
+    text = F.when(F.col("turn") % 2 == 1, F.concat(F.lit("Create or Replace VIEW v AS\n "), "text", F.lit(" ;\n"))
+                  ).otherwise(F.col("text"))
     m = msgs(spark, d).select("run_id", "turn", F.split_part("text", F.lit(" "), F.lit(1)).alias("table_arg"),
-                              F.col("text").alias("sql_arg"))
+                              text.alias("sql_arg"))
     return tr.normalized_tool_calls(m)

@@ -60,6 +60,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if jdir.isDefined():
             root = jdir.get()
     if not root:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="casefile-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     sc.setCheckpointDir(root)

@@ -64,7 +64,6 @@ class Params:
     write_tools: tuple[str, ...] = ("materialize_evidence", "record_finding_tool")
     trace_cut: int = 600
     lineage_start: str = "part.p1"
-    lineage_depth: int = 2
     extra: dict = field(default_factory=dict)
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from casefile.functions.sequence import segmented_row_number
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
@@ -185,17 +187,26 @@ REVIEW_MAP = {"purchase": "confirmed", "error": "rejected", "view": "pending-rev
               "click": "risk-flagged"}
 
 
+EVIDENCE_SETS = ("analytics.hunt1_comm_spikes", "analytics.hunt2_external_leakage", "analytics.hunt3_spe_web",
+                 "analytics.hunt4_orphaned_ownership", "analytics.hunt5_provenance_gaps",
+                 "analytics.hunt6_decoy_volume")
+
+
 def review_tag_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tag-change events (event_id, at, entity, category, operation, modifier, actor, note)."""
+    """Tag-change events (event_id, at, entity, category, operation, modifier,
+    actor, note).  The first users review the six evidence sets, the others
+    sets of their own; every eleventh event takes a tag away."""
     ev = read(spark, sf_dir, "events")
+    sets = F.array(*[F.lit(t) for t in EVIDENCE_SETS])
     et = F.col("event_type")
     tag = F.coalesce(*[F.when(et == k, F.lit(v)) for k, v in REVIEW_MAP.items()])
     return ev.select(
         F.col("event_id"),
         F.col("ts").cast("timestamp").alias("at"),
-        F.concat(F.lit("analytics.x"), F.col("user_id").cast("string")).alias("entity"),
+        F.coalesce(F.get(sets, F.col("user_id")), F.concat(F.lit("analytics.x"), F.col("user_id").cast("string"))
+                   ).alias("entity"),
         F.when(et == "signup", F.lit("OWNER")).otherwise(F.lit("TAG")).alias("category"),
-        F.lit("ADD").alias("operation"),
+        F.when(F.col("event_id") % 11 == 0, F.lit("REMOVE")).otherwise(F.lit("ADD")).alias("operation"),
         F.when(et == "signup", F.concat(F.lit("owner:u"), F.col("user_id").cast("string")))
          .otherwise(F.concat(F.lit("urn:li:tag:"), tag)).alias("modifier"),
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("actor"),
@@ -203,6 +214,14 @@ def review_tag_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(run_id, turn, tool, args): a user's events are one run's calls, in order."""
+    ev = read(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "props")
+    ev = segmented_row_number(ev, ["user_id"], ["ts", "event_id"], F.to_date("ts"), "turn")
+    return ev.select(F.col("user_id").alias("run_id"), "turn", F.col("event_type").alias("tool"),
+                     F.col("props").alias("args"))
+
+
 def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(run_id, turn, tool, text): one conversation is one investigator run."""
     c = read(spark, sf_dir, "conversations")

@@ -102,6 +102,10 @@ class Warehouse:
         """An investigation result, written once under evidence/<name>."""
         return self._staged(f"evidence/{name}", build)
 
+    def job_io(self) -> DataFrame:
+        """The catalog's job inputs and outputs, joined from raw once."""
+        return self._staged("job_io", lambda: td.catalog_job_io(self.spark, self.sf_dir))
+
     # catalog / review / transcripts (cheap column maps over the raw tables) ----
     def catalog(self) -> dict[str, DataFrame]:
         s, d = self.spark, self.sf_dir
@@ -111,7 +115,7 @@ class Warehouse:
             "terms": td.catalog_terms(s, d),
             "owners": td.catalog_owners(s, d),
             "users": td.catalog_users(s, d),
-            "job_io": td.catalog_job_io(s, d),
+            "job_io": self.job_io(),
         }
 
     def review_events(self) -> DataFrame:

@@ -68,24 +68,32 @@ def review_alerts_stream(spark: SparkSession, events_dir: str, tags: Sequence[st
     return review_alerts(src, tags)
 
 
-def alert_dedup_stream(alerts: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Idempotent re-delivery: drop a re-sent event id within the watermark."""
-    return (alerts.withColumn("at", F.col("at").cast("timestamp"))
-                  .withWatermark("at", delay)
-                  .dropDuplicatesWithinWatermark(["event_id"]))
+def alert_dedup_stream(alerts: DataFrame) -> DataFrame:
+    """Idempotent re-delivery: an event that was seen before is dropped,
+    and nothing else.
+
+    No watermark: it would drop late events that are no duplicates.  The state
+    holds one key per event (its id, or a digest of an event without one), in
+    the state store beside the checkpoint.
+    """
+    payload = [c for c in alerts.columns if c != "received_at"]
+    key = F.coalesce(F.col("event_id").cast("string"), F.sha2(F.to_json(F.struct(*payload)), 256))
+    return alerts.withColumn("_key", key).dropDuplicates(["_key"]).drop("_key")
 
 
 def alert_log_append(alerts: DataFrame, log_dir: str, checkpoint: str,
-                     available_now: bool = True, timeout_s: int = 600):
+                     available_now: bool = True):
     """Stamp the arrival time and append to the JSON log; returns the
-    finished (availableNow) or running query."""
+    finished (availableNow) or running query.  A drained query is waited for
+    without a limit, and its failure is raised, so a half-written log is never
+    taken for a whole one."""
     q = (alerts.withColumn("received_at", F.current_timestamp())
                .writeStream.format("json").outputMode("append").option("timestampFormat", TS_FORMAT)
                .option("path", log_dir).option("checkpointLocation", checkpoint))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="5 seconds")
     started = q.start()
     if available_now:
-        started.awaitTermination(timeout_s)
+        started.awaitTermination()
     return started
 
 
@@ -104,18 +112,19 @@ def parse_deliveries(bodies: DataFrame, body_col: str = "value") -> DataFrame:
 
 
 def load_alert_log(spark: SparkSession, path: str) -> DataFrame:
-    """Read the JSON-lines log; blank and malformed lines are skipped."""
+    """Read the JSON-lines log; blank and malformed lines are skipped,
+    whole lines without an event id are kept."""
     return (spark.read.schema(ALERT_SCHEMA).option("mode", "DROPMALFORMED")
-                 .option("timestampFormat", TS_FORMAT).json(path)
-                 .filter(F.col("event_id").isNotNull()))
+                 .option("timestampFormat", TS_FORMAT).json(path))
 
 
 def alert_feed(alerts: DataFrame) -> DataFrame:
-    """Newest first — received, category / operation, short tag, asset."""
-    return alerts.select(F.col("at").cast("timestamp_ntz").alias("at"), "event_id",
-                         F.concat_ws(" / ", "category", "operation").alias("event"),
-                         short_name("modifier").alias("tag"), F.col("entityUrn").alias("asset"))
-
-
-def alert_total(alerts: DataFrame) -> DataFrame:
-    return alerts.agg(F.count(F.lit(1)).alias("alerts"))
+    """Newest first: time, category / operation, short tag, asset, whether
+    the arrival was stamped, and the number of all alerts."""
+    total = F.broadcast(alerts.agg(F.count(F.lit(1)).alias("total")))  # one row
+    return (alerts.crossJoin(total)
+                  .select(F.col("at").cast("timestamp_ntz").alias("at"), "event_id",
+                          F.concat_ws(" / ", "category", "operation").alias("event"),
+                          short_name("modifier").alias("tag"), F.col("entityUrn").alias("asset"),
+                          F.col("received_at").isNotNull().alias("received"), "total")
+                  .orderBy(F.desc("at"), F.desc("event_id")))

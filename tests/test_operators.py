@@ -200,7 +200,7 @@ def test_job_walk_equals_pair_walk(spark):
                                 ("j3", "in", "d"), ("j3", "out", "e")],
                                "job string, direction string, dataset string")
     for start, direction in (("e", "up"), ("a", "down"), ("c", "up")):
-        a = ledger.lineage_walk_jobs(io, start, direction, 10)
+        a = ledger.lineage_walk_jobs(io, start, direction, 10).drop("job")
         b = ledger.lineage_walk(ledger.lineage_edges(io), start, direction, 10)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
@@ -228,3 +228,71 @@ def test_alert_stream_restart_appends_nothing_twice(spark, tmp_path):
     events(spark, ["confirmed"], entity="analytics.f").write.mode("append").parquet(src)
     alerts.alert_log_append(alerts.review_alerts_stream(spark, src, ["confirmed"]), log, ckpt)
     assert alerts.load_alert_log(spark, log).count() == 4
+
+
+def test_reopen_leaves_the_effective_verdict(spark):
+    ev = events(spark, ["pending-review", "confirmed", "rejected", "pending-review", "pending-review", "rejected"])
+    got = [(r.event_id, r.from_state) for r in review.reopen_finding(ev).collect()]
+    assert got == [(3, "confirmed")]
+    refused = review.refused_verdicts(review.annotated_log(ev)).collect()
+    assert [(r.event_id, r.verdict) for r in refused] == [(2, "rejected")] and refused[0].reviewer is not None
+
+
+def test_a_removed_tag_is_no_verdict(spark):
+    ev = events(spark, ["pending-review", "confirmed"]).withColumn(
+        "operation", F.when(F.col("event_id") == 1, "REMOVE").otherwise("ADD"))
+    assert review.review_states(ev).first().state == "pending-review" and review.apply_verdict(ev).count() == 0
+
+
+def test_incidents_land_on_the_implicated_assets(spark):
+    ev = events(spark, ["pending-review", "confirmed", "pending-review"])
+    entity = ev.first().entity
+    assets = spark.createDataFrame([(entity, "part.p1"), (entity, "part.p2")], "evidence_table string, asset string")
+    acts = review.incident_actions(ev, assets)
+    assert {r.dataset for r in review.raise_incidents(acts).collect()} == {"part.p1", "part.p2"}
+    assert {r.message for r in review.resolve_incidents(acts).collect()} == {"reopened"}
+    assert review.active_incidents(acts).count() == 0
+
+
+def test_stream_dedup_drops_only_duplicates(spark, tmp_path):
+    src, log, ckpt = (str(tmp_path / n) for n in ("events", "log", "ckpt"))
+    new = events(spark, ["confirmed", "rejected"])
+    old = new.withColumn("event_id", F.col("event_id") + 10).withColumn("at", F.col("at") - F.expr("interval 40 days"))
+    nameless = new.withColumn("event_id", F.lit(None).cast("long"))
+    for batch in (new, old, new.unionByName(nameless), nameless):
+        batch.write.mode("append").parquet(src)
+        alerts.alert_log_append(alerts.alert_dedup_stream(
+            alerts.review_alerts_stream(spark, src, ["confirmed", "rejected"])), log, ckpt)
+    got = sorted(str(r.event_id) for r in alerts.load_alert_log(spark, log).collect())
+    assert got == ["0", "1", "10", "11", "None", "None"]
+
+
+def test_alert_log_skips_torn_and_blank_lines(spark, tmp_path):
+    lines = ['{"event_id": 1, "entityUrn": "a"}', '{"event_id": 2, "entityU', "", '{"entityUrn": "b"}', "not json"]
+    (tmp_path / "log.json").write_text("\n".join(lines))
+    got = {(r.event_id, r.entityUrn) for r in alerts.load_alert_log(spark, str(tmp_path / "log.json")).collect()}
+    assert got == {(1, "a"), (None, "b")}
+
+
+def test_walk_goes_to_the_end_and_names_the_job(spark):
+    io = spark.createDataFrame([(f"j{i}", d, f"d{i + (d == 'in')}") for i in range(14) for d in ("in", "out")],
+                               "job string, direction string, dataset string")
+    got = {r.dataset: (r.depth, r.job) for r in ledger.lineage_walk_jobs(io, "d0").collect()}
+    assert len(got) == 15 and got["d14"] == (14, "j13") and got["d0"] == (0, None)
+
+
+def test_whole_arguments_are_the_signature(spark):
+    calls = spark.createDataFrame([(1, i, "query", "select " + "xyz"[i % 3]) for i in range(8)],
+                                  "run_id long, turn long, tool string, args string")
+    out = transcripts.repeated_calls(transcripts.call_signatures(calls), budget_turn=100).collect()
+    assert {(r.turn, r.signature) for r in out} == {(6, "query|select x"), (7, "query|select y")}
+
+
+def test_datasets_without_owner_do_not_meet_the_users(spark):
+    ds = spark.createDataFrame([(f"d{i}",) for i in range(30)], "dataset string")
+    own = spark.createDataFrame([("d1", "u1"), ("d1", "u2"), ("d2", "u9")], "dataset string, value string")
+    users = spark.createDataFrame([("u1", "t", True), ("u2", "t", False)], "username string, title string, active boolean")
+    none = spark.createDataFrame([], "dataset string, value string")
+    got = governance.ownership_join(ds, own, users, none, none, "Material", "certified").collect()
+    assert len(got) == 31 and sum(r.owner is None for r in got) == 28
+    assert {(r.owner, r.owner_active) for r in got if r.owner} == {("u1", True), ("u2", False), ("u9", None)}

@@ -7,11 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from casefile.plans.oracles import ORACLES
+from casefile.plans.registry import QUERIES
 from check_oracles import SPARK_TO_DUCK, TABLES, canon
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck(sf_small):
@@ -25,6 +24,16 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_entry_registers_them(spark):
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
+
+
+def test_unknown_data_set_has_no_expectations():
+    from casefile.plans.expectations import expectations_for
+    with pytest.raises(KeyError):
+        expectations_for("/data/other")
+
+
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns == ["week", "vol", "zscore", "days_to_event", "flagged"]
