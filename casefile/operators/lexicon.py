@@ -17,23 +17,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casefile.functions.text import address_domain, any_substring, lexicon_hits, search_text
+from casefile.functions.text import address_domain, lexicon_hits, search_text
 from casefile.operators.comms import first_event_scalar
-from casefile.operators.staging import date_window_filter, is_internal
+from casefile.operators.staging import date_window_filter, is_internal, keyword_prefilter
 
 
-def _hit_arrays(emails: DataFrame, words: Sequence[str], *, prefilter: bool,
+def _hit_arrays(emails: DataFrame, words: Sequence[str], *, prefilter: Sequence[str],
                 window: tuple[str | None, str | None] | None, keep: Sequence[str]) -> DataFrame:
     e = emails
     if window is not None and window != (None, None):
         e = date_window_filter(e, "sent_at", *window)
-    e = e.select(*keep, search_text("subject", "body").alias("_txt"))
     if prefilter:
-        e = e.filter(any_substring("_txt", words))
+        e = keyword_prefilter(e, prefilter)
+    e = e.select(*keep, search_text("subject", "body").alias("_txt"))
     return e.select(*keep, lexicon_hits("_txt", words).alias("_hits"))
 
 
-def lexicon_mentions(emails: DataFrame, words: Sequence[str], *, prefilter: bool = False,
+def lexicon_mentions(emails: DataFrame, words: Sequence[str], *, prefilter: Sequence[str] = (),
                      window: tuple[str | None, str | None] | None = None,
                      keep: Sequence[str] = ("id",)) -> DataFrame:
     """One row per (message, distinct whole-word hit): keep columns + entity.
@@ -41,9 +41,9 @@ def lexicon_mentions(emails: DataFrame, words: Sequence[str], *, prefilter: bool
     The regex pass is itself the filter: messages without a hit explode to
     nothing.  `explode_outer` + a NOT NULL filter keeps Catalyst from
     inferring a `size(hits) > 0` pre-filter that would run the regex twice.
-    The substring prefilter (F2) is optional: it never changes the result, and
-    on Spark each of its terms lower-cases the text again, so it is off by
-    default.
+    `prefilter` (F2) is a word list of its own: with one, only messages that
+    name one of its words count, which changes the result where it is smaller
+    than the lexicon.
     """
     h = _hit_arrays(emails, words, prefilter=prefilter, window=window, keep=keep)
     return (h.select(*keep, F.explode_outer("_hits").alias("entity"))
@@ -58,7 +58,7 @@ def _pairs(arr):
             lambda y: F.struct(x.alias("entity_a"), y.alias("entity_b")))))
 
 
-def co_mention_edges(emails: DataFrame, words: Sequence[str], *, prefilter: bool = False,
+def co_mention_edges(emails: DataFrame, words: Sequence[str], *, prefilter: Sequence[str] = (),
                      window: tuple[str | None, str | None] | None = None) -> DataFrame:
     """(entity_a < entity_b, co_mentions) over messages mentioning both."""
     h = _hit_arrays(emails, words, prefilter=prefilter, window=window, keep=("id",))
@@ -104,7 +104,7 @@ def known_flag_existence(edges: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def hunt_entity_web(emails: DataFrame, entities: DataFrame, words: Sequence[str], *,
-                    aliases: Sequence[str] = (), prefilter: bool = False,
+                    aliases: Sequence[str] = (), prefilter: Sequence[str] = (),
                     window: tuple[str | None, str | None] | None = None) -> DataFrame:
     """H3: co-mention edges with known flags."""
     edges = co_mention_edges(emails, words, prefilter=prefilter, window=window)
@@ -139,7 +139,7 @@ def unknown_right_side(web: DataFrame, k: int = 10) -> DataFrame:
 
 def hunt_external_leakage(emails: DataFrame, recipients: DataFrame, events: DataFrame,
                           words: Sequence[str], *, window: tuple[str, str], suffix: str,
-                          prefilter: bool = False) -> DataFrame:
+                          prefilter: Sequence[str] = ()) -> DataFrame:
     """H2: messages naming lexicon entities sent outside the perimeter before
     the first event; one row per message x entity x external recipient."""
     hits = lexicon_mentions(emails, words, prefilter=prefilter, window=window,

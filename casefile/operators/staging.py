@@ -13,7 +13,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casefile.functions.text import (any_substring, safe_date, search_text, unicode_trim,
+from casefile.functions.text import (any_substring, safe_date, unicode_trim,
                                      week_bucket)
 
 EMAIL_COLUMNS = ("id", "msg_id", "sender", "sent_at", "subject", "body", "mailbox", "folder")
@@ -90,8 +90,11 @@ def date_window_filter(df: DataFrame, col: str, lo: str | None, hi: str | None)
 
 def keyword_prefilter(df: DataFrame, words: Iterable[str], subject: str = "subject",
                       body: str = "body") -> DataFrame:
-    """any word as a case-insensitive substring of subject or body."""
-    return df.filter(any_substring(search_text(subject, body), list(words)))
+    """any word as a case-insensitive substring of subject or of body; a
+    word that only the two joined would form does not count."""
+    low = lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))
+    words = list(words)
+    return df.filter(any_substring(low(subject), words) | any_substring(low(body), words))
 
 
 def is_internal(addr: str | Column, suffix: str) -> Column:

@@ -163,6 +163,11 @@ SELECT id, unnest(list_intersect(words, ['the', 'and', 'that', 'for', 'this', 'w
 FROM message_words
 """, "message_words")
 
+_cte("web_prefiltered", """
+SELECT id FROM emails, (VALUES ('que'), ('der'), ('und'), ('elle')) AS v(w)
+GROUP BY id HAVING bool_or(contains(lower(subject), w)) OR bool_or(contains(lower(body), w))
+""", "emails")
+
 _cte("web_known", "SELECT unnest(['for', 'que', 'the']) AS entity")
 
 _cte("web_edges", """

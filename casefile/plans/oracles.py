@@ -71,7 +71,19 @@ oracle("hunt_exhibits", "SELECT * FROM exhibits", "exhibits")
 oracle("lexicon_mentions", "SELECT * FROM web_mentions", "web_mentions")
 oracle("co_mention_edges", "SELECT * FROM web_edges", "web_edges")
 oracle("co_mention_self_join", "SELECT * FROM web_edges", "web_edges")
-oracle("known_entities", "SELECT * FROM web_known", "web_known")
+ORACLES["known_entities"] = r"""
+SELECT w AS entity FROM (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS w FROM benchmark)
+GROUP BY w HAVING count(*) >= 8
+UNION ALL SELECT 'que'"""
+oracle("lexicon_mentions_prefiltered", "SELECT * FROM web_mentions SEMI JOIN web_prefiltered USING (id)",
+       "web_mentions", "web_prefiltered")
+oracle("entity_web_prefiltered", """
+SELECT entity_a, entity_b, count(*) AS co_mentions, bool_and(entity_a IN ('for', 'que', 'the')) AS a_known,
+       bool_and(entity_b IN ('for', 'que', 'the')) AS b_known
+FROM (SELECT x.entity AS entity_a, y.entity AS entity_b
+      FROM web_mentions x JOIN web_mentions y USING (id) SEMI JOIN web_prefiltered USING (id) WHERE x.entity < y.entity)
+GROUP BY ALL""", "web_mentions", "web_prefiltered")
 oracle("known_flag_existence", "SELECT * FROM web", "web")
 oracle("hunt_entity_web", "SELECT * FROM web", "web")
 oracle("shadow_candidates", "SELECT * FROM shadow", "shadow")
@@ -166,7 +178,9 @@ oracle("unregistered_senders", """
 SELECT role, addr, n FROM (
   SELECT 'sender' AS role, sender AS addr, count(*) AS n FROM emails WHERE sender IS NOT NULL GROUP BY sender
   UNION ALL SELECT 'recipient', addr, count(*) FROM recipients GROUP BY addr) x
-WHERE n >= 1 AND addr NOT IN (SELECT addr FROM registry)""", "emails", "recipients", "registry")
+WHERE n >= 1 AND addr NOT IN (
+  SELECT addr FROM registry
+  EXCEPT SELECT format('c{}@corp.example', c_custkey) FROM customer WHERE c_acctbal < 0)""", "emails", "recipients", "registry")
 oracle("top_senders", """
 SELECT * FROM (SELECT sender AS addr, count(*) AS n, 'sender' AS role FROM emails GROUP BY 1
                ORDER BY n DESC, addr LIMIT 10) a

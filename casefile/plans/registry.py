@@ -232,7 +232,11 @@ def q_co_mention_self_join(spark, d):
 
 @query("known_entities")
 def q_known_entities(spark, d):
-    return lex.known_entities(web_entities(spark), P.web_aliases)
+    # entities are the words of the public items; those in eight or more are known
+    words = F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("entity")
+    entities = (td.read(spark, d, "benchmark").select(words).filter(F.col("entity") != "").groupBy("entity")
+                  .agg((F.count(F.lit(1)) >= 8).alias("known")))
+    return lex.known_entities(entities, P.web_aliases)
 
 
 @query("known_flag_existence")
@@ -241,6 +245,17 @@ def q_known_flag_existence(spark, d):
     return lex.known_flag_existence(edges, lex.known_entities(web_entities(spark), P.web_aliases))
 
 
+@query("lexicon_mentions_prefiltered")
+def q_lexicon_mentions_prefiltered(spark, d):
+    return lex.lexicon_mentions(wh(spark, d).emails(), P.web_lexicon, prefilter=P.web_prefilter)
+
+
+@query("entity_web_prefiltered")
+def q_entity_web_prefiltered(spark, d):
+    return lex.hunt_entity_web(wh(spark, d).emails(), web_entities(spark), P.web_lexicon, aliases=P.web_aliases,
+                               prefilter=P.web_prefilter)
+
+
 @query("hunt_entity_web")
 def q_hunt_entity_web(spark, d):
     return web(spark, d)
@@ -458,7 +473,10 @@ def q_registry_distribution(spark, d):
 @query("unregistered_senders")
 def q_unregistered_senders(spark, d):
     w = wh(spark, d)
-    return pf.unregistered_senders(w.emails(), w.recipients(), w.registry())
+    # the registry that the profile asks holds customers in credit and suppliers
+    left = td.read(spark, d, "customer").filter(F.col("c_acctbal") < 0).select(
+        F.concat(F.lit("c"), F.col("c_custkey").cast("string"), F.lit("@corp.example")).alias("addr"))
+    return pf.unregistered_senders(w.emails(), w.recipients(), w.registry().join(left, "addr", "left_anti"))
 
 
 @query("top_senders")

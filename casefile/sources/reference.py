@@ -23,7 +23,8 @@ from pyspark.sql import types as T
 # leakage lexicon: que, der, elle, und; sent 1995-01-01 .. 2000-05-31;
 #   internal suffix @corp.example
 # co-mention lexicon: the, and, that, for, this, with, que, der, die, und, elle,
-#   pour, con, para; known entities: the, for, que; threshold 20
+#   pour, con, para; known entities: the, for, que; threshold 20; prefilter:
+#   que, der, und, elle
 # surge: key user_id, bucket = day of ts, z >= 2.5, at least 12 buckets
 # certified tag: certified; material term: Material; implicated owners: s1, s3
 # review tags: confirmed, risk-flagged, rejected, pending-review
@@ -48,6 +49,7 @@ class Params:
     internal_suffix: str = "@corp.example"
     web_lexicon: tuple[str, ...] = ("the", "and", "that", "for", "this", "with", "que", "der",
                                     "die", "und", "elle", "pour", "con", "para")
+    web_prefilter: tuple[str, ...] = ("que", "der", "und", "elle")
     web_known: tuple[str, ...] = ("the", "for", "que")
     web_aliases: tuple[str, ...] = ("que",)
     glossary: tuple[str, ...] = ("Material", "PII", "Para")

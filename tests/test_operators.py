@@ -296,3 +296,13 @@ def test_datasets_without_owner_do_not_meet_the_users(spark):
     got = governance.ownership_join(ds, own, users, none, none, "Material", "certified").collect()
     assert len(got) == 31 and sum(r.owner is None for r in got) == 28
     assert {(r.owner, r.owner_active) for r in got if r.owner} == {("u1", True), ("u2", False), ("u9", None)}
+
+
+def test_a_prefilter_smaller_than_the_lexicon_leaves_messages_out(spark):
+    from casefile.operators import lexicon, staging
+    rows = [(1, "alpha and beta", None), (2, "beta", "gamma"), (3, None, "ALPHA gamma"), (4, "al", "pha beta gamma")]
+    m = spark.createDataFrame([(i, s, b, None) for i, s, b in rows], "id long, subject string, body string, sent_at date")
+    hits = lambda **k: sorted((r.id, r.entity) for r in lexicon.lexicon_mentions(m, ["alpha", "beta", "gamma"], **k).collect())
+    assert len(hits()) == 8 and hits(prefilter=["alpha"]) == [(1, "alpha"), (1, "beta"), (3, "alpha"), (3, "gamma")]
+    # a word that only subject and body together would form is in neither
+    assert [r.id for r in staging.keyword_prefilter(m, ["al pha"]).collect()] == []
