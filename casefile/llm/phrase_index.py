@@ -33,7 +33,7 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WINDOW = 10
 #: Lists intersected for a phrase at most, and how much longer than the rarest.
-LISTS, LONGER = 3, 8
+LISTS, LONGER = 2, 4
 
 
 def fold(word: Column) -> Column:
@@ -80,72 +80,79 @@ def frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return tokens(docs).select("term").join(terms, "term").groupBy("term").agg(F.count("*").alias("n"))
 
 
+def numbered(spark: SparkSession, phrases: DataFrame) -> DataFrame:
+    """(phrase_id, phrase), written, so that the numbers stay."""
+    return written(spark, phrases.select(F.monotonically_increasing_id().alias("phrase_id"), "phrase"), "numbered")
+
+
 def lookups(spark: SparkSession, docs: DataFrame, phrases: DataFrame, lists: int = LISTS,
             longer: int = LONGER) -> DataFrame:
-    """(phrase, term, offset, rank, n_lists, size): the terms each phrase is
-    looked up by, the rarest first.  Phrases with a term that stands nowhere
-    cannot occur and are left out."""
-    words = phrases.select("phrase", F.split("phrase", " ").alias("w"))
+    """(phrase_id, phrase, size, n_lists, rank, term, offset): the terms each of
+    the numbered phrases is looked up by, the rarest first.  Phrases with a
+    term that stands nowhere cannot occur and are left out."""
+    words = phrases.select("phrase_id", "phrase", F.split("phrase", " ").alias("w"))
     terms = written(spark, words.select(F.explode("w").alias("term")).distinct(), "terms")
     known = written(spark, frequencies(docs, terms), "frequencies")
-    at = words.select("phrase", F.size("w").alias("size"), F.posexplode("w").alias("offset", "term")).join(known, "term")
+    at = words.select("phrase_id", "phrase", F.posexplode("w").alias("offset", "term")).join(known, "term")
     # a term that a phrase holds more than once is looked up at its first place
-    once = at.groupBy("phrase", "size", "term", "n").agg(F.min("offset").alias("offset"), F.count("*").alias("times"))
+    once = at.groupBy("phrase_id", "phrase", "term", "n").agg(F.min("offset").alias("offset"), F.count("*").alias("times"))
     order = F.sort_array(F.collect_list(F.struct("n", "offset", "term")))  # at most a window's words
-    ranked = (once.groupBy("phrase", "size").agg(order.alias("t"), F.sum("times").alias("found"))
-              .filter(F.col("found") == F.col("size")))
+    size = F.size(F.split("phrase", " "))
+    ranked = (once.groupBy("phrase_id", "phrase").agg(order.alias("t"), F.sum("times").alias("found"))
+              .filter(F.col("found") == size))
     used = F.filter(F.slice("t", 1, lists), lambda x: x.n <= longer * F.col("t")[0].n)
-    return (ranked.select("phrase", "size", used.alias("u"))
-            .select("phrase", "size", F.size("u").alias("n_lists"), F.posexplode("u").alias("rank", "x"))
-            .select("phrase", "x.term", "x.offset", "rank", "n_lists", "size"))
+    return (ranked.select("phrase_id", "phrase", size.alias("size"), used.alias("u"))
+            .select("phrase_id", "phrase", "size", F.size("u").alias("n_lists"), F.posexplode("u").alias("rank", "x"))
+            .select("phrase_id", "phrase", "size", "n_lists", "rank", "x.term", "x.offset"))
 
 
 def build_index(docs: DataFrame, terms: DataFrame, window: int = WINDOW) -> DataFrame:
     """The postings of `terms` (term, lead): (term, doc_id, h, pos, first,
-    around).  Terms that lead a phrase carry the words around them, from word
-    number `first` on."""
+    around).  Terms that lead a phrase carry the words around them, space-joined,
+    from word number `first` on."""
     t = tokens(docs).join(terms, "term")
     first = F.greatest(F.col("pos") - (window - 1), F.lit(0))
-    around = F.transform(F.slice("words", first + 1, F.lit(2 * window - 1)), fold)
+    around = fold(F.array_join(F.slice("words", first + 1, F.lit(2 * window - 1)), " "))
     return t.select("term", "doc_id", "h", "pos", first.alias("first"), F.when(F.col("lead"), around).alias("around"))
 
 
 def phrase_matches(index: DataFrame, looked_up: DataFrame) -> DataFrame:
-    """(phrase, size, doc_id, h, start): every place of every phrase."""
-    moved = index.join(looked_up, "term").select(
-        "phrase", "size", "n_lists", "rank", "doc_id", "h", (F.col("pos") - F.col("offset")).alias("start"),
-        F.when(F.col("rank") == 0, F.struct("first", "around")).alias("near")).filter("start >= 0")
+    """(phrase_id, size, doc_id, h, start): every place of every phrase."""
+    start = F.col("pos") - F.col("offset")
+    here = F.slice(F.split("around", " "), F.greatest(start - F.col("first") + 1, F.lit(1)), F.col("size"))
+    exact = (F.col("rank") == 0) & (F.array_join(here, " ") == F.col("phrase"))
+    moved = (index.join(looked_up, "term")
+             .select("phrase_id", "size", "n_lists", "rank", "doc_id", "h", start.alias("start"), exact.alias("exact"))
+             .filter("start >= 0"))
     # one place in all lists of the phrase; repeated rows give it more than once
-    met = (moved.groupBy("phrase", "size", "n_lists", "doc_id", "h", "start")
-           .agg(F.bit_or(F.expr("shiftleft(1, rank)")).alias("lists"), F.max("near").alias("near"))
-           .filter("lists = shiftleft(1, n_lists) - 1"))
-    here = F.slice("near.around", F.greatest(F.col("start") - F.col("near.first") + 1, F.lit(1)), F.col("size"))
-    return met.filter(F.array_join(here, " ") == F.col("phrase")).select("phrase", "size", "doc_id", "h", "start")
+    return (moved.groupBy("phrase_id", "size", "n_lists", "doc_id", "h", "start")
+            .agg(F.bit_or(F.expr("shiftleft(1, rank)")).alias("lists"), F.max("exact").alias("exact"))
+            .filter("exact and lists = shiftleft(1, n_lists) - 1").select("phrase_id", "size", "doc_id", "h", "start"))
 
 
 def proximity_matches(index: DataFrame, looked_up: DataFrame, slop: int) -> DataFrame:
-    """(phrase, doc_id, h, pos): places of a phrase's rarest term that have all
+    """(phrase_id, doc_id, h, pos): places of a phrase's rarest term that have all
     its other looked-up terms within `slop` words, in any order.
 
     Positions meet by buckets of `slop` words, the lead in its own and the
     neighbouring ones, so a common term meets a lead only near it.
     """
-    p = index.join(looked_up, "term").select("phrase", "n_lists", "rank", "doc_id", "h", "pos")
+    p = index.join(looked_up, "term").select("phrase_id", "n_lists", "rank", "doc_id", "h", "pos")
     lead = (p.filter("rank = 0").withColumn("near", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
-            .select("phrase", "n_lists", "doc_id", "h", F.col("pos").alias("lead"),
+            .select("phrase_id", "n_lists", "doc_id", "h", F.col("pos").alias("lead"),
                     (F.floor(F.col("pos") / slop) + F.col("near")).alias("bucket")))
-    other = p.filter("rank > 0").select("phrase", F.col("doc_id").alias("o_id"), "h", "rank", "pos",
+    other = p.filter("rank > 0").select("phrase_id", F.col("doc_id").alias("o_id"), "h", "rank", "pos",
                                         F.floor(F.col("pos") / slop).alias("bucket"))
-    met = (lead.join(other, ["phrase", "h", "bucket"]).filter(F.col("doc_id").eqNullSafe(F.col("o_id")))
+    met = (lead.join(other, ["phrase_id", "h", "bucket"]).filter(F.col("doc_id").eqNullSafe(F.col("o_id")))
            .filter(F.abs(F.col("pos") - F.col("lead")) <= slop)
-           .groupBy("phrase", "n_lists", "doc_id", "h", "lead").agg(F.countDistinct("rank").alias("others"))
-           .filter("others = n_lists - 1").select("phrase", "doc_id", "h", F.col("lead").alias("pos")))
-    alone = p.filter("n_lists = 1").select("phrase", "doc_id", "h", "pos")
+           .groupBy("phrase_id", "n_lists", "doc_id", "h", "lead").agg(F.countDistinct("rank").alias("others"))
+           .filter("others = n_lists - 1").select("phrase_id", "doc_id", "h", F.col("lead").alias("pos")))
+    alone = p.filter("n_lists = 1").select("phrase_id", "doc_id", "h", "pos")
     return met.unionAll(alone)
 
 
 def search(spark: SparkSession, docs: DataFrame, phrases: DataFrame) -> DataFrame:
-    """Every place of every phrase in `docs`, as `phrase_matches`."""
+    """Every place of every numbered phrase in `docs`, as `phrase_matches`."""
     looked_up = written(spark, lookups(spark, docs, phrases), "lookups")
     terms = written(spark, looked_up.groupBy("term").agg(F.max(F.col("rank") == 0).alias("lead")), "index-terms")
     index = written(spark, build_index(docs, terms), "postings")
@@ -154,13 +161,15 @@ def search(spark: SparkSession, docs: DataFrame, phrases: DataFrame) -> DataFram
 
 def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, h, n_hit, n_items, item_list) of the documents with a hit."""
-    of_item = written(spark, item_phrases(items.select("item_id", "text"), window), "phrases")
-    found = written(spark, search(spark, docs, of_item.select("phrase").distinct()), "matches")
+    windows = written(spark, item_phrases(items.select("item_id", "text"), window), "phrases")
+    phrases = numbered(spark, windows.select("phrase").distinct())
+    of_item = written(spark, windows.join(phrases, "phrase").select("phrase_id", "item_id"), "items")
+    found = written(spark, search(spark, docs, phrases), "matches")
     last = F.col("start") + F.col("size") - 1
     words = (found.select("doc_id", "h", F.explode(F.sequence("start", last)).alias("p")).distinct()
              .groupBy("doc_id", "h").agg(F.count("*").alias("n_hit")))
     # a document's items are at most the benchmark's
-    listed = (found.select("doc_id", "h", "phrase").distinct().join(of_item, "phrase")
+    listed = (found.select("doc_id", "h", "phrase_id").distinct().join(of_item, "phrase_id")
               .select(F.col("doc_id").alias("i_id"), F.col("h").alias("i_h"), F.col("item_id").cast("string").alias("item"))
               .distinct().groupBy("i_id", "i_h").agg(F.sort_array(F.collect_list("item")).alias("item_list")))
     return (words.join(listed, F.col("doc_id").eqNullSafe(F.col("i_id")) & (F.col("h") == F.col("i_h")))

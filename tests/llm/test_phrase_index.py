@@ -72,8 +72,8 @@ def test_proximity(spark):
     rng = random.Random(4)
     docs = [(i, " ".join(rng.choices(["aa", "bb", "cc", "dd", "ee", "ff", "gg"], k=40))) for i in range(40)]
     d, items = frames(spark, docs, [(1, "aa bb cc")])
-    phrases = P.item_phrases(items.select("item_id", "text")).select("phrase")
-    looked_up = P.written(spark, P.lookups(spark, d, phrases, longer=100), "test")
+    phrases = P.numbered(spark, P.item_phrases(items.select("item_id", "text")).select("phrase"))
+    looked_up = P.written(spark, P.lookups(spark, d, phrases, lists=3, longer=100), "test")
     terms = looked_up.groupBy("term").agg(P.F.max(P.F.col("rank") == 0).alias("lead"))
     got = {(r["doc_id"], r["pos"]) for r in P.proximity_matches(P.build_index(d, terms), looked_up, 3).collect()}
     lead = looked_up.filter("rank = 0").first()["term"]
