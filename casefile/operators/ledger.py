@@ -125,29 +125,6 @@ def record_exhibits(exhibits: DataFrame, **kw) -> dict[str, DataFrame]:
     return record_findings([exhibit_spec(exhibits, **kw)])
 
 
-def merge_records(records: Sequence[dict[str, DataFrame]]) -> dict[str, DataFrame]:
-    out: dict[str, DataFrame] = {}
-    for rec in records:
-        for k, df in rec.items():
-            out[k] = df if k not in out else out[k].unionByName(df)
-    return out
-
-
-class Ledger:
-    """Append-only ledger folder: `<root>/<table>/run_id=<run>/`."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def append(self, records: dict[str, DataFrame], run_id: str) -> None:
-        for name, df in records.items():
-            (df.withColumn("run_id", F.lit(run_id)).write.mode("append")
-               .partitionBy("run_id").parquet(f"{self.root}/{name}"))
-
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}")
-
-
 def lineage_edges(job_io: DataFrame) -> DataFrame:
     """L3: dataset -> dataset edges through the jobs (distinct)."""
     ins = job_io.filter(F.col("direction") == "in").select("job", F.col("dataset").alias("upstream"))

@@ -19,10 +19,11 @@ from casefile.functions.text import (any_substring, safe_date, unicode_trim,
 EMAIL_COLUMNS = ("id", "msg_id", "sender", "sent_at", "subject", "body", "mailbox", "folder")
 
 
-def stage_messages(raw: DataFrame) -> DataFrame:
-    """Typed emails; unparseable dates become NULL, every row is kept."""
+def stage_messages(raw: DataFrame, more: Iterable[str] = ()) -> DataFrame:
+    """Typed emails; unparseable dates become NULL, every row is kept.
+    `more` names raw columns to keep beside."""
     return raw.select("id", "msg_id", "sender", safe_date("date").alias("sent_at"),
-                      "subject", "body", "mailbox", "folder")
+                      "subject", "body", "mailbox", "folder", *more)
 
 
 def _recipient_tokens(raw: DataFrame, sep: str, keep: Iterable[str]) -> DataFrame:
@@ -40,19 +41,6 @@ def explode_recipients(raw: DataFrame, sep: str = ",") -> DataFrame:
     return _recipient_tokens(raw, sep, ["id"]).withColumnRenamed("id", "email_id")
 
 
-def message_edges(raw: DataFrame, sep: str = ",") -> DataFrame:
-    """One row per (message, recipient) with the message's sender and date.
-
-    Equal to `message_recipient_join(stage_messages(raw), explode_recipients(raw))`
-    restricted to those columns, but computed in one narrow pass: both sides
-    come from the same raw row, so no join (and no shuffle) is needed.
-    """
-    staged = raw.select("id", "sender", safe_date("date").alias("sent_at"), "recipients")
-    return (_recipient_tokens(staged, sep, ["id", "sender", "sent_at"])
-            .select(F.col("id").alias("email_id"), "sender", "sent_at",
-                    F.col("addr").alias("recipient")))
-
-
 def message_recipient_join(emails: DataFrame, recipients: DataFrame) -> DataFrame:
     """Inner equi-join of messages and recipients on the message id."""
     return emails.join(recipients, emails.id == recipients.email_id, "inner").drop("email_id")
@@ -69,7 +57,7 @@ def weekly_edges(emails: DataFrame, recipients: DataFrame) -> DataFrame:
 
 
 def weekly_edges_from_edges(edges: DataFrame) -> DataFrame:
-    """G1 over `message_edges` output: the same table without the join."""
+    """G1 over (email_id, sender, sent_at, recipient) rows: the same table without the join."""
     return (edges.filter(F.col("sent_at").isNotNull())
                  .groupBy("sender", "recipient", week_bucket("sent_at").alias("week"))
                  .agg(F.count(F.lit(1)).alias("n")))

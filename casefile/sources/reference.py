@@ -98,18 +98,3 @@ def web_entities(spark: SparkSession, params: Params = TESTDATA) -> DataFrame:
 
 def glossary_table(spark: SparkSession, terms=TESTDATA.glossary) -> DataFrame:
     return spark.createDataFrame([(t,) for t in terms], "name string")
-
-
-def group_table(spark: SparkSession, group_a=TESTDATA.group_a, group_b=TESTDATA.group_b) -> DataFrame:
-    rows = [(d, "A") for d in group_a] + [(d, "B") for d in group_b]
-    return spark.createDataFrame(rows, "dept string, grp string")
-
-
-def reference_tables(spark: SparkSession, params: Params = TESTDATA) -> dict[str, DataFrame]:
-    """Every literal table the investigations use."""
-    return {
-        "events": events_table(spark, params.event_dates),
-        "leak_entities": lexicon_table(spark, params.leak_lexicon, disclosed=()),
-        "web_entities": web_entities(spark, params),
-        "groups": group_table(spark, params.group_a, params.group_b),
-    }

@@ -7,11 +7,13 @@ written once per application as parquet under the shared checkpoint folder
 re-reads the written files instead of recomputing the adapters, and every
 investigation over the same directory reuses the same staged files.
 
-Emails are written sorted by `sent_at` within each file so the date windows
-of the hunts skip row groups through parquet min/max statistics, and with a
-cap on rows per file: the text scans (lexicon regexes) are CPU-bound, and a
-split can only start at a file or row-group border, so bounded files keep
-every core busy (20k messages with bodies is on the order of 100 MB).
+Messages are one table: the raw columns with the typed `sent_at` beside them,
+so the text is written once and both the raw source and the emails are column
+selections of it.  It is written sorted by `sent_at` within each file, so the
+date windows of the hunts skip row groups through parquet min/max statistics,
+and in row groups of bounded bytes: the text scans (lexicon regexes) are
+CPU-bound, and a split can only start at a row-group border.  No file is cut
+by rows.
 
 The evidence layer (`evidence`) keeps each investigation's result the way the
 investigations do: written once, then read by the reports, the ledger and the
@@ -26,7 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casefile.functions.text import safe_date
-from casefile.operators.staging import explode_recipients, stage_messages, weekly_edges_from_edges
+from casefile.operators.staging import (EMAIL_COLUMNS, explode_recipients, stage_messages,
+                                        weekly_edges_from_edges)
 from casefile.session import ensure_session_settings, work_path
 from casefile.sources import testdata as td
 
@@ -55,30 +58,35 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         return td.read(self.spark, self.sf_dir, name)
 
+    def messages(self) -> DataFrame:
+        """The raw message source and its typed date, written once."""
+        def build() -> DataFrame:
+            raw = td.raw_messages(self.spark, self.sf_dir)
+            return stage_messages(raw, more=("date", "recipients"))
+        return self._staged("messages", build, "sent_at", row_group_bytes=16 << 20)
+
     def raw_messages(self) -> DataFrame:
-        """The raw message source (comma recipient lists included), written
-        once the way the source table exists once; S1 and T1 run over it."""
-        return self._staged("raw_messages", lambda: td.raw_messages(self.spark, self.sf_dir),
-                            max_records=20_000)
+        """The raw message source (comma recipient lists included); S1 and T1
+        run over it."""
+        return self.messages().drop("sent_at")
 
     # staged ---------------------------------------------------------------
     def _staged(self, name: str, build, sort_by: str | None = None,
-                max_records: int = 1_000_000) -> DataFrame:
+                row_group_bytes: int = 128 << 20) -> DataFrame:
         if name in self._tables:
             return self._tables[name]
         df = build()
         if self.materialize:
             path = f"{self._root}/{name}"
             w = df.sortWithinPartitions(sort_by) if sort_by else df
-            w.write.mode("overwrite").option("maxRecordsPerFile", max_records).parquet(path)
+            w.write.mode("overwrite").option("parquet.block.size", row_group_bytes).parquet(path)
             df = self.spark.read.parquet(path)
         self._tables[name] = df
         return df
 
     def emails(self) -> DataFrame:
-        """staging.emails: a narrow pass over the raw source."""
-        return self._staged("emails", lambda: stage_messages(self.raw_messages()), "sent_at",
-                            max_records=20_000)
+        """staging.emails: the typed columns of the messages."""
+        return self.messages().select(*EMAIL_COLUMNS)
 
     def recipients(self) -> DataFrame:
         """staging.recipients (email_id, addr): a projection of the staged
@@ -90,7 +98,7 @@ class Warehouse:
     def message_edges(self) -> DataFrame:
         """(email_id, sender, sent_at, recipient) from the line items."""
         build = lambda: td.message_lines(self.spark, self.sf_dir, safe_date)
-        return self._staged("message_edges", build, "sent_at", max_records=200_000)
+        return self._staged("message_edges", build, "sent_at")
 
     def comm_edges(self) -> DataFrame:
         return self._staged("comm_edges", lambda: weekly_edges_from_edges(self.message_edges()))
