@@ -19,60 +19,51 @@ from casefile.operators.comms import cross_group_edges, group_lookup, hunt_comm_
 from casefile.operators.lexicon import shadow_candidates
 
 
-def _txt(c: Column) -> Column:
-    return c.cast("string")
+def set_fingerprint(col: str) -> Column:
+    """`n=<distinct>;h=<sum of the first 60 md5 bits>` of a column's values."""
+    text = F.col(col).cast("string")
+    bits = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
+    return F.concat(F.lit("n="), F.count_distinct(text).cast("string"), F.lit(";h="),
+                    F.coalesce(F.sum_distinct(bits), F.lit(0)).cast("string"))
 
 
-def set_fingerprint(df: DataFrame, col: str) -> DataFrame:
-    """One row: `n=<distinct>;h=<sum of the first 60 md5 bits>` of a column."""
-    d = df.select(F.col(col).cast("string").alias("_v")).filter(F.col("_v").isNotNull()).distinct()
-    h = F.conv(F.substring(F.md5("_v"), 1, 15), 16, 10).cast("decimal(38,0)")
-    return d.agg(F.concat(F.lit("n="), F.count(F.lit(1)).cast("string"), F.lit(";h="),
-                          F.coalesce(F.sum(h), F.lit(0)).cast("string")).alias("got"))
-
-
-def _scalar(name: str, df: DataFrame, expr: Column) -> DataFrame:
-    return df.agg(_txt(expr).alias("got")).select(F.lit(name).alias("check"), "got")
-
-
-def _setcheck(name: str, df: DataFrame, col: str) -> DataFrame:
-    return set_fingerprint(df, col).select(F.lit(name).alias("check"), "got")
+def _checked(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
+    """(check, got) rows of several aggregates over one scan of `df`."""
+    names = list(values)
+    row = df.agg(*[values[n].cast("string").alias(f"v{i}") for i, n in enumerate(names)])
+    return row.select(F.inline(F.array(*[F.struct(F.lit(n).alias("check"), F.col(f"v{i}").alias("got"))
+                                         for i, n in enumerate(names)])))
 
 
 def gate_checks(spikes: DataFrame, exhibits: DataFrame, leakage: DataFrame, web: DataFrame,
                 orphaned: DataFrame, provenance: DataFrame, *, threshold: int,
                 must_include_domains: Sequence[str]) -> DataFrame:
-    """Re-derive the headline values of the six evidence sets (20 checks)."""
+    """Re-derive the headline values of the six evidence sets (20 checks), one
+    aggregate per set; only the top domain needs a grouping of its own."""
     flagged = spikes.filter(F.col("flagged"))
-    peak = flagged.orderBy(F.desc("zscore"), "week").limit(1)
-    pre = leakage.filter(F.col("days_before_disclosure") > 0)
+    earliest = -F.datediff("week", F.lit("1970-01-01"))
+    peak = F.max_by(F.struct("week", "vol", "zscore"), F.struct(F.col("zscore"), earliest))
+    before = F.col("days_before_disclosure") > 0
     top_dom = (leakage.groupBy("external_domain").agg(F.countDistinct("email_id").alias("n"))
                       .orderBy(F.desc("n"), "external_domain").limit(1))
-    doms = leakage.select("external_domain").distinct()
-    o_flag = orphaned.filter(F.col("flagged"))
-    p_flag = provenance.filter(F.col("flagged"))
     parts = [
-        _scalar("hunt1.flagged_weeks", flagged, F.count(F.lit(1))),
-        _scalar("hunt1.peak_week", peak, F.date_format(F.max("week"), "yyyy-MM-dd")),
-        _scalar("hunt1.peak_volume", peak, F.max("vol")),
-        _scalar("hunt1.peak_zscore", peak, F.max("zscore")),
-        _scalar("exhibits.edges", exhibits, F.count(F.lit(1))),
-        _scalar("exhibits.distinct_messages", exhibits, F.countDistinct("msg_id")),
-        _setcheck("exhibits.senders", exhibits, "sender"),
-        _setcheck("exhibits.recipients", exhibits, "recipient"),
-        _scalar("hunt2.predisclosure_emails", pre, F.countDistinct("email_id")),
-        _scalar("hunt2.external_addresses", pre, F.countDistinct("external_recipient")),
-        _scalar("hunt2.top_domain", top_dom, F.max("external_domain")),
-    ]
-    for d in must_include_domains:
-        parts.append(_scalar(f"hunt2.domain[{d}]", doms, F.count_if(F.col("external_domain") == d) > 0))
-    parts += [
-        _setcheck("hunt3.shadow_vehicles", shadow_candidates(web, threshold), "candidate"),
-        _scalar("hunt4.flagged_datasets", o_flag, F.count(F.lit(1))),
-        _setcheck("hunt4.datasets", o_flag, "dataset"),
-        _setcheck("hunt4.owners", o_flag, "owner"),
-        _scalar("hunt5.flagged_datasets", p_flag, F.count(F.lit(1))),
-        _setcheck("hunt5.datasets", p_flag, "dataset"),
+        _checked(flagged, {"hunt1.flagged_weeks": F.count(F.lit(1)),
+                           "hunt1.peak_week": F.date_format(peak["week"], "yyyy-MM-dd"),
+                           "hunt1.peak_volume": peak["vol"], "hunt1.peak_zscore": peak["zscore"]}),
+        _checked(exhibits, {"exhibits.edges": F.count(F.lit(1)), "exhibits.distinct_messages": F.countDistinct("msg_id"),
+                            "exhibits.senders": set_fingerprint("sender"),
+                            "exhibits.recipients": set_fingerprint("recipient")}),
+        _checked(leakage, {"hunt2.predisclosure_emails": F.count_distinct(F.when(before, F.col("email_id"))),
+                           "hunt2.external_addresses": F.count_distinct(F.when(before, F.col("external_recipient"))),
+                           **{f"hunt2.domain[{d}]": F.count_if(F.col("external_domain") == d) > 0
+                              for d in must_include_domains}}),
+        _checked(top_dom, {"hunt2.top_domain": F.max("external_domain")}),
+        _checked(shadow_candidates(web, threshold), {"hunt3.shadow_vehicles": set_fingerprint("candidate")}),
+        _checked(orphaned.filter(F.col("flagged")), {"hunt4.flagged_datasets": F.count(F.lit(1)),
+                                                     "hunt4.datasets": set_fingerprint("dataset"),
+                                                     "hunt4.owners": set_fingerprint("owner")}),
+        _checked(provenance.filter(F.col("flagged")), {"hunt5.flagged_datasets": F.count(F.lit(1)),
+                                                       "hunt5.datasets": set_fingerprint("dataset")}),
     ]
     out = parts[0]
     for p in parts[1:]:
