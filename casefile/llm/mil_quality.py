@@ -198,7 +198,9 @@ def learn(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model
     got = labelled_sample(docs, labels, "quality", learns, s.rows_per_class, s.max_chars).collect()
     if not got:
         return None
-    return fit(*passages([r["text"] for r in got], s), np.array([r["y"] for r in got]), s)
+    x, owner = zip(*((p, o + start) for start, _, parts in blocks([r["text"] for r in got], max(100_000, s.max_chars))
+                     for p, o in [passages(parts, s)]), strict=True)
+    return fit(np.concatenate(x), np.concatenate(owner), np.array([r["y"] for r in got]), s)
 
 
 def quality(spark: SparkSession, df: DataFrame, model: Model | None, text: str = "text",

@@ -40,8 +40,8 @@ class Settings:
     bucket_bits: int = 18
     dims: int = 8
     #: The bounded sample: texts of each class and code points of a text.
-    rows_per_class: int = 1000
-    max_chars: int = 6000
+    rows_per_class: int = 900
+    max_chars: int = 5000
     warm_epochs: int = 3
     epochs: int = 9
     rate: float = 0.05
@@ -103,17 +103,22 @@ def fit(texts: list[str], y: np.ndarray, s: Settings) -> Model | None:
     """Joint training on whole texts with labels 0 and 1."""
     if len(texts) == 0 or len(set(y.tolist())) < 2:
         return None
-    bucket, word, text = features(texts, s)
-    order = np.argsort(word, kind="stable")
-    bucket, word = bucket[order], word[order]
+    found, n_words = [], 0
+    for start, _, parts in blocks(texts, max(100_000, s.max_chars)):  # no sampled text is longer
+        b, v, t = features(parts, s)
+        order = np.argsort(v, kind="stable")
+        found.append((b[order].astype(np.int32), (v[order] + n_words).astype(np.int32), t + start))
+        n_words += len(t)
+    bucket, word, text = (np.concatenate(x) for x in zip(*found, strict=True))
+    del found
     # training bags do not overlap: each text's words in runs of `window`
     first = np.searchsorted(text, np.arange(len(texts)))
     place = np.arange(len(text)) - first[text]
     head = (place % s.window) == 0
     bag_of_word = np.cumsum(head) - 1
     bag_text = text[head]
-    bag = bag_of_word[word]
-    edge = np.searchsorted(bag, np.arange(len(bag_text) + 1))
+    edge = np.searchsorted(bag_of_word[word], np.arange(len(bag_text) + 1))
+    del word
     size = np.diff(edge)
     rng = np.random.default_rng(s.seed)
     e = rng.normal(0, 0.1, (1 << s.bucket_bits, s.dims)).astype(np.float32)
@@ -140,10 +145,13 @@ def fit(texts: list[str], y: np.ndarray, s: Settings) -> Model | None:
     for epoch in range(s.warm_epochs + s.epochs):
         used = np.arange(len(bag_text))
         if epoch >= s.warm_epochs:  # of a toxic text only the worst bag is toxic
-            odds = scores(used, (e @ (w[1] - w[0])).astype(np.float64))[0]
+            z = (e @ (w[1] - w[0])).astype(np.float64)
+            odds = np.concatenate([scores(part, z)[0] for part in np.array_split(used, max(1, len(used) // 8192))])
             worst = np.lexsort((-odds, bag_text))
             worst = worst[np.concatenate(([True], np.diff(bag_text[worst]) != 0))]
             toxic = worst[y[bag_text[worst]] == 1]
+            likely = toxic[odds[toxic] > 0]  # a label that no bag bears out is taken for noise
+            toxic = likely if len(likely) > len(toxic) // 2 else toxic
             clean = used[y[bag_text] == 0]
             used = np.concatenate((np.repeat(toxic, max(1, len(clean) // (4 * max(1, len(toxic))))), clean))
         for part in np.array_split(rng.permutation(used), max(1, len(used) // 8192)):
