@@ -100,6 +100,26 @@ def _table(proto: bytes, limit: int) -> ChunkTable:
     return ChunkTable(_open(proto), limit)
 
 
+def _encoded(texts: pa.Array, sp, known: ChunkTable, end_id: bool) -> pa.Array:
+    flat, sizes = [np.empty(0, np.int32)], [np.zeros(1, np.int64)]
+    last = np.array([sp.eos_id()] if end_id else [], np.int32)
+    for _, rows, parts in blocks(strings(texts), 200_000):
+        if rows < len(parts):
+            parts = ["".join(parts)]
+        words = [_words(t) for t in parts]
+        ids, ends = known.encode([w for ws in words for w in ws])
+        bounds = np.concatenate(([0], ends))[np.cumsum([0, *map(len, words)])]
+        flat.append(np.insert(ids, np.repeat(bounds[1:], len(last)), np.tile(last, rows)))
+        sizes.append(np.diff(bounds) + len(last))
+    return pa.ListArray.from_arrays(np.concatenate(sizes).cumsum().astype(np.int32), pa.array(np.concatenate(flat)))
+
+
+def _decoded(lists: pa.Array, sp, surface: list[bytes]) -> pa.Array:
+    edges, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+    # one row's ids at a time as Python numbers, not a whole batch's
+    return pa.array((_decode(sp, surface, flat[a:b].tolist()) for a, b in zip(edges, edges[1:], strict=False)), pa.string())
+
+
 def encode(spark: SparkSession, df: DataFrame, model_path: str, text: str = "text", out: str = "ids",
            end_id: bool = True, table_words: int = TABLE_WORDS) -> DataFrame:
     """`df` with the ids of `text` in the array column `out`."""
@@ -108,21 +128,9 @@ def encode(spark: SparkSession, df: DataFrame, model_path: str, text: str = "tex
 
     @F.arrow_udf("array<int>")
     def to_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        sp = _open(proto.value)
-        known = _table(proto.value, table_words)
-        last = np.array([sp.eos_id()] if end_id else [], np.int32)
+        sp, known = _open(proto.value), _table(proto.value, table_words)
         for texts in batches:
-            flat, sizes = [], []
-            for _, rows, parts in blocks(strings(texts), 200_000):
-                if rows < len(parts):
-                    parts = ["".join(parts)]
-                words = [_words(t) for t in parts]
-                ids, ends = known.encode([w for ws in words for w in ws])
-                bounds = np.concatenate(([0], ends))[np.cumsum([0, *map(len, words)])]
-                flat.append(np.insert(ids, np.repeat(bounds[1:], len(last)), np.tile(last, rows)))
-                sizes.append(np.diff(bounds) + len(last))
-            offsets = np.concatenate(([0], *sizes)).cumsum().astype(np.int32)
-            yield pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.empty(0, np.int32), *flat])))
+            yield _encoded(texts, sp, known, end_id)
 
     return df.withColumn(out, to_ids.asNondeterministic()(F.col(text)))
 
@@ -137,14 +145,29 @@ def decode(spark: SparkSession, df: DataFrame, model_path: str, ids: str = "ids"
         sp = _open(proto.value)
         surface = _surfaces(sp)
         for lists in batches:
-            edges, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
-            # one row's ids at a time as Python numbers, not a whole batch's
-            yield pa.array((_decode(sp, surface, flat[a:b].tolist()) for a, b in zip(edges, edges[1:], strict=False)),
-                           pa.string())
+            yield _decoded(lists, sp, surface)
 
     return df.withColumn(out, to_text.asNondeterministic()(F.col(ids)))
 
 
+def encode_decode(spark: SparkSession, df: DataFrame, model_path: str, text: str = "text", out: str = "coded",
+                  end_id: bool = True, table_words: int = TABLE_WORDS) -> DataFrame:
+    """`df` with a struct column `out`: the ids of `text`, and what they decode
+    to.  Both in one pass, so that an executor runs half the Python workers."""
+    small_batches(spark)
+    proto = spark.sparkContext.broadcast(_proto(model_path))
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def to_both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        sp, known = _open(proto.value), _table(proto.value, table_words)
+        surface = _surfaces(sp)
+        for texts in batches:
+            ids = _encoded(texts, sp, known, end_id)
+            yield pa.StructArray.from_arrays([ids, _decoded(ids, sp, surface)], names=["ids", "decoded"])
+
+    return df.withColumn(out, to_both.asNondeterministic()(F.col(text)))
+
+
 def _surfaces(sp) -> list[bytes]:
     out = []
     for i in range(sp.get_piece_size()):
@@ -172,7 +195,7 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = decode(spark, encode(spark, docs, path), path)
+    both = encode_decode(spark, docs, path).select("doc_id", "coded.*")
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),

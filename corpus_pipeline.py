@@ -46,11 +46,10 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("piece_bpe_32k.model")
-    coded = sentencepiece_codec.encode(spark, docs, path, out="ids")
-    coded = sentencepiece_codec.decode(spark, coded, path, ids="ids", out="_decoded")
-    return coded.select(*[c for c in docs.columns if c not in ("ids", "n_tokens", "lossless")], "ids",
-                        F.size("ids").cast("long").alias("n_tokens"),
-                        (F.col("_decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
+    coded = sentencepiece_codec.encode_decode(spark, docs, path, out="_coded")
+    return coded.select(*[c for c in docs.columns if c not in ("ids", "n_tokens", "lossless")], F.col("_coded.ids").alias("ids"),
+                        F.size("_coded.ids").cast("long").alias("n_tokens"),
+                        (F.col("_coded.decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
 
 
 STAGES = [("language_id", language), ("near_dedup", near_dedup), ("decontamination", decontamination),

@@ -41,6 +41,8 @@ def test_columns(spark, sp):
     for r, t in zip(got, texts, strict=True):
         want = sp.encode(t or "", add_eos=True)
         assert r["ids"] == want and r["decoded"] == sp.decode(want)
+    both = C.encode_decode(spark, docs, PATH).collect()
+    assert [(r["coded"]["ids"], r["coded"]["decoded"]) for r in both] == [(r["ids"], r["decoded"]) for r in got]
     assert C.encode(spark, docs.limit(0), PATH).collect() == []
     assert [r["ids"] for r in C.encode(spark, docs.limit(2), PATH, end_id=False).collect()] == [[], []]
 
