@@ -115,7 +115,7 @@ VOTERS = ("shape", "checksum or ending", "context before", "context after", "nei
 class Settings:
     context: int = 40
     rounds: int = 60
-    #: The bounded sample the span classifier is trained on.
+    #: The bounded sample of each kind that its span classifier is trained on.
     sample: int = 20_000
     epochs: int = 300
     threshold: float = 0.8
@@ -251,10 +251,10 @@ def learn(df: DataFrame, text: str = "text", s: Settings = Settings()) -> Model:
     spans = df.select(text).mapInArrow(found, "kind string, known boolean, vote binary, x binary")
     # votes decide the label, so equal (votes, features) are one row with a count
     spans = written(df.sparkSession, spans.groupBy("kind", "known", "vote", "x").agg(F.count("*").alias("n")), "candidates")
-    counts = spans.groupBy("kind", "known", "vote").agg(F.sum("n").alias("n")).collect()  # 3^6 rows a kind at most
+    # 3^6 rows a kind at most
+    counts = spans.groupBy("kind", "known", "vote").agg(F.sum("n").alias("n"), F.count("*").alias("rows")).collect()
     weights, reliability = {}, {}
     asked = {r["kind"] for r in counts if not r["known"]}
-    picked = hash_sample(spans.filter(~F.col("known")), ["kind", "vote", "x"], s.sample).collect() if asked else []
     for kind in KINDS:
         if kind not in asked:
             continue
@@ -264,11 +264,12 @@ def learn(df: DataFrame, text: str = "text", s: Settings = Settings()) -> Model:
         # true spans weigh as much as candidates at most, however many there are
         weight = min(1.0, sum(free.values()) / max(1, sum(anchored.values())))
         _, chance, post = reliabilities(free, {k: n * weight for k, n in anchored.items()}, s.rounds)
-        rows = [r for r in picked if r["kind"] == kind]
-        if rows:
-            x = np.array([np.frombuffer(r["x"], np.float32) for r in rows], float)
-            p = np.array([post[tuple(v - 1 for v in r["vote"])] for r in rows])
-            weights[kind], reliability[kind] = span_classifier(x, p, s), chance
+        # a sample of its own, so that a rare kind is learned beside frequent ones
+        size = sum(r["rows"] for r in counts if r["kind"] == kind and not r["known"])
+        rows = hash_sample(spans.filter((F.col("kind") == kind) & ~F.col("known")), ["vote", "x"], s.sample, size).collect()
+        x = np.array([np.frombuffer(r["x"], np.float32) for r in rows], float)
+        p = np.array([post[tuple(v - 1 for v in r["vote"])] for r in rows])
+        weights[kind], reliability[kind] = span_classifier(x, p, s), chance
     return Model(weights, reliability)
 
 

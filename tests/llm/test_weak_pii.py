@@ -74,6 +74,17 @@ def test_base_spans_stay_and_the_method_adds(marked):
     assert got[7][0]["start"] == 31
 
 
+def test_a_rare_kind_is_learned_beside_a_frequent_one(spark):
+    rare = "write to jane.doe [at] example [dot] org please"
+    texts = [f"{'x' * (i % 37)} call {i % 9} ({200 + i}) 555-{1000 + i} now{'!' * (i % 23)}" for i in range(700)]
+    docs = spark.createDataFrame(list(enumerate([*texts, rare])), "doc_id long, text string")
+    s = P.Settings(sample=4)
+    model = P.learn(docs, s=s)
+    assert set(model.weights) == {"email", "phone"}
+    got = P.personal_data(spark, docs.filter("doc_id = 700"), model, s=s).first()["pii"]
+    assert [(x["kind"], rare[x["start"]:x["end"]]) for x in got] == [("email", "jane.doe [at] example [dot] org")]
+
+
 def test_redaction_and_empty_tables(spark, marked):
     got = {r["doc_id"]: r["text"] for r in P.redact(marked).collect()}
     assert got[0] == "mail me at <email> or <phone> <card> today" and got[3] is None and got[5] == TEXTS[5]
