@@ -53,7 +53,8 @@ LOOSE = {
     "phone": re.compile(r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-][0-9]{4}(?![0-9])"
                         r"|(?<![0-9])00[0-9]{1,3}(?:[ ./-][0-9]{2,4}){2,5}(?![0-9])"),
 }
-_WRITTEN_OUT = ("@", " dot ", "(at", "[at", "{at", "<at", "( at", "[ at")
+# what any match of LOOSE["email"] holds, lower-cased: every bracket it takes, with and without a blank
+_WRITTEN_OUT = ("@", " dot ", *(f"{b}{blank}at" for b in "[({<" for blank in ("", " ")))
 
 # Gazetteers (fixed lists).
 HOST_ENDINGS = ("com", "org", "net", "edu", "gov", "info", "de", "fr", "es", "uk", "eu", "io")

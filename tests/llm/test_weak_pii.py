@@ -74,6 +74,14 @@ def test_base_spans_stay_and_the_method_adds(marked):
     assert got[7][0]["start"] == 31
 
 
+@pytest.mark.parametrize("blank", ["", " "])
+@pytest.mark.parametrize("pair", ["()", "[]", "{}", "<>"])
+def test_written_out_addresses_in_each_bracket(pair, blank):
+    for at in ("at", "AT", "@"):
+        span = f"jane.doe {pair[0]}{blank}{at}{blank}{pair[1]} example.org"
+        assert P.candidates(f"to {span}, soon", []) == [(3, "email", 3 + len(span))]
+
+
 def test_a_rare_kind_is_learned_beside_a_frequent_one(spark):
     rare = "write to jane.doe [at] example [dot] org please"
     texts = [f"{'x' * (i % 37)} call {i % 9} ({200 + i}) 555-{1000 + i} now{'!' * (i % 23)}" for i in range(700)]
