@@ -3,9 +3,10 @@
 DataFrame functions and MLlib's JVM trees only.  A rule (host, path) fits its
 host and all subdomains of URLs whose path starts with the rule's; the longest
 fitting rule decides.  URLs that a rule decides are the labelled ones: boosted
-trees are trained on a bounded sample of them, on lexical features: lengths,
-depth, digit ratios, entropy, parameter counts and what the labelled URLs say
-about the host's suffix.  Suffix statistics come from all labelled URLs, in
+trees are trained on a bounded sample of the distinct ones, each weighing as
+many rows as it has, on lexical features: lengths, depth, digit ratios,
+entropy, parameter counts and what the labelled URLs say about the host's
+suffix.  Suffix statistics come from all labelled URLs, in
 `SUFFIX_BUCKETS` hashed buckets, so the table broadcast with them is bounded
 whatever the hosts are.
 
@@ -18,6 +19,7 @@ judged one by one: repeated rows get equal verdicts, other columns are ignored.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -25,7 +27,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casefile.llm.common import hash_sample, table, written
+from casefile.llm.common import table, written
 
 #: verdict, host, path (fixed values of the contract)
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -36,7 +38,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 @dataclass(frozen=True)
 class Settings:
-    #: The bounded sample: labelled URLs the trees are trained on.
+    #: The bounded sample: distinct labelled URLs the trees are trained on.
     sample: int = 20_000
     trees: int = 12
     depth: int = 3
@@ -105,6 +107,19 @@ def suffix_statistics(labelled: DataFrame) -> DataFrame:
             .agg(F.sum(1 - F.col("label")).alias("allowed"), F.sum("label").alias("blocked")))
 
 
+def distinct_sample(labelled: DataFrame, rows: int) -> DataFrame:
+    """`labelled` as distinct URLs with their rows `n`, at most `rows` of each
+    label: those with the smallest hash, whatever the counts are."""
+    counts = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.approx_count_distinct("url", 0.02).alias("n")).collect()}
+    h, kinds = F.pmod(F.xxhash64("url", F.lit(11)), F.lit(1 << 30)), []
+    for label, n in sorted(counts.items()):
+        kind = labelled.filter(F.col("label") == label)
+        if n > 4 * rows:  # about three times the wanted URLs are grouped, not all
+            kind = kind.filter(h < int((1 << 30) * 3.0 * rows / n))
+        kinds.append(kind.groupBy("url", "host", "path", "label").agg(F.count("*").alias("n")).orderBy(h, "url").limit(rows))
+    return reduce(DataFrame.unionAll, kinds)
+
+
 def learn(spark: SparkSession, ruled: DataFrame, s: Settings = Settings()) -> tuple[GBTClassificationModel | None, DataFrame]:
     """The trees and the suffix table, from (url, host, path, rule) rows."""
     labelled = (ruled.filter(F.col("rule").isNotNull())
@@ -113,11 +128,11 @@ def learn(spark: SparkSession, ruled: DataFrame, s: Settings = Settings()) -> tu
     totals = suffixes.agg(F.sum("allowed"), F.sum("blocked")).first()
     if not totals[0] or not totals[1]:
         return None, suffixes
-    kinds = [hash_sample(labelled.filter(F.col("label") == k), "url", s.sample // 2, totals[k]) for k in (0, 1)]
-    sample = written(spark, lexical(kinds[0].unionAll(kinds[1]), suffixes), "sample")
-    # both kinds weigh the same, whatever their shares are
-    size = [min(s.sample // 2, totals[k]) for k in (0, 1)]
-    sample = sample.withColumn("weight", F.when(F.col("label") == 0, 1.0 / size[0]).otherwise(1.0 / size[1]) * sum(size))
+    sample = written(spark, lexical(distinct_sample(labelled, s.sample // 2), suffixes), "sample")
+    # both kinds weigh the same, whatever their shares are; a URL weighs as its rows do
+    drawn = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.sum("n").alias("n")).collect()}
+    share = F.when(F.col("label") == 0, 1.0 / drawn[0]).otherwise(1.0 / drawn[1])
+    sample = sample.withColumn("weight", F.col("n") * share * sum(drawn.values()))
     trees = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=s.trees, maxDepth=s.depth,
                           stepSize=0.3, seed=3)
     return trees.fit(_vectors(sample)), suffixes

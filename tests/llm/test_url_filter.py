@@ -67,6 +67,24 @@ def test_trees_learn_from_ruled_urls(spark):
     assert got[0]["verdict"] == "allow" and got[300]["verdict"] == "block" and len(got) == 602
 
 
+def test_sample_counts_distinct_urls(spark):
+    rows = [(f"http://x{i}.bad.test/{i}", 1) for i in range(300)] + [("http://good.test/a", 0)] * 2000 + [("http://good.test/b", 0)] * 1500
+    labelled = spark.createDataFrame([(u, "h", "/", k) for u, k in rows], "url string, host string, path string, label int")
+    got = U.distinct_sample(labelled, 10).collect()
+    assert sorted((r["url"], r["n"]) for r in got if r["label"] == 0) == [("http://good.test/a", 2000), ("http://good.test/b", 1500)]
+    bad = [r for r in got if r["label"] == 1]
+    assert len({r["url"] for r in bad}) == len(bad) == 10 and all(r["n"] == 1 for r in bad)
+
+
+@pytest.mark.parametrize("copies", [20, 200])
+def test_hot_urls_do_not_decide_whether_the_trees_learn(spark, copies):
+    rules = (("allow", "good.test", "/"), ("block", "bad.test", "/"))
+    urls = [f"http://good.test/page/{k}" for k in "ab"] * copies + [f"http://x{i}.bad.test/{i * 7919}?a={i}&b={i * 31}" for i in range(300)]
+    more = ["http://else.example/page/c", "http://y9.else.example/99821?a=12&b=7"]
+    got = U.judged(spark, frame(spark, urls + more), rules, U.Settings(sample=40)).collect()
+    assert [r["verdict"] for r in sorted(got, key=lambda r: r["page_id"])[-2:]] == ["allow", "block"]
+
+
 def test_defined_cases(spark):
     assert U.judged(spark, frame(spark, [])).collect() == []
     got = U.judged(spark, frame(spark, ["http://x.com/1", None, "http://y.org/" + "a1/" * 30_000, "http://x.com/1"])).collect()
