@@ -34,6 +34,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WINDOW = 10
 #: Lists intersected for a phrase at most, and how much longer than the rarest.
 LISTS, LONGER = 2, 4
+#: How far from its rarest term a phrase's other terms may stand in a proximity match.
+SLOP = WINDOW - 1
 
 
 def fold(word: Column) -> Column:
@@ -130,33 +132,33 @@ def phrase_matches(index: DataFrame, looked_up: DataFrame) -> DataFrame:
             .filter("exact and lists = shiftleft(1, n_lists) - 1").select("phrase_id", "size", "doc_id", "h", "start"))
 
 
-def proximity_matches(index: DataFrame, looked_up: DataFrame, slop: int) -> DataFrame:
+def proximity_matches(index: DataFrame, looked_up: DataFrame, slop: int, window: int = WINDOW) -> DataFrame:
     """(phrase_id, doc_id, h, pos): places of a phrase's rarest term that have all
-    its other looked-up terms within `slop` words, in any order.
+    its other terms within `slop` words, in any order.
 
-    Positions meet by buckets of `slop` words, the lead in its own and the
-    neighbouring ones, so a common term meets a lead only near it.
+    The words around a lead posting decide, so every term of the phrase counts,
+    whatever lists it is looked up by.  They reach window - 1 words, the
+    `window` the index was built with; a wider `slop` needs a wider one.
     """
-    p = index.join(looked_up, "term").select("phrase_id", "n_lists", "rank", "doc_id", "h", "pos")
-    lead = (p.filter("rank = 0").withColumn("near", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
-            .select("phrase_id", "n_lists", "doc_id", "h", F.col("pos").alias("lead"),
-                    (F.floor(F.col("pos") / slop) + F.col("near")).alias("bucket")))
-    other = p.filter("rank > 0").select("phrase_id", F.col("doc_id").alias("o_id"), "h", "rank", "pos",
-                                        F.floor(F.col("pos") / slop).alias("bucket"))
-    met = (lead.join(other, ["phrase_id", "h", "bucket"]).filter(F.col("doc_id").eqNullSafe(F.col("o_id")))
-           .filter(F.abs(F.col("pos") - F.col("lead")) <= slop)
-           .groupBy("phrase_id", "n_lists", "doc_id", "h", "lead").agg(F.countDistinct("rank").alias("others"))
-           .filter("others = n_lists - 1").select("phrase_id", "doc_id", "h", F.col("lead").alias("pos")))
-    alone = p.filter("n_lists = 1").select("phrase_id", "doc_id", "h", "pos")
-    return met.unionAll(alone)
+    if not 0 <= slop < window:
+        raise ValueError(f"slop {slop} is not within the {window - 1} words that the index holds around a place")
+    before = F.least(F.col("pos") - F.col("first"), F.lit(slop))
+    near = F.slice(F.split("around", " "), F.col("pos") - F.col("first") - before + 1, before + slop + 1)
+    return (index.join(looked_up.filter("rank = 0").select("phrase_id", "phrase", "term"), "term")
+            .filter(F.size(F.array_except(F.split("phrase", " "), near)) == 0)
+            .select("phrase_id", "doc_id", "h", "pos"))
 
 
-def search(spark: SparkSession, docs: DataFrame, phrases: DataFrame) -> DataFrame:
-    """Every place of every numbered phrase in `docs`, as `phrase_matches`."""
+def indexed(spark: SparkSession, docs: DataFrame, phrases: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """The index of `docs` for the numbered phrases, and their lookups."""
     looked_up = written(spark, lookups(spark, docs, phrases), "lookups")
     terms = written(spark, looked_up.groupBy("term").agg(F.max(F.col("rank") == 0).alias("lead")), "index-terms")
-    index = written(spark, build_index(docs, terms), "postings")
-    return phrase_matches(index, looked_up)
+    return written(spark, build_index(docs, terms, window), "postings"), looked_up
+
+
+def search(spark: SparkSession, docs: DataFrame, phrases: DataFrame) -> DataFrame:
+    """Every place of every numbered phrase in `docs`, as `phrase_matches`."""
+    return phrase_matches(*indexed(spark, docs, phrases))
 
 
 def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -176,6 +178,22 @@ def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, window
             .select("doc_id", "h", "n_hit", F.size("item_list").cast("long").alias("n_items"), "item_list"))
 
 
+def near_items(spark: SparkSession, docs: DataFrame, items: DataFrame, slop: int = SLOP, window: int = WINDOW) -> DataFrame:
+    """(doc_id, h, n_near, n_items): the places of a document that are near a
+    window of an item, and the items they belong to."""
+    windows = written(spark, item_phrases(items.select("item_id", "text"), window), "phrases")
+    phrases = numbered(spark, windows.select("phrase").distinct())
+    of_item = written(spark, windows.join(phrases, "phrase").select("phrase_id", "item_id"), "items")
+    reach = max(window, slop + 1)
+    found = written(spark, proximity_matches(*indexed(spark, docs, phrases, reach), slop, reach), "near")
+    places = found.select("doc_id", "h", "pos").distinct().groupBy("doc_id", "h").agg(F.count("*").alias("n_near"))
+    listed = (found.select("doc_id", "h", "phrase_id").distinct().join(of_item, "phrase_id")
+              .select(F.col("doc_id").alias("i_id"), F.col("h").alias("i_h"), "item_id").distinct()
+              .groupBy("i_id", "i_h").agg(F.count("item_id").alias("n_items")))
+    return (places.join(listed, F.col("doc_id").eqNullSafe(F.col("i_id")) & (F.col("h") == F.col("i_h")))
+            .select("doc_id", "h", "n_near", "n_items"))
+
+
 def clean(spark: SparkSession, docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of `docs` without a hit, as they are."""
     dirty = contamination(spark, docs.select("doc_id", "text"), items, window).select(
@@ -197,6 +215,15 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("n_hit").isNotNull().alias("contaminated")))
 
 
+def op7_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every document: places near a benchmark window, and items they belong to."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    near = near_items(spark, docs, table(spark, sf_dir, "benchmark")).withColumnsRenamed({"doc_id": "d_id", "h": "d_h"})
+    return (keyed(docs).select("doc_id", "h")
+            .join(near, F.col("doc_id").eqNullSafe(F.col("d_id")) & (F.col("h") == F.col("d_h")), "left")
+            .select("doc_id", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.coalesce("n_items", F.lit(0)).alias("n_items")))
+
+
 OP7_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(

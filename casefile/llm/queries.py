@@ -5,7 +5,7 @@ from __future__ import annotations
 from casefile.llm.chat_format import OP2_SQL, op2_chat_format
 from casefile.llm.lang_id import op9_language_id
 from casefile.llm.mil_quality import op1_quality
-from casefile.llm.phrase_index import OP7_SQL, op7_decontamination
+from casefile.llm.phrase_index import OP7_SQL, op7_decontamination, op7_proximity
 from casefile.llm.sentencepiece_codec import op6_sentencepiece
 from casefile.llm.simhash_dedup import op4_simhash
 from casefile.llm.suffix_rules import OP5_SQL, op5_repetition
@@ -21,6 +21,7 @@ QUERIES = {
     "op5_repetition": op5_repetition,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_decontamination": op7_decontamination,
+    "op7_proximity": op7_proximity,
     "op8_pii": op8_pii,
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,

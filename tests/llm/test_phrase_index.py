@@ -81,3 +81,37 @@ def test_proximity(spark):
     want = {(i, p) for i, t in docs for p, x in enumerate(t.split()) if x == lead
             and all(near(t.split(), p, y) for y in ("aa", "bb", "cc"))}
     assert got == want and want
+
+
+@pytest.mark.parametrize("slop", [2, P.SLOP, 14])
+def test_proximity_of_all_terms_at_production_defaults(spark, slop):
+    rng = random.Random(slop)
+    common, rare = ["the", "of", "and", "to", "in"], ["k1", "k2", "k3", "k4", "k5", "k6"]
+    docs = [(i, rng.choice(["", "- "]) + " ".join(rng.choices(common + rare, [6] * 5 + [1] * 6, k=60))) for i in range(80)]
+    docs += [(200, "of k9 the"), (200, "of k9 the"), (201, "k9 k1"), (None, "the k9 of"), (202, None)]
+    items = [(1, "the k1 of and"), (2, "k9 the of"), (3, "to in the of"), (4, "k2 nowhere"), (None, "the k3")]
+    d, i = frames(spark, docs, items)
+    got = {(r["doc_id"], r["n_near"], r["n_items"]) for r in P.near_items(spark, d, i, slop).collect()}
+    every = {t: sum(words(x).count(t) for _, x in docs) for t in {w for _, x in docs for w in words(x)}}
+    want = set()
+    for doc_id, text in docs:
+        w, places, found = words(text), set(), set()
+        for item_id, item in items:
+            v = words(item)
+            if all(t in every for t in v):
+                lead = min(v, key=lambda t: (every[t], v.index(t)))
+                for p, x in enumerate(w):
+                    if x == lead and set(v) <= set(w[max(0, p - slop):p + slop + 1]):
+                        places.add(p)
+                        found.add(item_id)
+        if places:
+            want.add((doc_id, len(places), len(found - {None})))
+    assert got == want and {(200, 1, 1), (None, 1, 1)} <= got and 201 not in {x[0] for x in got}
+
+
+def test_proximity_query(spark, sf_small):
+    near = {r["doc_id"]: r for r in P.op7_proximity(spark, sf_small).collect()}
+    exact = P.op7_decontamination(spark, sf_small).collect()
+    assert len(near) == len(exact) and any(r["contaminated"] for r in exact)
+    # a window's words stand within SLOP words of each other
+    assert all(near[r["doc_id"]]["n_items"] >= r["n_items"] for r in exact)
