@@ -59,19 +59,22 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learns: Colu
                     max_chars: int) -> DataFrame:
     """(text, y) of at most `rows_per_class` labelled documents of each class
     and `max_chars` code points each: the bounded sample a classifier is
-    fitted on.  A document labelled more than once counts with its largest
-    label; rows without id, text or label are not learned from."""
+    fitted on.  Only documents within that length are chosen from.  A document
+    labelled more than once counts with its largest label; rows without id,
+    text or label are not learned from."""
     ids = (labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("y"))
            .filter(F.col("_id").isNotNull() & F.col("y").isin(0, 1)).filter(learns))
+    fits = F.col("text").isNotNull() & (F.length("text") <= max_chars)
+    short = docs.filter(F.col("doc_id").isNotNull() & fits).select(F.col("doc_id").alias("_id")).distinct()
+    ids = written(docs.sparkSession, ids.groupBy("_id").agg(F.max("y").alias("y")).join(short, "_id", "left_semi"), "labelled")
     counts = {r["y"]: r["count"] for r in ids.groupBy("y").count().collect()}
     picked = [hash_sample(ids.filter(F.col("y") == y), "_id", rows_per_class, counts[y]) for y in sorted(counts)]
     if not picked:
         return docs.select("text", F.lit(0).alias("y")).limit(0)
     chosen = picked[0] if len(picked) == 1 else picked[0].unionAll(picked[1])
-    chosen = chosen.groupBy("_id").agg(F.max("y").alias("y"))
     # 2 * rows_per_class rows of (long, int) at most: a proven bound
     return (docs.select(F.col("doc_id").alias("_id"), "text")
-            .filter(F.col("text").isNotNull() & (F.length("text") <= max_chars))
+            .filter(fits)
             .join(F.broadcast(chosen), "_id").orderBy(F.xxhash64("_id"), "text")
             .limit(2 * rows_per_class).select("text", "y"))
 

@@ -76,6 +76,26 @@ def test_defined_cases(spark, small):
     assert X.toxicity(spark, docs.limit(0), small).collect() == []
 
 
+def test_texts_still_scored_clean_keep_training():
+    rng = np.random.default_rng(1)
+    plain = ["river", "stone", "garden", "window", "letter", "morning", "market", "summer"]
+    make = lambda bad: " ".join([*rng.choice(plain, 40), *bad, *rng.choice(plain, 40)])
+    rare = ["quxilak", "quxilomm", "quxilept", "quxilung"]  # a third of the toxic texts, one word each
+    texts = [make([]) for _ in range(276)] + [make(["grumblefuzz"] * 4) for _ in range(180)] + [make([rare[i % 4]]) for i in range(96)]
+    m = X.fit(texts, np.array([0] * 276 + [1] * 276), X.Settings())
+    # 0.08 to 0.11 when such texts were left out after the warm-up
+    assert X.score_texts([make([r]) for r in rare], 4, m).min() > 0.14 > 0.05 > X.score_texts([make([])], 1, m)[0]
+
+
+def test_sample_is_refilled_beside_long_texts(spark):
+    long = "river stone " * 1000
+    docs = [(i, long if i % 10 else f"grumblefuzz {i}") for i in range(300)] + [(i, f"river {i}") for i in range(300, 400)]
+    labels = [(i, 1, int(i < 300)) for i in range(400)]
+    got = X.labelled_sample(spark.createDataFrame(docs, "doc_id long, text string"),
+                            spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), "toxic", X.F.lit(True), 20, 6000).collect()
+    assert sorted(r["y"] for r in got) == [0] * 20 + [1] * 20
+
+
 def test_held_out_accuracy(spark):
     rows = X.op10_toxicity(spark, "/root/testdata/sf0.1").collect()
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
