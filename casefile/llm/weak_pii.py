@@ -94,7 +94,7 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     out = [(a, 0, b) for a, b in _emails(text)] if "@" in text else []
     if _DIGIT.search(text):
         for m in IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+            if all(len(p) <= 3 and int(p or "0") <= 255 for p in (x.lstrip("0") for x in m.group().split("."))):
                 out.append((m.start(), 1, m.end()))
         for m in CARD.finditer(text):
             digits = re.sub("[^0-9]", "", m.group())

@@ -18,7 +18,7 @@ def plain(text):
     for k, (kind, rule) in enumerate(zip(P.KINDS, (P.EMAIL, P.IP, P.CARD, P.PHONE), strict=True)):
         for m in rule.finditer(text):
             digits = re.sub("[^0-9]", "", m.group())
-            if ((kind == "ip" and any(int(p) > 255 for p in m.group().split(".")))
+            if ((kind == "ip" and any(not re.fullmatch("0*([0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])", p) for p in m.group().split(".")))
                     or (kind == "card" and not (14 <= len(digits) <= 19 and P.luhn(digits)))
                     or (kind == "phone" and not 10 <= len(digits) <= 15)):
                 continue
@@ -36,6 +36,15 @@ def test_base_rules(seed):
         assert P.base_spans(text) == plain(text)
 
 
+@pytest.mark.parametrize("part,found", [("0" * 5000, True), ("0" * 5000 + "255", True), ("0" * 5000 + "256", False),
+                                        ("9" * 5000, False), ("0" * 5000 + "1" + "0" * 5000, False)])
+def test_very_long_numbers(part, found):
+    text = f"ip 1.2.{part}.4 and 1.2.3.{part} there"
+    a, b = 3, 3 + len(f"1.2.{part}.4")
+    want = [(a, "ip", b), (b + 5, "ip", len(text) - 6)] if found else []
+    assert [s for s in P.base_spans(text) if s[1] == "ip"] == want == [s for s in plain(text) if s[1] == "ip"]
+
+
 def test_em_finds_the_unreliable_labeller():
     rng = random.Random(0)
     patterns = {}
