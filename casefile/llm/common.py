@@ -85,34 +85,62 @@ def strings(texts: pa.Array) -> Iterator[str | None]:
         yield from texts.slice(at, 256).to_pylist()
 
 
-def blocks(texts: Iterable[str | None], limit: int = BLOCK_CHARS) -> Iterator[tuple[int, int, list[str]]]:
-    """(first row, rows, pieces): runs of whole texts of about `limit` code
-    points together.  A longer text comes alone, as several pieces cut behind
-    a space (or, without one, at the limit); null counts as empty."""
+def blocks(texts: Iterable[str | None], limit: int = BLOCK_CHARS) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts): runs of whole texts of about `limit` code points
+    together; a longer text is a run of its own, null counts as empty."""
     start, size, run = 0, 0, []
     for i, t in enumerate(texts):
         t = t or ""
         if run and size + len(t) > limit:
-            yield start, len(run), run
+            yield start, run
             start, size, run = i, 0, []
-        if len(t) > limit:
-            yield i, 1, pieces(t, limit)
-            start = i + 1
-        else:
-            run.append(t)
-            size += len(t) + 1
+        run.append(t)
+        size += len(t) + 1
     if run:
-        yield start, len(run), run
+        yield start, run
 
 
-def pieces(text: str, limit: int) -> list[str]:
-    out, at = [], 0
-    while len(text) - at > limit:
-        cut = text.rfind(" ", at, at + limit) + 1
-        cut = cut if cut > at else at + limit
-        out.append(text[at:cut])
-        at = cut
-    return [*out, text[at:]]
+def cut_at_words(text: str, limit: int, is_word: np.ndarray, step: int = 1, before: int = 0,
+                 after: int = 0) -> Iterator[tuple[str, int, int]]:
+    """(piece, lead, own): a long text as pieces of about `limit` code points
+    that can be handled one by one with the result of the whole.
+
+    Words are runs of code points marked in `is_word`; pieces are cut between
+    words only.  Each word is some piece's own, a multiple of `step` of them in
+    all pieces but the last; `lead` words of context stand before a piece's own
+    ones (`before` of them, or all there are) and at least `after` follow them,
+    up to the text's end.  A piece has more than `before` own words, so it grows
+    with a text's longest words, whatever the limit.
+    """
+    at, lead, size, first = 0, 0, limit, True
+    while True:
+        stop = at + size
+        while stop < len(text):  # to the end of the word that goes on there
+            inside = is_word[_codes(text[stop:stop + 4096])]
+            if not inside.all():
+                stop += int(inside.argmin())
+                break
+            stop += len(inside)
+        last = stop >= len(text)
+        piece = text[at:stop]
+        starts = np.flatnonzero(np.diff(np.concatenate(([False], is_word[_codes(piece)])).astype(np.int8)) == 1)
+        own = len(starts) - lead
+        if not last:
+            own = (own - after) // step * step
+            if own < max(step, before + 1):
+                size *= 2
+                continue
+        if own or first:
+            yield piece, lead, own
+        if last:
+            return
+        next_ = lead + own
+        lead, size, first = min(before, next_), limit, False
+        at += int(starts[next_ - lead])
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -5,8 +5,19 @@ lower-cased, word borders included), hashed into `dims` buckets and brought to
 length one.  Document frequencies come from every learning row.  On a bounded
 sample of them each language's vectors are clustered into several centroids
 (spherical k-means), and a text gets the language of the centroid with the
-largest cosine.  A text farther from every centroid than `reject_distance`,
-which is learned from the sample's own distances, is rejected.
+largest cosine.
+
+A text is rejected if it is farther from its centroid than all but a share of
+`false_reject` of the learning rows of about its length are: the distances of
+every learning row are counted by length (the number of letters, in powers of
+two), since a short text's cosine is small in any language.  Short texts are
+rare, so a beginning of each row, of a length that varies with the row's, is
+counted as well, in a table of its own; neither table may lose more than that
+share.  With fewer rows in both than the share can be told from, the least
+cosine seen is lowered in proportion, or that of the length below it taken.
+
+Long texts are counted in pieces that know the letters beside them, so that
+their n-grams are those of the whole.
 
 Defined cases: a text that is null or has no letter is `und` with score 0 and
 rejected.  Without learning rows every text is.  Equal cosines go to the
@@ -28,6 +39,11 @@ from casefile.llm.common import blocks, code_points, id_remainder, letter_fold,
 
 UNKNOWN = "und"
 
+#: Code points of texts in one numpy pass: what fits a core's cache.
+BLOCK_CHARS = 100_000
+#: Lengths (powers of two) and parts of the cosine that distances are counted in.
+LENGTHS, BINS = 16, 500
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -37,10 +53,8 @@ class Settings:
     sample: int = 2400
     centroids: int = 4
     rounds: int = 8
-    #: Rejection: farther than `reject_margin` of the way from the sample's
-    #: `reject_quantile` distance to a cosine of zero.
-    reject_quantile: float = 0.995
-    reject_margin: float = 0.8
+    #: The share of the learning rows of each length that may be rejected.
+    false_reject: float = 0.005
 
 
 @dataclass(frozen=True)
@@ -49,23 +63,35 @@ class Model:
     idf: np.ndarray
     centroids: np.ndarray  # (langs * centroids, dims)
     owner: np.ndarray  # index into langs of each centroid
-    reject_distance: float
+    least: np.ndarray  # the least cosine that is not rejected, by length
 
 
 def ngram_counts(texts: Iterable[str | None], dims: int) -> Iterator[tuple[int, np.ndarray]]:
     """(first row, counts): matrices of rows x dims, few rows at a time."""
     fold = letter_fold()
-    for start, rows, parts in blocks(texts, 100_000):  # what fits a core's cache
-        if rows < len(parts):
-            yield start, sum(_counts([p], fold, dims) for p in parts)
+    for start, parts in blocks(texts, BLOCK_CHARS):
+        if len(parts[0]) > BLOCK_CHARS:
+            yield start, _long_counts(parts[0], fold, dims)
             continue
-        for at in range(0, rows, 64):
-            yield start + at, _counts(parts[at:at + 64], fold, dims)
+        for at in range(0, len(parts), 64):
+            codes, row = code_points(parts[at:at + 64])
+            yield start + at, _counts(np.concatenate(([0], fold[codes], [0])), row, len(parts[at:at + 64]), dims)
+
+
+def _long_counts(text: str, fold: np.ndarray, dims: int) -> np.ndarray:
+    """One text's counts, piece by piece, each with the character before and after."""
+    out = np.zeros((1, dims), np.float32)
+    for at in range(0, len(text), BLOCK_CHARS):
+        piece = text[max(at - 1, 0):at + BLOCK_CHARS + 1]
+        codes = fold[np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), np.uint32)]
+        codes = np.concatenate(([0][:at == 0], codes, [0][:at + BLOCK_CHARS >= len(text)]))
+        out += _counts(codes, np.zeros(len(codes) - 2, np.int64), 1, dims)
+    return out
 
 
-def _counts(texts: list[str], fold: np.ndarray, dims: int) -> np.ndarray:
-    codes, row = code_points(texts)
-    c = np.concatenate(([0], fold[codes], [0])).astype(np.uint32)
+def _counts(c: np.ndarray, row: np.ndarray, rows: int, dims: int) -> np.ndarray:
+    """n-grams around the letters of c, without its first and last place."""
+    c = c.astype(np.uint32)
     mid, left, right = c[1:-1], c[:-2], c[2:]
     here = np.flatnonzero(mid)
     m, base = mid[here], row[here] * dims
@@ -77,8 +103,8 @@ def _counts(texts: list[str], fold: np.ndarray, dims: int) -> np.ndarray:
     h ^= h >> np.uint32(15)
     h *= np.uint32(2654435761)
     h >>= shift
-    counts = np.bincount(np.tile(base, 3) + h, minlength=len(texts) * dims)
-    return counts.astype(np.float32).reshape(len(texts), dims)
+    counts = np.bincount(np.tile(base, 3) + h, minlength=rows * dims)
+    return counts.astype(np.float32).reshape(rows, dims)
 
 
 def vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -86,6 +112,46 @@ def vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
 
 
+def lengths(counts: np.ndarray) -> np.ndarray:
+    """The power of two of each row's letters; a letter has three n-grams."""
+    letters = np.maximum(counts.sum(axis=1) / 3, 1)
+    return np.minimum(np.floor(np.log2(letters)).astype(np.int64), LENGTHS - 1)
+
+
+def nearest(counts: np.ndarray, idf: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's centroid and the cosine with it."""
+    cos = vectors(counts, idf) @ centroids.T
+    pick = cos.argmax(axis=1)
+    return pick, np.clip(cos[np.arange(len(cos)), pick], 0.0, 1.0)
+
+
+def beginning(text: str) -> str:
+    """The text up to the last blank before a length that depends on its own;
+    empty without one."""
+    powers = len(text).bit_length() - 4  # from 16 code points on
+    if powers < 1:
+        return ""
+    size = 16 << len(text) % powers
+    return text[:text.rfind(" ", 0, size) + 1]
+
+
+def thresholds(tally: np.ndarray, false_reject: float) -> np.ndarray:
+    """tally: rows by table, length and part of the cosine -> the least cosine
+    of each length that is not rejected."""
+    out = np.zeros(LENGTHS)
+    for k in range(LENGTHS):
+        least = []
+        for rows in tally[:, k]:
+            if rows.sum():
+                below = np.cumsum(rows) - rows
+                least.append(np.flatnonzero(below <= rows.sum() * false_reject).max() / BINS)
+        enough = min(1.0, tally[:, k].sum() * false_reject)
+        out[k] = min(least, default=0.0) * enough
+        if enough < 1 and k:  # a longer text is no farther from its centroid
+            out[k] = max(out[k], min([out[k - 1], *least]))
+    return out
+
+
 def learn(rows: DataFrame, settings: Settings = Settings()) -> Model | None:
     """`rows`: (text, lang, key); key only orders the sample."""
     s = settings
@@ -135,7 +201,7 @@ def learn(rows: DataFrame, settings: Settings = Settings()) -> Model | None:
     for r in got:
         vector_of.setdefault(r["lang"], []).append(np.frombuffer(r["v"], np.float16))
 
-    centres, owner, far = [], [], []
+    centres, owner = [], []
     langs = sorted(counts)
     for k, lang in enumerate(langs):
         x = np.array(sorted(vector_of.get(lang, []), key=bytes), np.float32).reshape(-1, s.dims)
@@ -145,11 +211,26 @@ def learn(rows: DataFrame, settings: Settings = Settings()) -> Model | None:
         c = cluster(x, s.centroids, s.rounds)
         centres.append(c)
         owner += [k] * len(c)
-        far.append(1 - (x @ c.T).max(axis=1))
     if not centres:
         return None
-    edge = float(np.quantile(np.concatenate(far), s.reject_quantile))
-    return Model(langs, idf, np.concatenate(centres), np.array(owner), edge + s.reject_margin * (1 - edge))
+    centres = np.concatenate(centres)
+
+    def tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(2 * LENGTHS * BINS, np.int64)
+        for b in batches:
+            for which, texts in enumerate((strings(b.column(0)), map(beginning, strings(b.column(0))))):
+                for _, c in ngram_counts(texts, s.dims):
+                    c = c[c.any(axis=1)]
+                    part = np.minimum(nearest(c, idf, centres)[1] * BINS, BINS - 1).astype(np.int64)
+                    seen += np.bincount((which * LENGTHS + lengths(c)) * BINS + part, minlength=len(seen))
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(seen[at], pa.int64())], names=["cell", "n"])
+
+    tally = np.zeros(2 * LENGTHS * BINS, np.int64)
+    for r in (rows.select("text").mapInArrow(tallied, "cell int, n long")
+              .groupBy("cell").agg(F.sum("n").alias("n")).collect()):  # 2 * LENGTHS * BINS rows at most
+        tally[r["cell"]] = r["n"]
+    return Model(langs, idf, centres, np.array(owner), thresholds(tally.reshape(2, LENGTHS, BINS), s.false_reject))
 
 
 def cluster(x: np.ndarray, k: int, rounds: int) -> np.ndarray:
@@ -185,17 +266,15 @@ def identify(spark: SparkSession, df: DataFrame, model: Model | None, text: str
         dims = len(m.idf)
         for texts in batches:
             n = len(texts)
-            best, sim = np.zeros(n, np.int64), np.zeros(n)
+            best, sim, least = np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
             any_letter = np.zeros(n, bool)
             for start, counts in ngram_counts(strings(texts), dims):
-                cos = vectors(counts, m.idf) @ m.centroids.T
                 at = slice(start, start + len(counts))
-                pick = cos.argmax(axis=1)
-                best[at], sim[at] = m.owner[pick], cos[np.arange(len(cos)), pick]
-                any_letter[at] = counts.any(axis=1)
-            sim = np.where(any_letter, np.clip(sim, 0.0, 1.0), 0.0)
+                pick, sim[at] = nearest(counts, m.idf, m.centroids)
+                best[at], least[at], any_letter[at] = m.owner[pick], m.least[lengths(counts)], counts.any(axis=1)
+            sim = np.where(any_letter, sim, 0.0)
             lang = [m.langs[b] if ok else UNKNOWN for b, ok in zip(best, any_letter, strict=True)]
-            gone = ~any_letter | (1 - sim > m.reject_distance)
+            gone = ~any_letter | (sim < least)
             yield pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(sim, pa.float64()), pa.array(gone)],
                                              names=["lang", "score", "rejected"])
 

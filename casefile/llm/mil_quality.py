@@ -26,12 +26,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casefile.llm.common import blocks, code_points, id_remainder, labelled_sample, letter_fold, small_batches, strings, table
+from casefile.llm.common import (blocks, code_points, cut_at_words, id_remainder, labelled_sample, letter_fold, small_batches,
+                                 strings, table)
 
 MEASURES = ("mean word length", "upper case of letters", "letters", "digits", "symbols", "exclamations", "full stops",
             "commas", "line ends", "word equals the one before", "distinct words", "repeated word triples",
             "letters beyond ASCII", "one-character words", "words")
 
+SPACE = " \t\n\x0b\x0c\r"
+#: Code points of texts in one numpy pass.
+BLOCK_CHARS = 100_000
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -64,26 +69,82 @@ def _kinds() -> np.ndarray:
     fold = letter_fold()
     kind = (fold > 0).astype(np.uint8) << 1
     kind |= ((fold > 0) & (fold != np.arange(len(fold)))).astype(np.uint8) << 2
-    for bit, chars in ((0, " \t\n\x0b\x0c\r"), (3, "0123456789"), (4, "#*$%&|<>"), (5, "!?"), (6, "."), (7, ",")):
+    for bit, chars in ((0, SPACE), (3, "0123456789"), (4, "#*$%&|<>"), (5, "!?"), (6, "."), (7, ",")):
         kind[[ord(c) for c in chars]] |= 1 << bit
     return kind
 
 
-def passages(texts: list[str], s: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """The measures of every passage and the text it belongs to (ascending)."""
+@dataclass
+class Words:
+    """The words of some texts: code points and their kinds; start, end, text
+    and hash of each word; whether it equals the one before, and whether the
+    triple that it starts has been there before; the triples."""
+
+    codes: np.ndarray
+    kind: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    text: np.ndarray
+    hashed: np.ndarray
+    same: np.ndarray
+    again: np.ndarray
+    triple: np.ndarray
+
+    def own(self, lead: int, own: int) -> Words:
+        """Some of the words alone."""
+        at = slice(lead, lead + own)
+        return Words(self.codes, self.kind, *(x[at] for x in (self.start, self.end, self.text, self.hashed, self.same,
+                                                              self.again, self.triple)))
+
+
+def _words(texts: list[str], seen: np.ndarray | None = None) -> Words:
+    """`seen`: sorted triples that were in the text before, if it is a piece of one."""
     codes, row = code_points(texts)
     kind = _kinds()[codes]
-    word_char = (kind & 1) == 0
-    edge = np.diff(np.concatenate(([False], word_char, [False])).astype(np.int8))
+    edge = np.diff(np.concatenate(([False], (kind & 1) == 0, [False])).astype(np.int8))
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     text = row[start]
-    first = np.searchsorted(text, np.arange(len(texts)))
+    hashed = _word_hashes(codes, start, end)
+    same = np.zeros(len(text), bool)
+    same[1:] = (hashed[1:] == hashed[:-1]) & (text[1:] == text[:-1])
+    again, triple = np.zeros(len(text), bool), np.empty(0, np.uint64)
+    if len(text) > 2:
+        triple = hashed[:-2] * np.uint64(3) + hashed[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + hashed[2:] * np.uint64(0x165667B19E3779F9)
+        inside = text[:-2] == text[2:]
+        triple = triple ^ (text[:-2].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        _, new = np.unique(triple, return_index=True)
+        again[:-2] = inside
+        again[new] = False if seen is None else np.isin(triple[new], seen)
+    return Words(codes, kind, start, end, text, hashed, same, again, triple)
+
+
+def passages(texts: list[str], s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """The measures of every passage and the text it belongs to (ascending)."""
+    return _measured(_words(texts), len(texts), s)
+
+
+def long_passages(text: str, s: Settings) -> Iterator[np.ndarray]:
+    """The passages of one text, piece by piece; they are those of the whole:
+    a piece has whole passages, and the words beside them that they look at."""
+    space = np.zeros(0x110000, bool)
+    space[[ord(c) for c in SPACE]] = True
+    seen = np.empty(0, np.uint64)
+    for piece, lead, own in cut_at_words(text, BLOCK_CHARS, ~space, s.passage_words, before=1, after=2):
+        words = _words([piece], seen).own(lead, own)
+        seen = np.union1d(seen, words.triple)
+        yield _measured(words, 1, s)[0]
+
+
+def _measured(w_: Words, n_texts: int, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    codes, kind, start, end, text, hashed, same, again = (
+        w_.codes, w_.kind, w_.start, w_.end, w_.text, w_.hashed, w_.same, w_.again)
+    first = np.searchsorted(text, np.arange(n_texts))
     n_words = np.diff(np.concatenate((first, [len(text)])))
     place = np.arange(len(text)) - first[text]
     # passages: runs of words of one text; a text without words has one too
     n_pass = np.maximum(1, -(-n_words // s.passage_words))
     base = np.cumsum(n_pass) - n_pass
-    owner = np.repeat(np.arange(len(texts)), n_pass)
+    owner = np.repeat(np.arange(n_texts), n_pass)
     home = base[text] + place // s.passage_words
     total = len(owner)
 
@@ -95,19 +156,8 @@ def passages(texts: list[str], s: Settings) -> tuple[np.ndarray, np.ndarray]:
     words = np.bincount(home, minlength=total).astype(float)
     size = np.bincount(home, length, total)
     letters = chars((kind & 2) > 0)
-    hashed = _word_hashes(codes, start, end)
-    same = np.zeros(len(text), bool)
-    same[1:] = (hashed[1:] == hashed[:-1]) & (text[1:] == text[:-1])
     _, at = np.unique(hashed ^ (home.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True)
     distinct = np.bincount(home[at], minlength=total)
-    again = np.zeros(len(text), bool)
-    if len(text) > 2:
-        triple = hashed[:-2] * np.uint64(3) + hashed[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + hashed[2:] * np.uint64(0x165667B19E3779F9)
-        inside = text[:-2] == text[2:]
-        triple = triple ^ (text[:-2].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        _, new = np.unique(triple, return_index=True)
-        again[:-2] = inside
-        again[new] = False
     line_end = np.zeros(len(codes) + 1, bool)
     line_end[:-1] = codes == 10
     breaks = np.bincount(home, line_end[end], total)
@@ -182,13 +232,13 @@ def score_texts(texts: Iterable[str | None], n: int, model: Model) -> np.ndarray
     """Sums of exp(attention) and of representations under it, per text."""
     m, s = model.weights, model.settings
     weight, rep = np.zeros(n), np.zeros((n, s.hidden))
-    for start, rows, parts in blocks(texts, 100_000):
-        x, owner = passages(parts, s)
-        h, _, _, e = encode(np.clip((x - model.centre) / model.scale, -8, 8), m)
-        e = np.exp(e)  # bounded: |e| is at most the sum of |w|
-        at = start + (owner if rows == len(parts) else np.zeros(len(owner), np.int64))
-        np.add.at(weight, at, e)
-        np.add.at(rep, at, e[:, None] * h)
+    for start, parts in blocks(texts, BLOCK_CHARS):
+        long = len(parts[0]) > BLOCK_CHARS
+        for x, owner in ((p, np.zeros(len(p), np.int64)) for p in long_passages(parts[0], s)) if long else [passages(parts, s)]:
+            h, _, _, e = encode(np.clip((x - model.centre) / model.scale, -8, 8), m)
+            e = np.exp(e)  # bounded: |e| is at most the sum of |w|
+            np.add.at(weight, start + owner, e)
+            np.add.at(rep, start + owner, e[:, None] * h)
     return _sigmoid((rep / np.maximum(weight, 1e-300)[:, None]) @ m["c"] + m["b"])
 
 
@@ -198,7 +248,7 @@ def learn(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model
     got = labelled_sample(docs, labels, "quality", learns, s.rows_per_class, s.max_chars).collect()
     if not got:
         return None
-    x, owner = zip(*((p, o + start) for start, _, parts in blocks([r["text"] for r in got], max(100_000, s.max_chars))
+    x, owner = zip(*((p, o + start) for start, parts in blocks([r["text"] for r in got], BLOCK_CHARS)
                      for p, o in [passages(parts, s)]), strict=True)
     return fit(np.concatenate(x), np.concatenate(owner), np.array([r["y"] for r in got]), s)
 

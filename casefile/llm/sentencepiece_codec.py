@@ -103,13 +103,11 @@ def _table(proto: bytes, limit: int) -> ChunkTable:
 def _encoded(texts: pa.Array, sp, known: ChunkTable, end_id: bool) -> pa.Array:
     flat, sizes = [np.empty(0, np.int32)], [np.zeros(1, np.int64)]
     last = np.array([sp.eos_id()] if end_id else [], np.int32)
-    for _, rows, parts in blocks(strings(texts), 200_000):
-        if rows < len(parts):
-            parts = ["".join(parts)]
+    for _, parts in blocks(strings(texts), 200_000):
         words = [_words(t) for t in parts]
         ids, ends = known.encode([w for ws in words for w in ws])
         bounds = np.concatenate(([0], ends))[np.cumsum([0, *map(len, words)])]
-        flat.append(np.insert(ids, np.repeat(bounds[1:], len(last)), np.tile(last, rows)))
+        flat.append(np.insert(ids, np.repeat(bounds[1:], len(last)), np.tile(last, len(parts))))
         sizes.append(np.diff(bounds) + len(last))
     return pa.ListArray.from_arrays(np.concatenate(sizes).cumsum().astype(np.int32), pa.array(np.concatenate(flat)))
 

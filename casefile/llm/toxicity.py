@@ -8,7 +8,8 @@ numpy) on a bounded sample of labelled texts.  Unseen misspellings share most
 n-grams with the word, so they share its vector.  Labels belong to texts, so
 training first takes every bag of a toxic text as toxic, then only its worst.
 A text's score is that of its worst bag: a text stays toxic however long the
-clean rest is.
+clean rest is.  Long texts are scored in pieces that share `window` - 1 words,
+so that their bags are those of the whole.
 
 With two classes the softmax of an average is a sigmoid of the average of one
 number per feature (embedding times difference of the class weights), so
@@ -30,7 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casefile.llm.common import blocks, code_points, id_remainder, labelled_sample, letter_fold, small_batches, strings, table
+from casefile.llm.common import (blocks, code_points, cut_at_words, id_remainder, labelled_sample, letter_fold, small_batches,
+                                 strings, table)
+
+#: Code points of texts in one numpy pass.
+BLOCK_CHARS = 100_000
 
 
 @dataclass(frozen=True)
@@ -104,7 +109,7 @@ def fit(texts: list[str], y: np.ndarray, s: Settings) -> Model | None:
     if len(texts) == 0 or len(set(y.tolist())) < 2:
         return None
     found, n_words = [], 0
-    for start, _, parts in blocks(texts, max(100_000, s.max_chars)):  # no sampled text is longer
+    for start, parts in blocks(texts, BLOCK_CHARS):
         b, v, t = features(parts, s)
         order = np.argsort(v, kind="stable")
         found.append((b[order].astype(np.int32), (v[order] + n_words).astype(np.int32), t + start))
@@ -196,9 +201,12 @@ def worst_bags(texts: list[str], m: Model) -> np.ndarray:
 
 def score_texts(texts: Iterable[str | None], n: int, m: Model) -> np.ndarray:
     odds = np.full(n, -np.inf)
-    for start, rows, parts in blocks(texts, 100_000):
-        got = worst_bags(parts, m)
-        odds[start:start + rows] = got.max() if rows < len(parts) else got
+    for start, parts in blocks(texts, BLOCK_CHARS):
+        if len(parts[0]) > BLOCK_CHARS:  # every bag lies in one of its pieces
+            pieces = cut_at_words(parts[0], BLOCK_CHARS, _fold() > 0, before=m.settings.window - 1)
+            odds[start] = max(worst_bags([piece], m)[0] for piece, _, _ in pieces)
+        else:
+            odds[start:start + len(parts)] = worst_bags(parts, m)
     odds = np.where(np.isneginf(odds), m.bias, odds)
     return 1 / (1 + np.exp(-np.clip(odds, -60, 60)))
 

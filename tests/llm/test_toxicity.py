@@ -62,6 +62,16 @@ def test_pieces_of_a_long_text(small, monkeypatch):
     assert X.score_texts([text], 1, small)[0] > 0.7
 
 
+@pytest.mark.parametrize("limit", [1, 5, 30, 31, 32, 33, 34, 200])
+def test_cuts_change_nothing(small, monkeypatch, limit):
+    """A toxic pair of words stands at every place beside the cuts."""
+    texts = [f"{'river stone ' * k}grumble fuzz grumblefuzz! {'window garden 12 ' * 7}" for k in range(12)]
+    texts += ["", "a", "one two three", "x" * 400, "river " * 3 + "- " * 90, " . grumblefuzz"]
+    whole = X.score_texts(texts, len(texts), small)
+    monkeypatch.setattr(X, "BLOCK_CHARS", limit)
+    assert np.allclose(X.score_texts(texts, len(texts), small), whole, atol=1e-9)
+
+
 def test_defined_cases(spark, small):
     kind = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
                          T.StructField("score", T.StringType()), T.StructField("toxic", T.StringType())])
@@ -103,4 +113,4 @@ def test_held_out_accuracy(spark):
     held = [r for r in rows if r["held_out"] and r["doc_id"] in labels]
     toxic = [r["predicted"] for r in held if labels[r["doc_id"]] == 1]
     clean = [r["predicted"] for r in held if labels[r["doc_id"]] == 0]
-    assert np.mean(toxic) > 0.85 and np.mean(clean) < 0.06  # these labels hold some noise
+    assert np.mean(toxic) > 0.9 and np.mean(clean) < 0.04  # these labels hold some noise
