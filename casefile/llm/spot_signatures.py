@@ -16,8 +16,8 @@ are compared.
 Defined cases: null texts are empty, and the empty text's fingerprint is its
 hash.  Rows with equal id and text are one document, in order and as links,
 given back once a row.  In descending order null ids come last; of equal ids
-the text with the larger md5 is first.  Other columns are ignored.  An empty
-table has no anchors and no rows.
+the one with the larger md5 of id and text is first.  Other columns are
+ignored.  An empty table has no anchors and no rows.
 """
 
 from __future__ import annotations
@@ -87,14 +87,15 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, h, text): h tells documents apart."""
     text = F.coalesce("text", F.lit(""))
-    return docs.select("doc_id", F.md5(text.cast("binary")).alias("h"), text.alias("text"))
+    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), text)
+    return docs.select("doc_id", F.md5(named.cast("binary")).alias("h"), text.alias("text"))
 
 
 def followers(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """(doc_id, h, to_id, to_h, to_chars): for every document the one before it
-    in descending order of (doc_id, h), with its length; before the first
-    stands the last.
+    """(h, to_h, to_chars): for every document the one before it in descending
+    order of (doc_id, h), with its length; before the first stands the last.
 
     Sorted slices are numbered each for itself; what stands before a slice's
     first row comes from a table of the slices' last rows.
@@ -112,8 +113,7 @@ def followers(spark: SparkSession, docs: DataFrame) -> DataFrame:
             Window.unboundedPreceding, Window.unboundedFollowing))).alias("end")), "ends")
     linked = sliced.withColumn("to", F.lag(row).over(Window.partitionBy("slice").orderBy(*order)))
     to = F.coalesce("to", "end")
-    return (linked.join(before, F.col("slice") == F.col("of"))
-            .select("doc_id", "h", to.doc_id.alias("to_id"), to.h.alias("to_h"), to.n.alias("to_chars")))
+    return linked.join(before, F.col("slice") == F.col("of")).select("h", to.h.alias("to_h"), to.n.alias("to_chars"))
 
 
 def edited(text: Column, head: Column) -> Column:
@@ -127,13 +127,13 @@ def with_next(spark: SparkSession, docs: DataFrame, anchors: list[str]) -> DataF
     the next one, a third of its own length, and the next one's fingerprint."""
     wanted = written(spark, followers(spark, docs), "followers")
     here = keyed(docs)
-    w = wanted.withColumnsRenamed({"doc_id": "w_id", "h": "w_h"})
-    sent = (here.join(w, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("h") == F.col("w_h")))
-            .select("to_id", "to_h", F.substring("text", F.lit(1), F.floor(F.col("to_chars") / 3).cast("int")).alias("head"),
-                    F.unhex(F.array_join(signatures(F.col("text"), anchors), "")).alias("next")))
-    once = sent.groupBy("to_id", "to_h").agg(F.first("head").alias("head"), F.first("next").alias("next"))
-    return (here.join(once, F.col("doc_id").eqNullSafe(F.col("to_id")) & (F.col("h") == F.col("to_h")))
-            .select("doc_id", "text", "head", F.regexp_extract_all(F.lower(F.hex("next")), F.lit(f".{{{SIGNATURE}}}"), F.lit(0)).alias("next")))
+    sent = here.join(wanted, "h").select(
+        F.col("to_h").alias("h"), F.substring("text", F.lit(1), F.floor(F.col("to_chars") / 3).cast("int")).alias("head"),
+        F.unhex(F.array_join(signatures(F.col("text"), anchors), "")).alias("next"))
+    # a repeated row sends the same more than once
+    once = sent.groupBy("h").agg(F.first("head").alias("head"), F.first("next").alias("next"))
+    return here.join(once, "h").select(
+        "doc_id", "text", "head", F.regexp_extract_all(F.lower(F.hex("next")), F.lit(f".{{{SIGNATURE}}}"), F.lit(0)).alias("next"))
 
 
 # --- near duplicates
@@ -201,7 +201,9 @@ def op13_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP13_SQL = r"""
-WITH d AS (SELECT DISTINCT doc_id, md5(coalesce(text, '')) AS h, coalesce(text, '') AS text FROM documents),
+WITH d AS (
+  SELECT DISTINCT doc_id, md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS h, coalesce(text, '') AS text
+  FROM documents),
 n AS (
   SELECT doc_id, h, text, coalesce(lead(text) OVER w, first_value(text) OVER w) AS next
   FROM d WINDOW w AS (ORDER BY doc_id DESC NULLS LAST, h DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),

@@ -50,7 +50,7 @@ def common(rows, n=64):
 
 def wanted(rows):
     anchors = set(common(rows))
-    docs = sorted({(d is not None, d or 0, hashlib.md5((t or "").encode()).hexdigest(), t or "") for d, t in rows}, reverse=True)
+    docs = sorted({(d is not None, d or 0, hashlib.md5(f"{'' if d is None else d}:{t or ''}".encode()).hexdigest(), t or "") for d, t in rows}, reverse=True)
     out = {}
     for i, (has, d, _, text) in enumerate(docs):
         after = docs[(i + 1) % len(docs)][3]
