@@ -33,6 +33,17 @@ def id_remainder(col: Column, m: int, null: int) -> Column:
     return F.coalesce(F.crc32(col.cast("string").cast("binary")) % m, F.lit(null))
 
 
+def fresh_names(df: DataFrame, *names: str) -> list[str]:
+    """Names for further columns that `df` has none of, in any case of letters."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"{name}_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """`df` as a table in the shared folder: cuts lineage, survives lost
     executors, and gives the planner its real size."""

@@ -1,19 +1,25 @@
 """Benchmark decontamination through a positional inverted index.
 
-DataFrame functions only.  The training texts are split into words; the index
-stores (term, document, position) of the terms that test phrases are looked up
-by, each lead posting with the few words around it.  A phrase (a window of an
-item) is found by its rarest terms, counted over the whole corpus: the lists
-of its rarest terms are shifted by the term's offset in the phrase, and a
-place that stands in all of them is a candidate.  A further list is used only
-while it is not much longer than the rarest, so that a common word never
-blows up the intersection; the words around the rarest posting then decide
-exactly, whatever lists were used.
+DataFrame functions only.  The training texts are split into words once; the
+index stores (term, document, position) of the terms that test phrases are
+looked up by, each posting with as many words around it as the phrases of its
+term reach.  A phrase (a window of an item) is looked up by its rarest term,
+counted over the whole corpus, and then by its second rarest: the list of the
+one, shifted by the offset between the two in the phrase, is intersected with
+the list of the other by an equi-join on (term, offset, the term that stands
+there), so that a term which leads many phrases meets each of its postings
+once an offset, not once a phrase.  What both terms agree on is read off the
+posting and joined with the phrases themselves.  A proximity match is a place
+of the rarest term with all words of the phrase, as often as it holds them,
+within `slop` words, in any order; it is looked up by the second term too.
 
 Term tables are written first, so the planner knows their size: small ones are
 broadcast below spark.sql.autoBroadcastJoinThreshold, others are joined by a
-shuffle.  Postings, candidates and hits are spread by document and position,
-so neither a hot phrase nor a hot term gathers in one task.
+shuffle.  Before that join, tokens pass a table of term hashes that has at most
+TERM_BUCKETS rows whatever the terms are, and only then are the words around
+them cut out: whole texts are never shuffled.  Postings, candidates and hits
+are spread by document and position, so neither a hot phrase nor a hot term
+gathers in one task.
 
 Defined cases: null texts have no words.  Rows are told apart by doc_id and
 text, so rows with equal ids and other texts keep their own results, and
@@ -26,40 +32,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casefile.llm.common import table, written
+from casefile.llm.common import fresh_names, table, written
 
 #: Everything that is no word character: A-Z are words too before lower-casing.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WINDOW = 10
-#: Lists intersected for a phrase at most, and how much longer than the rarest.
-LISTS, LONGER = 2, 4
 #: How far from its rarest term a phrase's other terms may stand in a proximity match.
 SLOP = WINDOW - 1
+#: Rows of the table that tokens are filtered with before any term table.
+TERM_BUCKETS = 1 << 16
 
 
 def fold(word: Column) -> Column:
-    """A-Z lower-cased; `lower` does that on words that are all ASCII."""
+    """A-Z lower-cased; `lower` does that on text that is all ASCII."""
     return F.when(F.octet_length(word) == F.char_length(word), F.lower(word)).otherwise(F.translate(word, UPPER, LOWER))
 
 
-def split_words(text: Column) -> Column:
-    """Words as written; only the first and the last may be empty."""
-    return F.split(F.coalesce(text, F.lit("")), SEPARATORS, -1)
-
-
-def n_words(text: Column) -> Column:
-    # every separator run stands between two parts, so empty ends are the only empty parts
-    w = split_words(text)
-    return F.size(F.filter(w, lambda x: x != "")).cast("long")
-
-
 def word_list(text: Column) -> Column:
-    return F.transform(F.filter(split_words(text), lambda x: x != ""), fold)
+    # only the first and the last part may be empty
+    return F.filter(F.split(fold(F.coalesce(text, F.lit(""))), SEPARATORS, -1), lambda x: x != "")
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.xxhash64("text").alias("h"), "text")
+def tokenized(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """(doc_id, h, words) of every row, written: texts are split once."""
+    return written(spark, docs.select("doc_id", F.xxhash64("text").alias("h"), word_list(F.col("text")).alias("words")), "words")
 
 
 def item_phrases(items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -70,158 +67,156 @@ def item_phrases(items: DataFrame, window: int = WINDOW) -> DataFrame:
             .select("item_id", F.array_join(F.slice("w", F.col("i"), F.lit(window)), " ").alias("phrase")).distinct())
 
 
-def tokens(docs: DataFrame) -> DataFrame:
-    """(doc_id, h, words, pos, term) of every word."""
-    split = keyed(docs).select("doc_id", "h", split_words(F.col("text")).alias("words"))
-    return (split.select("doc_id", "h", "words", F.posexplode("words").alias("pos", "word"))
-            .filter(F.col("word") != "").withColumn("term", fold(F.col("word"))))
-
-
-def frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """(term, n): how often each of `terms` stands in all texts."""
-    return tokens(docs).select("term").join(terms, "term").groupBy("term").agg(F.count("*").alias("n"))
-
-
 def numbered(spark: SparkSession, phrases: DataFrame) -> DataFrame:
     """(phrase_id, phrase), written, so that the numbers stay."""
     return written(spark, phrases.select(F.monotonically_increasing_id().alias("phrase_id"), "phrase"), "numbered")
 
 
-def lookups(spark: SparkSession, docs: DataFrame, phrases: DataFrame, lists: int = LISTS,
-            longer: int = LONGER) -> DataFrame:
-    """(phrase_id, phrase, size, n_lists, rank, term, offset): the terms each of
-    the numbered phrases is looked up by, the rarest first.  Phrases with a
-    term that stands nowhere cannot occur and are left out."""
-    words = phrases.select("phrase_id", "phrase", F.split("phrase", " ").alias("w"))
-    terms = written(spark, words.select(F.explode("w").alias("term")).distinct(), "terms")
-    known = written(spark, frequencies(docs, terms), "frequencies")
-    at = words.select("phrase_id", "phrase", F.posexplode("w").alias("offset", "term")).join(known, "term")
-    # a term that a phrase holds more than once is looked up at its first place
-    once = at.groupBy("phrase_id", "phrase", "term", "n").agg(F.min("offset").alias("offset"), F.count("*").alias("times"))
+def frequencies(words: DataFrame, terms: DataFrame) -> DataFrame:
+    """(term, n): how often each of `terms` stands in all texts."""
+    return words.select(F.explode("words").alias("term")).join(terms, "term").groupBy("term").agg(F.count("*").alias("n"))
+
+
+def lookups(spark: SparkSession, words: DataFrame, phrases: DataFrame) -> DataFrame:
+    """(phrase_id, phrase, size, lead, at, second, apart): each numbered phrase
+    with its rarest term, that term's first place in it, the second rarest and
+    how far behind the first it stands (the rarest itself if there is no
+    other).  Phrases with a term that stands nowhere cannot occur and are left out."""
+    split = phrases.select("phrase_id", "phrase", F.split("phrase", " ").alias("w"))
+    terms = written(spark, split.select(F.explode("w").alias("term")).distinct(), "terms")
+    known = written(spark, frequencies(words, terms), "frequencies")
+    placed = split.select("phrase_id", "phrase", F.posexplode("w").alias("offset", "term")).join(known, "term")
+    once = placed.groupBy("phrase_id", "phrase", "term", "n").agg(F.min("offset").alias("offset"), F.count("*").alias("times"))
     order = F.sort_array(F.collect_list(F.struct("n", "offset", "term")))  # at most a window's words
     size = F.size(F.split("phrase", " "))
     ranked = (once.groupBy("phrase_id", "phrase").agg(order.alias("t"), F.sum("times").alias("found"))
               .filter(F.col("found") == size))
-    used = F.filter(F.slice("t", 1, lists), lambda x: x.n <= longer * F.col("t")[0].n)
-    return (ranked.select("phrase_id", "phrase", size.alias("size"), used.alias("u"))
-            .select("phrase_id", "phrase", "size", F.size("u").alias("n_lists"), F.posexplode("u").alias("rank", "x"))
-            .select("phrase_id", "phrase", "size", "n_lists", "rank", "x.term", "x.offset"))
-
+    first, second = F.get("t", F.lit(0)), F.coalesce(F.get("t", F.lit(1)), F.get("t", F.lit(0)))
+    return ranked.select("phrase_id", "phrase", size.alias("size"), first.term.alias("lead"), first.offset.alias("at"),
+                         second.term.alias("second"), (second.offset - first.offset).alias("apart"))
 
-def build_index(docs: DataFrame, terms: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The postings of `terms` (term, lead): (term, doc_id, h, pos, first,
-    around).  Terms that lead a phrase carry the words around them, space-joined,
-    from word number `first` on."""
-    t = tokens(docs).join(terms, "term")
-    first = F.greatest(F.col("pos") - (window - 1), F.lit(0))
-    around = fold(F.array_join(F.slice("words", first + 1, F.lit(2 * window - 1)), " "))
-    return t.select("term", "doc_id", "h", "pos", first.alias("first"), F.when(F.col("lead"), around).alias("around"))
 
+def _bucket(term: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets))
 
-def phrase_matches(index: DataFrame, looked_up: DataFrame) -> DataFrame:
-    """(phrase_id, size, doc_id, h, start): every place of every phrase."""
-    start = F.col("pos") - F.col("offset")
-    here = F.slice(F.split("around", " "), F.greatest(start - F.col("first") + 1, F.lit(1)), F.col("size"))
-    exact = (F.col("rank") == 0) & (F.array_join(here, " ") == F.col("phrase"))
-    moved = (index.join(looked_up, "term")
-             .select("phrase_id", "size", "n_lists", "rank", "doc_id", "h", start.alias("start"), exact.alias("exact"))
-             .filter("start >= 0"))
-    # one place in all lists of the phrase; repeated rows give it more than once
-    return (moved.groupBy("phrase_id", "size", "n_lists", "doc_id", "h", "start")
-            .agg(F.bit_or(F.expr("shiftleft(1, rank)")).alias("lists"), F.max("exact").alias("exact"))
-            .filter("exact and lists = shiftleft(1, n_lists) - 1").select("phrase_id", "size", "doc_id", "h", "start"))
-
-
-def proximity_matches(index: DataFrame, looked_up: DataFrame, slop: int, window: int = WINDOW) -> DataFrame:
-    """(phrase_id, doc_id, h, pos): places of a phrase's rarest term that have all
-    its other terms within `slop` words, in any order.
 
-    The words around a lead posting decide, so every term of the phrase counts,
-    whatever lists it is looked up by.  They reach window - 1 words, the
-    `window` the index was built with; a wider `slop` needs a wider one.
-    """
-    if not 0 <= slop < window:
-        raise ValueError(f"slop {slop} is not within the {window - 1} words that the index holds around a place")
-    before = F.least(F.col("pos") - F.col("first"), F.lit(slop))
-    near = F.slice(F.split("around", " "), F.col("pos") - F.col("first") - before + 1, before + slop + 1)
-    return (index.join(looked_up.filter("rank = 0").select("phrase_id", "phrase", "term"), "term")
-            .filter(F.size(F.array_except(F.split("phrase", " "), near)) == 0)
-            .select("phrase_id", "doc_id", "h", "pos"))
+def build_index(words: DataFrame, looked_up: DataFrame, slop: int | None = None) -> DataFrame:
+    """The postings of the lead terms: (term, doc_id, h, pos, first, around).
+    `around` holds the words from number `first` on, space-joined, as far as
+    the term's phrases reach, or `slop` words to both sides if it leads one of
+    several words."""
+    reach = lambda c: c if slop is None else F.greatest(c, F.when(F.col("size") > 1, slop).otherwise(0))
+    terms = looked_up.groupBy(F.col("lead").alias("term")).agg(
+        F.max(reach(F.col("at"))).alias("before"), F.max(reach(F.col("size") - 1 - F.col("at"))).alias("after"))
+    # at most TERM_BUCKETS rows of three numbers: a proven bound
+    hashes = terms.groupBy(_bucket(F.col("term"), TERM_BUCKETS).alias("bucket")).agg(
+        F.max("before").alias("before"), F.max("after").alias("after"))
+    tokens = words.select("doc_id", "h", "words", F.posexplode("words").alias("pos", "term"))
+    first = F.greatest(F.col("pos") - F.col("before"), F.lit(0))
+    cut = (tokens.withColumn("bucket", _bucket(F.col("term"), TERM_BUCKETS)).join(F.broadcast(hashes), "bucket")
+           .select("term", "doc_id", "h", "pos", first.alias("first"),
+                   F.array_join(F.slice("words", first + 1, F.col("pos") - first + F.col("after") + 1), " ").alias("around")))
+    return cut.join(terms.select("term"), "term")
 
 
-def indexed(spark: SparkSession, docs: DataFrame, phrases: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """The index of `docs` for the numbered phrases, and their lookups."""
-    looked_up = written(spark, lookups(spark, docs, phrases), "lookups")
-    terms = written(spark, looked_up.groupBy("term").agg(F.max(F.col("rank") == 0).alias("lead")), "index-terms")
-    return written(spark, build_index(docs, terms, window), "postings"), looked_up
+def _part(around: Column, start: Column, size: Column) -> Column:
+    return F.slice(F.split(around, " "), start + 1, size)
 
 
-def search(spark: SparkSession, docs: DataFrame, phrases: DataFrame) -> DataFrame:
-    """Every place of every numbered phrase in `docs`, as `phrase_matches`."""
-    return phrase_matches(*indexed(spark, docs, phrases))
-
-
-def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, h, n_hit, n_items, item_list) of the documents with a hit."""
+def phrase_matches(index: DataFrame, looked_up: DataFrame) -> DataFrame:
+    """(phrase_id, size, doc_id, h, start): every place of every phrase."""
+    # at most as many offsets and shapes a term as fit a window
+    offsets = looked_up.groupBy(F.col("lead").alias("term")).agg(F.collect_set("apart").alias("offsets"))
+    shapes = looked_up.groupBy(F.col("lead").alias("term"), "apart", "second").agg(
+        F.collect_set(F.struct("at", "size")).alias("shapes"))
+    here = F.col("pos") - F.col("first")
+    beside = (index.join(offsets, "term").withColumn("apart", F.explode("offsets")).filter(here + F.col("apart") >= 0)
+              .withColumn("second", F.get(F.split("around", " "), here + F.col("apart"))).drop("offsets"))
+    both = (beside.join(shapes, ["term", "apart", "second"]).withColumn("shape", F.explode("shapes"))
+            .select("doc_id", "h", "pos", "first", "around", F.col("shape.at").alias("at"), F.col("shape.size").alias("size"))
+            .filter(here >= F.col("at")))
+    read = both.select("doc_id", "h", (F.col("pos") - F.col("at")).alias("start"), "at",
+                       F.array_join(_part(F.col("around"), here - F.col("at"), F.col("size")), " ").alias("phrase"))
+    return (read.join(looked_up.select("phrase_id", "phrase", "size", "at"), ["phrase", "at"])
+            .select("phrase_id", "size", "doc_id", "h", "start").distinct())  # repeated rows give a place more than once
+
+
+def proximity_matches(index: DataFrame, looked_up: DataFrame, slop: int) -> DataFrame:
+    """(phrase_id, doc_id, h, pos): places of a phrase's rarest term that have all
+    its words, as often as it holds them, within `slop` words, in any order.
+    The index must have been built with this `slop` or a wider one."""
+    # which second terms a lead has, as a set of hashes: a bounded filter
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(t), F.lit(64)).cast("int"))
+    leads = looked_up.groupBy(F.col("lead").alias("term")).agg(F.bit_or(bit(F.col("second"))).alias("seconds"))
+    here = F.col("pos") - F.col("first")
+    before = F.least(here, F.lit(slop))
+    near = index.join(leads, "term").select(
+        "term", "doc_id", "h", "pos", "seconds",
+        F.array_join(_part(F.col("around"), here - before, before + slop + 1), " ").alias("near"))
+    beside = (near.withColumn("second", F.explode(F.array_distinct(F.split("near", " "))))
+              .filter(F.col("seconds").bitwiseAND(bit(F.col("second"))) != 0))
+    phrase, around = F.split("phrase", " "), F.split("near", " ")
+    often = lambda words, w: F.size(F.filter(words, lambda x: x == w))
+    return (beside.join(looked_up.select("phrase_id", "phrase", F.col("lead").alias("term"), "second"), ["term", "second"])
+            .filter(F.forall(F.array_distinct(phrase), lambda w: often(around, w) >= often(phrase, w)))
+            .select("phrase_id", "doc_id", "h", "pos").distinct())
+
+
+def _items_of(found: DataFrame, of_item: DataFrame, name: str) -> DataFrame:
+    """(doc_id, h, name): the ids of the items that each document has phrases of."""
+    ids = found.select("doc_id", "h", "phrase_id").distinct().join(of_item, "phrase_id")
+    return (ids.select("doc_id", "h", F.col("item_id").cast("string").alias("item")).distinct()
+            .groupBy("doc_id", "h").agg(F.sort_array(F.collect_list("item")).alias(name)))  # at most the benchmark's
+
+
+def _both(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """A join on doc_id and h that keeps null ids together."""
+    r = right.withColumnsRenamed({"doc_id": "r_id", "h": "r_h"})
+    same = F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("h") == F.col("r_h"))
+    return left.join(r, same, how).drop("r_id", "r_h")
+
+
+def contamination(spark: SparkSession, words: DataFrame, items: DataFrame, window: int = WINDOW,
+                  slop: int | None = None) -> DataFrame:
+    """(doc_id, h, n_hit, item_list) of the tokenized documents with a hit; with
+    `slop` also (n_near, near_list), of those with a place near a phrase."""
     windows = written(spark, item_phrases(items.select("item_id", "text"), window), "phrases")
     phrases = numbered(spark, windows.select("phrase").distinct())
     of_item = written(spark, windows.join(phrases, "phrase").select("phrase_id", "item_id"), "items")
-    found = written(spark, search(spark, docs, phrases), "matches")
+    looked_up = written(spark, lookups(spark, words, phrases), "lookups")
+    index = written(spark, build_index(words, looked_up, slop), "postings")
+    found = written(spark, phrase_matches(index, looked_up), "matches")
     last = F.col("start") + F.col("size") - 1
-    words = (found.select("doc_id", "h", F.explode(F.sequence("start", last)).alias("p")).distinct()
-             .groupBy("doc_id", "h").agg(F.count("*").alias("n_hit")))
-    # a document's items are at most the benchmark's
-    listed = (found.select("doc_id", "h", "phrase_id").distinct().join(of_item, "phrase_id")
-              .select(F.col("doc_id").alias("i_id"), F.col("h").alias("i_h"), F.col("item_id").cast("string").alias("item"))
-              .distinct().groupBy("i_id", "i_h").agg(F.sort_array(F.collect_list("item")).alias("item_list")))
-    return (words.join(listed, F.col("doc_id").eqNullSafe(F.col("i_id")) & (F.col("h") == F.col("i_h")))
-            .select("doc_id", "h", "n_hit", F.size("item_list").cast("long").alias("n_items"), "item_list"))
-
-
-def near_items(spark: SparkSession, docs: DataFrame, items: DataFrame, slop: int = SLOP, window: int = WINDOW) -> DataFrame:
-    """(doc_id, h, n_near, n_items): the places of a document that are near a
-    window of an item, and the items they belong to."""
-    windows = written(spark, item_phrases(items.select("item_id", "text"), window), "phrases")
-    phrases = numbered(spark, windows.select("phrase").distinct())
-    of_item = written(spark, windows.join(phrases, "phrase").select("phrase_id", "item_id"), "items")
-    reach = max(window, slop + 1)
-    found = written(spark, proximity_matches(*indexed(spark, docs, phrases, reach), slop, reach), "near")
-    places = found.select("doc_id", "h", "pos").distinct().groupBy("doc_id", "h").agg(F.count("*").alias("n_near"))
-    listed = (found.select("doc_id", "h", "phrase_id").distinct().join(of_item, "phrase_id")
-              .select(F.col("doc_id").alias("i_id"), F.col("h").alias("i_h"), "item_id").distinct()
-              .groupBy("i_id", "i_h").agg(F.count("item_id").alias("n_items")))
-    return (places.join(listed, F.col("doc_id").eqNullSafe(F.col("i_id")) & (F.col("h") == F.col("i_h")))
-            .select("doc_id", "h", "n_near", "n_items"))
+    hit = (found.select("doc_id", "h", F.explode(F.sequence("start", last)).alias("p")).distinct()
+           .groupBy("doc_id", "h").agg(F.count("*").alias("n_hit")))
+    out = _both(hit, _items_of(found, of_item, "item_list"), "inner")
+    if slop is None:
+        return out
+    near = written(spark, proximity_matches(index, looked_up, slop), "near")
+    places = near.select("doc_id", "h", "pos").distinct().groupBy("doc_id", "h").agg(F.count("*").alias("n_near"))
+    # a phrase of one window lies near its rarest term, so every hit is near
+    return _both(_both(places, _items_of(near, of_item, "near_list"), "inner"), out, "left")
 
 
 def clean(spark: SparkSession, docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of `docs` without a hit, as they are."""
-    dirty = contamination(spark, docs.select("doc_id", "text"), items, window).select(
-        F.col("doc_id").alias("_d_id"), F.col("h").alias("_d_h"))
-    same = F.col("doc_id").eqNullSafe(F.col("_d_id")) & (F.xxhash64("text") == F.col("_d_h"))
+    d_id, d_h = fresh_names(docs, "doc_id", "h")
+    dirty = contamination(spark, tokenized(spark, docs), items, window).select(
+        F.col("doc_id").alias(d_id), F.col("h").alias(d_h))
+    same = F.col("doc_id").eqNullSafe(F.col(d_id)) & (F.xxhash64("text") == F.col(d_h))
     return docs.join(written(spark, dirty, "dirty"), same, "left_anti")
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    dirty = contamination(spark, docs, table(spark, sf_dir, "benchmark"))
-    dirty = dirty.withColumnsRenamed({"doc_id": "d_id", "h": "d_h"})
-    every = keyed(docs).select("doc_id", "h", n_words(F.col("text")).alias("n_words"))
-    items = F.array_join(F.coalesce("item_list", F.array().cast("array<string>")), ",")
-    return (every.join(dirty, F.col("doc_id").eqNullSafe(F.col("d_id")) & (F.col("h") == F.col("d_h")), "left")
-            .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
-                    F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
-                    F.sha2(items.cast("binary"), 256).alias("items_sha256"),
-                    F.col("n_hit").isNotNull().alias("contaminated")))
-
-
-def op7_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of every document: places near a benchmark window, and items they belong to."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    near = near_items(spark, docs, table(spark, sf_dir, "benchmark")).withColumnsRenamed({"doc_id": "d_id", "h": "d_h"})
-    return (keyed(docs).select("doc_id", "h")
-            .join(near, F.col("doc_id").eqNullSafe(F.col("d_id")) & (F.col("h") == F.col("d_h")), "left")
-            .select("doc_id", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.coalesce("n_items", F.lit(0)).alias("n_items")))
+    words = tokenized(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
+    dirty = contamination(spark, words, table(spark, sf_dir, "benchmark"), slop=SLOP)
+    none = F.array().cast("array<string>")
+    items, near = F.coalesce("item_list", none), F.coalesce("near_list", none)
+    return (_both(words.select("doc_id", "h", F.size("words").cast("long").alias("n_words")), dirty, "left")
+            .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.size(items).cast("long").alias("n_items"),
+                    F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
+                    F.col("n_hit").isNotNull().alias("contaminated"),
+                    F.coalesce("n_near", F.lit(0)).alias("n_near"), F.size(near).cast("long").alias("n_near_items")))
 
 
 OP7_SQL = r"""
@@ -241,10 +236,26 @@ place AS (
   FROM d, (SELECT DISTINCT k FROM win) AS v, unnest(range(1, len(w) - k + 2)) AS r(i)),
 hit AS (SELECT doc_id, item_id, k, i FROM place JOIN win USING (phrase, k)),
 n AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hit) GROUP BY doc_id),
+freq AS (SELECT term, count(*) AS n FROM (SELECT unnest(w) AS term FROM d) GROUP BY term),
+-- the rarest word of a window, of equally rare ones the first; a word that no text has rules the window out
+led AS (
+  SELECT phrase, arg_min(p.term, {'n': n, 'i': i}) AS term
+  FROM (SELECT phrase, unnest(string_split(phrase, ' ')) AS term, generate_subscripts(string_split(phrase, ' '), 1) AS i
+        FROM (SELECT DISTINCT phrase FROM win)) p LEFT JOIN freq USING (term)
+  GROUP BY phrase HAVING count(*) = count(n)),
+led_items AS (SELECT led.term, phrase, item_id FROM led JOIN win USING (phrase)),
+near AS (
+  SELECT doc_id, i, item_id
+  FROM (SELECT doc_id, i, w[i] AS term, list_slice(w, greatest(1, i - 9), i + 9) AS near FROM d, unnest(range(1, len(w) + 1)) AS r(i))
+  JOIN led_items USING (term)
+  WHERE len(list_filter(list_distinct(string_split(phrase, ' ')), lambda x:
+      len(list_filter(near, lambda y: y = x)) < len(list_filter(string_split(phrase, ' '), lambda z: z = x)))) = 0),
+nn AS (SELECT doc_id, count(DISTINCT i) AS n_near, count(DISTINCT item_id) AS n_near_items FROM near GROUP BY doc_id),
 it AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
   FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
-FROM d LEFT JOIN n USING (doc_id) LEFT JOIN it USING (doc_id)
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated,
+       coalesce(n_near, 0)::BIGINT AS n_near, coalesce(n_near_items, 0)::BIGINT AS n_near_items
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN it USING (doc_id) LEFT JOIN nn USING (doc_id)
 """

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casefile.llm.common import small_batches, strings, table
+from casefile.llm.common import fresh_names, small_batches, strings, table
 
 SPACE, SYMBOLS = " \t\n\x0b\x0c\r", "#*$%&|<>"
 #: Words in one numpy pass; a longer text is a pass of its own.
@@ -180,13 +180,14 @@ def repetition(df: DataFrame, text: str = "text", out: str = "repetition", rules
             yield pa.StructArray.from_arrays([pa.array(c) for c in rows.T.copy()], names=COLUMNS)
 
     small_batches(df.sparkSession)
-    m = F.col("_measures")
+    _, held = fresh_names(df, out, "measures")
+    m = F.col(held)
     failed = (m.n_words < rules.min_words) | (100 * m.n_repeat_words > rules.max_window_percent * m.n_words)
     good = (100 * m.n_covered <= rules.max_covered_percent * m.n_words) & (m.longest_repeat <= rules.max_repeat)
     fields = [m[c].alias(c) for c in COLUMNS]
-    return (df.withColumn("_measures", measured.asNondeterministic()(F.col(text)))
+    return (df.withColumn(held, measured.asNondeterministic()(F.col(text)))
             .withColumn(out, F.struct(*fields, failed.alias("base_failed"), (~failed & good).alias("kept")))
-            .drop("_measures"))
+            .drop(held))
 
 
 def op5_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import types as T
@@ -42,7 +43,8 @@ def frames(spark, docs, items):
 
 
 def run(spark, docs, items, window=10):
-    got = P.contamination(spark, *frames(spark, docs, items), window=window).collect()
+    d, i = frames(spark, docs, items)
+    got = P.contamination(spark, P.tokenized(spark, d), i, window=window).collect()
     return sorted(((r["doc_id"], r["n_hit"], tuple(r["item_list"])) for r in got), key=str)
 
 
@@ -68,50 +70,72 @@ def test_defined_cases(spark):
     assert run(spark, docs, []) == [] and run(spark, [], items) == []
 
 
-def test_proximity(spark):
-    rng = random.Random(4)
-    docs = [(i, " ".join(rng.choices(["aa", "bb", "cc", "dd", "ee", "ff", "gg"], k=40))) for i in range(40)]
-    d, items = frames(spark, docs, [(1, "aa bb cc")])
-    phrases = P.numbered(spark, P.item_phrases(items.select("item_id", "text")).select("phrase"))
-    looked_up = P.written(spark, P.lookups(spark, d, phrases, lists=3, longer=100), "test")
-    terms = looked_up.groupBy("term").agg(P.F.max(P.F.col("rank") == 0).alias("lead"))
-    got = {(r["doc_id"], r["pos"]) for r in P.proximity_matches(P.build_index(d, terms), looked_up, 3).collect()}
-    lead = looked_up.filter("rank = 0").first()["term"]
-    near = lambda w, p, t: any(w[q] == t for q in range(max(0, p - 3), min(len(w), p + 4)))
-    want = {(i, p) for i, t in docs for p, x in enumerate(t.split()) if x == lead
-            and all(near(t.split(), p, y) for y in ("aa", "bb", "cc"))}
-    assert got == want and want
-
-
-@pytest.mark.parametrize("slop", [2, P.SLOP, 14])
-def test_proximity_of_all_terms_at_production_defaults(spark, slop):
-    rng = random.Random(slop)
-    common, rare = ["the", "of", "and", "to", "in"], ["k1", "k2", "k3", "k4", "k5", "k6"]
-    docs = [(i, rng.choice(["", "- "]) + " ".join(rng.choices(common + rare, [6] * 5 + [1] * 6, k=60))) for i in range(80)]
-    docs += [(200, "of k9 the"), (200, "of k9 the"), (201, "k9 k1"), (None, "the k9 of"), (202, None)]
-    items = [(1, "the k1 of and"), (2, "k9 the of"), (3, "to in the of"), (4, "k2 nowhere"), (None, "the k3")]
-    d, i = frames(spark, docs, items)
-    got = {(r["doc_id"], r["n_near"], r["n_items"]) for r in P.near_items(spark, d, i, slop).collect()}
-    every = {t: sum(words(x).count(t) for _, x in docs) for t in {w for _, x in docs for w in words(x)}}
-    want = set()
+def near(docs, items, slop, n=10):
+    """(doc_id, text, places, items): all words of a window, as often as it
+    holds them, within slop words of its rarest one."""
+    every = Counter(w for _, x in docs for w in words(x))
+    phrases = {(item_id, tuple(v[i:i + n])) for item_id, x in items for v in [words(x)] for i in range(max(1, len(v) - n + 1) if v else 0)}
+    out = set()
     for doc_id, text in docs:
         w, places, found = words(text), set(), set()
-        for item_id, item in items:
-            v = words(item)
+        for item_id, v in phrases:
             if all(t in every for t in v):
                 lead = min(v, key=lambda t: (every[t], v.index(t)))
                 for p, x in enumerate(w):
-                    if x == lead and set(v) <= set(w[max(0, p - slop):p + slop + 1]):
+                    if x == lead and not Counter(v) - Counter(w[max(0, p - slop):p + slop + 1]):
                         places.add(p)
                         found.add(item_id)
         if places:
-            want.add((doc_id, len(places), len(found - {None})))
-    assert got == want and {(200, 1, 1), (None, 1, 1)} <= got and 201 not in {x[0] for x in got}
+            out.add((doc_id, len(places), tuple(sorted(str(i) for i in found if i is not None))))
+    return out
 
 
-def test_proximity_query(spark, sf_small):
-    near = {r["doc_id"]: r for r in P.op7_proximity(spark, sf_small).collect()}
-    exact = P.op7_decontamination(spark, sf_small).collect()
-    assert len(near) == len(exact) and any(r["contaminated"] for r in exact)
-    # a window's words stand within SLOP words of each other
-    assert all(near[r["doc_id"]]["n_items"] >= r["n_items"] for r in exact)
+@pytest.mark.parametrize("slop", [2, P.SLOP, 14])
+def test_proximity_of_all_words(spark, slop):
+    rng = random.Random(slop)
+    common, rare = ["the", "of", "and", "to", "in"], ["k1", "k2", "k3", "k4", "k5", "k6"]
+    docs = [(i, rng.choice(["", "- "]) + " ".join(rng.choices(common + rare, [6] * 5 + [1] * 6, k=60))) for i in range(80)]
+    docs += [(200, "of k9 the"), (200, "of k9 the"), (201, "k9 k1"), (None, "the k9 of"), (202, None)]
+    items = [(1, "the k1 of and"), (2, "k9 the of"), (3, "to in the of"), (4, "k2 nowhere"), (None, "the k3"), (5, "k4 k4 the the"),
+             (6, "k5"), (7, "k6 k6"), (8, "of the the k1 of k2 and to k3 in k1 the")]
+    d, i = frames(spark, docs, items)
+    rows = P.contamination(spark, P.tokenized(spark, d), i, slop=slop).collect()
+    got = {(r["doc_id"], r["n_near"], tuple(r["near_list"])) for r in rows}
+    want = near(docs, items, slop)
+    assert got == want and {(200, 1, ("2",)), (None, 1, ("2",))} <= got and 201 not in {x[0] for x in got}
+    if slop >= P.SLOP:  # every hit is near
+        assert {(r["doc_id"], r["n_hit"], tuple(r["item_list"])) for r in rows if r["n_hit"]} == set(brute(docs, items))
+
+
+def test_frequent_words_lead_many_phrases(spark):
+    """One word leads every window; its second word and offset tell them apart."""
+    rng = random.Random(5)
+    docs = [(i, " ".join(rng.choices(["a", "b", "c"], k=80))) for i in range(30)]
+    items = [(i, " ".join(rng.choices(["a", "b", "c"], k=rng.choice([1, 2, 3, 5, 9])))) for i in range(60)]
+    assert run(spark, docs, items, 4) == brute(docs, items, 4)
+
+
+def test_no_text_is_shuffled_where_terms_are_many(spark):
+    """Without broadcasts of term tables exchanges carry strings and numbers only."""
+    rng = random.Random(6)
+    docs = [(i, " ".join(rng.choices([f"w{k}" for k in range(40)], k=100))) for i in range(30)]
+    items = [(i, docs[i][1][:60]) for i in range(5)]
+    d, i = frames(spark, docs, items)
+    words_ = P.tokenized(spark, d)
+    windows = P.item_phrases(i.select("item_id", "text"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        looked_up = P.written(spark, P.lookups(spark, words_, P.numbered(spark, windows.select("phrase").distinct())), "test")
+        index = P.build_index(words_, looked_up, P.SLOP)
+        plan = index._sc._jvm.PythonSQLUtils.explainString(index._jdf.queryExecution(), "formatted")
+        sizes = [x for x in re.findall(r"Exchange\n(?:Input|Output)[^\[]*\[([^\]]*)", plan)]
+        assert sizes and not any("words" in x for x in sizes)
+        assert run(spark, docs, items) == brute(docs, items)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_no_column_name_clashes(spark):
+    docs = spark.createDataFrame([(1, "alpha beta", "x", 2, 3), (2, "gamma", "y", 4, 5)], "doc_id long, text string, h string, doc_id_ long, H_ long")
+    items = spark.createDataFrame([(1, "alpha beta")], "item_id long, text string")
+    assert [tuple(r) for r in P.clean(spark, docs, items).collect()] == [(2, "gamma", "y", 4, 5)]
