@@ -6,9 +6,12 @@ fitting rule decides.  URLs that a rule decides are the labelled ones: boosted
 trees are trained on a bounded sample of the distinct ones, each weighing as
 many rows as it has, on lexical features: lengths, depth, digit ratios,
 entropy, parameter counts and what the labelled URLs say about the host's
-suffix.  Suffix statistics come from all labelled URLs, in
-`SUFFIX_BUCKETS` hashed buckets, so the table broadcast with them is bounded
-whatever the hosts are.
+suffix.  Suffix statistics come from all URLs, in `SUFFIX_BUCKETS` hashed
+buckets and FOLDS parts of the hosts, so the table broadcast with them is
+bounded whatever the hosts are.  A labelled URL is described by the hosts of
+the other parts alone, so its own label does not tell on it; URLs that no rule
+decides count half for either verdict, so a suffix that rules judge in part is
+drawn to the middle by the rest of it.
 
 Defined cases: a null URL, or one without `://`, has an empty host and path,
 meets no rule and is judged by its features.  Without labelled URLs of both
@@ -32,7 +35,7 @@ from casefile.llm.common import table, written
 #: verdict, host, path (fixed values of the contract)
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
          ("block", "net", "/es/"), ("block", "net", "/fr/"))
-SUFFIX_BUCKETS = 4096
+SUFFIX_BUCKETS, FOLDS = 4096, 4
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -84,7 +87,7 @@ FEATURES = ("url_chars", "host_chars", "path_chars", "depth", "host_labels", "di
 
 
 def lexical(urls: DataFrame, suffixes: DataFrame) -> DataFrame:
-    """`urls` (url, host, path, ...) with FEATURES."""
+    """`urls` (url, host, path, rule, ...) with FEATURES."""
     url, host, path = F.col("url"), F.col("host"), F.col("path")
     chars = F.greatest(F.char_length(url), F.lit(1))
     query = F.regexp_extract(url, r"\?([^#]*)", 1)
@@ -95,16 +98,26 @@ def lexical(urls: DataFrame, suffixes: DataFrame) -> DataFrame:
         "parameters": F.when(query == "", 0).otherwise(1 + _count(query, "&;")), "escapes": _count(url, "%"),
         "hyphens": _count(url, "_-"), "fragment": url.contains("#").cast("int"), "secure": url.startswith("https").cast("int"),
     }
-    # at most SUFFIX_BUCKETS rows of three numbers: a proven bound
+    # at most SUFFIX_BUCKETS rows of FOLDS pairs of numbers: a proven bound
     joined = urls.withColumn("bucket", suffix_bucket(host)).join(F.broadcast(suffixes), "bucket", "left")
-    # of both kinds alike, so that a suffix without labelled URLs says nothing
-    own["suffix_blocked"] = F.coalesce((F.col("blocked") + 1) / (F.col("blocked") + F.col("allowed") + 2), F.lit(0.5))
+    # a labelled URL leaves its own fold out; a suffix without URLs says nothing
+    fold = F.when(F.col("rule").isNotNull(), host_fold(host)).otherwise(-1)
+    total = lambda k: F.aggregate(F.col("folds"), F.lit(0.0), lambda t, x: t + F.when(x.fold == fold, 0.0).otherwise(x[k]))
+    own["suffix_blocked"] = F.coalesce((total("blocked") + 1) / (total("urls") + 2), F.lit(0.5))
     return joined.select(*urls.columns, *[c.cast("double").alias(k) for k, c in own.items()])
 
 
-def suffix_statistics(labelled: DataFrame) -> DataFrame:
-    return (labelled.groupBy(suffix_bucket(F.col("host")).alias("bucket"))
-            .agg(F.sum(1 - F.col("label")).alias("allowed"), F.sum("label").alias("blocked")))
+def host_fold(host: Column) -> Column:
+    return F.pmod(F.xxhash64(host, F.lit(5)), F.lit(FOLDS))
+
+
+def suffix_statistics(ruled: DataFrame) -> DataFrame:
+    """(bucket, folds): of each part of a bucket's hosts its URLs and how many of
+    them are blocked; one that no rule decides counts half."""
+    blocked = F.when(F.col("rule").isNull(), 0.5).otherwise((F.col("rule.verdict") == "block").cast("double"))
+    return (ruled.groupBy(suffix_bucket(F.col("host")).alias("bucket"), host_fold(F.col("host")).alias("fold"))
+            .agg(F.count("*").cast("double").alias("urls"), F.sum(blocked).alias("blocked"))
+            .groupBy("bucket").agg(F.collect_list(F.struct("fold", "urls", "blocked")).alias("folds")))  # FOLDS at most
 
 
 def distinct_sample(labelled: DataFrame, rows: int) -> DataFrame:
@@ -116,17 +129,16 @@ def distinct_sample(labelled: DataFrame, rows: int) -> DataFrame:
         kind = labelled.filter(F.col("label") == label)
         if n > 4 * rows:  # about three times the wanted URLs are grouped, not all
             kind = kind.filter(h < int((1 << 30) * 3.0 * rows / n))
-        kinds.append(kind.groupBy("url", "host", "path", "label").agg(F.count("*").alias("n")).orderBy(h, "url").limit(rows))
+        kinds.append(kind.groupBy("url", "host", "path", "rule", "label").agg(F.count("*").alias("n")).orderBy(h, "url").limit(rows))
     return reduce(DataFrame.unionAll, kinds)
 
 
 def learn(spark: SparkSession, ruled: DataFrame, s: Settings = Settings()) -> tuple[GBTClassificationModel | None, DataFrame]:
     """The trees and the suffix table, from (url, host, path, rule) rows."""
     labelled = (ruled.filter(F.col("rule").isNotNull())
-                .select("url", "host", "path", (F.col("rule.verdict") == "block").cast("int").alias("label")))
-    suffixes = written(spark, suffix_statistics(labelled), "suffixes")
-    totals = suffixes.agg(F.sum("allowed"), F.sum("blocked")).first()
-    if not totals[0] or not totals[1]:
+                .select("url", "host", "path", "rule", (F.col("rule.verdict") == "block").cast("int").alias("label")))
+    suffixes = written(spark, suffix_statistics(ruled), "suffixes")
+    if labelled.select("label").distinct().count() < 2:
         return None, suffixes
     sample = written(spark, lexical(distinct_sample(labelled, s.sample // 2), suffixes), "sample")
     # both kinds weigh the same, whatever their shares are; a URL weighs as its rows do

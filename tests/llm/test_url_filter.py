@@ -1,6 +1,7 @@
 """URL filters: parts, rules, features and learned verdicts."""
 
 import math
+import random
 from collections import Counter
 
 import pytest
@@ -48,14 +49,14 @@ def test_parts_and_rules(spark):
 
 def test_features(spark):
     url = "https://a-b1.x.org/p/q_2/%41?k=1&l=22#z"
-    none = spark.createDataFrame([], "bucket long, allowed long, blocked long")
-    r = U.lexical(U.parts(frame(spark, [url, None])), none).collect()
+    none = spark.createDataFrame([], "bucket long, folds array<struct<fold:long,urls:double,blocked:double>>")
+    r = U.lexical(U.parts(frame(spark, [url, None])).withColumn("rule", U.rule_of(F.col("host"), F.col("path"))), none).collect()
     got = r[0].asDict()
     n = Counter(url)
     assert got["entropy"] == pytest.approx(-sum(c / len(url) * math.log2(c / len(url)) for c in n.values()))
     assert [got[k] for k in ("depth", "host_labels", "parameters", "escapes", "hyphens", "fragment", "secure", "host_digits")] == [3, 2, 2, 1, 2, 1, 1, 1]
     assert got["digit_ratio"] == pytest.approx(sum(c.isdigit() for c in url) / len(url)) and got["suffix_blocked"] == 0.5
-    assert all(v is not None for v in r[1].asDict().values() if not isinstance(v, str)) or r[1]["page_id"] is None
+    assert all(v is not None for k, v in r[1].asDict().items() if k != "rule")
 
 
 def test_trees_learn_from_ruled_urls(spark):
@@ -69,7 +70,7 @@ def test_trees_learn_from_ruled_urls(spark):
 
 def test_sample_counts_distinct_urls(spark):
     rows = [(f"http://x{i}.bad.test/{i}", 1) for i in range(300)] + [("http://good.test/a", 0)] * 2000 + [("http://good.test/b", 0)] * 1500
-    labelled = spark.createDataFrame([(u, "h", "/", k) for u, k in rows], "url string, host string, path string, label int")
+    labelled = spark.createDataFrame([(u, "h", "/", None, k) for u, k in rows], "url string, host string, path string, rule string, label int")
     got = U.distinct_sample(labelled, 10).collect()
     assert sorted((r["url"], r["n"]) for r in got if r["label"] == 0) == [("http://good.test/a", 2000), ("http://good.test/b", 1500)]
     bad = [r for r in got if r["label"] == 1]
@@ -91,6 +92,33 @@ def test_defined_cases(spark):
     assert [r["verdict"] for r in got] == ["allow"] * 4 and got[1]["host"] == "" and got[0][1:] == got[3][1:]
 
 
+def test_suffix_statistics_leave_out_their_own_hosts(spark):
+    rules = (("block", "bad.test", "/"), ("allow", "good.test", "/"))
+    urls = [f"http://x{i}.bad.test/" for i in range(40)] + [f"http://y{i}.good.test/" for i in range(40)] + ["http://other.test/"] * 20
+    ruled = U.parts(frame(spark, urls)).withColumn("rule", U.rule_of(F.col("host"), F.col("path"), rules))
+    fold = {r["host"]: r["f"] for r in ruled.select("host", U.host_fold(F.col("host")).alias("f")).collect()}
+    got = {r["host"]: r["suffix_blocked"] for r in U.lexical(ruled, U.suffix_statistics(ruled)).collect()}
+    for host, value in got.items():
+        rest = [h for h in (U_[7:].rstrip("/") for U_ in urls) if host == "other.test" or fold[h] != fold[host]]
+        blocked = sum(1.0 if "bad" in h else 0.0 if "good" in h else 0.5 for h in rest)
+        assert value == pytest.approx((blocked + 1) / (len(rest) + 2))
+
+
+def test_held_out_hosts(spark):
+    """Rules are hidden for a fifth of the hosts; the trees judge their URLs by what URLs look like."""
+    rng = random.Random(2)
+    good = [f"https://{rng.choice('abcdefgh') * 3}{i % 60}.site.test/{rng.choice(['news', 'about', 'team'])}/{rng.choice(['one', 'two'])}" for i in range(400)]
+    bad = [f"http://q{i % 60}x.page.test/{rng.randrange(10**6)}/p{rng.randrange(99)}?id={rng.randrange(10**5)}&k={i}" for i in range(400)]
+    rules = (("allow", "site.test", "/"), ("block", "page.test", "/"))
+    ruled = U.parts(frame(spark, good + bad)).withColumn("rule", U.rule_of(F.col("host"), F.col("path"), rules))
+    hidden = F.pmod(F.xxhash64("host", F.lit(77)), F.lit(5)) == 0
+    seen = ruled.withColumn("rule", F.when(~hidden, F.col("rule")))
+    model, suffixes = U.learn(spark, seen)
+    scored = model.transform(U._vectors(U.lexical(seen, suffixes))).withColumn("score", U.vector_to_array("probability")[1])
+    got = scored.filter(hidden).select(((F.col("score") >= 0.5) == F.col("host").contains("page")).cast("double").alias("right")).collect()
+    assert len(got) > 60 and sum(r["right"] for r in got) / len(got) > 0.95
+
+
 def test_query(spark, sf_small):
     urls = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{sf_small}/pages.parquet").collect()}
     rows = U.op3_url_filter(spark, sf_small).collect()
