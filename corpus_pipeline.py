@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casefile.llm import lang_id, phrase_index, sentencepiece_codec, simhash_dedup, weak_pii
-from casefile.llm.common import table, written
+from casefile.llm.common import fresh_names, table, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is not rejected."""
-    judged = lang_id.identify(spark, docs, lang_id.learn(lang_id.learning_rows(docs)), out="_lang_id")
-    return judged.filter(~F.col("_lang_id.rejected")).select(docs.columns)
+    out, = fresh_names(docs, "lang_id")
+    judged = lang_id.identify(spark, docs, lang_id.learn(lang_id.learning_rows(docs)), out=out)
+    return judged.filter(~F.col(out)["rejected"]).select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,10 +34,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind; n_chars follows."""
-    marked = weak_pii.personal_data(spark, docs, weak_pii.learn(docs), out="_pii")
-    out = weak_pii.redact(marked, spans="_pii")
+    spans, = fresh_names(docs, "spans")
+    marked = weak_pii.personal_data(spark, docs, weak_pii.learn(docs), out=spans)
+    out = weak_pii.redact(marked, spans=spans)
     if "n_chars" in docs.columns:
-        changed = F.size("_pii") > 0
+        changed = F.size(spans) > 0
         out = out.withColumn("n_chars", F.when(changed, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(docs.columns)
 
@@ -46,10 +48,12 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("piece_bpe_32k.model")
-    coded = sentencepiece_codec.encode_decode(spark, docs, path, out="_coded")
-    return coded.select(*[c for c in docs.columns if c not in ("ids", "n_tokens", "lossless")], F.col("_coded.ids").alias("ids"),
-                        F.size("_coded.ids").cast("long").alias("n_tokens"),
-                        (F.col("_coded.decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
+    out, = fresh_names(docs, "coded")
+    coded = sentencepiece_codec.encode_decode(spark, docs, path, out=out)
+    ids = F.col(out)["ids"]
+    return coded.select(*[c for c in docs.columns if c not in ("ids", "n_tokens", "lossless")], ids.alias("ids"),
+                        F.size(ids).cast("long").alias("n_tokens"),
+                        (F.col(out)["decoded"] == F.coalesce("text", F.lit(""))).alias("lossless"))
 
 
 STAGES = [("language_id", language), ("near_dedup", near_dedup), ("decontamination", decontamination),
