@@ -47,23 +47,23 @@ def gate_checks(spikes: DataFrame, exhibits: DataFrame, leakage: DataFrame, web:
     top_dom = (leakage.groupBy("external_domain").agg(F.countDistinct("email_id").alias("n"))
                       .orderBy(F.desc("n"), "external_domain").limit(1))
     parts = [
-        _checked(flagged, {"hunt1.flagged_weeks": F.count(F.lit(1)),
-                           "hunt1.peak_week": F.date_format(peak["week"], "yyyy-MM-dd"),
-                           "hunt1.peak_volume": peak["vol"], "hunt1.peak_zscore": peak["zscore"]}),
+        _checked(flagged, {"surge.flagged_weeks": F.count(F.lit(1)),
+                           "surge.peak_week": F.date_format(peak["week"], "yyyy-MM-dd"),
+                           "surge.peak_volume": peak["vol"], "surge.peak_zscore": peak["zscore"]}),
         _checked(exhibits, {"exhibits.edges": F.count(F.lit(1)), "exhibits.distinct_messages": F.countDistinct("msg_id"),
                             "exhibits.senders": set_fingerprint("sender"),
                             "exhibits.recipients": set_fingerprint("recipient")}),
-        _checked(leakage, {"hunt2.predisclosure_emails": F.count_distinct(F.when(before, F.col("email_id"))),
-                           "hunt2.external_addresses": F.count_distinct(F.when(before, F.col("external_recipient"))),
-                           **{f"hunt2.domain[{d}]": F.count_if(F.col("external_domain") == d) > 0
+        _checked(leakage, {"terms.predisclosure_emails": F.count_distinct(F.when(before, F.col("email_id"))),
+                           "terms.external_addresses": F.count_distinct(F.when(before, F.col("external_recipient"))),
+                           **{f"terms.domain[{d}]": F.count_if(F.col("external_domain") == d) > 0
                               for d in must_include_domains}}),
-        _checked(top_dom, {"hunt2.top_domain": F.max("external_domain")}),
-        _checked(shadow_candidates(web, threshold), {"hunt3.shadow_vehicles": set_fingerprint("candidate")}),
-        _checked(orphaned.filter(F.col("flagged")), {"hunt4.flagged_datasets": F.count(F.lit(1)),
-                                                     "hunt4.datasets": set_fingerprint("dataset"),
-                                                     "hunt4.owners": set_fingerprint("owner")}),
-        _checked(provenance.filter(F.col("flagged")), {"hunt5.flagged_datasets": F.count(F.lit(1)),
-                                                       "hunt5.datasets": set_fingerprint("dataset")}),
+        _checked(top_dom, {"terms.top_domain": F.max("external_domain")}),
+        _checked(shadow_candidates(web, threshold), {"web.candidates": set_fingerprint("candidate")}),
+        _checked(orphaned.filter(F.col("flagged")), {"owners.flagged_datasets": F.count(F.lit(1)),
+                                                     "owners.datasets": set_fingerprint("dataset"),
+                                                     "owners.owners": set_fingerprint("owner")}),
+        _checked(provenance.filter(F.col("flagged")), {"lineage.flagged_datasets": F.count(F.lit(1)),
+                                                       "lineage.datasets": set_fingerprint("dataset")}),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -72,6 +72,7 @@ def gate_checks(spikes: DataFrame, exhibits: DataFrame, leakage: DataFrame, web:
 
 
 def expectations_table(spark: SparkSession, want: Mapping[str, str]) -> DataFrame:
+    """A gate's expectations (check, want); `value_gate` takes any such table."""
     return spark.createDataFrame(sorted(want.items()), "check string, want string")
 
 

@@ -9,8 +9,7 @@ aspects:
   job_io(job, direction, dataset)
 `record_finding` returns these rows as DataFrames; the evidence row count is
 an aggregate over the evidence itself (no driver collect), and the field rows
-come from the evidence schema.  `Ledger.append` writes them under a run
-folder (parquet, partitioned by run) — one writer per run.
+come from the evidence schema.  `run_ledger.RunLedger` keeps them over runs.
 """
 
 from __future__ import annotations
@@ -28,7 +27,6 @@ LOGICAL = {"LongType": "number", "IntegerType": "number", "DoubleType": "number"
            "DateType": "date", "TimestampType": "date", "TimestampNTZType": "date",
            "BooleanType": "boolean"}
 
-LEDGER_TABLES = ("findings", "fields", "tags", "terms", "job_io")
 
 
 def materialize_evidence(df: DataFrame, name: str, root: str) -> DataFrame:
@@ -125,21 +123,6 @@ def record_exhibits(exhibits: DataFrame, **kw) -> dict[str, DataFrame]:
     return record_findings([exhibit_spec(exhibits, **kw)])
 
 
-class Ledger:
-    """Append-only ledger folder: `<root>/<table>/run_id=<run>/`."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def append(self, records: dict[str, DataFrame], run_id: str) -> None:
-        for name, df in records.items():
-            (df.withColumn("run_id", F.lit(run_id)).write.mode("append")
-               .partitionBy("run_id").parquet(f"{self.root}/{name}"))
-
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}")
-
-
 def lineage_edges(job_io: DataFrame) -> DataFrame:
     """L3: dataset -> dataset edges through the jobs (distinct)."""
     ins = job_io.filter(F.col("direction") == "in").select("job", F.col("dataset").alias("upstream"))
@@ -255,8 +238,9 @@ def catalog_names(df: DataFrame, entity_col: str = "entity", modifier_col: str =
 
 def export_ledger(findings: DataFrame, states: DataFrame, path: str) -> DataFrame:
     """One JSON object per finding (title, narrative, evidence dataset,
-    producing job, property map), written partitioned by hunt; returns the
-    read-back, flattened."""
+    producing job, property map) under `<path>/findings`, by hunt, and its SQL
+    as a text file of its own under `<path>/sql`, by hunt and job; returns both
+    as read back."""
     props = F.map_from_entries(F.array(
         F.struct(F.lit("review_state"), F.coalesce(F.col("state"), F.lit("unknown"))),
         F.struct(F.lit("evidence_rows"), F.col("evidence_rows").cast("string")),
@@ -266,10 +250,17 @@ def export_ledger(findings: DataFrame, states: DataFrame, path: str) -> DataFram
     out = j.select("hunt_id", F.col("title"), F.col("narrative"),
                    dataset_urn(F.col("evidence_table")).alias("evidence_dataset"),
                    job_urn(F.col("job")).alias("producing_task"),
-                   props.alias("evidence_properties"), "sql_text")
-    out.write.mode("overwrite").partitionBy("hunt_id").json(path)
-    back = out.sparkSession.read.json(path)
-    return back.select("hunt_id", "title", "evidence_dataset", "producing_task",
-                       F.col("evidence_properties.review_state").alias("review_state"),
-                       F.col("evidence_properties.evidence_rows").cast("long").alias("evidence_rows"),
-                       F.length("sql_text").cast("long").alias("sql_chars"))
+                   props.alias("evidence_properties"))
+    out.write.mode("overwrite").partitionBy("hunt_id").json(f"{path}/findings")
+    sql = findings.select("hunt_id", "job", F.coalesce("sql_text", F.lit("")).alias("sql_text"))
+    sql.write.mode("overwrite").partitionBy("hunt_id", "job").text(f"{path}/sql")
+    spark = findings.sparkSession
+    kinds = "title string, narrative string, evidence_dataset string, producing_task string, evidence_properties map<string,string>, hunt_id string"
+    back = spark.read.schema(kinds).json(f"{path}/findings")
+    # a file a finding, whole; the writer ends it with a line feed
+    texts = spark.read.schema("value string, hunt_id string, job string").option("wholetext", True).text(f"{path}/sql")
+    texts = texts.select(job_urn(F.col("job")).alias("producing_task"), F.regexp_replace("value", r"\n$", "").alias("sql_text"))
+    props = F.col("evidence_properties")
+    return back.join(texts, "producing_task").select(
+        "hunt_id", "title", "narrative", "evidence_dataset", "producing_task", props["review_state"].alias("review_state"),
+        props["evidence_rows"].cast("long").alias("evidence_rows"), props["confidence"].alias("confidence"), "sql_text")

@@ -268,12 +268,12 @@ LEFT JOIN cat_users u ON u.username = o.value
 _cte("orphaned", """
 SELECT dataset, owner, owner_title, owner_active, implicated, financially_material, certified,
        flagged,
-       CASE WHEN owner IS NULL THEN 'NO OWNER on record'
+       CASE WHEN owner IS NULL THEN 'nobody owns it'
             WHEN flagged THEN concat_ws('; ',
-                CASE WHEN implicated THEN 'owner implicated (public record)' END,
-                CASE WHEN owner_active = false THEN 'owner departed' END,
-                CASE WHEN financially_material THEN 'financially material' END,
-                'not certified') END AS reason
+                CASE WHEN implicated THEN 'owner is on the implicated list' END,
+                CASE WHEN owner_active = false THEN 'owner has left' END,
+                CASE WHEN financially_material THEN 'carries the material term' END,
+                'no certification') END AS reason
 FROM (
   SELECT dataset, owner, owner_title, owner_active,
          coalesce(owner IN ('s1', 's3'), false) AS implicated,
@@ -292,7 +292,7 @@ SELECT e.dataset, e.financially_material, e.certified,
        e.dataset IN (SELECT dataset FROM outputs) AS has_documented_lineage,
        e.financially_material AND NOT (e.dataset IN (SELECT dataset FROM outputs)) AS flagged,
        CASE WHEN e.financially_material AND NOT (e.dataset IN (SELECT dataset FROM outputs))
-            THEN 'financially material with NO documented lineage path to any source' END AS reason
+            THEN 'carries the material term and no job produces it' END AS reason
 FROM estate e
 """, "estate", "outputs")
 
@@ -306,9 +306,9 @@ WHERE f.flagged
 
 _cte("review_events", """
 SELECT event_id, CAST(ts AS TIMESTAMP) AS "at",
-       CASE user_id WHEN 0 THEN 'analytics.hunt1_comm_spikes' WHEN 1 THEN 'analytics.hunt2_external_leakage'
-            WHEN 2 THEN 'analytics.hunt3_spe_web' WHEN 3 THEN 'analytics.hunt4_orphaned_ownership'
-            WHEN 4 THEN 'analytics.hunt5_provenance_gaps' WHEN 5 THEN 'analytics.hunt6_decoy_volume'
+       CASE user_id WHEN 0 THEN 'analytics.group_surge' WHEN 1 THEN 'analytics.outside_terms'
+            WHEN 2 THEN 'analytics.term_web' WHEN 3 THEN 'analytics.ownership_audit'
+            WHEN 4 THEN 'analytics.lineage_audit' WHEN 5 THEN 'analytics.volume_control'
             ELSE concat('analytics.x', user_id) END AS entity,
        CASE WHEN event_type = 'signup' THEN 'OWNER' ELSE 'TAG' END AS category,
        CASE WHEN event_id % 11 = 0 THEN 'REMOVE' ELSE 'ADD' END AS operation,
@@ -355,8 +355,8 @@ FROM (SELECT entity, arg_max(state, i) AS state, max(since) AS since, count(*) A
 """, "folded")
 
 _cte("implicated", """
-SELECT 'analytics.hunt4_orphaned_ownership' AS entity, dataset FROM orphaned WHERE flagged GROUP BY dataset
-UNION ALL SELECT 'analytics.hunt5_provenance_gaps', dataset FROM provenance WHERE flagged GROUP BY dataset
+SELECT 'analytics.ownership_audit' AS entity, dataset FROM orphaned WHERE flagged GROUP BY dataset
+UNION ALL SELECT 'analytics.lineage_audit', dataset FROM provenance WHERE flagged GROUP BY dataset
 """, "orphaned", "provenance")
 
 # an incident is open or not; each action of a finding reaches all its assets
@@ -376,12 +376,12 @@ FROM landed
 _cte("decoy_all", "SELECT * FROM decoy", "decoy")
 
 _cte("evidence_counts", """
-SELECT 'analytics.hunt1_comm_spikes' AS evidence_table, count(*) AS rows FROM comm_spikes
-UNION ALL SELECT 'analytics.hunt2_external_leakage', count(*) FROM external_leakage
-UNION ALL SELECT 'analytics.hunt3_spe_web', count(*) FROM web
-UNION ALL SELECT 'analytics.hunt4_orphaned_ownership', count(*) FROM orphaned
-UNION ALL SELECT 'analytics.hunt5_provenance_gaps', count(*) FROM provenance
-UNION ALL SELECT 'analytics.hunt6_decoy_volume', count(*) FROM decoy
+SELECT 'analytics.group_surge' AS evidence_table, count(*) AS rows FROM comm_spikes
+UNION ALL SELECT 'analytics.outside_terms', count(*) FROM external_leakage
+UNION ALL SELECT 'analytics.term_web', count(*) FROM web
+UNION ALL SELECT 'analytics.ownership_audit', count(*) FROM orphaned
+UNION ALL SELECT 'analytics.lineage_audit', count(*) FROM provenance
+UNION ALL SELECT 'analytics.volume_control', count(*) FROM decoy
 """, "comm_spikes", "external_leakage", "web", "orphaned", "provenance", "decoy")
 
 _cte("peak", """
@@ -396,29 +396,29 @@ def _fp(name: str, col: str, src: str) -> str:
 
 
 _cte("gate_checks", "\nUNION ALL ".join([
-    "SELECT 'hunt1.flagged_weeks' AS \"check\", CAST(count(*) AS VARCHAR) AS got FROM comm_spikes WHERE flagged",
-    "SELECT 'hunt1.peak_week', strftime(max(week), '%Y-%m-%d') FROM peak",
-    "SELECT 'hunt1.peak_volume', CAST(max(vol) AS VARCHAR) FROM peak",
-    "SELECT 'hunt1.peak_zscore', CAST(max(zscore) AS VARCHAR) FROM peak",
+    "SELECT 'surge.flagged_weeks' AS \"check\", CAST(count(*) AS VARCHAR) AS got FROM comm_spikes WHERE flagged",
+    "SELECT 'surge.peak_week', strftime(max(week), '%Y-%m-%d') FROM peak",
+    "SELECT 'surge.peak_volume', CAST(max(vol) AS VARCHAR) FROM peak",
+    "SELECT 'surge.peak_zscore', CAST(max(zscore) AS VARCHAR) FROM peak",
     "SELECT 'exhibits.edges', CAST(count(*) AS VARCHAR) FROM exhibits",
     "SELECT 'exhibits.distinct_messages', CAST(count(DISTINCT msg_id) AS VARCHAR) FROM exhibits",
     _fp("exhibits.senders", "sender", "exhibits"),
     _fp("exhibits.recipients", "recipient", "exhibits"),
-    "SELECT 'hunt2.predisclosure_emails', CAST(count(DISTINCT email_id) AS VARCHAR) FROM external_leakage "
+    "SELECT 'terms.predisclosure_emails', CAST(count(DISTINCT email_id) AS VARCHAR) FROM external_leakage "
     "WHERE days_before_disclosure > 0",
-    "SELECT 'hunt2.external_addresses', CAST(count(DISTINCT external_recipient) AS VARCHAR) "
+    "SELECT 'terms.external_addresses', CAST(count(DISTINCT external_recipient) AS VARCHAR) "
     "FROM external_leakage WHERE days_before_disclosure > 0",
-    "SELECT 'hunt2.top_domain', max(external_domain) FROM (SELECT external_domain, count(DISTINCT email_id) AS n "
+    "SELECT 'terms.top_domain', max(external_domain) FROM (SELECT external_domain, count(DISTINCT email_id) AS n "
     "FROM external_leakage GROUP BY 1 ORDER BY n DESC, external_domain LIMIT 1) t",
-    *[f"SELECT 'hunt2.domain[{d}]', CAST(count(*) FILTER (WHERE external_domain = '{d}') > 0 AS VARCHAR) "
+    *[f"SELECT 'terms.domain[{d}]', CAST(count(*) FILTER (WHERE external_domain = '{d}') > 0 AS VARCHAR) "
       f"FROM (SELECT DISTINCT external_domain FROM external_leakage) t"
       for d in ("nation_1.example", "nation_2.example", "nation_3.example")],
-    _fp("hunt3.shadow_vehicles", "candidate", "shadow"),
-    "SELECT 'hunt4.flagged_datasets', CAST(count(*) AS VARCHAR) FROM orphaned WHERE flagged",
-    _fp("hunt4.datasets", "dataset", "(SELECT * FROM orphaned WHERE flagged)"),
-    _fp("hunt4.owners", "owner", "(SELECT * FROM orphaned WHERE flagged)"),
-    "SELECT 'hunt5.flagged_datasets', CAST(count(*) AS VARCHAR) FROM provenance WHERE flagged",
-    _fp("hunt5.datasets", "dataset", "(SELECT * FROM provenance WHERE flagged)"),
+    _fp("web.candidates", "candidate", "shadow"),
+    "SELECT 'owners.flagged_datasets', CAST(count(*) AS VARCHAR) FROM orphaned WHERE flagged",
+    _fp("owners.datasets", "dataset", "(SELECT * FROM orphaned WHERE flagged)"),
+    _fp("owners.owners", "owner", "(SELECT * FROM orphaned WHERE flagged)"),
+    "SELECT 'lineage.flagged_datasets', CAST(count(*) AS VARCHAR) FROM provenance WHERE flagged",
+    _fp("lineage.datasets", "dataset", "(SELECT * FROM provenance WHERE flagged)"),
 ]), "comm_spikes", "peak", "exhibits", "external_leakage", "shadow", "orphaned", "provenance")
 
 

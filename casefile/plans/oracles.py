@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from casefile.plans.oracle_ctes import with_ctes
+from casefile.plans.oracle_ctes import CTES, _cte, with_ctes
 
 ORACLES: dict[str, str] = {}
 
@@ -53,18 +53,11 @@ oracle("baseline_stats", "SELECT round(mu, 6) AS mu, round(sigma, 6) AS sigma FR
 oracle("baseline_cross_join", """
 SELECT x.week, x.vol, round(b.mu, 6) AS mu, round(b.sigma, 6) AS sigma FROM xgroup_series x, baseline b""",
        "xgroup_series", "baseline")
-oracle("zscore_fixed_baseline", """
-SELECT x.week, x.vol, floor((x.vol - b.mu) / NULLIF(b.sigma, 0) * 100 + 0.5) / 100 AS zscore,
-       ((x.vol - b.mu) / NULLIF(b.sigma, 0)) >= 2.0 AND x.week >= DATE '2000-01-01' AS flagged
-FROM xgroup_series x, baseline b""", "xgroup_series", "baseline")
-oracle("nearest_event_days", """
-SELECT x.week, CAST((SELECT min(abs(date_diff('day', x.week, e.event_date))) FROM events_ref e) AS BIGINT)
-         AS days_to_event
-FROM xgroup_series x""", "xgroup_series", "events_ref")
+oracle("zscore_fixed_baseline", "SELECT week, vol, zscore, flagged FROM comm_spikes", "comm_spikes")
+oracle("nearest_event_days", "SELECT week, days_to_event FROM comm_spikes", "comm_spikes")
 oracle("first_event_scalar", """
-SELECT id, sent_at, CAST(date_diff('day', sent_at, (SELECT min(event_date) FROM events_ref)) AS BIGINT)
-         AS days_before_disclosure
-FROM emails WHERE sent_at IS NOT NULL""", "emails", "events_ref")
+SELECT e.id, e.sent_at, (f.first_day - e.sent_at)::BIGINT AS days_before_disclosure
+FROM emails e, (SELECT min(event_date) AS first_day FROM events_ref) f WHERE e.sent_at IS NOT NULL""", "emails", "events_ref")
 oracle("hunt_exhibits", "SELECT * FROM exhibits", "exhibits")
 
 # ------------------------------------------------------------------ lexicon
@@ -217,10 +210,10 @@ SELECT week, vol, zscore, week = (SELECT week FROM peak) AS is_peak FROM comm_sp
        "comm_spikes", "peak")
 oracle("spike_series", "SELECT week, vol, zscore FROM comm_spikes", "comm_spikes")
 oracle("flag_totals", """
-SELECT 'analytics.hunt4_orphaned_ownership' AS evidence_table, count(*) FILTER (WHERE flagged) AS flagged,
+SELECT 'analytics.ownership_audit' AS evidence_table, count(*) FILTER (WHERE flagged) AS flagged,
        count(*) AS audited FROM orphaned
 UNION ALL
-SELECT 'analytics.hunt5_provenance_gaps', count(*) FILTER (WHERE flagged), count(*) FROM provenance""",
+SELECT 'analytics.lineage_audit', count(*) FILTER (WHERE flagged), count(*) FROM provenance""",
        "orphaned", "provenance")
 oracle("headline_stats", """
 SELECT b.baseline_mean, x.exhibit_edges, x.exhibit_messages, p.week AS peak_week, p.vol AS peak_volume,
@@ -236,16 +229,16 @@ FROM (SELECT count(*) AS hunts, CAST(sum(rows) AS BIGINT) AS evidence_rows FROM
 
 # ------------------------------------------------------------------ ledger
 _FINDINGS = [
-    ("hunt1_restatement_spikes", "analytics.hunt1_comm_spikes", "Cross-group weekly communication surge",
+    ("group_surge", "analytics.group_surge", "Cross-group weekly communication surge",
      "medium", "comm_spikes"),
-    ("hunt2_material_leakage", "analytics.hunt2_external_leakage", "External transmission of restricted terms",
+    ("outside_terms", "analytics.outside_terms", "External transmission of restricted terms",
      "medium", "external_leakage"),
-    ("hunt3_spe_web", "analytics.hunt3_spe_web", "Unclassified entities in the co-mention web", "high", "web"),
-    ("hunt4_orphaned_ownership", "analytics.hunt4_orphaned_ownership",
+    ("term_web", "analytics.term_web", "Unclassified entities in the co-mention web", "high", "web"),
+    ("ownership_audit", "analytics.ownership_audit",
      "Datasets with departed or implicated owners", "high", "orphaned"),
-    ("hunt5_provenance_gaps", "analytics.hunt5_provenance_gaps",
+    ("lineage_audit", "analytics.lineage_audit",
      "Material datasets with no documented provenance", "high", "provenance"),
-    ("hunt6_decoy_volume", "analytics.hunt6_decoy_volume", "Per-key volume surge (control)", "low", "decoy"),
+    ("volume_control", "analytics.volume_control", "Per-key volume surge (control)", "low", "decoy"),
 ]
 
 
@@ -258,14 +251,14 @@ def _finding_sql(hunt, table, title, conf, src, exhibit_of=None, job=None, sql=N
             f"'{job or hunt}' AS job, {ex} AS exhibit_of, count(*) AS evidence_rows FROM {src}")
 
 
-_EXHIBIT_FINDING = _finding_sql("hunt1_restatement_spikes", "analytics.hunt1_exhibits", "Hunt-1 exhibits", None,
-                                "exhibits", exhibit_of="analytics.hunt1_comm_spikes",
-                                job="hunt1_restatement_spikes_exhibits", sql="casefile:hunt_exhibits")
+_EXHIBIT_FINDING = _finding_sql("group_surge", "analytics.group_surge_messages", "Messages of the surge", None,
+                                "exhibits", exhibit_of="analytics.group_surge",
+                                job="group_surge_exhibits", sql="casefile:hunt_exhibits")
 _ALL_FINDINGS = "\nUNION ALL ".join([_finding_sql(*f) for f in _FINDINGS] + [_EXHIBIT_FINDING])
 _FINDING_CTES = ("comm_spikes", "external_leakage", "web", "orphaned", "provenance", "decoy", "exhibits")
 
 oracle("materialize_evidence",
-       "SELECT 'analytics.hunt1_comm_spikes' AS name, count(*) AS rows FROM comm_spikes", "comm_spikes")
+       "SELECT 'analytics.group_surge' AS name, count(*) AS rows FROM comm_spikes", "comm_spikes")
 oracle("record_finding", "\nUNION ALL ".join(_finding_sql(*f) for f in _FINDINGS), *_FINDING_CTES[:-1])
 oracle("record_exhibits", _EXHIBIT_FINDING, "exhibits")
 oracle("lineage_edges", """
@@ -284,19 +277,14 @@ SELECT * FROM (
     FROM walk w JOIN hop h ON h.made = w.dataset
     WHERE NOT EXISTS (SELECT 1 FROM recurring.walk seen WHERE seen.dataset = h.used) GROUP BY h.used)
   SELECT dataset, depth, job FROM walk)""", "cat_job_io")
-oracle("verify_trails", f"""
-SELECT evidence_table, evidence_rows > 0 AS has_rows, length(sql_text) > 0 AS has_sql,
-       len(string_split(job, '_')) > 1 AS has_lineage, evidence_rows IS NOT NULL AS has_schema, evidence_table <> 'analytics.hunt1_exhibits' AS has_review_state
-FROM ({_ALL_FINDINGS}) f""", *_FINDING_CTES)
 oracle("prior_findings", f"""
 SELECT hunt_id, evidence_table, evidence_rows FROM ({_ALL_FINDINGS}) f WHERE confidence = 'high'""",
        *_FINDING_CTES)
 oracle("export_ledger", f"""
-SELECT f.hunt_id, f.title,
+SELECT f.hunt_id, f.title, f.narrative,
        concat('urn:casefile:dataset:parquet:', f.evidence_table) AS evidence_dataset,
        concat('urn:casefile:job:', f.job) AS producing_task,
-       coalesce(s.state, 'unknown') AS review_state, f.evidence_rows,
-       CAST(length(f.sql_text) AS BIGINT) AS sql_chars
+       coalesce(s.state, 'unknown') AS review_state, f.evidence_rows, coalesce(f.confidence, '') AS confidence, f.sql_text
 FROM ({_ALL_FINDINGS}) f LEFT JOIN review_states s ON s.entity = f.evidence_table""",
        *_FINDING_CTES, "review_states")
 oracle("catalog_names", """
@@ -305,6 +293,92 @@ SELECT event_id, entity, modifier,
        entity AS table_name, string_split(modifier, ':')[-1] AS short_name
 FROM review_events""", "review_events")
 
+# ------------------------------------------------------------------ the ledger over runs
+_SOURCE = {table: src for _, table, _, _, src in _FINDINGS} | {"analytics.group_surge_messages": "exhibits"}
+_THIRD = ("no_rows", "no_sql", "no_inputs", "no_fields", "no_state")
+
+
+def _again(hunt: str, run: str, where: str, confidence: str, title: str, sql: str) -> str:
+    table, src = next((t, s) for h, t, _, _, s in _FINDINGS if h == hunt)
+    return (f"SELECT '{hunt}' AS hunt_id, '{run}' AS run_id, '{title}' AS title, '{confidence}' AS confidence, '{sql}' AS sql_text, "
+            f"'{table}' AS evidence_table, '{hunt}' AS job, CAST(NULL AS VARCHAR) AS exhibit_of, count(*) AS evidence_rows FROM {src} WHERE {where}")
+
+
+_TITLE = {h: title for h, _, title, _, _ in _FINDINGS}
+_cte("ledger_rows", "SELECT *, CAST(right(run_id, 1) AS BIGINT) AS seq FROM (\n" + "\nUNION ALL BY NAME ".join([
+    f"SELECT * EXCLUDE (narrative) FROM ({_ALL_FINDINGS})",
+    *[_again(h, "run-2", "flagged", "high", f"{_TITLE[h]}, flagged", f"casefile:{h}?flagged")
+      for h in ("group_surge", "ownership_audit", "lineage_audit")],
+    _again("outside_terms", "run-3", "days_before_disclosure > 0", "low", _TITLE["outside_terms"], "casefile:outside_terms?before"),
+    *[f"SELECT '{n}' AS hunt_id, 'run-3' AS run_id, '{n}' AS title, CAST(NULL AS VARCHAR) AS confidence, "
+      f"'{'' if n == 'no_sql' else 'casefile:' + n}' AS sql_text, 'analytics.{n}' AS evidence_table, '{n}' AS job, "
+      f"CAST(NULL AS VARCHAR) AS exhibit_of, count(*) AS evidence_rows FROM decoy{' WHERE vol < 0' if n == 'no_rows' else ''}" for n in _THIRD],
+]) + ")", *_FINDING_CTES)
+_cte("ledger_now", "SELECT * FROM ledger_rows QUALIFY seq = max(seq) OVER (PARTITION BY evidence_table)", "ledger_rows")
+
+
+def _described(table: str, src: str) -> str:
+    """The columns of an evidence set, as the engine itself describes them."""
+    rows = f"SELECT row_number() OVER () - 1 AS i, * FROM (DESCRIBE {with_ctes(f'SELECT * FROM {src}', src)})"
+    return (f"SELECT '{table}' AS evidence_table, CAST(i AS INTEGER) AS ordinal, column_name AS field, "
+            "CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(column_type) END AS native_type, "
+            "CASE WHEN column_type IN ('BIGINT', 'INTEGER', 'DOUBLE') THEN 'number' WHEN column_type IN ('DATE', 'TIMESTAMP') THEN 'date' "
+            f"WHEN column_type = 'BOOLEAN' THEN 'boolean' ELSE 'string' END AS logical_type FROM ({rows})")
+
+
+_cte("ledger_field_rows", "\nUNION ALL ".join(
+    _described(t, src) for t, src in [*_SOURCE.items(), *[(f"analytics.{n}", "decoy") for n in _THIRD if n != "no_fields"]]))
+_cte("ledger_tag_rows", """
+SELECT evidence_table, unnest(CASE WHEN hunt_id = 'no_state' THEN ['evidence'] WHEN hunt_id LIKE 'no@_%' ESCAPE '@' THEN ['pending-review']
+  WHEN exhibit_of IS NOT NULL THEN ['evidence', 'exhibit'] ELSE ['risk-flagged', 'pending-review', 'confidence-' || confidence] END) AS value
+FROM ledger_now""", "ledger_now")
+_cte("ledger_io_rows", """
+SELECT n.job, 'out' AS direction, n.evidence_table AS dataset FROM ledger_now n
+UNION ALL SELECT n.job, 'in', unnest(CASE n.job
+    WHEN 'group_surge' THEN ['curated.comm_edges', 'staging.registry', 'reference.events']
+    WHEN 'group_surge_exhibits' THEN ['staging.emails', 'staging.recipients', 'analytics.group_surge']
+    WHEN 'outside_terms' THEN ['staging.emails', 'staging.recipients', 'reference.events']
+    WHEN 'term_web' THEN ['staging.emails', 'reference.web_entities']
+    WHEN 'ownership_audit' THEN ['catalog.datasets', 'catalog.owners', 'catalog.users']
+    WHEN 'lineage_audit' THEN ['catalog.datasets', 'catalog.job_io']
+    WHEN 'no_inputs' THEN [] ELSE ['raw.events'] END) FROM ledger_now n
+UNION ALL SELECT job, 'in', evidence_table FROM ledger_now WHERE run_id = 'run-2'""", "ledger_now")
+_cte("ledger_events", """
+SELECT * FROM review_events
+UNION ALL BY NAME SELECT DISTINCT -seq AS event_id, CASE seq WHEN 1 THEN TIMESTAMP '2024-01-03' WHEN 2 THEN TIMESTAMP '2024-01-15'
+  ELSE TIMESTAMP '2024-01-28' END AS "at", evidence_table AS entity, 'TAG' AS category, 'ADD' AS operation, '' AS modifier,
+  run_id AS actor, 'view' AS note FROM ledger_rows""", "review_events", "ledger_rows")
+_cte("ledger_folded", CTES["folded"][0].replace("review_events", "ledger_events"), "ledger_events")
+
+oracle("ledger_runs", """
+SELECT run_id, seq, CASE seq WHEN 1 THEN TIMESTAMP '2024-01-03' WHEN 2 THEN TIMESTAMP '2024-01-15' ELSE TIMESTAMP '2024-01-28' END AS recorded_at,
+       count(*) AS findings FROM ledger_rows GROUP BY ALL""", "ledger_rows")
+oracle("ledger_history", "SELECT run_id, seq, hunt_id, evidence_table, evidence_rows, confidence FROM ledger_rows", "ledger_rows")
+oracle("ledger_current", """
+SELECT evidence_table, run_id, hunt_id, title, evidence_rows, confidence, times_recorded, first_run
+FROM ledger_now JOIN (SELECT evidence_table, count(*) AS times_recorded, arg_min(run_id, seq) AS first_run FROM ledger_rows
+                      GROUP BY evidence_table) USING (evidence_table)""", "ledger_now", "ledger_rows")
+oracle("ledger_fields", "SELECT * FROM ledger_field_rows", "ledger_field_rows")
+oracle("ledger_tags", "SELECT * FROM ledger_tag_rows", "ledger_tag_rows")
+oracle("ledger_terms", """
+SELECT evidence_table, 'Material' AS value FROM ledger_now
+WHERE hunt_id = 'lineage_audit' OR (hunt_id = 'ownership_audit' AND run_id = 'run-1')""", "ledger_now")
+oracle("ledger_job_io", "SELECT * FROM ledger_io_rows", "ledger_io_rows")
+oracle("ledger_states", f"""
+SELECT * FROM ({CTES["review_states"][0].replace("folded", "ledger_folded")}) SEMI JOIN ledger_now ON entity = evidence_table""",
+       "ledger_folded", "ledger_now")
+oracle("earlier_findings", """
+SELECT run_id, hunt_id, evidence_table, evidence_rows, confidence, superseded FROM (
+  SELECT *, seq < max(seq) OVER (PARTITION BY evidence_table) AS superseded FROM ledger_rows WHERE seq < 3)
+WHERE confidence = 'high'""", "ledger_rows")
+oracle("verify_trails", """
+SELECT n.evidence_table, n.evidence_rows > 0 AS has_rows, n.sql_text <> '' AS has_sql,
+       count(DISTINCT io.direction) = 2 AS has_lineage, count(f.field) > 0 AS has_schema,
+       count(t.value) FILTER (WHERE t.value IN ('pending-review', 'confirmed', 'rejected')) > 0 AS has_review_state
+FROM ledger_now n LEFT JOIN ledger_io_rows io USING (job) LEFT JOIN ledger_field_rows f ON f.evidence_table = n.evidence_table
+LEFT JOIN ledger_tag_rows t ON t.evidence_table = n.evidence_table GROUP BY ALL""",
+       "ledger_now", "ledger_io_rows", "ledger_field_rows", "ledger_tag_rows")
+
 # ------------------------------------------------------------------ review
 oracle("review_states", "SELECT * FROM review_states", "review_states")
 oracle("apply_verdict", "SELECT * FROM verdicts", "verdicts")
@@ -320,11 +394,11 @@ SELECT key, n_matches, CASE WHEN n_matches = 1 THEN any_name END AS resolved,
        CASE WHEN n_matches = 1 THEN 'resolved' WHEN n_matches = 0 THEN 'unmatched' ELSE 'ambiguous' END AS status
 FROM m""", "review_events", "cat_datasets")
 oracle("implicated_assets", """
-SELECT t AS evidence_table, t AS asset FROM (VALUES ('analytics.hunt1_comm_spikes'),
-  ('analytics.hunt2_external_leakage'), ('analytics.hunt3_spe_web'), ('analytics.hunt6_decoy_volume')) v(t)
-UNION ALL SELECT DISTINCT 'analytics.hunt4_orphaned_ownership', dataset FROM orphaned
+SELECT t AS evidence_table, t AS asset FROM (VALUES ('analytics.group_surge'),
+  ('analytics.outside_terms'), ('analytics.term_web'), ('analytics.volume_control')) v(t)
+UNION ALL SELECT DISTINCT 'analytics.ownership_audit', dataset FROM orphaned
   WHERE flagged AND dataset IS NOT NULL
-UNION ALL SELECT DISTINCT 'analytics.hunt5_provenance_gaps', dataset FROM provenance
+UNION ALL SELECT DISTINCT 'analytics.lineage_audit', dataset FROM provenance
   WHERE flagged AND dataset IS NOT NULL""", "orphaned", "provenance")
 oracle("raise_incidents", """
 SELECT dataset, title, "at", event_id, message FROM incident_actions WHERE action = 'raise' AND effective""",
@@ -342,8 +416,8 @@ from casefile.plans.expectations import EXPECTATIONS, SHADOW_LISTS  # noqa: E402
 
 
 
-def _gate_sql(scale: str) -> str:
-    want = ", ".join(f"('{k}', '{v}')" for k, v in sorted(EXPECTATIONS[scale].items()))
+def _gate_sql(scale: str, moved: dict[str, str] | None = None) -> str:
+    want = ", ".join(f"('{k}', '{v}')" for k, v in sorted((EXPECTATIONS[scale] | (moved or {})).items()))
     return f"""
 SELECT coalesce(c."check", w."check") AS "check", c.got, w.want, coalesce(c.got = w.want, false) AS ok,
        CASE WHEN coalesce(c.got = w.want, false) THEN '' WHEN c.got IS NULL THEN 'missing evidence'
@@ -352,14 +426,14 @@ FROM gate_checks c FULL OUTER JOIN (VALUES {want}) w("check", want) ON c."check"
 """
 
 
-def _assertions_sql(scale: str) -> str:
+def _assertions_sql(scale: str, moved: dict[str, str] | None = None) -> str:
     return f"""
 SELECT split_part("check", '.', 1) AS "group", bool_and(ok) AS passed, count(*) FILTER (WHERE ok) AS n_ok,
        count(*) AS n_all,
        string_agg(concat("check", '=', CASE WHEN ok THEN 'PASS' ELSE 'FAIL' END), '; '
                   ORDER BY concat("check", '=', CASE WHEN ok THEN 'PASS' ELSE 'FAIL' END)) AS results,
        concat('gate-', split_part("check", '.', 1)) AS assertion_id
-FROM ({_gate_sql(scale)}) g GROUP BY 1"""
+FROM ({_gate_sql(scale, moved)}) g GROUP BY 1"""
 
 
 def _set_compare_sql(scale: str) -> str:
@@ -374,6 +448,9 @@ def scale_oracles(scale: str) -> dict[str, str]:
     """The oracles whose checked-in expectations depend on the TESTDATA scale."""
     return {"value_gate": with_ctes(_gate_sql(scale), "gate_checks"),
             "gate_assertions": with_ctes(_assertions_sql(scale), "gate_checks"),
+            "assertion_states": with_ctes(f"""
+SELECT *, 'run-1' AS run_id FROM ({_assertions_sql(scale)}) WHERE "group" NOT IN ('surge', 'web')
+UNION ALL SELECT *, 'run-2' FROM ({_assertions_sql(scale, {"surge.peak_volume": "0"})}) WHERE "group" IN ('surge', 'web')""", "gate_checks"),
             "set_compare": with_ctes(_set_compare_sql(scale), "shadow")}
 
 

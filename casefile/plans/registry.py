@@ -429,6 +429,7 @@ def q_material_assets(spark, d):
 
 
 # ------------------------------------------------------------------ profiles and reports (P*, K*, G8-G10, J10)
+import datetime as dt  # noqa: E402
 import uuid  # noqa: E402
 
 from casefile.operators import gate as gt  # noqa: E402
@@ -436,7 +437,8 @@ from casefile.operators import ledger as lg  # noqa: E402
 from casefile.operators import profile as pf  # noqa: E402
 from casefile.operators import review as rv  # noqa: E402
 from casefile.operators import transcripts as tr  # noqa: E402
-from casefile.plans.expectations import expectations_for  # noqa: E402
+from casefile.operators.run_ledger import RunLedger  # noqa: E402
+from casefile.plans.expectations import expectations_for, shadow_list_for  # noqa: E402
 from casefile.session import work_path  # noqa: E402
 from casefile.streaming import alerts as al  # noqa: E402
 
@@ -446,12 +448,12 @@ PLAUSIBLE = ("1995-01-01", "2001-12-31")
 def evidence(spark, d) -> dict[str, DataFrame]:
     """The six evidence sets under their evidence-table names."""
     return {
-        "analytics.hunt1_comm_spikes": ev(spark, d, "spikes"),
-        "analytics.hunt2_external_leakage": ev(spark, d, "leakage"),
-        "analytics.hunt3_spe_web": ev(spark, d, "web"),
-        "analytics.hunt4_orphaned_ownership": ev(spark, d, "orphaned"),
-        "analytics.hunt5_provenance_gaps": ev(spark, d, "provenance"),
-        "analytics.hunt6_decoy_volume": ev(spark, d, "decoy"),
+        "analytics.group_surge": ev(spark, d, "spikes"),
+        "analytics.outside_terms": ev(spark, d, "leakage"),
+        "analytics.term_web": ev(spark, d, "web"),
+        "analytics.ownership_audit": ev(spark, d, "orphaned"),
+        "analytics.lineage_audit": ev(spark, d, "provenance"),
+        "analytics.volume_control": ev(spark, d, "decoy"),
     }
 
 
@@ -522,8 +524,8 @@ def q_spike_series(spark, d):
 
 @query("flag_totals")
 def q_flag_totals(spark, d):
-    return pf.flag_totals({"analytics.hunt4_orphaned_ownership": ev(spark, d, "orphaned"),
-                           "analytics.hunt5_provenance_gaps": ev(spark, d, "provenance")})
+    return pf.flag_totals({"analytics.ownership_audit": ev(spark, d, "orphaned"),
+                           "analytics.lineage_audit": ev(spark, d, "provenance")})
 
 
 @query("headline_stats")
@@ -540,20 +542,20 @@ def q_board_summary(spark, d):
 # ------------------------------------------------------------------ ledger
 
 _TITLES = {
-    "hunt1_restatement_spikes": ("analytics.hunt1_comm_spikes", "Cross-group weekly communication surge", "medium"),
-    "hunt2_material_leakage": ("analytics.hunt2_external_leakage", "External transmission of restricted terms", "medium"),
-    "hunt3_spe_web": ("analytics.hunt3_spe_web", "Unclassified entities in the co-mention web", "high"),
-    "hunt4_orphaned_ownership": ("analytics.hunt4_orphaned_ownership", "Datasets with departed or implicated owners", "high"),
-    "hunt5_provenance_gaps": ("analytics.hunt5_provenance_gaps", "Material datasets with no documented provenance", "high"),
-    "hunt6_decoy_volume": ("analytics.hunt6_decoy_volume", "Per-key volume surge (control)", "low"),
+    "group_surge": ("analytics.group_surge", "Cross-group weekly communication surge", "medium"),
+    "outside_terms": ("analytics.outside_terms", "External transmission of restricted terms", "medium"),
+    "term_web": ("analytics.term_web", "Unclassified entities in the co-mention web", "high"),
+    "ownership_audit": ("analytics.ownership_audit", "Datasets with departed or implicated owners", "high"),
+    "lineage_audit": ("analytics.lineage_audit", "Material datasets with no documented provenance", "high"),
+    "volume_control": ("analytics.volume_control", "Per-key volume surge (control)", "low"),
 }
 _INPUTS = {
-    "hunt1_restatement_spikes": ["curated.comm_edges", "staging.registry", "reference.events"],
-    "hunt2_material_leakage": ["staging.emails", "staging.recipients", "reference.events"],
-    "hunt3_spe_web": ["staging.emails", "reference.web_entities"],
-    "hunt4_orphaned_ownership": ["catalog.datasets", "catalog.owners", "catalog.users"],
-    "hunt5_provenance_gaps": ["catalog.datasets", "catalog.job_io"],
-    "hunt6_decoy_volume": ["raw.events"],
+    "group_surge": ["curated.comm_edges", "staging.registry", "reference.events"],
+    "outside_terms": ["staging.emails", "staging.recipients", "reference.events"],
+    "term_web": ["staging.emails", "reference.web_entities"],
+    "ownership_audit": ["catalog.datasets", "catalog.owners", "catalog.users"],
+    "lineage_audit": ["catalog.datasets", "catalog.job_io"],
+    "volume_control": ["raw.events"],
 }
 RUN_ID = "run-1"
 
@@ -563,19 +565,122 @@ def ledger_records(spark, d) -> dict[str, DataFrame]:
     specs = [lg.finding_spec(
         tables[table], hunt_id=hunt, run_id=RUN_ID, title=title, narrative=f"{title}.",
         sql=f"casefile:{hunt}", evidence_table=table, input_tables=_INPUTS[hunt],
-        terms=["Material"] if hunt in ("hunt4_orphaned_ownership", "hunt5_provenance_gaps") else [],
+        terms=["Material"] if hunt in ("ownership_audit", "lineage_audit") else [],
         confidence=conf) for hunt, (table, title, conf) in _TITLES.items()]
     specs.append(lg.exhibit_spec(
-        ev(spark, d, "exhibits"), hunt_id="hunt1_restatement_spikes", run_id=RUN_ID,
-        finding_table="analytics.hunt1_comm_spikes", exhibits_table="analytics.hunt1_exhibits",
-        title="Hunt-1 exhibits", description="The messages behind the flagged weeks.",
+        ev(spark, d, "exhibits"), hunt_id="group_surge", run_id=RUN_ID,
+        finding_table="analytics.group_surge", exhibits_table="analytics.group_surge_messages",
+        title="Messages of the surge", description="The messages behind the flagged weeks.",
         sql="casefile:hunt_exhibits", input_tables=["staging.emails", "staging.recipients"]))
     return lg.record_findings(specs)
 
 
+#: The recorded runs of the multi-run ledger: when, and which part of the evidence.
+RUN_TIMES = {"run-1": dt.datetime(2024, 1, 3), "run-2": dt.datetime(2024, 1, 15), "run-3": dt.datetime(2024, 1, 28)}
+
+
+def _second_run(spark, d) -> dict[str, DataFrame]:
+    """Three hunts again, on their flagged rows alone."""
+    tables = evidence(spark, d)
+    return lg.record_findings([lg.finding_spec(
+        tables[_TITLES[hunt][0]].filter("flagged"), hunt_id=hunt, run_id="run-2", title=f"{_TITLES[hunt][1]}, flagged",
+        narrative="Flagged rows alone.", sql=f"casefile:{hunt}?flagged", evidence_table=_TITLES[hunt][0],
+        input_tables=[*_INPUTS[hunt], _TITLES[hunt][0]], terms=["Material"] if hunt == "lineage_audit" else [], confidence="high")
+        for hunt in ("group_surge", "ownership_audit", "lineage_audit")])
+
+
+def _third_run(spark, d) -> dict[str, DataFrame]:
+    """One hunt again, and findings that lack a part each."""
+    tables = evidence(spark, d)
+    leak, decoy_rows = tables["analytics.outside_terms"], tables["analytics.volume_control"]
+
+    def spec(name, df, **parts):
+        given = {"sql": f"casefile:{name}", "input_tables": ["raw.events"], "tags": ["pending-review"], **parts}
+        return lg.finding_spec(df, hunt_id=name, run_id="run-3", title=name, narrative=name, evidence_table=f"analytics.{name}",
+                               confidence=None, **given)
+
+    return lg.record_findings([
+        lg.finding_spec(leak.filter("days_before_disclosure > 0"), hunt_id="outside_terms", run_id="run-3", title=_TITLES["outside_terms"][1],
+                        narrative="Before disclosure.", sql="casefile:outside_terms?before", evidence_table="analytics.outside_terms",
+                        input_tables=_INPUTS["outside_terms"], confidence="low"),
+        spec("no_rows", decoy_rows.filter("vol < 0")), spec("no_sql", decoy_rows, sql=""),
+        spec("no_inputs", decoy_rows, input_tables=[]), spec("no_fields", decoy_rows.select()), spec("no_state", decoy_rows, tags=["evidence"])])
+
+
+def ledger(spark, d) -> RunLedger:
+    """Three runs, the first of them recorded twice; written once an application."""
+    def build() -> RunLedger:
+        book = RunLedger(spark, work_path(spark, "ledger", uuid.uuid4().hex))
+        first = ledger_records(spark, d)
+        want = expectations(spark, d)
+        first["assertions"] = gt.gate_assertions(gt.value_gate(checks(spark, d), want))
+        second = _second_run(spark, d)
+        moved = want.withColumn("want", F.when(F.col("check") == "surge.peak_volume", "0").otherwise(F.col("want")))
+        second["assertions"] = gt.gate_assertions(gt.value_gate(checks(spark, d), moved)).filter(F.col("group").isin("surge", "web"))
+        for run, records in (("run-1", first), ("run-2", second), ("run-1", first), ("run-3", _third_run(spark, d))):
+            book.record(run, records, RUN_TIMES[run])
+        return book
+    return wh(spark, d).once("ledger", build)
+
+
+@query("ledger_runs")
+def q_ledger_runs(spark, d):
+    book = ledger(spark, d)
+    found = book.history("findings").groupBy("seq").agg(F.count(F.lit(1)).alias("findings"))
+    return book.runs().join(found, "seq").select("run_id", "seq", F.col("recorded_at").cast("timestamp_ntz").alias("recorded_at"), "findings")
+
+
+@query("ledger_history")
+def q_ledger_history(spark, d):
+    return ledger(spark, d).history("findings").select("run_id", "seq", "hunt_id", "evidence_table", "evidence_rows", "confidence")
+
+
+@query("ledger_current")
+def q_ledger_current(spark, d):
+    return ledger(spark, d).findings().select("evidence_table", "run_id", "hunt_id", "title", "evidence_rows", "confidence",
+                                              "times_recorded", "first_run")
+
+
+@query("ledger_fields")
+def q_ledger_fields(spark, d):
+    return ledger(spark, d).current("fields").select("evidence_table", "ordinal", "field", "native_type", "logical_type")
+
+
+@query("ledger_tags")
+def q_ledger_tags(spark, d):
+    return ledger(spark, d).current("tags").select("evidence_table", "value")
+
+
+@query("ledger_terms")
+def q_ledger_terms(spark, d):
+    return ledger(spark, d).current("terms").select("evidence_table", "value")
+
+
+@query("ledger_job_io")
+def q_ledger_job_io(spark, d):
+    return ledger(spark, d).current("job_io").select("job", "direction", "dataset")
+
+
+@query("ledger_states")
+def q_ledger_states(spark, d):
+    events = review_log(spark, d).unionByName(ledger(spark, d).recordings())
+    sets = ledger(spark, d).current("findings").select(F.col("evidence_table").alias("entity"))
+    return rv.review_states(events.join(sets, "entity", "left_semi"))
+
+
+@query("earlier_findings")
+def q_earlier_findings(spark, d):
+    return ledger(spark, d).earlier("run-3", tag="confidence-high")
+
+
+@query("assertion_states")
+def q_assertion_states(spark, d):
+    return ledger(spark, d).current("assertions").drop("seq")
+
+
 @query("materialize_evidence")
 def q_materialize_evidence(spark, d):
-    return lg.materialize_evidence(spikes(spark, d), "hunt1_comm_spikes",
+    return lg.materialize_evidence(spikes(spark, d), "group_surge",
                                    work_path(spark, "evidence", uuid.uuid4().hex))
 
 
@@ -601,8 +706,8 @@ def q_lineage_walk(spark, d):
 
 @query("verify_trails")
 def q_verify_trails(spark, d):
-    r = ledger_records(spark, d)
-    return lg.verify_trails(r["findings"], r["fields"], r["tags"], r["job_io"])
+    book = ledger(spark, d)
+    return lg.verify_trails(*(book.current(t) for t in ("findings", "fields", "tags", "job_io")))
 
 
 @query("prior_findings")
@@ -705,8 +810,12 @@ def checks(spark, d):
                           must_include_domains=MUST_INCLUDE)
 
 
+def expectations(spark, d) -> DataFrame:
+    return gt.expectations_table(spark, expectations_for(spark, d))
+
+
 def gate_results(spark, d):
-    return gt.value_gate(checks(spark, d), gt.expectations_table(spark, expectations_for(d)))
+    return gt.value_gate(checks(spark, d), expectations(spark, d))
 
 
 @query("value_gate")
@@ -739,7 +848,7 @@ def q_recompute_check(spark, d):
 
 @query("set_compare")
 def q_set_compare(spark, d):
-    want = spark.createDataFrame([(w,) for w in expectations_for(d, "shadow_list")], "value string")
+    want = spark.createDataFrame([(w,) for w in shadow_list_for(spark, d)], "value string")
     got = lex.shadow_candidates(ev(spark, d, "web"), P.web_threshold).select(F.col("candidate").alias("value"))
     return gt.set_compare(got, want)
 

@@ -187,9 +187,9 @@ REVIEW_MAP = {"purchase": "confirmed", "error": "rejected", "view": "pending-rev
               "click": "risk-flagged"}
 
 
-EVIDENCE_SETS = ("analytics.hunt1_comm_spikes", "analytics.hunt2_external_leakage", "analytics.hunt3_spe_web",
-                 "analytics.hunt4_orphaned_ownership", "analytics.hunt5_provenance_gaps",
-                 "analytics.hunt6_decoy_volume")
+EVIDENCE_SETS = ("analytics.group_surge", "analytics.outside_terms", "analytics.term_web",
+                 "analytics.ownership_audit", "analytics.lineage_audit",
+                 "analytics.volume_control")
 
 
 def review_tag_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,6 +42,7 @@ class Warehouse:
         self.sf_dir = sf_dir.rstrip("/")
         self.materialize = materialize
         self._tables: dict[str, DataFrame] = {}
+        self._made: dict[str, object] = {}
         tag = hashlib.sha1(self.sf_dir.encode()).hexdigest()[:12]
         self._root = work_path(spark, "warehouse", tag) if materialize else None
 
@@ -110,6 +111,12 @@ class Warehouse:
         """An investigation result, written once under evidence/<name>."""
         return self._staged(f"evidence/{name}", build)
 
+    def once(self, name: str, build):
+        """Something that is built once an application and folder, as a ledger."""
+        if name not in self._made:
+            self._made[name] = build()
+        return self._made[name]
+
     def job_io(self) -> DataFrame:
         """The catalog's job inputs and outputs, joined from raw once."""
         return self._staged("job_io", lambda: td.catalog_job_io(self.spark, self.sf_dir))

@@ -2,6 +2,8 @@
 scale (the same compare the driver runs at sf0.01), plus reconciliation
 properties of the investigations."""
 
+import shutil
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -28,10 +30,17 @@ def test_entry_registers_them(spark):
     assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
 
 
-def test_unknown_data_set_has_no_expectations():
-    from casefile.plans.expectations import expectations_for
-    with pytest.raises(KeyError):
-        expectations_for("/data/other")
+def test_expectations_follow_the_tables_not_the_folder(spark, sf_small, tmp_path):
+    """A copy under another name passes the same gate; other tables have no expectations."""
+    from casefile.plans.expectations import EXPECTATIONS, expectations_for
+    shutil.copytree(sf_small, tmp_path / "moved")
+    assert expectations_for(spark, f"{tmp_path}/moved/") == EXPECTATIONS["sf0.001"]
+    rows = QUERIES["value_gate"](spark, f"{tmp_path}/moved").collect()
+    assert len(rows) == 20 and all(r["ok"] for r in rows)
+    other = tmp_path / "other"
+    other.mkdir()
+    spark.range(7).write.parquet(f"{other}/orders.parquet")
+    assert expectations_for(spark, str(other)) == {}
 
 
 def test_entry_runs(spark):
