@@ -123,17 +123,19 @@ def edited(text: Column, head: Column) -> Column:
 
 
 def with_next(spark: SparkSession, docs: DataFrame, anchors: list[str]) -> DataFrame:
-    """(doc_id, text, head, next): each document with the first characters of
-    the next one, a third of its own length, and the next one's fingerprint."""
+    """(doc_id, text, next_id, head, next): each document with the next one's id,
+    first characters (a third of its own length) and fingerprint.  Both joins
+    read the same columns of the texts, so that these are dealt once."""
     wanted = written(spark, followers(spark, docs), "followers")
     here = keyed(docs)
     sent = here.join(wanted, "h").select(
-        F.col("to_h").alias("h"), F.substring("text", F.lit(1), F.floor(F.col("to_chars") / 3).cast("int")).alias("head"),
+        F.col("to_h").alias("h"), F.col("doc_id").alias("next_id"),
+        F.substring("text", F.lit(1), F.floor(F.col("to_chars") / 3).cast("int")).alias("head"),
         F.unhex(F.array_join(signatures(F.col("text"), anchors), "")).alias("next"))
     # a repeated row sends the same more than once
-    once = sent.groupBy("h").agg(F.first("head").alias("head"), F.first("next").alias("next"))
+    once = sent.groupBy("h").agg(*[F.first(c).alias(c) for c in ("next_id", "head", "next")])
     return here.join(once, "h").select(
-        "doc_id", "text", "head", F.regexp_extract_all(F.lower(F.hex("next")), F.lit(f".{{{SIGNATURE}}}"), F.lit(0)).alias("next"))
+        "doc_id", "text", "next_id", "head", F.regexp_extract_all(F.lower(F.hex("next")), F.lit(f".{{{SIGNATURE}}}"), F.lit(0)).alias("next"))
 
 
 # --- near duplicates
@@ -191,13 +193,13 @@ def op13_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     anchors = common_words(docs)
     text = F.col("text")
     both = (with_next(spark, docs, anchors)
-            .select("doc_id", F.char_length(text).cast("long").alias("n_chars"), "next", edited(text, F.col("head")).alias("edited"),
+            .select("doc_id", "next_id", F.char_length(text).cast("long").alias("n_chars"), "next", edited(text, F.col("head")).alias("edited"),
                     signatures(text, anchors).alias("sigs"))
             .withColumn("edited_sigs", signatures(F.col("edited"), anchors)))
     return both.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
                        as_text(F.col("sigs")).alias("fingerprint"), as_text(F.col("edited_sigs")).alias("edited_fingerprint"),
                        likeness(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"),
-                       likeness(F.col("sigs"), F.col("next")).alias("near_next"))
+                       likeness(F.col("sigs"), F.col("next")).alias("near_next"), "next_id")
 
 
 OP13_SQL = r"""
@@ -205,7 +207,8 @@ WITH d AS (
   SELECT DISTINCT doc_id, md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS h, coalesce(text, '') AS text
   FROM documents),
 n AS (
-  SELECT doc_id, h, text, coalesce(lead(text) OVER w, first_value(text) OVER w) AS next
+  SELECT doc_id, h, text, coalesce(lead(text) OVER w, first_value(text) OVER w) AS next,
+         CASE WHEN lead(text) OVER w IS NULL THEN first_value(doc_id) OVER w ELSE lead(doc_id) OVER w END AS next_id
   FROM d WINDOW w AS (ORDER BY doc_id DESC NULLS LAST, h DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
 t AS (SELECT *, left(text, length(text) - length(text) // 3) || left(next, length(text) // 3) AS edited FROM n),
 each AS (SELECT DISTINCT text FROM (SELECT text FROM t UNION ALL SELECT edited FROM t)),
@@ -230,7 +233,7 @@ f AS (SELECT text, list_sort(list_distinct(list_transform(s, lambda x: left(md5(
 SELECT documents.doc_id, length(t.text)::BIGINT AS n_chars, sha256(t.edited) AS edited_sha256,
        array_to_string(a.f, ' ') AS fingerprint, array_to_string(b.f, ' ') AS edited_fingerprint,
        len(list_intersect(a.f, b.f)) / len(list_distinct(list_concat(a.f, b.f))) AS near_edited,
-       len(list_intersect(a.f, c.f)) / len(list_distinct(list_concat(a.f, c.f))) AS near_next
+       len(list_intersect(a.f, c.f)) / len(list_distinct(list_concat(a.f, c.f))) AS near_next, t.next_id
 FROM documents
 JOIN t ON t.doc_id IS NOT DISTINCT FROM documents.doc_id AND t.text = coalesce(documents.text, '')
 JOIN f a ON a.text = t.text JOIN f b ON b.text = t.edited JOIN f c ON c.text = t.next

@@ -53,12 +53,12 @@ def wanted(rows):
     docs = sorted({(d is not None, d or 0, hashlib.md5(f"{'' if d is None else d}:{t or ''}".encode()).hexdigest(), t or "") for d, t in rows}, reverse=True)
     out = {}
     for i, (has, d, _, text) in enumerate(docs):
-        after = docs[(i + 1) % len(docs)][3]
+        has_next, next_id, _, after = docs[(i + 1) % len(docs)]
         k = len(text) // 3
         edited = text[:len(text) - k] + after[:k]
         mine, changed, nxt = (sigs(x, anchors) for x in (text, edited, after))
         out[d if has else None, text] = (d if has else None, len(text), hashlib.sha256(edited.encode()).hexdigest(), " ".join(sorted(mine)),
-                                         " ".join(sorted(changed)), jaccard(mine, changed), jaccard(mine, nxt))
+                                         " ".join(sorted(changed)), jaccard(mine, changed), jaccard(mine, nxt), next_id if has_next else None)
     return sorted((out[d, t or ""] for d, t in rows), key=repr)
 
 
