@@ -9,22 +9,23 @@ from pending (C16), so over the entity's state events ordered by (at, event_id)
 a verdict is effective iff the previous state event is a pending one.  A
 pending event reopens iff the previous *legal* event (pending, or an effective
 verdict) is a verdict, which is then the state it leaves.  Previous events come
-from `segmented_prev`, which sorts only within (entity, day) and carries the
-last event of each day forward through a per-day summary, so a hot entity is
-not one task.  Final states use aggregations only (last pending, first verdict
-after it).
+from `segmented_prev`, which sorts slices of bounded size, so a hot entity is
+not one task, however its events lie in time.  Final states use aggregations
+only (last pending, first verdict after it).
 
 Incidents (C17): an effective accept raises on each implicated asset, an
-effective reject or a reopen resolves.  Over the (asset, title) action
-sequence a raise is new iff the previous action is absent or a resolve, and a
-resolve is effective iff the previous action is a raise.
+effective reject or a reopen resolves.  Over the actions of a finding a raise
+is new iff the previous action is absent or a resolve, and a resolve is
+effective iff the previous action is a raise.  All assets of a finding see the
+same actions, under the finding's own title: effects and intervals are decided
+once a finding, and only what comes of them meets the assets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casefile.functions.sequence import segmented_prev
@@ -36,10 +37,6 @@ LIST_PRECEDENCE = (PENDING, CONFIRMED, REJECTED)
 BOARD_PRECEDENCE = (CONFIRMED, REJECTED, PENDING)
 
 
-def _day(c: str = "at") -> Column:
-    return F.to_date(F.col(c))
-
-
 def _pos() -> Column:
     return F.struct("at", "event_id")
 
@@ -54,7 +51,7 @@ def state_log(tag_events: DataFrame) -> DataFrame:
 
 def with_previous(log: DataFrame) -> DataFrame:
     """Adds `prev_kind`: the entity's previous state event."""
-    return segmented_prev(log, ["entity"], ["at", "event_id"], ["kind"], _day())
+    return segmented_prev(log, ["entity"], ["at", "event_id"], ["kind"])
 
 
 def annotated_log(tag_events: DataFrame) -> DataFrame:
@@ -125,24 +122,48 @@ def review_states(tag_events: DataFrame, precedence: Sequence[str] = BOARD_PRECE
                       "state_events", rank.alias("state_rank"))
 
 
-def resolve_finding_keys(keys: DataFrame, evidence_sets: DataFrame, key_col: str = "key",
-                         name_col: str = "entity") -> DataFrame:
-    """Each command key must be a substring of exactly one evidence set.
+#: Letters of the pieces that names are indexed by.
+GRAM = 3
+
 
-    Substring matching is made an equi-join: every substring of each
-    evidence-set name (names are short identifiers, so L(L+1)/2 rows each) is
-    joined to the distinct keys.  Output: key, n_matches, resolved, status.
+def _grams(text: Column, gram: int) -> Column:
+    """The distinct pieces of `gram` characters; none of a shorter text."""
+    n = F.char_length(text)
+    return F.when(n >= gram, F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.greatest(n - gram + 1, F.lit(1))), lambda i: F.substring(text, i, F.lit(gram))))
+    ).otherwise(F.array().cast("array<string>"))
+
+
+def resolve_finding_keys(keys: DataFrame, evidence_sets: DataFrame, key_col: str = "key",
+                         name_col: str = "entity", hunt_col: str | None = None, gram: int = GRAM) -> DataFrame:
+    """Each command key must be a substring of the name of exactly one
+    evidence set, or of the id of its hunt if `hunt_col` gives it.
+
+    Names are indexed by their pieces of `gram` letters, of which a name has no
+    more than letters.  A key is looked up by its rarest piece alone and then
+    compared with the names that have it; keys shorter than a piece are looked
+    up in an index of all shorter pieces.  Names that several keys ask for and
+    keys that many names hold are counted, not listed.  Output: key, n_matches,
+    resolved, status; a null or empty key matches nothing.
     """
-    names = evidence_sets.select(F.col(name_col).alias("_name")).distinct()
-    n = F.length("_name")
-    starts = F.sequence(F.lit(1), n)
-    subs = names.select("_name", F.explode(starts).alias("_i")).select(
-        "_name", F.explode(F.sequence(F.lit(1), n - F.col("_i") + 1)).alias("_len"), "_i")
-    # one row per substring before it meets a key: a short key is in many names
-    subs = (subs.select("_name", F.substring(F.col("_name"), F.col("_i"), F.col("_len")).alias("_sub")).distinct()
-                .groupBy("_sub").agg(F.count("_name").alias("_n"), F.min("_name").alias("_any")))
     k = keys.select(F.col(key_col).alias("key")).distinct()
-    m = k.join(subs, k.key == subs._sub, "left").withColumn("n_matches", F.coalesce("_n", F.lit(0)))
+    names = evidence_sets.select(F.col(name_col).alias("_set"), F.array_distinct(F.array_compact(F.array(
+        F.col(name_col), *([F.col(hunt_col)] if hunt_col else [])))).alias("_texts")).distinct()
+    texts = names.select("_set", F.explode("_texts").alias("_text"))
+    short = F.char_length("key") < gram
+    # long keys: by the piece of theirs that the fewest names have
+    index = texts.select("_set", "_text", F.explode(_grams(F.col("_text"), gram)).alias("_piece"))
+    often = index.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n"))
+    asked = k.filter(~short).select("key", F.explode(_grams(F.col("key"), gram)).alias("_piece"))
+    rarest = (asked.join(often, "_piece", "left").groupBy("key")
+              .agg(F.min_by("_piece", F.struct(F.coalesce("_n", F.lit(0)), "_piece")).alias("_piece")))
+    found = index.join(rarest, "_piece").filter(F.contains(F.col("_text"), F.col("key"))).select("key", "_set")
+    # short keys: every piece of one letter to gram - 1, of which a name has gram - 1 times its letters
+    pieces = F.array_distinct(F.flatten(F.array(*[_grams(F.col("_text"), n) for n in range(1, gram)]))) if gram > 1 else F.array()
+    small = texts.select("_set", F.explode(pieces).alias("key")).join(k.filter(short), "key").select("key", "_set")
+    hits = (found.unionByName(small).distinct().groupBy("key")
+            .agg(F.count(F.lit(1)).alias("_n"), F.min("_set").alias("_any")))
+    m = (k.join(hits, "key", "left").withColumn("n_matches", F.coalesce("_n", F.lit(0))))
     status = (F.when(F.col("n_matches") == 1, F.lit("resolved"))
                .when(F.col("n_matches") == 0, F.lit("unmatched")).otherwise(F.lit("ambiguous")))
     return m.select("key", "n_matches",
@@ -169,13 +190,9 @@ def incident_title(entity: Column) -> Column:
     return F.concat(F.lit("investigation: "), entity)
 
 
-def incident_actions(tag_events: DataFrame, assets: DataFrame | None = None,
-                     annotated: DataFrame | None = None) -> DataFrame:
-    """Raise / resolve actions with `effective` and `message` per (dataset, title).
-
-    `assets(evidence_table, asset)` maps a finding to the assets its incident
-    lands on; findings without a mapping land on themselves.
-    """
+def finding_actions(tag_events: DataFrame, annotated: DataFrame | None = None) -> DataFrame:
+    """(entity, title, action, at, event_id, message, effective): the raise and
+    resolve actions of each finding, before they meet any asset."""
     a = annotated_log(tag_events) if annotated is None else annotated
     action = (F.when(F.col("from_state").isNotNull(), F.lit("resolve"))
                .when(F.col("effective") & (F.col("kind") == CONFIRMED), F.lit("raise"))
@@ -184,25 +201,76 @@ def incident_actions(tag_events: DataFrame, assets: DataFrame | None = None,
                 .otherwise(F.concat("kind", F.lit(" by "), "actor")))
     acts = (a.select("entity", "event_id", F.col("at").cast("timestamp_ntz").alias("at"), action.alias("action"),
                      message.alias("message")).filter(F.col("action").isNotNull()))
-    if assets is not None:
-        acts = (acts.join(assets, acts.entity == assets.evidence_table, "left")
-                    .withColumn("dataset", F.coalesce("asset", "entity"))
-                    .drop("evidence_table", "asset"))
-    else:
-        acts = acts.withColumn("dataset", F.col("entity"))
-    acts = acts.withColumn("title", incident_title(F.col("entity")))
-    return incident_effects(acts.select("dataset", "title", "action", "at", "event_id", "message"))
-
-
-def incident_effects(actions: DataFrame) -> DataFrame:
-    """C17 over (dataset, title, action, at, event_id): a raise is effective
-    iff the previous action is absent or a resolve; a resolve iff it is a raise."""
-    p = segmented_prev(actions, ["dataset", "title"], ["at", "event_id"], ["action"], F.to_date("at"))
+    return incident_effects(acts, ["entity"]).withColumn("title", incident_title(F.col("entity")))
+
+
+def landed(actions: DataFrame, assets: DataFrame | None) -> DataFrame:
+    """Rows of findings on the assets that these implicate, as `dataset`; a
+    finding without a mapping lands on itself."""
+    if assets is None:
+        return actions.withColumn("dataset", F.col("entity")).drop("entity")
+    return (actions.join(assets.select(F.col("evidence_table").alias("_of"), "asset"), F.col("entity") == F.col("_of"), "left")
+                   .withColumn("dataset", F.coalesce("asset", "entity")).drop("_of", "asset", "entity"))
+
+
+def incident_actions(tag_events: DataFrame, assets: DataFrame | None = None,
+                     annotated: DataFrame | None = None) -> DataFrame:
+    """Raise / resolve actions with `effective` and `message` per (dataset, title).
+
+    `assets(evidence_table, asset)` maps a finding to the assets its incident
+    lands on; findings without a mapping land on themselves.
+    """
+    return landed(finding_actions(tag_events, annotated), assets).select(
+        "dataset", "title", "action", "at", "event_id", "message", "effective")
+
+
+def incident_effects(actions: DataFrame, keys: Sequence[str] = ("dataset", "title")) -> DataFrame:
+    """C17 over (keys..., action, at, event_id): a raise is effective iff the
+    previous action is absent or a resolve; a resolve iff it is a raise."""
+    p = segmented_prev(actions, list(keys), ["at", "event_id"], ["action"])
     eff = (F.when(F.col("action") == "raise",
                   F.col("prev_action").isNull() | (F.col("prev_action") == "resolve"))
             .otherwise(F.coalesce(F.col("prev_action") == "raise", F.lit(False))))
-    more = [c for c in ("message",) if c in actions.columns]
-    return p.select("dataset", "title", "action", "at", "event_id", *more, eff.alias("effective"))
+    return p.withColumn("effective", eff).drop("prev_action")
+
+
+def incident_intervals(actions: DataFrame, assets: DataFrame | None = None) -> DataFrame:
+    """(dataset, title, opened_at, opened_by, closed_at, closed_by, message):
+    when each incident was open, from the finding's actions; closed_at, its
+    event and message are null while it is.  An interval holds its beginning
+    and not its end."""
+    # effective actions alternate: the one before a resolve is its raise
+    done = segmented_prev(actions.filter("effective"), ["entity"], ["at", "event_id"], ["at", "event_id"])
+    closed = done.filter(F.col("action") == "resolve").select(
+        "entity", "title", F.col("prev_at").alias("opened_at"), F.col("prev_event_id").alias("opened_by"),
+        F.col("at").alias("closed_at"), F.col("event_id").alias("closed_by"), "message")
+    last = actions.filter("effective").groupBy("entity", "title").agg(
+        F.max_by(F.struct("action", "at", "event_id"), F.struct("at", "event_id")).alias("l"))
+    still = last.filter(F.col("l.action") == "raise").select(
+        "entity", "title", F.col("l.at").alias("opened_at"), F.col("l.event_id").alias("opened_by"),
+        F.lit(None).cast("timestamp_ntz").alias("closed_at"), F.lit(None).cast("long").alias("closed_by"),
+        F.lit(None).cast("string").alias("message"))
+    return landed(closed.unionByName(still), assets).select(
+        "dataset", "title", "opened_at", "opened_by", "closed_at", "closed_by", "message")
+
+
+def incidents_as_of(intervals: DataFrame, at: str) -> DataFrame:
+    """The incidents that were open at one time."""
+    t = F.lit(at).cast("timestamp_ntz")
+    return (intervals.filter((F.col("opened_at") <= t) & (F.col("closed_at").isNull() | (F.col("closed_at") > t)))
+                     .select("dataset", "title", "opened_at"))
+
+
+def open_incidents_by_day(intervals: DataFrame) -> DataFrame:
+    """(day, opened, closed, still_open): of every day with a change.  Days are
+    summed up first, so the running sum is over a row a day."""
+    day = lambda c: F.to_date(F.col(c)).alias("day")
+    moves = (intervals.groupBy(day("opened_at")).agg(F.count(F.lit(1)).alias("opened")).withColumn("closed", F.lit(0).cast("long"))
+             .unionByName(intervals.filter(F.col("closed_at").isNotNull()).groupBy(day("closed_at"))
+                          .agg(F.count(F.lit(1)).alias("closed")).withColumn("opened", F.lit(0).cast("long"))))
+    days = moves.groupBy("day").agg(F.sum("opened").alias("opened"), F.sum("closed").alias("closed"))
+    upto = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    return days.withColumn("still_open", F.sum(F.col("opened") - F.col("closed")).over(upto))
 
 
 def raise_incidents(actions: DataFrame) -> DataFrame:

@@ -51,8 +51,7 @@ def call_signatures(calls: DataFrame, args: str = "args") -> DataFrame:
 
 
 def repeated_calls(calls: DataFrame, *, limit: int = 3, budget_turn: int = 22,
-                   write_tools: Sequence[str] = (), note_tools: Sequence[str] = (),
-                   segment_turns: int = 64) -> DataFrame:
+                   write_tools: Sequence[str] = (), note_tools: Sequence[str] = ()) -> DataFrame:
     """Q3 (C19): identical calls repeated within a run.
 
     Read calls are flagged at every occurrence >= limit; write tools at
@@ -61,8 +60,7 @@ def repeated_calls(calls: DataFrame, *, limit: int = 3, budget_turn: int = 22,
     as `budget` only, but still advances the counter.  Notes are never flagged.
     """
     c = calls.filter(~F.col("tool").isin(*note_tools)) if note_tools else calls
-    c = segmented_row_number(c, ["run_id", "signature"], ["turn"],
-                             F.floor(F.col("turn") / segment_turns), "occurrence")
+    c = segmented_row_number(c, ["run_id", "signature"], ["turn"], "occurrence")
     is_write = F.col("tool").isin(*write_tools) if write_tools else F.lit(False)
     budget = ~is_write & (F.col("turn") >= budget_turn)
     rep = F.when(is_write, F.col("occurrence") % limit == 0).otherwise(F.col("occurrence") >= limit)

@@ -393,6 +393,15 @@ oracle("resolve_finding_keys", """
 SELECT key, n_matches, CASE WHEN n_matches = 1 THEN any_name END AS resolved,
        CASE WHEN n_matches = 1 THEN 'resolved' WHEN n_matches = 0 THEN 'unmatched' ELSE 'ambiguous' END AS status
 FROM m""", "review_events", "cat_datasets")
+oracle("resolve_hunt_keys", """
+, sets AS (SELECT dataset AS name, description AS hunt FROM cat_datasets UNION SELECT evidence_table, hunt_id FROM ledger_now),
+  keys AS (SELECT DISTINCT key FROM (SELECT p_name AS key FROM part
+             UNION SELECT unnest(regexp_split_to_array(name || ' ' || hunt, '[ ._]')) FROM sets) WHERE key <> ''),
+  m AS (SELECT k.key, count(DISTINCT s.name) AS n_matches, min(s.name) AS any_name
+        FROM keys k LEFT JOIN sets s ON contains(s.name, k.key) OR contains(s.hunt, k.key) GROUP BY k.key)
+SELECT key, n_matches, CASE WHEN n_matches = 1 THEN any_name END AS resolved,
+       CASE WHEN n_matches = 1 THEN 'resolved' WHEN n_matches = 0 THEN 'unmatched' ELSE 'ambiguous' END AS status
+FROM m""", "cat_datasets", "ledger_now")
 oracle("implicated_assets", """
 SELECT t AS evidence_table, t AS asset FROM (VALUES ('analytics.group_surge'),
   ('analytics.outside_terms'), ('analytics.term_web'), ('analytics.volume_control')) v(t)
@@ -411,6 +420,23 @@ SELECT dataset, title, "at" AS raised_at FROM (
   SELECT *, row_number() OVER (PARTITION BY dataset, title ORDER BY "at" DESC, event_id DESC) AS rn
   FROM incident_actions) x WHERE rn = 1 AND action = 'raise'""", "incident_actions")
 
+_cte("incident_spans", """
+SELECT dataset, title, "at" AS opened_at, event_id AS opened_by,
+       lead("at") OVER w AS closed_at, lead(event_id) OVER w AS closed_by, lead(message) OVER w AS message, action
+FROM incident_actions WHERE effective WINDOW w AS (PARTITION BY dataset, title ORDER BY "at", event_id)
+QUALIFY action = 'raise'
+""", "incident_actions")
+oracle("incident_intervals", "SELECT * EXCLUDE (action) FROM incident_spans", "incident_spans")
+oracle("incidents_as_of", """
+SELECT dataset, title, "at" AS opened_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY dataset, title ORDER BY "at" DESC, event_id DESC) AS rn
+  FROM incident_actions WHERE effective AND "at" <= TIMESTAMP '2024-01-16 12:00:00') x WHERE rn = 1 AND action = 'raise'""",
+       "incident_actions")
+oracle("open_incidents_by_day", """
+SELECT day, opened, closed, CAST(sum(opened - closed) OVER (ORDER BY day) AS BIGINT) AS still_open FROM (
+  SELECT CAST("at" AS DATE) AS day, count(*) FILTER (WHERE action = 'raise') AS opened, count(*) FILTER (WHERE action = 'resolve') AS closed
+  FROM incident_actions WHERE effective GROUP BY 1)""", "incident_actions")
+
 # ------------------------------------------------------------------ gate (expectations for sf0.01)
 from casefile.plans.expectations import EXPECTATIONS, SHADOW_LISTS  # noqa: E402
 

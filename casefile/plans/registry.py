@@ -772,16 +772,53 @@ def q_resolve_finding_keys(spark, d):
     return rv.resolve_finding_keys(keys, sets)
 
 
+@query("resolve_hunt_keys")
+def q_resolve_hunt_keys(spark, d):
+    """By the set's name or its hunt's id, over the current findings and the
+    catalog's long descriptions; short and long keys from their own words."""
+    parts = td.catalog_datasets(spark, d).select(F.col("dataset").alias("entity"), F.col("description").alias("hunt"))
+    sets = parts.unionByName(ledger(spark, d).current("findings").select(F.col("evidence_table").alias("entity"), F.col("hunt_id").alias("hunt")))
+    words = td.read(spark, d, "part").select(F.col("p_name").alias("key")).unionByName(
+        sets.select(F.explode(F.split(F.concat_ws(" ", "entity", "hunt"), "[ ._]")).alias("key")))
+    return rv.resolve_finding_keys(words.filter("key <> ''"), sets, hunt_col="hunt")
+
+
 @query("implicated_assets")
 def q_implicated_assets(spark, d):
     parts = [rv.implicated_assets(df, name) for name, df in evidence(spark, d).items()]
     return pf.union_all(parts)
 
 
+def assets(spark, d):
+    return wh(spark, d).evidence("implicated", lambda: q_implicated_assets(spark, d))
+
+
+def finding_actions(spark, d):
+    return wh(spark, d).evidence("finding_actions", lambda: rv.finding_actions(review_log(spark, d), annotated(spark, d)))
+
+
 def incident_actions(spark, d):
     """Incidents land on the assets that the reviewed evidence set implicates."""
-    return wh(spark, d).evidence("incident_actions", lambda: rv.incident_actions(
-        review_log(spark, d), q_implicated_assets(spark, d), annotated(spark, d)))
+    return rv.landed(finding_actions(spark, d), assets(spark, d))
+
+
+def intervals(spark, d):
+    return rv.incident_intervals(finding_actions(spark, d), assets(spark, d))
+
+
+@query("incident_intervals")
+def q_incident_intervals(spark, d):
+    return intervals(spark, d)
+
+
+@query("incidents_as_of")
+def q_incidents_as_of(spark, d):
+    return rv.incidents_as_of(intervals(spark, d), "2024-01-16 12:00:00")
+
+
+@query("open_incidents_by_day")
+def q_open_incidents_by_day(spark, d):
+    return rv.open_incidents_by_day(intervals(spark, d))
 
 
 @query("raise_incidents")
@@ -938,13 +975,13 @@ def q_run_reliability(spark, d):
 
 @query("repeated_calls")
 def q_repeated_calls(spark, d):
-    return tr.repeated_calls(tr.call_signatures(td.tool_calls(spark, d)), limit=P.repeat_limit,
+    return tr.repeated_calls(tr.call_signatures(wh(spark, d).tool_calls()), limit=P.repeat_limit,
                              budget_turn=P.budget_turn, write_tools=WRITE_TOOLS)
 
 
 @query("budget_breaches")
 def q_budget_breaches(spark, d):
-    return tr.budget_breaches(td.tool_calls(spark, d), turn=P.budget_turn, write_tools=WRITE_TOOLS)
+    return tr.budget_breaches(wh(spark, d).tool_calls(), turn=P.budget_turn, write_tools=WRITE_TOOLS)
 
 
 @query("artifact_manifest")

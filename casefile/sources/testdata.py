@@ -217,7 +217,7 @@ def review_tag_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(run_id, turn, tool, args): a user's events are one run's calls, in order."""
     ev = read(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "props")
-    ev = segmented_row_number(ev, ["user_id"], ["ts", "event_id"], F.to_date("ts"), "turn")
+    ev = segmented_row_number(ev, ["user_id"], ["ts", "event_id"], "turn")
     return ev.select(F.col("user_id").alias("run_id"), "turn", F.col("event_type").alias("tool"),
                      F.col("props").alias("args"))
 

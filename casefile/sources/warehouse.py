@@ -133,6 +133,10 @@ class Warehouse:
             "job_io": self.job_io(),
         }
 
+    def tool_calls(self) -> DataFrame:
+        """The runs' calls, numbered once."""
+        return self._staged("tool_calls", lambda: td.tool_calls(self.spark, self.sf_dir))
+
     def review_events(self) -> DataFrame:
         return td.review_tag_events(self.spark, self.sf_dir)
 

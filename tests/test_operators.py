@@ -6,7 +6,7 @@ import datetime as dt
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from casefile.functions.sequence import segmented_prev, segmented_row_number
+from casefile.functions.sequence import segmented_prev, segmented_row_number, sliced
 from casefile.operators import comms, gate, governance, ledger, review, transcripts
 from casefile.streaming import alerts
 
@@ -155,16 +155,53 @@ def test_alert_filter(spark):
 
 
 def test_segmented_helpers_equal_plain_windows(spark):
-    # one hot key spread over many segments, plus a small key
-    rows = [("hot", i, i % 7) for i in range(500)] + [("cold", i, i) for i in range(5)]
-    df = spark.createDataFrame(rows, "k string, t long, v long")
-    seg = F.floor(F.col("t") / 37)
-    w = Window.partitionBy("k").orderBy("t")
-    want = df.select("k", "t", F.lag("v").over(w).alias("prev_v"), F.row_number().over(w).cast("long").alias("rn"))
-    a = segmented_prev(df, ["k"], ["t"], ["v"], seg).select("k", "t", "prev_v")
-    b = segmented_row_number(df, ["k"], ["t"], seg, "rn").select("k", "t", "rn")
-    got = a.join(b, ["k", "t"])
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    # a third of all rows are one key's, all on one day and many at one time
+    rows = [("hot", i // 9, i, i % 7) for i in range(700)] + [(f"k{j}", i, i, i) for j in range(200) for i in range(7)]
+    df = spark.createDataFrame(rows, "k string, t long, id long, v long")
+    w = Window.partitionBy("k").orderBy("t", "id")
+    want = df.select("k", "id", F.lag("v").over(w).alias("prev_v"), F.row_number().over(w).cast("long").alias("rn"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = sliced(df, ["k"], ["t", "id"])
+        assert parts.filter("k = 'hot'").select("_slice").distinct().count() >= 2
+        assert parts.groupBy("_slice").count().agg(F.max("count")).first()[0] < 700
+        a = segmented_prev(df, ["k"], ["t", "id"], ["v"]).select("k", "id", "prev_v")
+        b = segmented_row_number(df, ["k"], ["t", "id"], "rn").select("k", "id", "rn")
+        got = a.join(b, ["k", "id"])
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_intervals_and_effects_do_not_window_over_assets(spark):
+    ev = events(spark, ["pending-review", "confirmed", "pending-review", "confirmed", "rejected", "pending-review", "confirmed"])
+    entity = ev.first().entity
+    assets = spark.createDataFrame([(entity, f"part.p{i}") for i in range(50)], "evidence_table string, asset string")
+    acts = review.finding_actions(ev)
+    spans = review.incident_intervals(acts, assets)
+    got = {(r.opened_by, r.closed_by, r.message) for r in spans.collect()}
+    assert got == {(1, 2, "reopened"), (3, 5, "reopened"), (6, None, None)} and spans.count() == 150
+    plan = spans._jdf.queryExecution().optimizedPlan().toString()
+    assert "asset" not in "".join(line for line in plan.splitlines() if "Window" in line)
+    third = ev.orderBy("event_id").collect()[3]["at"]
+    assert {r.dataset for r in review.incidents_as_of(spans, str(third)).collect()} == {f"part.p{i}" for i in range(50)}
+    days = review.open_incidents_by_day(spans).orderBy("day").collect()
+    assert sum(r.opened for r in days) == 150 and sum(r.closed for r in days) == 100 and days[-1].still_open == 50
+
+
+def test_keys_by_pieces_of_any_length(spark):
+    import random
+    rng = random.Random(1)
+    names = ["".join(rng.choices("ab.", k=rng.randint(0, 12))) for _ in range(60)] + ["analytics.unique_set", "é漢😀x"]
+    sets = [(n, rng.choice([None, "hunt", "".join(rng.choices("abc", k=5))])) for n in names]
+    keys = ["a", "b", "ab", "aba", "", None, "unique", "x", "漢😀", "zzz", "hunt", "analytics.unique_set", "c", "cab", *names[:20]]
+    got = review.resolve_finding_keys(spark.createDataFrame([(k,) for k in keys], "key string"),
+                                      spark.createDataFrame(sets, "entity string, hunt string"), hunt_col="hunt")
+    for r in got.collect():
+        hit = {n for n, h in sets if r.key and (r.key in n or (h and r.key in h))}
+        assert r.n_matches == len(hit) and r.resolved == (min(hit) if len(hit) == 1 else None), r.key
+    long = spark.createDataFrame([("x" * 2000 + str(i),) for i in range(3)], "entity string")
+    assert review.resolve_finding_keys(spark.createDataFrame([("xx1",)], "key string"), long).first().resolved == "x" * 2000 + "1"
 
 
 def test_malformed_delivery_kept_raw(spark):
