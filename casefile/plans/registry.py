@@ -441,6 +441,7 @@ from casefile.operators.run_ledger import RunLedger  # noqa: E402
 from casefile.plans.expectations import expectations_for, shadow_list_for  # noqa: E402
 from casefile.session import work_path  # noqa: E402
 from casefile.streaming import alerts as al  # noqa: E402
+from casefile.streaming import review_state as rs  # noqa: E402
 
 PLAUSIBLE = ("1995-01-01", "2001-12-31")
 
@@ -897,16 +898,43 @@ def _alert_run(spark, d, dedup: bool = False, redeliver: bool = False):
     availableNow into a JSON log, and return the log folder."""
     root = work_path(spark, "alerts", uuid.uuid4().hex)
     events = review_log(spark, d)
-    if redeliver:
-        events = events.unionByName(events)  # every event delivered twice
-    events.write.parquet(f"{root}/events")
-    alerts = al.review_alerts_stream(spark, f"{root}/events", P.review_tags)
-    if dedup:
-        alerts = al.alert_dedup_stream(alerts)
-    al.alert_log_append(alerts, f"{root}/log", f"{root}/checkpoint")
+    deliveries = [events]
+    if redeliver:  # a part, then every event (the part again), then another part, each its own run
+        late = F.pmod(F.xxhash64("event_id"), F.lit(3))
+        deliveries = [events.filter(late == 0), events, events.filter(late == 1)]
+    for arrived in deliveries:
+        arrived.write.mode("append").parquet(f"{root}/events")
+        alerts = al.review_alerts_stream(spark, f"{root}/events", P.review_tags)
+        if dedup:
+            al.alert_dedup_stream(alerts, f"{root}/log", f"{root}/checkpoint")
+        else:
+            al.alert_log_append(alerts, f"{root}/log", f"{root}/checkpoint")
     return f"{root}/log"
 
 
+#: Days that an event may come behind a later one, and days of a delivery.
+HORIZON, DELIVERY = 3, 8
+
+
+@query("review_state_stream")
+def q_review_state_stream(spark, d):
+    """The review log in deliveries that mix up to two days, each a run of its
+    own from the checkpoint of the one before; closed at the end."""
+    root = work_path(spark, "review-state", uuid.uuid4().hex)
+    events = review_log(spark, d)
+    delay = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    number = F.floor((F.datediff("at", F.lit("2024-01-01")) + delay) / DELIVERY).cast("int")
+    numbered = events.withColumn("_n", F.greatest(number, F.lit(0)))
+    last = numbered.agg(F.max("_n")).first()[0] or 0
+    closing = events.select("entity").distinct().select(
+        F.lit(-1).cast("long").alias("event_id"), F.lit("2099-01-01").cast("timestamp").alias("at"), "entity",
+        F.lit(rs.CLOSING).alias("category"), *[F.lit("").alias(c) for c in ("operation", "modifier", "actor", "note")])
+    for part in [*[numbered.filter(F.col("_n") == i).drop("_n") for i in range(last + 1)], closing]:
+        part.write.mode("append").parquet(f"{root}/events")
+        rs.run_available(spark, f"{root}/events", f"{root}/decisions", f"{root}/checkpoint", HORIZON)
+    return spark.read.schema(rs.DECISION).parquet(f"{root}/decisions").withColumn("at", F.col("at").cast("timestamp_ntz"))
+
+
 def _payload(df):
     return df.select("event_id", F.col("at").cast("timestamp_ntz").alias("at"), "entityUrn",
                      "category", "operation", "modifier")

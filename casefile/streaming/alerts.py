@@ -44,6 +44,9 @@ ALERT_SCHEMA = T.StructType([
     T.StructField("received_at", T.TimestampType()),
 ])
 
+#: The deduplicated log: a folder a day of the events.
+LOG_SCHEMA = T.StructType([*ALERT_SCHEMA.fields, T.StructField("day", T.DateType())])
+
 
 def alert_condition(tags: Sequence[str], exact: bool = False) -> Column:
     """TAG events whose modifier mentions a review tag (substring by default)."""
@@ -68,17 +71,45 @@ def review_alerts_stream(spark: SparkSession, events_dir: str, tags: Sequence[st
     return review_alerts(src, tags)
 
 
-def alert_dedup_stream(alerts: DataFrame) -> DataFrame:
-    """Idempotent re-delivery: an event that was seen before is dropped,
-    and nothing else.
+def alert_key(alerts: DataFrame) -> Column:
+    """What a delivery and its repetition have in common: the event's id, or a
+    digest of an event without one."""
+    payload = [c for c in alerts.columns if c not in ("received_at", "day")]
+    return F.coalesce(F.col("event_id").cast("string"),
+                      F.sha2(F.to_json(F.struct(*payload), {"timestampFormat": TS_FORMAT}), 256))
+
+
+def new_alerts(batch: DataFrame, log_dir: str) -> DataFrame:
+    """The alerts of a batch that are not in the log yet, each once, with their
+    `day`.  Only the log's folders of the batch's own days are read."""
+    spark = batch.sparkSession
+    keyed = (batch.withColumn("day", F.coalesce(F.to_date("at"), F.lit("1970-01-01").cast("date")))
+             .withColumn("_key", alert_key(batch)).dropDuplicates(["day", "_key"]))
+    days = [r["day"] for r in keyed.select("day").distinct().collect()]  # days of one micro-batch
+    log = spark.read.schema(LOG_SCHEMA).option("timestampFormat", TS_FORMAT).json(log_dir).filter(F.col("day").isin(days))
+    known = log.select("day", alert_key(log).alias("_key"))
+    return keyed.join(known, ["day", "_key"], "left_anti").drop("_key")
+
 
-    No watermark: it would drop late events that are no duplicates.  The state
-    holds one key per event (its id, or a digest of an event without one), in
-    the state store beside the checkpoint.
+def alert_dedup_stream(alerts: DataFrame, log_dir: str, checkpoint: str) -> None:
+    """Appends to a JSON log with a folder a day; an event that is in the log
+    is not added again, however late its repetition comes.
+
+    No state is kept beside the log: a batch is compared with the log's folders
+    of its own days, since a repetition has its event's time.  A batch that is
+    repeated after a failure adds only what its first attempt did not, so every
+    event is in the log exactly once.  Takes what has arrived, and stops.
     """
-    payload = [c for c in alerts.columns if c != "received_at"]
-    key = F.coalesce(F.col("event_id").cast("string"), F.sha2(F.to_json(F.struct(*payload)), 256))
-    return alerts.withColumn("_key", key).dropDuplicates(["_key"]).drop("_key")
+    spark = alerts.sparkSession
+    spark.createDataFrame([], LOG_SCHEMA).write.mode("ignore").partitionBy("day").json(log_dir)
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        rows = new_alerts(batch, log_dir).withColumn("received_at", F.current_timestamp())
+        rows.write.mode("append").partitionBy("day").option("timestampFormat", TS_FORMAT).json(log_dir)
+
+    query = (alerts.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
 
 
 def alert_log_append(alerts: DataFrame, log_dir: str, checkpoint: str,

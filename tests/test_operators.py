@@ -271,19 +271,6 @@ def test_incidents_land_on_the_implicated_assets(spark):
     assert review.active_incidents(acts).count() == 0
 
 
-def test_stream_dedup_drops_only_duplicates(spark, tmp_path):
-    src, log, ckpt = (str(tmp_path / n) for n in ("events", "log", "ckpt"))
-    new = events(spark, ["confirmed", "rejected"])
-    old = new.withColumn("event_id", F.col("event_id") + 10).withColumn("at", F.col("at") - F.expr("interval 40 days"))
-    nameless = new.withColumn("event_id", F.lit(None).cast("long"))
-    for batch in (new, old, new.unionByName(nameless), nameless):
-        batch.write.mode("append").parquet(src)
-        alerts.alert_log_append(alerts.alert_dedup_stream(
-            alerts.review_alerts_stream(spark, src, ["confirmed", "rejected"])), log, ckpt)
-    got = sorted(str(r.event_id) for r in alerts.load_alert_log(spark, log).collect())
-    assert got == ["0", "1", "10", "11", "None", "None"]
-
-
 def test_alert_log_skips_torn_and_blank_lines(spark, tmp_path):
     lines = ['{"event_id": 1, "entityUrn": "a"}', '{"event_id": 2, "entityU', "", '{"entityUrn": "b"}', "not json"]
     (tmp_path / "log.json").write_text("\n".join(lines))
