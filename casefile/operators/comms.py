@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casefile.functions.stats import (is_integral, mean_from_sums, moment_sums, round_half_up,
@@ -104,18 +104,25 @@ def nearest_event_days(df: DataFrame, date_col: str, events: DataFrame,
                        event_col: str = "event_date", name: str = "days_to_event") -> DataFrame:
     """Min |days| from `date_col` to any event.
 
-    The event table is collapsed to one row holding its distinct dates (an
-    aggregate, not a driver collect) and joined as a broadcast one-row side.
-    Distinct DATE values are bounded by the calendar (about 36.5k per
-    century), whatever the size of the event table.
+    The days between the first and the last event get their distances from the
+    event before and the one after, by windows over a calendar; a row looks its
+    day up there.  Days outside are as far as the first or the last event is.
+    The calendar is bounded by its years (36.5k days a century), whatever the
+    size of the event table or of `df`; no row walks the events.
     """
-    ev = (events.select(F.col(event_col).cast("date").alias("_d")).distinct()
-                .agg(F.collect_list("_d").alias("_ev")))
-    d = F.col(date_col)
-    dist = F.array_min(F.transform("_ev", lambda e: F.abs(F.datediff(e, d))))
-    return (df.crossJoin(F.broadcast(ev))
-              .withColumn(name, dist.cast("long"))
-              .drop("_ev"))
+    ev = events.select(F.col(event_col).cast("date").alias("_day")).filter("_day is not null").distinct()
+    ends = ev.agg(F.min("_day").alias("_first"), F.max("_day").alias("_last"))  # one row
+    days = ends.filter("_first is not null").select(F.explode(F.sequence("_first", "_last")).alias("_day"))
+    marked = days.join(ev.withColumn("_event", F.col("_day")), "_day", "left")
+    upto = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
+    after = Window.orderBy("_day").rowsBetween(0, Window.unboundedFollowing)
+    near = marked.select("_day", F.least(F.datediff("_day", F.last("_event", True).over(upto)),
+                                         F.datediff(F.first("_event", True).over(after), "_day")).alias("_near"))
+    d = F.col(date_col).cast("date")
+    outside = F.least(F.abs(F.datediff(d, "_first")), F.abs(F.datediff(d, "_last")))
+    return (df.crossJoin(F.broadcast(ends)).join(F.broadcast(near), d == F.col("_day"), "left")
+              .withColumn(name, F.coalesce("_near", outside).cast("long"))
+              .drop("_day", "_near", "_first", "_last"))
 
 
 def first_event_scalar(df: DataFrame, date_col: str, events: DataFrame,

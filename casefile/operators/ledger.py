@@ -162,7 +162,35 @@ def lineage_walk_jobs(job_io: DataFrame, start: str, direction: str = "up", max_
     return _walk(first, hop, max_depth)
 
 
-def _walk(first: DataFrame, hop, max_depth: int | None) -> DataFrame:
+def lineage_reach(job_io: DataFrame, starts: DataFrame, direction: str = "down", max_depth: int | None = None,
+                  jobs: DataFrame | None = None) -> DataFrame:
+    """L4 for many starts at once: (source, dataset, depth, job), every dataset
+    that each of `starts` (dataset) reaches, with the least job of a shortest
+    way; with `jobs` (job, sql_text) also what that job ran.
+
+    One frontier for all sources: each round joins its distinct (dataset) with
+    the jobs and only then spreads to the sources, so a dataset that many
+    sources reach is expanded once.  A hub's rows are spread by AQE's split of
+    skewed joins; nothing is kept per source but its visited datasets.
+    """
+    near, far = ("out", "in") if direction == "up" else ("in", "out")
+    hop_in = job_io.filter(F.col("direction") == near).select("job", F.col("dataset").alias("_from")).distinct()
+    hop_out = job_io.filter(F.col("direction") == far).select("job", F.col("dataset").alias("_to")).distinct()
+
+    def hop(frontier: DataFrame) -> DataFrame:
+        at = frontier.select(F.col("dataset").alias("_from")).distinct()
+        # the steps from the frontier's datasets, whichever sources stand there
+        step = at.join(hop_in, "_from").join(hop_out, "job").groupBy("_from", "_to").agg(F.min("job").alias("job"))
+        return (frontier.select("source", F.col("dataset").alias("_from")).join(step, "_from")
+                .groupBy("source", F.col("_to").alias("dataset")).agg(F.min("job").alias("job")))
+
+    first = starts.select(F.col("dataset").alias("source")).distinct().select(
+        "source", F.col("source").alias("dataset"), F.lit(None).cast("string").alias("job"))
+    out = _walk(first, hop, max_depth, ("source", "dataset"))
+    return out if jobs is None else out.join(jobs.select("job", "sql_text"), "job", "left")
+
+
+def _walk(first: DataFrame, hop, max_depth: int | None, node: Sequence[str] = ("dataset",)) -> DataFrame:
     """Breadth-first until the frontier is empty (or `max_depth` hops): each
     round drops the visited nodes by an anti-join, so cycles end and a node
     appears once.  Frontier and visited nodes are checkpointed each round
@@ -171,7 +199,7 @@ def _walk(first: DataFrame, hop, max_depth: int | None) -> DataFrame:
     depth = 0
     while max_depth is None or depth < max_depth:
         depth += 1
-        frontier = (hop(frontier.select("dataset")).join(visited.select("dataset"), "dataset", "left_anti")
+        frontier = (hop(frontier.select(*node)).join(visited.select(*node), list(node), "left_anti")
                     .withColumn("depth", F.lit(depth)).select(first.columns + ["depth"]).checkpoint())
         if frontier.isEmpty():
             break

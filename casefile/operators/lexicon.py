@@ -144,6 +144,11 @@ def hunt_external_leakage(emails: DataFrame, recipients: DataFrame, events: Data
     the first event; one row per message x entity x external recipient."""
     hits = lexicon_mentions(emails, words, prefilter=prefilter, window=window,
                             keep=("id", "sent_at", "sender", "subject"))
+    return sent_outside(hits, recipients, events, suffix)
+
+
+def sent_outside(hits: DataFrame, recipients: DataFrame, events: DataFrame, suffix: str) -> DataFrame:
+    """H2 from mentions (id, sent_at, sender, subject, entity) on."""
     r = recipients.filter(~is_internal("addr", suffix) & F.col("addr").contains("@"))
     j = hits.join(r, hits.id == r.email_id)
     j = first_event_scalar(j, "sent_at", events)

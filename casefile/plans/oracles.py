@@ -87,6 +87,33 @@ oracle("unknown_right_side", """
 SELECT entity_b, CAST(sum(co_mentions) AS BIGINT) AS total FROM web WHERE NOT b_known
 GROUP BY 1 ORDER BY total DESC, entity_b LIMIT 10""", "web")
 oracle("hunt_external_leakage", "SELECT * FROM external_leakage", "external_leakage")
+_cte("entity_registry", r"""
+SELECT entity, bool_and(doc_id % 2 = 0) AS disclosed FROM (
+  SELECT doc_id, array_to_string(list_slice(w, 6, 7 + doc_id % 3), ' ') AS entity
+  FROM (SELECT doc_id, regexp_extract_all(lower(text), '[0-9a-z_]+') AS w FROM documents WHERE text IS NOT NULL) WHERE len(w) > 8)
+GROUP BY entity
+""")
+_cte("entity_places", r"""
+SELECT t.id, t.sent_at, t.sender, t.subject, r.entity, t.i, t.i + k AS e
+FROM (SELECT id, sent_at, sender, subject, i, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase
+      FROM (SELECT *, regexp_extract_all(lower(coalesce(subject, '') || ' ' || coalesce(body, '')), '[0-9a-z_]+') AS w FROM emails),
+           (VALUES (2), (3), (4)) v(k), unnest(range(1, len(w) - k + 2)) r(i)) t
+JOIN entity_registry r ON r.entity = t.phrase AND NOT r.disclosed
+""", "emails", "entity_registry")
+_cte("entity_mentions", """
+SELECT DISTINCT id, sent_at, sender, subject, entity FROM entity_places a
+WHERE NOT EXISTS (SELECT 1 FROM entity_places b WHERE b.id = a.id AND b.i <= a.i AND b.e >= a.e AND b.e - b.i > a.e - a.i)
+""", "entity_places")
+oracle("table_lexicon", """
+SELECT entity AS phrase, CAST(len(string_split(entity, ' ')) AS INTEGER) AS n_words, entity, split_part(entity, ' ', 1) AS first
+FROM entity_registry WHERE NOT disclosed""", "entity_registry")
+oracle("table_mentions", "SELECT id, entity FROM entity_mentions", "entity_mentions")
+oracle("table_leakage", """
+SELECT m.id AS email_id, m.sent_at, m.sender, m.subject, m.entity, r.addr AS external_recipient,
+       lower(split_part(r.addr, '@', 2)) AS external_domain,
+       ((SELECT min(event_date) FROM events_ref) - m.sent_at)::BIGINT AS days_before_disclosure
+FROM entity_mentions m JOIN recipients r ON r.email_id = m.id AND lower(split_part(r.addr, '@', -1)) <> 'corp.example'
+WHERE m.sent_at BETWEEN DATE '1995-01-01' AND DATE '2000-05-31'""", "entity_mentions", "recipients", "events_ref")
 oracle("leak_distinct_counts", """
 SELECT count(DISTINCT email_id) AS distinct_emails, count(DISTINCT external_recipient) AS distinct_addresses,
        count(DISTINCT email_id) FILTER (WHERE days_before_disclosure > 0) AS predisclosure_emails,
@@ -293,6 +320,19 @@ SELECT event_id, entity, modifier,
        entity AS table_name, string_split(modifier, ':')[-1] AS short_name
 FROM review_events""", "review_events")
 
+oracle("blast_radius", """
+, hop AS (SELECT i.dataset AS used, o.dataset AS made, min(i.job) AS job
+          FROM cat_job_io i JOIN cat_job_io o ON i.job = o.job WHERE i.direction = 'in' AND o.direction = 'out' GROUP BY ALL),
+  starts AS (SELECT DISTINCT dataset AS source FROM cat_terms WHERE value = 'Material'),
+  one AS (SELECT s.source, h.made AS dataset, min(h.job) AS job FROM starts s JOIN hop h ON h.used = s.source
+          WHERE h.made <> s.source GROUP BY ALL),
+  two AS (SELECT a.source, h.made AS dataset, min(h.job) AS job FROM one a JOIN hop h ON h.used = a.dataset
+          WHERE h.made <> a.source GROUP BY ALL),
+  walk AS (SELECT source, source AS dataset, CAST(NULL AS VARCHAR) AS job, 0 AS depth FROM starts
+           UNION ALL SELECT *, 1 FROM one UNION ALL SELECT *, 2 FROM two ANTI JOIN one USING (source, dataset))
+SELECT source, dataset, job, depth, 'select * from lineitem where l_orderkey = ' || substr(job, 2) AS sql_text FROM walk""",
+       "cat_job_io", "cat_terms")
+
 # ------------------------------------------------------------------ the ledger over runs
 _SOURCE = {table: src for _, table, _, _, src in _FINDINGS} | {"analytics.group_surge_messages": "exhibits"}
 _THIRD = ("no_rows", "no_sql", "no_inputs", "no_fields", "no_state")

@@ -52,6 +52,7 @@ from casefile.functions.text import (address_domain, address_user, message_excer
                                      search_text, week_bucket)
 from casefile.operators import governance as gov  # noqa: E402
 from casefile.operators import lexicon as lex  # noqa: E402
+from casefile.operators import phrase_lexicon as plex  # noqa: E402
 from casefile.operators import surge  # noqa: E402
 from casefile.sources.reference import glossary_table, web_entities  # noqa: E402
 
@@ -281,6 +282,29 @@ def q_hunt_external_leakage(spark, d):
     return leakage(spark, d)
 
 
+def table_lexicon(spark, d):
+    """The undisclosed entities of the registry, keyed by their first words."""
+    undisclosed = td.entity_table(spark, d).filter(~F.col("disclosed"))
+    return wh(spark, d).evidence("lexicon", lambda: plex.entries(undisclosed))
+
+
+@query("table_lexicon")
+def q_table_lexicon(spark, d):
+    return table_lexicon(spark, d)
+
+
+@query("table_mentions")
+def q_table_mentions(spark, d):
+    return plex.table_mentions(wh(spark, d).emails(), table_lexicon(spark, d))
+
+
+@query("table_leakage")
+def q_table_leakage(spark, d):
+    w = wh(spark, d)
+    hits = plex.table_mentions(w.emails(), table_lexicon(spark, d), window=P.leak_window, keep=("id", "sent_at", "sender", "subject"))
+    return lex.sent_outside(hits, w.recipients(), events_table(spark), P.internal_suffix)
+
+
 @query("leak_distinct_counts")
 def q_leak_distinct_counts(spark, d):
     return lex.leak_distinct_counts(ev(spark, d, "leakage"))
@@ -705,6 +729,14 @@ def q_lineage_walk(spark, d):
     return lg.lineage_walk_jobs(wh(spark, d).job_io(), P.lineage_start, "up")
 
 
+@query("blast_radius")
+def q_blast_radius(spark, d):
+    """What stands within two jobs downstream of every material dataset."""
+    c = catalog(spark, d)
+    starts = c["terms"].filter(F.col("value") == P.material_term).select("dataset")
+    return lg.lineage_reach(c["job_io"], starts, "down", 2, td.catalog_jobs(spark, d))
+
+
 @query("verify_trails")
 def q_verify_trails(spark, d):
     book = ledger(spark, d)

@@ -181,6 +181,23 @@ def catalog_job_io(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outs.unionByName(ins)
 
 
+def catalog_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(job, sql_text): what each job ran."""
+    key = F.col("o_orderkey").cast("string")
+    return read(spark, sf_dir, "orders").select(F.concat(F.lit("o"), key).alias("job"),
+                                                F.concat(F.lit("select * from lineitem where l_orderkey = "), key).alias("sql_text"))
+
+
+def entity_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registry of named entities (entity, disclosed): two to four words of
+    every document, from its sixth on; disclosed if no odd document has them."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[0-9a-z_]+"), F.lit(0))
+    named = F.array_join(F.slice(words, F.lit(6), (F.col("doc_id") % 3 + 2).cast("int")), " ")
+    return (read(spark, sf_dir, "documents").filter(F.col("text").isNotNull() & (F.size(words) > 8))
+            .select(named.alias("entity"), (F.col("doc_id") % 2 == 0).alias("_even"))
+            .groupBy("entity").agg(F.bool_and("_even").alias("disclosed")))
+
+
 # ----------------------------------------------------------------- review / transcripts
 
 REVIEW_MAP = {"purchase": "confirmed", "error": "rejected", "view": "pending-review",
