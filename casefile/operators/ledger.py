@@ -14,13 +14,14 @@ come from the evidence schema.  `run_ledger.RunLedger` keeps them over runs.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casefile.functions.text import safe_evidence_table, short_name
+from casefile.functions.text import safe_evidence_table, short_name, term_name
 
 LOGICAL = {"LongType": "number", "IntegerType": "number", "DoubleType": "number",
            "ShortType": "number", "FloatType": "number", "DecimalType": "number",
@@ -29,17 +30,43 @@ LOGICAL = {"LongType": "number", "IntegerType": "number", "DoubleType": "number"
 
 
 
+VERSION = "name string, version string, seq long, rows long"
+
+
 def materialize_evidence(df: DataFrame, name: str, root: str) -> DataFrame:
-    """S3: replace `<root>/<analytics.safe_name>` with `df`; returns
-    (name, rows) counted from the written files."""
+    """S3: replace `<root>/<analytics.safe_name>` with `df`; returns (name, rows).
+
+    The rows are written to a folder of their own and counted while they are;
+    then one row in `<root>/versions` makes it the evidence that `read_evidence`
+    reads.  A reader sees the whole old or the whole new rows, a write that
+    fails changes nothing, and earlier versions stay."""
     spark = df.sparkSession
     safe = spark.range(1).select(safe_evidence_table(F.lit(name)).alias("n")).first()["n"]
     if safe is None:
         raise ValueError(f"could not derive a table name from {name!r}")
-    path = f"{root.rstrip('/')}/{safe}"
-    df.write.mode("overwrite").parquet(path)
-    back = spark.read.parquet(path)
-    return back.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(safe).alias("name"), "rows")
+    root, version, seen = root.rstrip("/"), uuid.uuid4().hex, Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{root}/{safe}/{version}")
+    rows = seen.get.get("rows", 0)
+    spark.createDataFrame([], VERSION).write.mode("ignore").parquet(f"{root}/versions")
+    last = spark.read.schema(VERSION).parquet(f"{root}/versions").agg(F.max("seq")).first()[0] or 0
+    made = spark.createDataFrame([(safe, version, last + 1, rows)], VERSION)
+    made.coalesce(1).write.mode("append").parquet(f"{root}/versions")
+    return made.select("name", "rows")
+
+
+def evidence_versions(spark: SparkSession, root: str) -> DataFrame:
+    """(name, version, seq, rows, current): every set that was materialized, with
+    its row counts as observed when written."""
+    v = spark.read.schema(VERSION).parquet(f"{root.rstrip('/')}/versions")
+    return v.withColumn("current", F.col("seq") == F.max("seq").over(Window.partitionBy("name")))
+
+
+def read_evidence(spark: SparkSession, name: str, root: str) -> DataFrame:
+    """The current rows of an evidence set (`analytics.<safe name>`)."""
+    row = evidence_versions(spark, root).filter((F.col("name") == name) & F.col("current")).first()
+    if row is None:
+        raise ValueError(f"no evidence {name!r}")
+    return spark.read.parquet(f"{root.rstrip('/')}/{name}/{row['version']}")
 
 
 def schema_fields(spark: SparkSession, df: DataFrame, evidence_table: str) -> DataFrame:
@@ -252,6 +279,25 @@ def job_urn(job: F.Column) -> F.Column:
     return F.concat(F.lit("urn:casefile:job:"), job)
 
 
+def user_urn(name: F.Column) -> F.Column:
+    return F.concat(F.lit("urn:casefile:user:"), name)
+
+
+def term_urn(path: F.Column, term: F.Column) -> F.Column:
+    """A glossary term below the path of its node."""
+    return F.concat(F.lit("urn:casefile:term:"), path, F.lit("."), term)
+
+
+def entity_names(names: DataFrame) -> DataFrame:
+    """(kind, path, name) with its urn and what the urn is parsed back to,
+    for jobs, owners and terms (below a path)."""
+    name = F.col("name")
+    urn = (F.when(F.col("kind") == "job", job_urn(name)).when(F.col("kind") == "owner", user_urn(name))
+            .when(F.col("kind") == "term", term_urn(F.col("path"), name)))
+    parsed = F.when(F.col("kind") == "term", term_name(urn)).otherwise(short_name(urn))
+    return names.select("kind", "name", urn.alias("urn"), parsed.alias("parsed"))
+
+
 def urn_table(urn: F.Column) -> F.Column:
     """The table name inside a dataset urn (after the last ':')."""
     return F.element_at(F.split(urn, ":"), -1)
@@ -286,7 +332,7 @@ def export_ledger(findings: DataFrame, states: DataFrame, path: str) -> DataFram
     kinds = "title string, narrative string, evidence_dataset string, producing_task string, evidence_properties map<string,string>, hunt_id string"
     back = spark.read.schema(kinds).json(f"{path}/findings")
     # a file a finding, whole; the writer ends it with a line feed
-    texts = spark.read.schema("value string, hunt_id string, job string").option("wholetext", True).text(f"{path}/sql")
+    texts = spark.read.schema("value string, hunt_id string, job string").text(f"{path}/sql", wholetext=True)
     texts = texts.select(job_urn(F.col("job")).alias("producing_task"), F.regexp_replace("value", r"\n$", "").alias("sql_text"))
     props = F.col("evidence_properties")
     return back.join(texts, "producing_task").select(

@@ -227,6 +227,12 @@ SELECT {_DS.format(k='p_partkey')} AS dataset, 'Material' AS value FROM part
 WHERE p_type IN ('PROMO', 'LARGE')
 """)
 
+_cte("cat_fields", f"""
+SELECT {_DS.format(k='p_partkey')} AS dataset, CAST(i AS INTEGER) AS ordinal, 'f' || i AS field,
+       ['bigint', 'string', 'date', 'double'][i + 1] AS native_type
+FROM part, unnest(range(0, p_size % 5)) AS r(i)
+""")
+
 _cte("cat_owners", f"""
 SELECT DISTINCT {_DS.format(k='l_partkey')} AS dataset, concat('s', l_suppkey) AS value
 FROM lineitem WHERE l_linenumber = 1 AND l_quantity > 45

@@ -161,22 +161,36 @@ oracle("hunt_provenance_gaps", "SELECT * FROM provenance", "provenance")
 oracle("catalog_bootstrap", """
 SELECT dataset, 'platform' AS aspect, platform AS value FROM cat_datasets
 UNION ALL SELECT dataset, 'domain', domain FROM cat_datasets WHERE domain IS NOT NULL
+UNION ALL SELECT dataset, 'field', concat_ws(':', ordinal, field, native_type) FROM cat_fields
 UNION ALL SELECT dataset, 'owner', value FROM cat_owners
 UNION ALL SELECT dataset, 'tag', value FROM cat_tags
 UNION ALL SELECT dataset, 'term', value FROM cat_terms
 UNION ALL SELECT dataset, concat('job_', direction), job FROM cat_job_io""",
-       "cat_datasets", "cat_owners", "cat_tags", "cat_terms", "cat_job_io")
+       "cat_datasets", "cat_fields", "cat_owners", "cat_tags", "cat_terms", "cat_job_io")
 oracle("catalog_completeness", """
-SELECT dataset, has_domain, has_owner, has_tags, has_terms, has_producer,
-       concat_ws(', ', CASE WHEN NOT has_domain THEN 'domain' END, CASE WHEN NOT has_owner THEN 'owner' END,
+SELECT dataset, has_schema, has_domain, has_owner, has_tags, has_terms, has_producer,
+       concat_ws(', ', CASE WHEN NOT has_schema THEN 'schema' END, CASE WHEN NOT has_domain THEN 'domain' END,
+                 CASE WHEN NOT has_owner THEN 'owner' END,
                  CASE WHEN NOT has_tags THEN 'tags' END, CASE WHEN NOT has_terms THEN 'terms' END,
                  CASE WHEN NOT has_producer THEN 'producer' END) AS missing
 FROM (SELECT dataset, domain IS NOT NULL AS has_domain,
+             dataset IN (SELECT dataset FROM cat_fields) AS has_schema,
              dataset IN (SELECT dataset FROM cat_owners) AS has_owner,
              dataset IN (SELECT dataset FROM cat_tags) AS has_tags,
              dataset IN (SELECT dataset FROM cat_terms) AS has_terms,
              dataset IN (SELECT dataset FROM outputs) AS has_producer
-      FROM cat_datasets) x""", "cat_datasets", "cat_owners", "cat_tags", "cat_terms", "outputs")
+      FROM cat_datasets) x""", "cat_datasets", "cat_fields", "cat_owners", "cat_tags", "cat_terms", "outputs")
+oracle("catalog_entities", """
+SELECT 'user' AS kind, split_part(addr, '@', 1) AS name, concat(name, ', ', title, ' (', dept, '), ', addr) AS detail FROM registry
+UNION ALL SELECT 'term', n, n || ' data of the estate' FROM (VALUES ('Material'), ('PII'), ('Para')) g(n)
+UNION ALL SELECT 'domain', domain, CAST(count(DISTINCT dataset) AS VARCHAR) FROM cat_datasets WHERE domain IS NOT NULL GROUP BY domain""",
+       "registry", "cat_datasets")
+oracle("catalog_entity_names", """
+SELECT 'job' AS kind, job AS name, 'urn:casefile:job:' || job AS urn, job AS parsed FROM (SELECT DISTINCT job FROM cat_job_io)
+UNION ALL SELECT 'owner', value, 'urn:casefile:user:' || value, value FROM (SELECT DISTINCT value FROM cat_owners)
+UNION ALL SELECT 'term', value, concat('urn:casefile:term:estate.', domain, '.', value), value
+FROM (SELECT DISTINCT d.domain, t.value FROM cat_terms t JOIN cat_datasets d USING (dataset))""",
+       "cat_job_io", "cat_owners", "cat_terms", "cat_datasets")
 oracle("material_assets", """
 SELECT t.dataset, o.value AS owner FROM (SELECT DISTINCT dataset FROM cat_terms WHERE value = 'Material') t
 LEFT JOIN (SELECT DISTINCT dataset, value FROM cat_owners) o ON o.dataset = t.dataset""",
@@ -213,12 +227,13 @@ UNION ALL SELECT 'staging.recipients', count(*) FROM recipients
 UNION ALL SELECT 'staging.registry', count(*) FROM registry
 UNION ALL SELECT 'curated.comm_edges', count(*) FROM comm_edges
 UNION ALL SELECT 'catalog.datasets', count(*) FROM cat_datasets
+UNION ALL SELECT 'catalog.fields', count(*) FROM cat_fields
 UNION ALL SELECT 'catalog.tags', count(*) FROM cat_tags
 UNION ALL SELECT 'catalog.terms', count(*) FROM cat_terms
 UNION ALL SELECT 'catalog.owners', count(*) FROM cat_owners
 UNION ALL SELECT 'catalog.users', count(*) FROM cat_users
 UNION ALL SELECT 'catalog.job_io', count(*) FROM cat_job_io""",
-       "emails", "recipients", "registry", "comm_edges", "cat_datasets", "cat_tags", "cat_terms",
+       "emails", "recipients", "registry", "comm_edges", "cat_datasets", "cat_fields", "cat_tags", "cat_terms",
        "cat_owners", "cat_users", "cat_job_io")
 oracle("exhibit_counts", """
 SELECT count(*) AS edges, count(DISTINCT msg_id) AS distinct_messages,
@@ -286,6 +301,10 @@ _FINDING_CTES = ("comm_spikes", "external_leakage", "web", "orphaned", "provenan
 
 oracle("materialize_evidence",
        "SELECT 'analytics.group_surge' AS name, count(*) AS rows FROM comm_spikes", "comm_spikes")
+oracle("evidence_versions", """
+SELECT 'analytics.group_surge' AS name, 1::BIGINT AS seq, count(*) AS rows, false AS current, count(*) FILTER (WHERE flagged) AS read FROM comm_spikes
+UNION ALL SELECT 'analytics.term_web', 2, count(*), true, count(*) FROM web
+UNION ALL SELECT 'analytics.group_surge', 3, count(*), true, count(*) FROM comm_spikes WHERE flagged""", "comm_spikes", "web")
 oracle("record_finding", "\nUNION ALL ".join(_finding_sql(*f) for f in _FINDINGS), *_FINDING_CTES[:-1])
 oracle("record_exhibits", _EXHIBIT_FINDING, "exhibits")
 oracle("lineage_edges", """

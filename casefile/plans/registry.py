@@ -441,6 +441,11 @@ def q_catalog_bootstrap(spark, d):
     return gov.catalog_bootstrap(catalog(spark, d))
 
 
+@query("catalog_entities")
+def q_catalog_entities(spark, d):
+    return gov.catalog_entities(wh(spark, d).registry(), glossary_table(spark), catalog(spark, d)["datasets"])
+
+
 @query("catalog_completeness")
 def q_catalog_completeness(spark, d):
     return gov.catalog_completeness(catalog(spark, d))
@@ -705,8 +710,20 @@ def q_assertion_states(spark, d):
 
 @query("materialize_evidence")
 def q_materialize_evidence(spark, d):
-    return lg.materialize_evidence(spikes(spark, d), "group_surge",
-                                   work_path(spark, "evidence", uuid.uuid4().hex))
+    return lg.materialize_evidence(spikes(spark, d), "group_surge", work_path(spark, "evidence", uuid.uuid4().hex))
+
+
+@query("evidence_versions")
+def q_evidence_versions(spark, d):
+    """A set that is materialized twice, another in between, as read back."""
+    root = work_path(spark, "evidence", uuid.uuid4().hex)
+    tables = evidence(spark, d)
+    surge, web = tables["analytics.group_surge"], tables["analytics.term_web"]
+    for name, rows in (("group_surge", surge), ('"my".`term_web`', web), ("Analytics.group_surge", surge.filter("flagged"))):
+        lg.materialize_evidence(rows, name, root)
+    read = [lg.read_evidence(spark, n, root).agg(F.count(F.lit(1)).alias("read")).select(F.lit(n).alias("name"), "read")
+            for n in ("analytics.group_surge", "analytics.term_web")]
+    return lg.evidence_versions(spark, root).join(pf.union_all(read), "name").select("name", "seq", "rows", "current", "read")
 
 
 @query("record_finding")
@@ -765,6 +782,15 @@ def q_catalog_names(spark, d):
     return lg.catalog_names(events)
 
 
+@query("catalog_entity_names")
+def q_catalog_entity_names(spark, d):
+    c = catalog(spark, d)
+    row = lambda df, kind, path, name: df.select(F.lit(kind).alias("kind"), path.alias("path"), F.col(name).alias("name")).distinct()
+    terms = c["terms"].join(c["datasets"], "dataset").select(F.col("domain"), F.col("value"))
+    return lg.entity_names(pf.union_all([row(c["job_io"], "job", F.lit(""), "job"), row(c["owners"], "owner", F.lit(""), "value"),
+                                         row(terms, "term", F.concat(F.lit("estate."), "domain"), "value")]))
+
+
 # ------------------------------------------------------------------ review
 
 def review_log(spark, d):

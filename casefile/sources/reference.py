@@ -30,8 +30,7 @@ from pyspark.sql import types as T
 # review tags: confirmed, risk-flagged, rejected, pending-review
 # known aliases: que; glossary terms: Material, PII, Para
 # transcript marker words: the, und, que
-# repeat limit 3; budget turn 22; write tools: materialize_evidence,
-#   record_finding_tool; trace cut 600
+# repeat limit 3; budget turn 22; trace cut 600
 # ---------------------------------------------------------------------------
 
 
@@ -63,7 +62,6 @@ class Params:
     marker_words: tuple[str, ...] = ("the", "und", "que")
     repeat_limit: int = 3
     budget_turn: int = 22
-    write_tools: tuple[str, ...] = ("materialize_evidence", "record_finding_tool")
     trace_cut: int = 600
     lineage_start: str = "part.p1"
     extra: dict = field(default_factory=dict)
@@ -97,4 +95,5 @@ def web_entities(spark: SparkSession, params: Params = TESTDATA) -> DataFrame:
 
 
 def glossary_table(spark: SparkSession, terms=TESTDATA.glossary) -> DataFrame:
-    return spark.createDataFrame([(t,) for t in terms], "name string")
+    """Glossary terms (name, definition)."""
+    return spark.createDataFrame([(t, f"{t} data of the estate") for t in terms], "name string, definition string")

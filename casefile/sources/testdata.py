@@ -149,6 +149,17 @@ def catalog_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
         dataset_name(F.col("p_partkey")).alias("dataset"), F.lit("Material").alias("value"))
 
 
+def catalog_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(dataset, ordinal, field, native_type): the remainder of the size by five
+    gives the number of fields; every fifth dataset has no schema."""
+    p = read(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") % 5).cast("int").alias("n")).filter("n > 0")
+    kinds = F.array(*[F.lit(k) for k in ("bigint", "string", "date", "double")])
+    return p.select(dataset_name(F.col("p_partkey")).alias("dataset"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("ordinal"),
+                    F.lit("f").alias("field"), kinds.alias("kinds")).select(
+        "dataset", "ordinal", F.concat("field", F.col("ordinal").cast("string")).alias("field"),
+        F.get("kinds", F.col("ordinal")).alias("native_type"))
+
+
 def catalog_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem")
     return (li.filter((F.col("l_linenumber") == 1) & (F.col("l_quantity") > 45))

@@ -126,6 +126,7 @@ class Warehouse:
         s, d = self.spark, self.sf_dir
         return {
             "datasets": td.catalog_datasets(s, d),
+            "fields": td.catalog_fields(s, d),
             "tags": td.catalog_tags(s, d),
             "terms": td.catalog_terms(s, d),
             "owners": td.catalog_owners(s, d),

@@ -101,3 +101,29 @@ def test_trails_tell_each_missing_part(spark, book):
         cut = [t.limit(0) if n == part else t for n, t in zip(names, tables(), strict=True)]
         row = lg.verify_trails(*cut).first()
         assert [c for c in row.asDict() if c.startswith("has_") and not row[c]] == [column]
+
+
+def test_evidence_is_replaced_whole(spark, tmp_path):
+    root = f"{tmp_path}/evidence"
+    good = spark.range(5)
+    assert lg.materialize_evidence(good, "my set!", root).first().asDict() == {"name": "analytics.my_set", "rows": 5}
+    with pytest.raises(Exception):  # fails in a task, when a part of the rows may be written
+        lg.materialize_evidence(spark.range(0, 9, 1, 3).selectExpr("id", "if(id = 8, raise_error('torn'), id) AS x"), "my set!", root)
+    assert lg.read_evidence(spark, "analytics.my_set", root).count() == 5
+    lg.materialize_evidence(good.limit(0), "my_set", root)
+    assert lg.read_evidence(spark, "analytics.my_set", root).count() == 0
+    assert counts(lg.evidence_versions(spark, root), "seq", "rows", "current") == [(1, 5, False), (2, 0, True)]
+    with pytest.raises(ValueError):
+        lg.materialize_evidence(good, " '' ", root)
+    with pytest.raises(ValueError):
+        lg.read_evidence(spark, "analytics.other", root)
+
+
+def test_export_gives_whole_texts_back(spark, tmp_path):
+    text = "select 1\n\n-- 'two'\n\tfrom x;\n"
+    records = finding(spark, 2, "r1")["findings"].withColumn("sql_text", lg.F.lit(text))
+    bare = finding(spark, 0, "r1", "analytics.b", hunt="other", confidence=None, tags=[])["findings"].withColumn("sql_text", lg.F.lit(None).cast("string"))
+    states = spark.createDataFrame([("analytics.a", "confirmed")], "entity string, state string")
+    got = {r["hunt_id"]: r for r in lg.export_ledger(records.unionByName(bare), states, f"{tmp_path}/out").collect()}
+    assert got["h"]["sql_text"] == text and got["h"]["review_state"] == "confirmed" and got["h"]["narrative"] == "n"
+    assert got["other"]["sql_text"] == "" and got["other"]["review_state"] == "unknown" and got["other"]["evidence_rows"] == 0
