@@ -333,7 +333,7 @@ def export_ledger(findings: DataFrame, states: DataFrame, path: str) -> DataFram
     back = spark.read.schema(kinds).json(f"{path}/findings")
     # a file a finding, whole; the writer ends it with a line feed
     texts = spark.read.schema("value string, hunt_id string, job string").text(f"{path}/sql", wholetext=True)
-    texts = texts.select(job_urn(F.col("job")).alias("producing_task"), F.regexp_replace("value", r"\n$", "").alias("sql_text"))
+    texts = texts.select(job_urn(F.col("job")).alias("producing_task"), F.regexp_replace("value", r"\n\z", "").alias("sql_text"))
     props = F.col("evidence_properties")
     return back.join(texts, "producing_task").select(
         "hunt_id", "title", "narrative", "evidence_dataset", "producing_task", props["review_state"].alias("review_state"),
