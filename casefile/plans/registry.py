@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from casefile.operators import comms, staging
 from casefile.sources import testdata as td
+from casefile.sources.colocated import in_window
 from casefile.sources.reference import TESTDATA as P
 from casefile.sources.reference import events_table
 from casefile.sources.warehouse import Warehouse
@@ -140,6 +141,27 @@ def q_weekly_edges(spark, d):
     return staging.weekly_edges(w.emails(), w.recipients())
 
 
+@query("colocated_join")
+def q_colocated_join(spark, d):
+    messages, recipients = wh(spark, d).colocated()
+    return staging.message_recipient_join(messages.select("id", "msg_id", "sender", "sent_at"), recipients.select("email_id", "addr"))
+
+
+@query("colocated_weekly_edges")
+def q_colocated_weekly_edges(spark, d):
+    messages, recipients = wh(spark, d).colocated()
+    window = in_window("1996-01-01", "1999-12-31")
+    return staging.weekly_edges(messages.filter(window), recipients.filter(window).select("email_id", "addr"))
+
+
+@query("colocated_leakage")
+def q_colocated_leakage(spark, d):
+    messages, recipients = wh(spark, d).colocated()
+    window = in_window(*P.leak_window)
+    return lex.hunt_external_leakage(messages.filter(window), recipients.filter(window).select("email_id", "addr"), events_table(spark),
+                                     P.leak_lexicon, window=P.leak_window, suffix=P.internal_suffix)
+
+
 # ------------------------------------------------------------------ comms (J2, G2, G3, J5, A1, J6, J7, H1x, S5)
 
 def xseries(spark, d):

@@ -23,6 +23,7 @@ gate instead of being recomputed by each of them.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,7 @@ from casefile.operators.staging import (EMAIL_COLUMNS, explode_recipients, stage
                                         weekly_edges_from_edges)
 from casefile.session import ensure_session_settings, work_path
 from casefile.sources import testdata as td
+from casefile.sources.colocated import lay_out
 
 _CACHE: dict[tuple[str, str], "Warehouse"] = {}
 
@@ -111,6 +113,11 @@ class Warehouse:
         """An investigation result, written once under evidence/<name>."""
         return self._staged(f"evidence/{name}", build)
 
+    def colocated(self, buckets: int = 32) -> tuple[DataFrame, DataFrame]:
+        """Messages and recipients bucketed by message id, in folders by year."""
+        root = work_path(self.spark, "colocated", uuid.uuid4().hex)
+        return self.once("colocated", lambda: lay_out(self.spark, self.emails(), self.message_edges(), root, buckets))
+
     def once(self, name: str, build):
         """Something that is built once an application and folder, as a ledger."""
         if name not in self._made:
