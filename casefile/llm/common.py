@@ -24,7 +24,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def small_batches(spark: SparkSession) -> None:
     """Texts go to Python in batches of a few MB, whatever their lengths; an
-    executor may run many Python workers beside its heap."""
+    executor may run many Python workers beside its heap.  Sets this option of
+    the session, which keeps it."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
 
 

@@ -35,7 +35,8 @@ def _small_star(links: DataFrame) -> DataFrame:
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """(node, label): the least node of the component of every node that has a
-    link.  `links`: (a, b) of longs, either way round; loops are ignored."""
+    link.  `links`: (a, b) of longs, either way round; loops and links with a
+    null end are ignored, and no links give no rows."""
     now = written(spark, links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                   .distinct(), "links")
     mark = None
