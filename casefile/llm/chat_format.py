@@ -90,8 +90,8 @@ CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    probe = spark.createDataFrame([(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)],
-                                  "conv_id long, turn long, role string, text string")
+    probe = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TEXT).alias("text"))
     out = formatted(told.unionByName(probe)).select(
         "conv_id", "formatted", parsed(F.col("formatted")).alias("turns"), loss_text(F.col("segments")).alias("loss"))
     told_again = F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
