@@ -5,10 +5,11 @@ An entry occurs where its words stand one after another, whatever other
 characters are between them; words are runs of ASCII letters, digits and
 underscores of the lower-cased text, as for the regex lexicon.  Entries are
 keyed by their first word: a token meets the lengths that entries beginning
-with it have, and for each of them reads that many words off the text and
-joins with the entry that they are.  Work follows the tokens, not the entries,
-and the text is never shuffled: tokens pass a table of at most HASHES hashed
-first words before the words behind them are cut out.
+with it have, and for each of them reads that many words off the text.  Work
+follows the tokens, not the entries, and neither text nor tokens are shuffled:
+they pass a table of at most HASHES hashed first words, then the words read
+pass a table of BITS bits, in which each entry has set one; only what is left
+meets the entries, by the whole of its words.
 
 Of the entries found in a message one that lies inside a longer one is left
 out.  Defined cases: null subjects and bodies are empty; entries without a
@@ -27,6 +28,8 @@ from casefile.operators.staging import date_window_filter
 
 #: Rows of the table that tokens are filtered with before the lexicon itself.
 HASHES = 1 << 16
+#: Bits of the table that the words of a place are filtered with, 64 a row.
+BITS = 1 << 24
 
 
 def words(text: Column) -> Column:
@@ -45,22 +48,28 @@ def _hash(word: Column) -> Column:
     return F.pmod(F.xxhash64(word), F.lit(HASHES))
 
 
+def _bit(phrase: Column) -> Column:
+    return F.pmod(F.xxhash64(phrase), F.lit(BITS))
+
+
 def occurrences(emails: DataFrame, lexicon: DataFrame, *, window: tuple[str | None, str | None] | None = None,
                 keep: Sequence[str] = ("id",)) -> DataFrame:
     """(keep..., entity, pos, n_words): every place of every entry of `lexicon`
     (as `entries` makes it)."""
     e = emails if window is None or window == (None, None) else date_window_filter(emails, "sent_at", *window)
     text = e.select(*keep, words(search_text("subject", "body")).alias("_words"))
-    # at most HASHES rows of two numbers: a proven bound
-    hashes = lexicon.groupBy(_hash(F.col("first")).alias("_hash")).agg(F.max("n_words").alias("_longest"))
+    # at most HASHES rows, with the lengths of a registry's entries; at most BITS / 64 rows of two numbers
+    hashes = lexicon.groupBy(_hash(F.col("first")).alias("_hash")).agg(F.collect_set("n_words").alias("_lengths"))
+    bits = (lexicon.select(_bit(F.col("phrase")).alias("_bit")).groupBy(F.expr("_bit div 64").alias("_row"))
+            .agg(F.expr("bit_or(shiftleft(1L, cast(_bit % 64 as int)))").alias("_bits")))
     tokens = (text.select(*keep, "_words", F.posexplode("_words").alias("pos", "first")).withColumn("_hash", _hash(F.col("first")))
               .join(F.broadcast(hashes), "_hash")
-              .select(*keep, "pos", "first", F.array_join(F.slice("_words", F.col("pos") + 1, F.col("_longest")), " ").alias("_behind")))
-    # as many lengths a first word as there are
-    lengths = lexicon.groupBy("first").agg(F.collect_set("n_words").alias("_lengths"))
-    read = (tokens.join(lengths, "first").withColumn("n_words", F.explode("_lengths"))
-            .withColumn("phrase", F.array_join(F.slice(F.split("_behind", " "), F.lit(1), F.col("n_words")), " ")))
-    # at a text's end fewer words may be left: another entry's
+              .select(*keep, "_words", "pos", F.explode("_lengths").alias("n_words"))
+              # at a text's end fewer words may be left
+              .filter(F.col("pos") + F.col("n_words") <= F.size("_words")))
+    read = (tokens.select(*keep, "pos", "n_words", F.array_join(F.slice("_words", F.col("pos") + 1, F.col("n_words")), " ").alias("phrase"))
+            .withColumn("_bit", _bit(F.col("phrase"))).withColumn("_row", F.expr("_bit div 64"))
+            .join(F.broadcast(bits), "_row").filter(F.expr("getbit(_bits, cast(_bit % 64 as int)) = 1")))
     return read.join(lexicon.select("phrase", "n_words", "entity"), ["phrase", "n_words"]).select(*keep, "entity", "pos", "n_words")
 
 

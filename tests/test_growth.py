@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from casefile import session
+from casefile.operators import phrase_lexicon
 
 
 def _plan(df):
@@ -33,3 +34,13 @@ def test_shuffles_have_partitions_for_the_input(spark, tmp_path, monkeypatch):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_few_words_meet_the_entries(spark):
+    entries = phrase_lexicon.entries(spark.createDataFrame([("red fox",), ("red fox hunt",), ("one",)], "entity string"))
+    emails = spark.createDataFrame([(1, "Red  fox", "hunt; red dog one"), (2, None, "red"), (3, "", None)],
+                                   "id long, subject string, body string")
+    found = phrase_lexicon.occurrences(emails, entries)
+    assert {(r.id, r.entity, r.pos) for r in found.collect()} == {(1, "red fox", 0), (1, "red fox hunt", 0), (1, "one", 5)}
+    # the words of a place are joined once, as a whole: no exchange by their first word
+    assert "Exchange hashpartitioning(first" not in _plan(found.select("id"))
