@@ -124,6 +124,10 @@ def review_states(tag_events: DataFrame, precedence: Sequence[str] = BOARD_PRECE
 
 #: Letters of the pieces that names are indexed by.
 GRAM = 3
+#: Letters of a longer key that it is looked up by, before it is compared.
+LOOKED_UP = 64
+#: Rows of the table that says which lengths are asked for behind a piece.
+HASHES = 1 << 16
 
 
 def _grams(text: Column, gram: int) -> Column:
@@ -139,11 +143,13 @@ def resolve_finding_keys(keys: DataFrame, evidence_sets: DataFrame, key_col: str
     """Each command key must be a substring of the name of exactly one
     evidence set, or of the id of its hunt if `hunt_col` gives it.
 
-    Names are indexed by their pieces of `gram` letters, of which a name has no
-    more than letters.  A key is looked up by its rarest piece alone and then
-    compared with the names that have it; keys shorter than a piece are looked
-    up in an index of all shorter pieces.  Names that several keys ask for and
-    keys that many names hold are counted, not listed.  Output: key, n_matches,
+    Where a name has a piece of `gram` letters that keys begin with, as many
+    letters are read off it as these keys have, and joined with the keys that
+    they are: rows are matches, and no key meets a name only for a piece that
+    the two share.  Of keys longer than LOOKED_UP the beginning is joined and
+    the whole then compared; keys shorter than a piece are looked up in an
+    index of all shorter pieces.  Names that several keys ask for and keys that
+    many names hold are counted, not listed.  Output: key, n_matches,
     resolved, status; a null or empty key matches nothing.
     """
     k = keys.select(F.col(key_col).alias("key")).distinct()
@@ -151,13 +157,19 @@ def resolve_finding_keys(keys: DataFrame, evidence_sets: DataFrame, key_col: str
         F.col(name_col), *([F.col(hunt_col)] if hunt_col else [])))).alias("_texts")).distinct()
     texts = names.select("_set", F.explode("_texts").alias("_text"))
     short = F.char_length("key") < gram
-    # long keys: by the piece of theirs that the fewest names have
-    index = texts.select("_set", "_text", F.explode(_grams(F.col("_text"), gram)).alias("_piece"))
-    often = index.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n"))
-    asked = k.filter(~short).select("key", F.explode(_grams(F.col("key"), gram)).alias("_piece"))
-    rarest = (asked.join(often, "_piece", "left").groupBy("key")
-              .agg(F.min_by("_piece", F.struct(F.coalesce("_n", F.lit(0)), "_piece")).alias("_piece")))
-    found = index.join(rarest, "_piece").filter(F.contains(F.col("_text"), F.col("key"))).select("key", "_set")
+    # long keys: as many letters as are asked for behind their first piece; the table has HASHES
+    # rows at most, with lengths of no more than LOOKED_UP
+    hashed = lambda piece: F.pmod(F.xxhash64(piece), F.lit(HASHES))
+    long = k.filter(~short).withColumn("_look", F.substring("key", 1, max(LOOKED_UP, gram)))
+    asked = (long.groupBy(hashed(F.substring("key", 1, gram)).alias("_hash"))
+             .agg(F.collect_set(F.char_length("_look")).alias("_lengths")))
+    places = F.explode(F.sequence(F.lit(1), F.char_length("_text") - gram + 1)).alias("_at")
+    index = (texts.filter(F.char_length("_text") >= gram).select("_set", "_text", places)
+             .withColumn("_hash", hashed(F.substring(F.col("_text"), F.col("_at"), F.lit(gram)))).join(F.broadcast(asked), "_hash")
+             .select("_set", "_text", "_at", F.explode("_lengths").alias("_length"))
+             .filter(F.col("_at") + F.col("_length") <= F.char_length("_text") + 1)
+             .select("_set", "_text", F.substring(F.col("_text"), F.col("_at"), F.col("_length")).alias("_look")))
+    found = index.join(long, "_look").filter(F.contains(F.col("_text"), F.col("key"))).select("key", "_set")
     # short keys: every piece of one letter to gram - 1, of which a name has gram - 1 times its letters
     pieces = F.array_distinct(F.flatten(F.array(*[_grams(F.col("_text"), n) for n in range(1, gram)]))) if gram > 1 else F.array()
     small = texts.select("_set", F.explode(pieces).alias("key")).join(k.filter(short), "key").select("key", "_set")

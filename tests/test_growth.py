@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from casefile import session
-from casefile.operators import phrase_lexicon
+from casefile.operators import phrase_lexicon, review
 
 
 def _plan(df):
@@ -36,6 +36,16 @@ def test_shuffles_have_partitions_for_the_input(spark, tmp_path, monkeypatch):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_keys_meet_the_names_that_hold_them_alone(spark):
+    long = "abc" * 40
+    names = [f"set{i:04d}" for i in range(300)] + [long, long[:70] + "!", "ab", "", None]
+    sets = spark.createDataFrame([(n, n) for n in names], "entity string, hunt string")
+    keys = [f"set{i:04d}" for i in range(300)] + ["set", "et0", "ab", "b", long, long[:66], long[:64] + "?", "", None]
+    got = {r.key: r.n_matches for r in review.resolve_finding_keys(
+        spark.createDataFrame([(k,) for k in keys], "key string"), sets, hunt_col="hunt").collect()}
+    assert got == {k: len({n for n in names if k and n and k in n}) for k in keys}
+
+
 def test_few_words_meet_the_entries(spark):
     entries = phrase_lexicon.entries(spark.createDataFrame([("red fox",), ("red fox hunt",), ("one",)], "entity string"))
     emails = spark.createDataFrame([(1, "Red  fox", "hunt; red dog one"), (2, None, "red"), (3, "", None)],
