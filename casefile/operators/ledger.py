@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casefile.functions.text import safe_evidence_table, short_name, term_name
+from casefile.session import partitions, work_path
 
 LOGICAL = {"LongType": "number", "IntegerType": "number", "DoubleType": "number",
            "ShortType": "number", "FloatType": "number", "DecimalType": "number",
@@ -174,12 +175,13 @@ def lineage_walk_jobs(job_io: DataFrame, start: str, direction: str = "up", max_
 
     Reaches what `lineage_walk(lineage_edges(job_io), ...)` reaches but never
     builds the input x output pairs of a job: each hop is two equi-joins on
-    `job_io` with the frontier reduced to distinct jobs in between, so the
-    work per round is proportional to the frontier's own associations.
+    `job_io` with the frontier reduced to distinct jobs in between.  The two
+    sides are written once, bucketed by what a hop joins them on, so a round
+    shuffles its frontier and what that reaches, never the graph.
     """
     near, far = ("out", "in") if direction == "up" else ("in", "out")
-    hop_in = job_io.filter(F.col("direction") == near).select("job", F.col("dataset").alias("_from"))
-    hop_out = job_io.filter(F.col("direction") == far).select("job", F.col("dataset").alias("_to"))
+    hop_in = _bucketed(job_io.filter(F.col("direction") == near).select("job", F.col("dataset").alias("_from")), "_from")
+    hop_out = _bucketed(job_io.filter(F.col("direction") == far).select("job", F.col("dataset").alias("_to")), "job")
 
     def hop(frontier: DataFrame) -> DataFrame:
         jobs = frontier.join(hop_in, frontier.dataset == hop_in._from).select("job").distinct()
@@ -217,20 +219,35 @@ def lineage_reach(job_io: DataFrame, starts: DataFrame, direction: str = "down",
     return out if jobs is None else out.join(jobs.select("job", "sql_text"), "job", "left")
 
 
+def _bucketed(df: DataFrame, key: str) -> DataFrame:
+    """`df`, written, bucketed by `key`; an external table of the session's catalog."""
+    name, n = f"casefile_walk_{uuid.uuid4().hex[:12]}", partitions(df.sparkSession)
+    (df.repartition(n, key).write.bucketBy(n, key).sortBy(key)
+       .option("path", work_path(df.sparkSession, "walk", name)).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def _walk(first: DataFrame, hop, max_depth: int | None, node: Sequence[str] = ("dataset",)) -> DataFrame:
     """Breadth-first until the frontier is empty (or `max_depth` hops): each
     round drops the visited nodes by an anti-join, so cycles end and a node
-    appears once.  Frontier and visited nodes are checkpointed each round
-    (reliable checkpoint under spark.checkpoint.dir)."""
-    visited = frontier = first.withColumn("depth", F.lit(0))
+    appears once.  A round writes its frontier to a folder of its own under
+    spark.checkpoint.dir; the visited nodes are the folders so far, and no row
+    is written twice."""
+    spark = first.sparkSession
+    root = work_path(spark, "walk", uuid.uuid4().hex)
+
+    def written(df: DataFrame, depth: int) -> DataFrame:
+        df.write.parquet(f"{root}/{depth}")
+        return spark.read.schema(first.schema).parquet(f"{root}/{depth}").withColumn("depth", F.lit(depth))
+
+    visited = frontier = written(first, 0)
     depth = 0
     while max_depth is None or depth < max_depth:
         depth += 1
-        frontier = (hop(frontier.select(*node)).join(visited.select(*node), list(node), "left_anti")
-                    .withColumn("depth", F.lit(depth)).select(first.columns + ["depth"]).checkpoint())
+        frontier = written(hop(frontier.select(*node)).join(visited.select(*node), list(node), "left_anti").select(first.columns), depth)
         if frontier.isEmpty():
             break
-        visited = visited.unionByName(frontier).checkpoint()
+        visited = visited.unionByName(frontier)
     return visited
 
 

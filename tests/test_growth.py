@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from casefile import session
-from casefile.operators import phrase_lexicon, review
+from casefile.operators import ledger, phrase_lexicon, review
 
 
 def _plan(df):
@@ -46,6 +46,19 @@ def test_keys_meet_the_names_that_hold_them_alone(spark):
     assert got == {k: len({n for n in names if k and n and k in n}) for k in keys}
 
 
+def test_a_hop_reads_the_graph_without_an_exchange(spark, monkeypatch):
+    io = spark.createDataFrame([(f"j{i}", d, f"d{i + (d == 'out')}") for i in range(6) for d in ("in", "out")],
+                               "job string, direction string, dataset string")
+    made = []
+    plain = ledger._bucketed
+    monkeypatch.setattr(ledger, "_bucketed", lambda df, key: made.append((plain(df, key), key)) or made[-1][0])
+    got = {(r.dataset, r.depth, r.job) for r in ledger.lineage_walk_jobs(io, "d6").collect()}
+    assert got == {("d6", 0, None), *((f"d{i}", 6 - i, f"j{i}") for i in range(6))}
+    table, key = made[0]
+    joined = spark.createDataFrame([("d1",)], "dataset string").join(table.hint("merge"), F.col("dataset") == F.col(key))
+    assert _plan(joined).count("Exchange hashpartitioning") == 1
+
+
 def test_few_words_meet_the_entries(spark):
     entries = phrase_lexicon.entries(spark.createDataFrame([("red fox",), ("red fox hunt",), ("one",)], "entity string"))
     emails = spark.createDataFrame([(1, "Red  fox", "hunt; red dog one"), (2, None, "red"), (3, "", None)],
