@@ -117,3 +117,63 @@ def test_state_is_bounded_by_the_horizon(n):
         frame = pd.DataFrame({"us": [i * 3_600_000_000], "event_id": [i], "kind": [TAGS[i % 3]]})
         list(machine(("a",), iter([frame]), state))
     assert len(rs.json.loads(state.value[5])) == 24
+
+
+def test_findings_share_a_group_and_keep_their_own_state(spark, tmp_path):
+    """Many findings are few groups; a shard decides as its findings alone would."""
+    rng = random.Random(5)
+    rows = [(i, at(rng.random() * 20), f"f{rng.randrange(40)}", rng.choice(TAGS)) for i in range(400)]
+    names = sorted({r[2] for r in rows})
+    parts = [[r for r in rows if at(5 * i) <= r[1] < at(5 * i + 5)] for i in range(4)]
+    calls = spark.sparkContext.accumulator(0)
+    plain = rs.shard_machine
+
+    def counted(horizon, shards):
+        machine = plain(horizon, shards)
+
+        def run(key, frames, state):
+            calls.add(1)
+            yield from machine(key, frames, state)
+        return run
+
+    got = []
+    for shards in (1, 3):
+        root = tmp_path / str(shards)
+        rs.shard_machine = counted
+        try:
+            for part in [*[events(spark, p) for p in parts], closing(spark, names)]:
+                part.write.mode("append").parquet(f"{root}/events")
+                rs.run_available(spark, f"{root}/events", f"{root}/out", f"{root}/ckpt", 2, shards)
+        finally:
+            rs.shard_machine = plain
+        got.append(sorted(map(str, spark.read.schema(rs.DECISION).parquet(f"{root}/out").collect())))
+    assert calls.value <= 5 * (1 + 3)
+    assert got[0] == got[1] and len(got[0]) == 400
+
+    class State:
+        exists, value = False, None
+
+        def update(self, v):
+            self.exists, self.value = True, v
+
+        get = property(lambda self: self.value)
+
+    import pandas as pd
+    alone = []
+    for name in names:
+        state, machine = State(), rs.state_machine(2)
+        for p in [*parts, None]:
+            own = [r for r in p if r[2] == name] if p is not None else [(-1, at(5000), name, rs.CLOSING)]
+            frame = pd.DataFrame({"us": [round((r[1] - dt.datetime(1970, 1, 1)) / dt.timedelta(microseconds=1)) for r in own],
+                                  "event_id": [r[0] for r in own], "kind": [r[3] for r in own]})
+            alone += [tuple(r)[:2] + tuple(r)[3:] for f in machine((name,), iter([frame]), state) for r in f.itertuples(index=False)]
+    out = spark.read.schema(rs.DECISION).parquet(f"{tmp_path}/3/out").drop("at").collect()
+    assert sorted(map(str, alone)) == sorted(str(tuple(r)) for r in out)
+
+
+def test_the_number_of_shards_stays_that_of_the_checkpoint():
+    class State:
+        exists, get = True, (4, "{}")
+
+    with pytest.raises(ValueError, match="4 shards, not 5"):
+        list(rs.shard_machine(2, 5)((0,), iter([]), State()))
