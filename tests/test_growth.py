@@ -1,5 +1,7 @@
 """What must not grow with the input: broadcasts, a task's rows, what a lookup or a hop shuffles."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from casefile import session
@@ -67,3 +69,16 @@ def test_few_words_meet_the_entries(spark):
     assert {(r.id, r.entity, r.pos) for r in found.collect()} == {(1, "red fox", 0), (1, "red fox hunt", 0), (1, "one", 5)}
     # the words of a place are joined once, as a whole: no exchange by their first word
     assert "Exchange hashpartitioning(first" not in _plan(found.select("id"))
+
+
+def test_no_message_is_shuffled_by_its_week(spark):
+    from casefile.operators import comms
+    days = [dt.date(2000, 1, 3) + dt.timedelta(days=i % 21) for i in range(60)]
+    emails = spark.createDataFrame([(i, f"m{i}", "a@x", d, "s", "body", "b", "f") for i, d in enumerate(days)],
+                                   "id long, msg_id string, sender string, sent_at date, subject string, body string, mailbox string, folder string")
+    recipients = spark.createDataFrame([(i, "b@x") for i in range(60)], "email_id long, addr string")
+    registry = spark.createDataFrame([("a@x", "A"), ("b@x", "B")], "addr string, dept string")
+    weeks = spark.createDataFrame([(dt.date(2000, 1, 10),), (dt.date(2000, 1, 10),), (None,)], "week date")
+    out = comms.hunt_exhibits(emails, recipients, registry, group_a=["A"], group_b=["B"], weeks=weeks)
+    assert "Exchange hashpartitioning(_week" not in _plan(out).split("BroadcastExchange")[0]
+    assert {r.msg_id for r in out.collect()} == {f"m{i}" for i, d in enumerate(days) if dt.date(2000, 1, 10) <= d < dt.date(2000, 1, 17)}
