@@ -71,6 +71,12 @@ def test_few_words_meet_the_entries(spark):
     assert "Exchange hashpartitioning(first" not in _plan(found.select("id"))
 
 
+def test_emails_do_not_wait_for_the_recipient_lists(spark, sf_small):
+    from casefile.sources.warehouse import Warehouse
+    emails = _plan(Warehouse(spark, sf_small, materialize=False).emails().select("id", "subject", "body", "sent_at"))
+    assert "orders.parquet" in emails and "lineitem.parquet" not in emails and "collect_list" not in emails
+
+
 def test_no_message_is_shuffled_by_its_week(spark):
     from casefile.operators import comms
     days = [dt.date(2000, 1, 3) + dt.timedelta(days=i % 21) for i in range(60)]
