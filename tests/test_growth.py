@@ -77,6 +77,16 @@ def test_emails_do_not_wait_for_the_recipient_lists(spark, sf_small):
     assert "orders.parquet" in emails and "lineitem.parquet" not in emails and "collect_list" not in emails
 
 
+def test_buckets_are_made_without_a_second_exchange(spark, sf_small):
+    from casefile.functions.text import safe_date
+    from casefile.sources import testdata
+    assert _plan(testdata.message_headers(spark, sf_small, 9)).count("Exchange hashpartitioning") == 2  # orders, documents
+    lines = _plan(testdata.message_lines(spark, sf_small, safe_date, 9))
+    assert lines.count(", 9), REPARTITION") == 2 and lines.count("Exchange hashpartitioning") == 4  # the suppliers' join too
+    # a date is parsed once a message, before the lines
+    assert lines.index("regexp_extract") > lines.index("SortMergeJoin")
+
+
 def test_no_message_is_shuffled_by_its_week(spark):
     from casefile.operators import comms
     days = [dt.date(2000, 1, 3) + dt.timedelta(days=i % 21) for i in range(60)]
