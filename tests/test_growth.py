@@ -98,3 +98,25 @@ def test_no_message_is_shuffled_by_its_week(spark):
     out = comms.hunt_exhibits(emails, recipients, registry, group_a=["A"], group_b=["B"], weeks=weeks)
     assert "Exchange hashpartitioning(_week" not in _plan(out).split("BroadcastExchange")[0]
     assert {r.msg_id for r in out.collect()} == {f"m{i}" for i, d in enumerate(days) if dt.date(2000, 1, 10) <= d < dt.date(2000, 1, 17)}
+
+
+def test_no_place_of_an_entry_is_shuffled(spark):
+    entities = spark.createDataFrame([("red fox",), ("red fox hunt",), ("one",)], "entity string")
+    emails = spark.createDataFrame([(i, f"s{i}", "Red  fox", "hunt; red fox one " * 3) for i in range(9)], "id long, sender string, subject string, body string")
+    before = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")  # a lexicon that is too large to be sent
+    try:
+        out = phrase_lexicon.table_mentions(emails, phrase_lexicon.entries(entities), keep=("id", "sender"))
+        assert sorted((r.id, r.sender, r.entity) for r in out.collect()) == [
+            (i, f"s{i}", e) for i in range(9) for e in ("one", "red fox", "red fox hunt")]
+        assert "Exchange" not in _plan(out)
+        dealt = phrase_lexicon.table_mentions(emails, phrase_lexicon.entries(entities), keep=("id", "sender"), dealt=True)
+        assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, out.collect()))
+        # a row a message is dealt by its id, and meets what is dealt by it
+        joined = _plan(dealt.join(spark.range(9).hint("merge"), "id"))
+        assert joined.count("Exchange hashpartitioning(id") == 2 and joined.index("Generate explode(phrases") < joined.index("REPARTITION_BY_COL")
+    finally:
+        if before is None:
+            spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        else:
+            spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", before)

@@ -4,6 +4,7 @@ import datetime as dt
 import random
 import re
 
+import numpy as np
 import pytest
 
 from casefile.operators import comms, ledger
@@ -69,6 +70,32 @@ def test_ten_thousand_entries(spark):
     assert got == want and {(100 + i, e) for i, e in enumerate(planted)} <= got
 
 
+@pytest.mark.parametrize("strangers", [None, 0])
+def test_phrases_that_pass_by_chance_are_no_entries(spark, monkeypatch, strangers):
+    rng = random.Random(5)
+    vocabulary = ["aa", "b_b", "Cc", "dd,", "é", "x1"]
+    text = lambda n: " ".join(rng.choices(vocabulary, k=n))
+    entities = [text(rng.randint(2, 4)) for _ in range(12)]
+    messages = [(i, None, text(rng.randint(0, 40))) for i in range(60)]
+    m, lexicon = frames(spark, messages, entities)
+    tables = PL._tables
+    monkeypatch.setattr(PL, "_tables", lambda x: {k: np.full_like(v, ~np.uint64(0)) for k, v in tables(x).items()})
+    if strangers is not None:  # too many of them
+        monkeypatch.setattr(PL, "STRANGERS", strangers)
+    assert {tuple(r) for r in PL.table_mentions(m, lexicon).collect()} == plain(messages, entities)
+
+
+@pytest.mark.parametrize("sent", [1 << 18, 0])
+def test_messages_with_one_id_are_compared_together(spark, monkeypatch, sent):
+    monkeypatch.setattr(PL, "SENT_IDS", sent)
+    messages = [(1, "a b", None), (1, None, "x a b"), (2, "a b", "a b"), (None, "a b", None), (None, "s", "x a b"), (3, "x", "a b")]
+    m, lexicon = frames(spark, messages, ["a b", "x a b", "a"])
+    got = sorted(map(tuple, PL.table_mentions(m, lexicon).collect()), key=str)
+    assert got == [(1, "x a b"), (2, "a b"), (3, "x a b"), (None, "a b"), (None, "x a b")]
+    got = sorted(map(tuple, PL.table_mentions(m, lexicon, keep=("id", "subject"), dealt=True).collect()), key=str)
+    assert got == [(1, "a b", "a b"), (1, None, "x a b"), (2, "a b", "a b"), (3, "x", "x a b"), (None, "a b", "a b"), (None, "s", "x a b")]
+
+
 def test_empty_lexicon_and_messages(spark):
     m, lexicon = frames(spark, [(1, None, None), (2, "a", "b")], [])
     assert PL.table_mentions(m, lexicon).count() == 0
